@@ -92,6 +92,15 @@ def id_text(col: str = "doc_id") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit("null"))
 
 
+def veiled(columns: list[str]) -> list[Column]:
+    """The columns under names c0, c1, ..., which clash with none of ours."""
+    return [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)]
+
+
+def unveiled(columns: list[str]) -> list[Column]:
+    return [F.col(f"c{i}").alias(c) for i, c in enumerate(columns)]
+
+
 def in_order_within(df: DataFrame, keys: list[str], order: Column, rank: str) -> DataFrame:
     """Adds ``rank``: each row's place from 0 within its ``keys``, by ``order`` (a lowercase hex digest).
 

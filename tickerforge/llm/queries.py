@@ -3,9 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tickerforge.llm import substring_dedup
-from tickerforge.llm.common import read_documents
+from tickerforge.llm import language_id, minhash, mixing, packing, sharding, simhash, substring_dedup, token_counts, topk, toxicity
+from tickerforge.llm.common import new_folder, read_documents
+
+
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of each document and of its edited text, and their likeness."""
+    return minhash.fingerprint_documents(read_documents(spark, sf_dir))
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's block and slot in the mix of sources to the production weights."""
+    return mixing.mix_sources(read_documents(spark, sf_dir).select("doc_id", "source")).select("doc_id", "mix_class", "mix_seq", "mix_block", "mix_slot")
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,24 +24,61 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(read_documents(spark, sf_dir), with_text=False)
 
 
-QUERIES = {"op3_substring_dedup": op3_substring_dedup}
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's length bucket, batch and padding."""
+    return packing.pack(read_documents(spark, sf_dir), keep=["doc_id"])
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts through a cache that starts empty."""
+    return token_counts.count_tokens(read_documents(spark, sf_dir), new_folder(spark, "token-cache"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores, learned without the held-out third of the labels."""
+    docs, labels = read_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = toxicity.score(docs, toxicity.fit(docs, labels, ~toxicity.held_out()))
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), F.size("spans").alias("n_spans"), F.to_json("spans").alias("spans"))
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as it lies in the shards of the last committed version."""
+    store = sharding.shard(read_documents(spark, sf_dir), new_folder(spark, "shards"))
+    rows = store.read()
+    if rows is None:
+        rows = read_documents(spark, sf_dir).limit(0).withColumn("_shard", F.lit(""))
+    return rows.select("doc_id", "source", "n_chars", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"), F.col("_shard").alias("shard"), F.lit(store.version()).alias("version"))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted languages, learned without the held-out quarter of the documents."""
+    docs = read_documents(spark, sf_dir)
+    found = language_id.identify(docs, language_id.fit(docs, ~language_id.held_out()))
+    return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints and near-duplicate components."""
+    return simhash.near_duplicates(read_documents(spark, sf_dir)).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best inner products of each query vector."""
+    return topk.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the corpus pipeline over the documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {f.__name__: f for f in (op1_minhash, op2_mixing, op3_substring_dedup, op4_packing, op5_token_counts, op6_toxicity, op7_sharding, op8_language_id, op9_simhash, op10_topk, pipeline)}
 
 ORACLES = {
-    "op3_substring_dedup": r"""
-WITH words AS (
-  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents
-), windows AS (
-  SELECT doc_id, p, array_to_string(w[p:p + 12], ' ') AS win FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS p FROM words WHERE len(w) >= 13)
-), repeated AS (
-  SELECT doc_id, p FROM (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY win) AS first_doc FROM windows) WHERE first_doc < doc_id
-), covered AS (
-  SELECT DISTINCT doc_id, unnest(range(p, p + 13)) AS q FROM repeated
-), each_word AS (
-  SELECT doc_id, unnest(range(1, len(w) + 1)) AS q, unnest(w) AS word FROM words
-), kept AS (
-  SELECT e.doc_id, count(*) AS n, string_agg(e.word, ' ' ORDER BY e.q) AS t FROM each_word e ANTI JOIN covered c ON c.doc_id = e.doc_id AND c.q = e.q GROUP BY e.doc_id
-)
-SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST(len(w.w) - coalesce(k.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(k.t, '')) AS kept_sha256
-FROM words w LEFT JOIN kept k ON k.doc_id = w.doc_id
-""",
+    "op2_mixing": mixing.ORACLE,
+    "op3_substring_dedup": substring_dedup.ORACLE,
+    "op4_packing": packing.ORACLE,
+    "op10_topk": topk.ORACLE,
 }

@@ -244,3 +244,23 @@ def remove_repeats(docs: DataFrame, batches: int = 2, with_text: bool = True) ->
     text = {"text": F.when(~F.col("_null"), F.decode("_kept", "UTF-8"))} if with_text else {}
     order = [c for c in docs.columns if c in found or c in text] if with_text else carried
     return out.select(*[(found | text)[c].alias(c) for c in order], F.col("_n_words").alias("n_words"), F.col("_n_removed").alias("n_removed"), F.col("_sha").alias("kept_sha256"))
+
+
+#: The contract's result in DuckDB's SQL.
+ORACLE = r"""
+WITH words AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents
+), windows AS (
+  SELECT doc_id, p, array_to_string(w[p:p + 12], ' ') AS win FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS p FROM words WHERE len(w) >= 13)
+), repeated AS (
+  SELECT doc_id, p FROM (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY win) AS first_doc FROM windows) WHERE first_doc < doc_id
+), covered AS (
+  SELECT DISTINCT doc_id, unnest(range(p, p + 13)) AS q FROM repeated
+), each_word AS (
+  SELECT doc_id, unnest(range(1, len(w) + 1)) AS q, unnest(w) AS word FROM words
+), kept AS (
+  SELECT e.doc_id, count(*) AS n, string_agg(e.word, ' ' ORDER BY e.q) AS t FROM each_word e ANTI JOIN covered c ON c.doc_id = e.doc_id AND c.q = e.q GROUP BY e.doc_id
+)
+SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST(len(w.w) - coalesce(k.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(k.t, '')) AS kept_sha256
+FROM words w LEFT JOIN kept k ON k.doc_id = w.doc_id
+"""

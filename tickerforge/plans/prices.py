@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tickerforge.functions.periods import parse_day
 from tickerforge.operators import adjust, indicators, resample, returns
 from tickerforge.operators.asof import asof_prev
-from tickerforge.plans.registry import query
+from tickerforge.plans.register import query
 from tickerforge.sources import market
 
 PLACES = 6

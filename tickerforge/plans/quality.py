@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tickerforge.operators import dq, merge, probe, state, trading_calendar, validate
 from tickerforge.plans.prices import sql_round
-from tickerforge.plans.registry import query
+from tickerforge.plans.register import query
 from tickerforge.sources import market, vendor
 
 FIRST, LAST = 1995, 2001

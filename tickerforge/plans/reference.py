@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tickerforge.functions import scalars
 from tickerforge.operators import merge, rates, screen, stats
 from tickerforge.plans.prices import NUDGE, nudged, rounded
-from tickerforge.plans.registry import query
+from tickerforge.plans.register import query
 from tickerforge.sources import market
 
 SNAPSHOT = """snapshot AS (SELECT s.*, b.last_trade_date, b.last_close, b.last_volume FROM securities s LEFT JOIN (SELECT security_id, max(trade_date) AS last_trade_date, arg_max(close, trade_date) AS last_close, arg_max(volume, trade_date) AS last_volume FROM bars GROUP BY 1) b USING (security_id))"""

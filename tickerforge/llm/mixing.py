@@ -24,7 +24,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickerforge.llm.common import id_text, in_order_within, unveiled, veiled
+from tickerforge.llm.common import id_text, in_order_within, partitions, unveiled, veiled
 
 REST = "*"
 #: Documents in a block.
@@ -50,13 +50,12 @@ def template(parts: Mapping[str, int]) -> dict[str, list[int]]:
     return slots
 
 
-def mix_sources(docs: DataFrame, weights: Mapping[str, int] = WEIGHTS, block: int = BLOCK) -> DataFrame:
-    """``docs`` with each document's class, place in it, block and slot."""
+def _placed(docs: DataFrame, columns: list[str], weights: Mapping[str, int], block: int) -> DataFrame:
+    """The columns as c0, c1, ..., with the ADDED ones."""
     named = [c for c in weights if c != REST]
     kind = F.when(F.col("source").isin(named), F.col("source")).otherwise(F.lit(REST))
-    columns = [c for c in docs.columns if c not in ADDED]
     classed = docs.select(*veiled(columns), id_text().alias("_id"), kind.alias("mix_class"))
-    present = {r[0] for r in classed.select("mix_class").distinct().collect()}  # as many as there are weights, at most
+    present = {r[0] for r in docs.select(kind.alias("c")).distinct().collect()}  # as many as there are weights, at most
     parts = {c: weights.get(c, 1) for c in present}
     slots, total = template(parts), sum(parts.values())
     ranked = in_order_within(classed, ["mix_class"], F.md5("_id"), "mix_seq").withColumn("mix_block", F.floor(F.col("mix_seq") / block).cast("long"))
@@ -64,7 +63,19 @@ def mix_sources(docs: DataFrame, weights: Mapping[str, int] = WEIGHTS, block: in
     for c, n in parts.items():
         here = F.floor(F.col("mix_block") / n).cast("long") * total + F.element_at(F.lit(slots[c]), (F.col("mix_block") % n + 1).cast("int"))
         slot = F.when(F.col("mix_class") == c, here).otherwise(slot)
-    return ranked.withColumn("mix_slot", slot.cast("long")).select(*unveiled(columns), *ADDED)
+    return ranked.withColumn("mix_slot", slot.cast("long"))
+
+
+def mix_sources(docs: DataFrame, weights: Mapping[str, int] = WEIGHTS, block: int = BLOCK) -> DataFrame:
+    """``docs`` with each document's class, place in it, block and slot."""
+    columns = [c for c in docs.columns if c not in ADDED]
+    return _placed(docs, columns, weights, block).select(*unveiled(columns), *ADDED)
+
+
+def in_mixed_order(docs: DataFrame, weights: Mapping[str, int] = WEIGHTS, block: int = BLOCK) -> DataFrame:
+    """``docs`` in the order of the mix: partitions (files, once written) follow each other, and rows within them."""
+    placed = _placed(docs, docs.columns, weights, block)
+    return placed.repartitionByRange(partitions(docs.sparkSession), "mix_slot", "mix_seq").sortWithinPartitions("mix_slot", "mix_seq").select(*unveiled(docs.columns))
 
 
 #: The same mix in DuckDB's SQL; the template is scheduled by a recursive query.

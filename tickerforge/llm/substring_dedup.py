@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerforge.llm.common import NO_ID, Stored, freeing_shuffles, new_folder, partitions, remove, text_bytes
+from tickerforge.llm.common import NO_ID, Stored, freeing_shuffles, new_folder, partitions, remove, text_bytes, veiled
 from tickerforge.llm.textkit import pieces, sliding_min
 
 WINDOW = 13
@@ -180,14 +180,17 @@ def find_repeats(docs: DataFrame, batches: int = 2) -> tuple[DataFrame, list[Sto
     for more in found[1:]:
         postings = postings.unionByName(more.df)
     # Copies are settled as a whole; what only they share needs no look at the texts.
-    postings = postings.join(copies.df.select("_id").distinct(), "_id", "left_anti")
+    # (An id counts as settled if all its rows are; null ids are one id here.)
+    marked = texts.select("_id", "_t").distinct().join(copies.df.select("_id", "_t", F.lit(True).alias("_copy")), ["_id", "_t"], "left")
+    settled = marked.groupBy("_id").agg(F.min(F.coalesce("_copy", F.lit(False))).alias("all")).where("all").select("_id")
+    postings = postings.join(settled, "_id", "left_anti")
     still = postings.groupBy("h").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi")).where("lo < hi").select("h")
     wanted = postings.join(still, "h", "left_semi").groupBy("_id").agg(F.collect_set("h").alias("hs"))
     windows = Stored(rows.join(wanted, "_id").select("_id", "_t", "_bytes", "hs").mapInArrow(_candidate_windows, "w long, c int, _id long, _t int, p int"), "windows")
     for x in found:
         x.drop()
     earliest = windows.df.groupBy("w", "c").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi")).where("lo < hi").select("w", "c", "lo")
-    starts = windows.df.join(earliest, ["w", "c"]).where("_id > lo").groupBy("_id", "_t").agg(F.collect_list("p").alias("starts"))
+    starts = windows.df.join(earliest, ["w", "c"]).where("_id > lo").groupBy("_id", "_t").agg(F.collect_list("p").alias("starts")).join(copies.df, ["_id", "_t"], "left_anti")
     repeats = Stored(starts.select("_id", "_t", "starts", F.lit(False).alias("whole")).unionByName(copies.df.select("_id", "_t", F.lit(None).cast("array<int>").alias("starts"), F.lit(True).alias("whole"))), "repeats")
     windows.drop()
     copies.drop()
@@ -227,23 +230,41 @@ def _rewrite(with_text: bool):
     return run
 
 
-def remove_repeats(docs: DataFrame, batches: int = 2, with_text: bool = True) -> DataFrame:
-    """``docs`` with ``text`` less its repeated words (null where it was null and unchanged where nothing goes), ``n_words``, ``n_removed`` and ``kept_sha256``.
-
-    Without ``with_text`` only doc_id and those three columns are returned.
-    """
+def _removed(docs: DataFrame, batches: int, carried: list[str], with_text: bool) -> DataFrame:
+    """The columns carried as c0, c1, ..., with _n_words, _n_removed, _sha, and _null and _text if asked for."""
     repeats, _ = find_repeats(docs, batches)
     known = repeats.select(F.col("_id").alias("_rid"), F.col("_t").alias("_rt"), "starts", "whole")
-    carried = [c for c in docs.columns if c != "text" and c not in ("n_words", "n_removed", "kept_sha256")] if with_text else ["doc_id"]
-    plain = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carried)], F.coalesce(F.col("doc_id"), F.lit(NO_ID)).cast("long").alias("_id"), F.hash(F.coalesce("text", F.lit(""))).alias("_t"), text_bytes().alias("_bytes"), F.col("text").isNull().alias("_null"))
+    plain = docs.select(*veiled(carried), F.coalesce(F.col("doc_id"), F.lit(NO_ID)).cast("long").alias("_id"), F.hash(F.coalesce("text", F.lit(""))).alias("_t"), text_bytes().alias("_bytes"), F.col("text").isNull().alias("_null"))
     joined = plain.join(known, (F.col("_id") == F.col("_rid")) & (F.col("_t") == F.col("_rt")), "left").drop("_rid", "_rt", "_id", "_t")
     types = dict(docs.dtypes)
     schema = ", ".join([f"c{i} {types[c]}" for i, c in enumerate(carried)] + ["_null boolean", "_n_words long", "_n_removed long", "_sha string"] + (["_kept binary"] if with_text else []))
     out = joined.mapInArrow(_rewrite(with_text), schema)
+    return out.withColumn("_text", F.when(~F.col("_null"), F.decode("_kept", "UTF-8"))) if with_text else out
+
+
+def remove_repeats(docs: DataFrame, batches: int = 2, with_text: bool = True) -> DataFrame:
+    """``docs`` with ``text`` less its repeated words (null where it was null and unchanged where nothing goes), ``n_words``, ``n_removed`` and ``kept_sha256``.
+
+    Without ``with_text`` only doc_id and those three columns are returned.
+    """
+    added = ["n_words", "n_removed", "kept_sha256"]
+    carried = [c for c in docs.columns if c != "text" and c not in added] if with_text else ["doc_id"]
+    out = _removed(docs, batches, carried, with_text)
     found = {c: F.col(f"c{i}") for i, c in enumerate(carried)}
-    text = {"text": F.when(~F.col("_null"), F.decode("_kept", "UTF-8"))} if with_text else {}
-    order = [c for c in docs.columns if c in found or c in text] if with_text else carried
-    return out.select(*[(found | text)[c].alias(c) for c in order], F.col("_n_words").alias("n_words"), F.col("_n_removed").alias("n_removed"), F.col("_sha").alias("kept_sha256"))
+    if with_text:
+        found["text"] = F.col("_text")
+    order = [c for c in docs.columns if c in found] if with_text else carried
+    return out.select(*[found[c].alias(c) for c in order], F.col("_n_words").alias("n_words"), F.col("_n_removed").alias("n_removed"), F.col("_sha").alias("kept_sha256"))
+
+
+def cut_repeats(docs: DataFrame, batches: int = 2) -> DataFrame:
+    """``docs`` with the repeated words cut from ``text``, and ``n_chars``, if there, following it."""
+    carried = [c for c in docs.columns if c != "text"]
+    out = _removed(docs, batches, carried, with_text=True)
+    found = {c: F.col(f"c{i}") for i, c in enumerate(carried)} | {"text": F.col("_text")}
+    if "n_chars" in found:
+        found["n_chars"] = F.when(F.col("_n_removed") > 0, F.length("_text").cast(dict(docs.dtypes)["n_chars"])).otherwise(found["n_chars"])
+    return out.select(*[found[c].alias(c) for c in docs.columns])
 
 
 #: The contract's result in DuckDB's SQL.

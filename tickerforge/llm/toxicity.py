@@ -308,13 +308,21 @@ def _score(sent):
     return run
 
 
-def score(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
-    """doc_id (or the columns ``keep``), score and spans of every document. The model sent along has FEATURES weights."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-    columns, types = keep or ["doc_id"], dict(docs.dtypes)
+def _scored(docs: DataFrame, model: Model, columns: list[str]) -> DataFrame:
+    """The columns as c0, c1, ..., with score and spans. The model sent along has FEATURES weights."""
+    sent, types = docs.sparkSession.sparkContext.broadcast(model), dict(docs.dtypes)
     form = ", ".join(f"c{i} {types[c]}" for i, c in enumerate(columns))
-    scored = docs.select(*veiled(columns), text_bytes().alias("t")).mapInArrow(_score(sent), f"{form}, score double, spans array<array<int>>")
-    return scored.select(*unveiled(columns), "score", "spans")
+    return docs.select(*veiled(columns), text_bytes().alias("t")).mapInArrow(_score(sent), f"{form}, score double, spans array<array<int>>")
+
+
+def score(docs: DataFrame, model: Model) -> DataFrame:
+    """doc_id, score and spans of every document."""
+    return _scored(docs, model, ["doc_id"]).select(*unveiled(["doc_id"]), "score", "spans")
+
+
+def without_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` less the documents that score the threshold or more."""
+    return _scored(docs, model, docs.columns).where(F.col("score") < threshold).select(*unveiled(docs.columns))
 
 
 def held_out() -> Column:

@@ -3,7 +3,7 @@ import math
 from decimal import Decimal
 
 import pytest
-from conftest import duck, rows_of
+from helpers import duck, rows_of
 from pyspark.sql import functions as F
 
 from tickerforge.operators import adjust, indicators, resample, returns

@@ -1,7 +1,7 @@
 """Every registered query against its SQL, or at least run."""
 
 import pytest
-from conftest import same_as_sql
+from helpers import same_as_sql
 
 import __spark_entry__
 from tickerforge.plans import registry

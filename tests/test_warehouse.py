@@ -247,3 +247,28 @@ def test_cli(spark, tmp_path, monkeypatch):
     monkeypatch.setenv("TICKERFORGE_WAREHOUSE", str(home))
     assert cli.main(["ph", "AAA", "-s", "2023-01-01", "-n", "1", "--close"], spark).split() == ["trade_date,close", "2023-01-02,2.000000"]
     assert "max 3" in cli.main(["ph", "AAA", "-s", "2023-01-01", "-e", "2023-02-01", "--stats", "--precision", "0"], spark)
+
+
+def test_nightly_update_and_reset(spark):
+    from tickerforge.plans import daily
+
+    day, price = D(2023, 6, 1), "open double, high double, low double, close double, volume long, vwap double"
+    tables = {
+        "security": spark.createDataFrame([(1, "v", "AAA", True, None)], "security_id long, source string, primary_symbol string, is_actively_trading boolean, delisted_date date"),
+        "symbol_xref": spark.createDataFrame([(1, "AAA", D(2000, 1, 1), None, True)], "security_id long, symbol string, valid_from date, valid_to date, is_primary boolean"),
+        "trading_calendar": trading_calendar.trading_calendar(spark, 2022, 2022), "daily_price": spark.createDataFrame([(1, day, 100.0, 100.0, 100.0, 100.0, 10, None)], f"security_id long, trade_date date, {price}"),
+        "corporate_action": spark.createDataFrame([], "security_id long, action_type string, ex_date date, split_numerator double, split_denominator double, dividend_amount double"),
+        "dq_flag": spark.createDataFrame([], loader.FLAGS), "watermark": spark.createDataFrame([], loader.MARKS),
+    }
+    bars = spark.createDataFrame([(1, "2023-06-02", 50.0, 51.0, 50.0, 50.0, 20.0, None, 1), (1, "2023-06-05", 50.0, 40.0, 50.0, 50.0, 20.0, None, 2)], "security_id long, date string, open double, high double, low double, close double, volume double, vwap double, ordinal int")
+    splits = spark.createDataFrame([(1, "2023-06-02", 2.0, 1.0)], "security_id long, date string, numerator double, denominator double")
+    dividends = spark.createDataFrame([], "security_id long, date string, dividend double")
+    delisted = spark.createDataFrame([("AAA", "LSE", "2023-07-01")], "symbol string, exchange string, delistedDate string")
+    out = daily.update(tables, bars, splits, dividends, delisted, 2023, "v")
+    assert out["daily_price"].count() == 2 and out["adjustment_factor"].first()["price_factor"] == Decimal("0.5")
+    assert out["watermark"].first()["watermark"] == D(2023, 6, 2) and out["security_latest"].first()["last_close"] == 50.0
+    assert [r["check_name"] for r in out["dq_flag"].collect()] == ["price_cross_field_violation"]
+    assert daily.reset(out, "prices")[1] == ("daily_price", "watermark") and out["daily_price"].count() == 2
+    assert daily.reset(out, "prices", dry_run=False)[0]["daily_price"].count() == 0
+    with pytest.raises(ValueError):
+        daily.reset(out, "nothing")

@@ -189,3 +189,34 @@ def stitched_windows(spark, sf_dir):
 def landed_payloads(spark, sf_dir):
     """Raw answers with their hash and size."""
     return vendor.landed(market.table(spark, sf_dir, "pages").select("page_id", F.col("html").alias("payload"))).drop("payload")
+
+
+@query("SELECT source, endpoint, security_id, max(watermark) AS watermark FROM (SELECT 'v' AS source, 'e' || security_id % 2 AS endpoint, security_id, min(trade_date) AS watermark FROM bars GROUP BY 3 UNION ALL SELECT 'v', 'e' || security_id % 3, security_id, max(trade_date) FROM bars WHERE security_id % 5 <> 0 GROUP BY 3) GROUP BY 1, 2, 3", "bars")
+def watermark_merge(spark, sf_dir):
+    """Stored marks and new ones, of which the later counts."""
+    bars = market.bars(spark, sf_dir)
+    key = lambda n: F.concat(F.lit("e"), (F.col("security_id") % n).cast("string"))
+    stored = bars.groupBy("security_id").agg(F.min("trade_date").alias("watermark")).select(F.lit("v").alias("source"), key(2).alias("endpoint"), "security_id", "watermark")
+    news = bars.where("security_id % 5 <> 0").groupBy("security_id").agg(F.max("trade_date").alias("watermark")).select(F.lit("v").alias("source"), key(3).alias("endpoint"), "security_id", "watermark")
+    return state.merged_watermarks(stored, news)
+
+
+@query("SELECT security_id, max(trade_date) AS watermark, CAST(max(trade_date) - 5 AS DATE) AS start_date FROM bars GROUP BY 1", "bars")
+def load_windows(spark, sf_dir):
+    return state.windows(market.bars(spark, sf_dir).groupBy("security_id").agg(F.max("trade_date").alias("watermark")))
+
+
+@query("SELECT security_id, ex_date, action_type, split_numerator FROM actions WHERE security_id % 3 <> 0 UNION ALL SELECT security_id, ex_date, action_type, 9.0 FROM actions WHERE security_id % 3 = 0 AND action_type = 'split'", "actions")
+def replace_groups(spark, sf_dir):
+    """Rows of some securities replaced as a whole."""
+    stored = market.actions(spark, sf_dir).select("security_id", "ex_date", "action_type", "split_numerator")
+    return merge.replace_groups(stored, stored.where("security_id % 3 = 0 AND action_type = 'split'").withColumn("split_numerator", F.lit(9.0)), "security_id")
+
+
+@query("SELECT security_id, action_type, ex_date, CASE WHEN action_type = 'split' THEN 3.0 END AS split_numerator, CASE WHEN action_type = 'dividend' THEN dividend_amount END AS dividend_amount, CASE WHEN action_type = 'split' AND security_id % 4 = 0 THEN 'split_invalid' WHEN action_type = 'dividend' AND security_id % 4 = 1 THEN 'dividend_invalid' END AS reason FROM (SELECT security_id, action_type, ex_date, CASE WHEN security_id % 4 = 1 THEN -dividend_amount ELSE dividend_amount END AS dividend_amount FROM actions)", "actions")
+def checked_actions(spark, sf_dir):
+    """Splits and dividends in the vendor's spelling, with what is wrong with them."""
+    a, bad = market.actions(spark, sf_dir), F.col("security_id") % 4
+    splits = a.where("action_type = 'split'").select("security_id", F.col("ex_date").cast("string").alias("date"), F.lit("3").alias("splitTo"), F.when(bad == 0, "0").otherwise("1").alias("splitFrom"))
+    paid = a.where("action_type = 'dividend'").select("security_id", F.col("ex_date").cast("string").alias("date"), F.when(bad == 1, -F.col("dividend_amount")).otherwise(F.col("dividend_amount")).alias("adjDividend"))
+    return validate.checked_actions(splits, paid).select("security_id", "action_type", "ex_date", "split_numerator", "dividend_amount", "reason")

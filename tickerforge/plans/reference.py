@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tickerforge.functions import scalars
-from tickerforge.operators import merge, rates, screen, stats
+from tickerforge.operators import delisting, merge, rates, screen, stats, validate
 from tickerforge.plans.prices import NUDGE, nudged, rounded
 from tickerforge.plans.register import query
 from tickerforge.sources import market
 
 SNAPSHOT = """snapshot AS (SELECT s.*, b.last_trade_date, b.last_close, b.last_volume FROM securities s LEFT JOIN (SELECT security_id, max(trade_date) AS last_trade_date, arg_max(close, trade_date) AS last_close, arg_max(volume, trade_date) AS last_volume FROM bars GROUP BY 1) b USING (security_id))"""
 _PUBLIC = "symbol, company_name AS companyName, sector_name AS sector, industry_name AS industry, exchange_code AS exchangeShortName, market_cap_usd AS marketCap, last_close AS price, last_volume AS volume, beta"
+_INDUSTRIES = [f"NATION_{k}" for k in range(1, 20)]
 _SHOWN = ["symbol", "companyName", "sector", "industry", "exchangeShortName", "marketCap", "price", "volume", "beta"]
 
 
@@ -24,23 +25,23 @@ def security_latest(spark, sf_dir):
     return snapshot(spark, sf_dir)
 
 
-@query(f"WITH {SNAPSHOT} SELECT {_PUBLIC} FROM snapshot WHERE market_cap_usd > -500 AND market_cap_usd < 9900 AND last_close > 100 AND beta < 1.95 AND is_actively_trading AND NOT is_etf AND sector_name IN ('ASIA', 'EUROPE', 'AMERICA') AND industry_name <> 'x' AND industry_name IN ('CHINA', 'FRANCE', 'GERMANY', 'JAPAN', 'INDIA', 'BRAZIL', 'CANADA', 'PERU', 'RUSSIA', 'ROMANIA', 'VIETNAM')", "bars securities")
+@query(f"WITH {SNAPSHOT} SELECT {_PUBLIC} FROM snapshot WHERE market_cap_usd > -500 AND market_cap_usd < 9900 AND last_close > 100 AND beta < 1.95 AND is_actively_trading AND NOT is_etf AND sector_name IN ('ASIA', 'EUROPE', 'AMERICA') AND industry_name IN ({', '.join(f"'{n}'" for n in _INDUSTRIES)})", "bars securities")
 def screen_and(spark, sf_dir):
     """Ranges, equalities, and sectors and industries that must both match."""
     found = screen.screen(
         snapshot(spark, sf_dir), {"market_cap": (-500, 9900), "price": (100, None), "beta": (None, 1.95)}, {"active": True, "is_etf": False}, ["ASIA", "EUROPE", "AMERICA"],
-        ["CHINA", "FRANCE", "GERMANY", "JAPAN", "INDIA", "BRAZIL", "CANADA", "PERU", "RUSSIA", "ROMANIA", "VIETNAM"], dividend=(1, None),
+        _INDUSTRIES, dividend=(1, None),
     )
     return found.select(*_SHOWN)
 
 
 @query(f"""WITH {SNAPSHOT}, legs AS (
     SELECT 0 AS leg, * FROM (SELECT * FROM snapshot WHERE sector_name = 'ASIA' ORDER BY symbol LIMIT 10) UNION ALL SELECT 1, * FROM (SELECT * FROM snapshot WHERE sector_name = 'EUROPE' ORDER BY symbol LIMIT 10)
-    UNION ALL SELECT 2, * FROM (SELECT * FROM snapshot WHERE industry_name = 'CHINA' ORDER BY symbol LIMIT 10) UNION ALL SELECT 3, * FROM (SELECT * FROM snapshot WHERE industry_name = 'BRAZIL' ORDER BY symbol LIMIT 10))
+    UNION ALL SELECT 2, * FROM (SELECT * FROM snapshot WHERE industry_name = 'NATION_7' ORDER BY symbol LIMIT 10) UNION ALL SELECT 3, * FROM (SELECT * FROM snapshot WHERE industry_name = 'NATION_6' ORDER BY symbol LIMIT 10))
     SELECT {_PUBLIC} FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY leg) AS n FROM legs) WHERE n = 1""", "bars securities")
 def screen_union(spark, sf_dir):
     """Sectors and industries as legs of their own, ten rows each."""
-    return screen.screen_any(snapshot(spark, sf_dir), ["ASIA", "EUROPE"], ["CHINA", "BRAZIL"], limit=10).select(*_SHOWN)
+    return screen.screen_any(snapshot(spark, sf_dir), ["ASIA", "EUROPE"], ["NATION_7", "NATION_6"], limit=10).select(*_SHOWN)
 
 
 def _list(column: str) -> str:
@@ -219,3 +220,39 @@ def curve_bootstrap(spark, sf_dir):
     base = market.curve(spark, sf_dir).groupBy("curve_date").agg(F.avg("rate").alias("base"))
     grid = base.select("curve_date", "base", F.explode(F.sequence(F.lit(1), F.lit(20))).alias("k")).select("curve_date", (F.col("k") * 6).cast("double").alias("months"), (F.col("base") / 2 + F.col("k") * 0.05).alias("rate"))
     return rounded(rates.bootstrap(grid))
+
+
+@query("SELECT symbol, CASE WHEN market_cap_usd < 0 THEN NULL ELSE market_cap_usd END AS market_cap_usd, CASE WHEN security_id % 4 = 1 THEN NULL ELSE beta END AS beta FROM securities", "securities")
+def bounded_numerics(spark, sf_dir):
+    """Values that a column can't hold become null."""
+    s = market.securities(spark, sf_dir)
+    wild = s.select("symbol", F.when(F.col("market_cap_usd") < 0, F.lit(1e22)).otherwise(F.col("market_cap_usd")).alias("market_cap_usd"), F.when(F.col("security_id") % 4 == 1, F.lit(float("inf"))).otherwise(F.col("beta")).alias("beta"))
+    return validate.bounded_numerics(wild)[0]
+
+
+@query("SELECT symbol, exchange_code, is_etf, CASE WHEN is_etf THEN 'etf' ELSE 'equity' END AS asset_type FROM (SELECT symbol, CASE WHEN security_id % 3 = 0 THEN 'NASDAQ' ELSE 'AMEX' END AS exchange_code, is_etf FROM securities WHERE security_id % 3 <> 2)", "securities")
+def us_universe(spark, sf_dir):
+    """Screens of two venues that overlap: a symbol's first row counts, foreign venues don't."""
+    s, k = market.securities(spark, sf_dir), F.col("security_id")
+    venue = F.when(k % 3 == 0, "nasdaq").when(k % 3 == 1, "NYSEAMERICAN").otherwise("NASDAQ DUBAI")
+    first = s.select("symbol", venue.alias("exchangeShortName"), F.col("is_etf").alias("isEtf"), F.lit(0).alias("ordinal"))
+    again = s.where("security_id % 2 = 0").select("symbol", F.when(k % 3 == 2, "OTHER").otherwise("NYSE").alias("exchangeShortName"), F.lit(True).alias("isEtf"), F.lit(1).alias("ordinal"))
+    return validate.us_universe(first.unionByName(again)).select("symbol", "exchange_code", "is_etf", "asset_type")
+
+
+@query("SELECT symbol, is_etf, CASE WHEN is_etf THEN 'etf' ELSE 'equity' END AS asset_type FROM (SELECT symbol, security_id % 2 = 0 AS is_etf FROM securities WHERE security_id % 3 <> 0 OR security_id % 2 = 0)", "securities")
+def etf_union(spark, sf_dir):
+    """A stock list and an ETF list that share symbols."""
+    s = market.securities(spark, sf_dir)
+    return validate.with_etfs(s.where("security_id % 3 <> 0").select("symbol"), s.where("security_id % 2 = 0").select("symbol"))
+
+
+@query("SELECT count(*) AS seen, count(*) FILTER (WHERE security_id % 4 IN (0, 1) AND delisted_date IS NULL AND security_id % 10 <> 0) AS marked FROM securities", "securities")
+def delisting_sweep(spark, sf_dir):
+    """Delistings of tracked venues with a date; how many were seen and how many are new."""
+    s, k = market.securities(spark, sf_dir), F.col("security_id")
+    venue = F.when(k % 4 == 0, "NYSE").when(k % 4 == 1, "nasdaq").otherwise("LSE")
+    feed = s.select("symbol", venue.alias("exchange"), F.when(k % 10 == 0, "soon").otherwise("2003-02-01").alias("delistedDate"))
+    xref = s.limit(0).select("security_id", "symbol", F.lit(None).cast("date").alias("valid_from"), F.lit(None).cast("date").alias("valid_to"), F.lit(True).alias("is_primary"))
+    master = s.select("security_id", F.col("symbol").alias("primary_symbol"), F.lit("vendor").alias("source"), "is_actively_trading", "delisted_date")
+    return delisting.sweep(feed, xref, master, "vendor")[2]

@@ -26,13 +26,13 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents in the order of the mix: files follow each other, and rows within them."""
+    """The documents in the order of the mix: files follow each other, and rows within them. The weights go along."""
     return mixing.in_mixed_order(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with their length bucket, boundary, batch and padding."""
-    return packing.pack(docs)
+    """The documents with their length bucket, boundary, batch and padding; batches follow the mix, if there was one."""
+    return packing.pack(docs, mix=mixing.mix_of(docs))
 
 
 STAGES = [("toxicity", drop_toxic), ("simhash_near_dedup", near_dedup), ("substring_dedup", cut_repeats), ("mixing", mix), ("packing", pack)]

@@ -120,6 +120,24 @@ def in_order_within(df: DataFrame, keys: list[str], order: Column, rank: str) ->
     return ranked.withColumn(rank, F.col("_start") + F.col("_in")).drop("_order", "_slice", "_of", "_start", "_in", *[f"_k_{k}" for k in keys])
 
 
+def in_slots_within(df: DataFrame, keys: list[str], slot: str, seq: str, width: int, rank: str) -> DataFrame:
+    """Adds ``rank``: each row's place from 0 within its ``keys`` (never null), by (slot, seq).
+
+    A slot holds a bounded number of rows; slices of ``width`` slots are ranked as those of
+    ``in_order_within`` are.
+    """
+    sliced = df.withColumn("_slice", F.floor(F.col(slot) / width).cast("long"))
+    counts = sliced.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_slice").alias("_of"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    same = F.col("_slice") == F.col("_of")
+    for k in keys:
+        same = same & (F.col(k) == F.col(f"_k_{k}"))
+    inside = Window.partitionBy(*keys, "_slice").orderBy(slot, seq)
+    ranked = sliced.withColumn("_in", F.row_number().over(inside) - 1).join(starts, same)
+    return ranked.withColumn(rank, F.col("_start") + F.col("_in")).drop("_slice", "_of", "_start", "_in", *[f"_k_{k}" for k in keys])
+
+
 class Rows:
     """Collects output columns inside a task and hands them on as Arrow batches of bounded size."""
 

@@ -14,7 +14,9 @@ Defined results. Sources without a weight, and null sources, share the class ``*
 class follow each other in the order of the MD5 of their doc_id (a null id counts as the text
 ``null``; rows of equal ids follow each other in any order). An empty table gives an empty result.
 ``mix_sources`` keeps all columns and adds or replaces ``mix_class``, ``mix_seq``, ``mix_block`` and
-``mix_slot``; (mix_slot, mix_seq) is the mixed order.
+``mix_slot``; (mix_slot, mix_seq) is the mixed order. ``in_mixed_order`` returns the columns it was given and
+marks ``source`` with the weights and the block in its metadata, which Parquet keeps: by ``mix_of`` a
+later step finds the mix and places the documents in it again, whatever order it reads them in.
 """
 
 from __future__ import annotations
@@ -31,6 +33,8 @@ REST = "*"
 BLOCK = 8
 #: Target parts of each source in the production mix; all other sources together get REST's.
 WEIGHTS: dict[str, int] = {"src0": 24, **{f"src{i}": 4 for i in range(1, 20)}, REST: 4}
+#: Under which name the metadata of ``source`` hold a mix.
+MARK = "mix"
 ADDED = ["mix_class", "mix_seq", "mix_block", "mix_slot"]
 
 
@@ -75,7 +79,14 @@ def mix_sources(docs: DataFrame, weights: Mapping[str, int] = WEIGHTS, block: in
 def in_mixed_order(docs: DataFrame, weights: Mapping[str, int] = WEIGHTS, block: int = BLOCK) -> DataFrame:
     """``docs`` in the order of the mix: partitions (files, once written) follow each other, and rows within them."""
     placed = _placed(docs, docs.columns, weights, block)
-    return placed.repartitionByRange(partitions(docs.sparkSession), "mix_slot", "mix_seq").sortWithinPartitions("mix_slot", "mix_seq").select(*unveiled(docs.columns))
+    ordered = placed.repartitionByRange(partitions(docs.sparkSession), "mix_slot", "mix_seq").sortWithinPartitions("mix_slot", "mix_seq").select(*unveiled(docs.columns))
+    return ordered.withMetadata("source", {MARK: {"weights": dict(weights), "block": block}})
+
+
+def mix_of(docs: DataFrame) -> tuple[dict[str, int], int] | None:
+    """Weights and block of the mix that ``in_mixed_order`` brought the documents into, if any."""
+    mark = docs.schema["source"].metadata.get(MARK) if "source" in docs.columns else None
+    return (mark["weights"], mark["block"]) if mark else None
 
 
 #: The same mix in DuckDB's SQL; the template is scheduled by a recursive query.

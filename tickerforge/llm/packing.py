@@ -8,7 +8,8 @@ token budget takes at that length, one at least.
 
 Defined results. A null or blank text has length 0 and pads to its bucket. Documents of a bucket
 follow each other in the order of the MD5 of their doc_id (a null id counts as the text ``null``;
-rows of equal ids follow each other in any order). Of cuts with equal padding, the one whose last
+rows of equal ids follow each other in any order), or, given a ``mix``, in the mixed order of their
+sources, whose columns (``mixing.ADDED``) are then added or replaced too. Of cuts with equal padding, the one whose last
 bucket starts earliest is taken, then likewise for the buckets before. An empty table gives an empty
 result. ``pack`` keeps all columns and adds or replaces ``n_words``, ``bucket``, ``boundary``, ``batch``
 and ``padding``; a bucket number starts at 0 for the shortest.
@@ -16,16 +17,21 @@ and ``padding``; a bucket number starts at 0 for the shortest.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickerforge.llm.common import id_text, in_order_within, unveiled, veiled
+from tickerforge.llm import mixing
+from tickerforge.llm.common import id_text, in_order_within, in_slots_within, unveiled, veiled
 
 BUCKETS = 8
 #: Words of a batch, padding counted.
 BUDGET = 8192
 EXACT = 1024
+#: About how many slices the slots of a mix are ranked in.
+SLICES = 4096
 ADDED = ["n_words", "bucket", "boundary", "batch", "padding"]
 
 
@@ -65,19 +71,30 @@ def boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[in
     return cuts[::-1]
 
 
-def pack(docs: DataFrame, buckets: int = BUCKETS, budget: int = BUDGET, keep: list[str] | None = None) -> DataFrame:
-    """``docs`` (or its columns ``keep``) with each document's length, bucket, boundary, batch and padding."""
-    columns = [c for c in (docs.columns if keep is None else keep) if c not in ADDED]
-    sized = docs.select(*veiled(columns), id_text().alias("_id"), word_count().alias("n_words"))
+def pack(docs: DataFrame, buckets: int = BUCKETS, budget: int = BUDGET, keep: list[str] | None = None, mix: tuple[Mapping[str, int], int] | None = None) -> DataFrame:
+    """``docs`` (or its columns ``keep``) with each document's length, bucket, boundary, batch and padding.
+
+    By a ``mix`` (weights, documents in a block) batches are formed in the mixed order.
+    """
+    lengths = docs.select(word_count().alias("n_words"))
     # Each bin's largest real length is its padded length; bins are bounded in number, so the driver may have them.
-    histogram = sorted((r["top"], r["n"]) for r in sized.groupBy(_bin(F.col("n_words")).alias("bin")).agg(F.max("n_words").alias("top"), F.count(F.lit(1)).alias("n")).collect())
+    histogram = sorted((r["top"], r["n"]) for r in lengths.groupBy(_bin(F.col("n_words")).alias("bin")).agg(F.max("n_words").alias("top"), F.count(F.lit(1)).alias("n")).collect())
     cuts = boundaries(np.array([x[0] for x in histogram], np.int64), np.array([x[1] for x in histogram], np.int64), buckets) or [0]
     bucket, boundary = F.lit(len(cuts) - 1), F.lit(cuts[-1])
     for i in range(len(cuts) - 2, -1, -1):
         bucket = F.when(F.col("n_words") <= cuts[i], F.lit(i)).otherwise(bucket)
         boundary = F.when(F.col("n_words") <= cuts[i], F.lit(cuts[i])).otherwise(boundary)
+    if mix is not None:
+        docs = mixing.mix_sources(docs, *mix)
+    columns = [c for c in (docs.columns if keep is None else keep) if c not in ADDED]
+    mixed = [] if mix is None else [F.col("mix_slot").alias("_slot"), F.col("mix_seq").alias("_of_class")]
+    sized = docs.select(*veiled(columns), id_text().alias("_id"), word_count().alias("n_words"), *mixed)
     placed = sized.withColumn("bucket", bucket.cast("int")).withColumn("boundary", boundary.cast("long"))
-    ranked = in_order_within(placed, ["bucket"], F.md5("_id"), "_seq")
+    if mix is None:
+        ranked = in_order_within(placed, ["bucket"], F.md5("_id"), "_seq")
+    else:
+        width = max(1, sum(n for _, n in histogram) // (SLICES * mix[1]))
+        ranked = in_slots_within(placed, ["bucket"], "_slot", "_of_class", width, "_seq")
     size = F.greatest(F.lit(1), F.floor(F.lit(budget) / F.greatest(F.col("boundary"), F.lit(1)))).cast("long")
     return ranked.withColumn("batch", F.floor(F.col("_seq") / size).cast("long")).withColumn("padding", F.col("boundary") - F.col("n_words")).select(*unveiled(columns), *ADDED)
 

@@ -155,3 +155,41 @@ def test_exact_factors_agree_with_double_ones(spark, sf_dir):
     one = {(r[0], r[1]): r[2] for r in adjust.adjustment_factors(a, b).collect()}
     for r in adjust.adjustment_factors_exact(a, b).collect():
         assert abs(one[r[0], r[1]] - float(r[2])) < 1e-7
+
+
+def annual_rates(closes):
+    """(security_id, trade_date) to yearly rate of every bar, in plain Python."""
+    want = {}
+    for key in {k for k, _ in closes}:
+        days = sorted(d for k, d in closes if k == key)
+        gap = (days[-1] - days[0]).days // (len(days) - 1) if len(days) > 1 else None
+        ppy = None if gap is None else next((n for top, n in ((1, 252), (5, 52), (20, 12), (70, 4), (150, 2)) if gap <= top), 1)
+        growth, n = 1.0, 0
+        want[key, days[0]] = None
+        for before, day in zip(days, days[1:]):
+            growth, n = growth * (closes[key, day] / closes[key, before]), n + 1
+            want[key, day] = growth ** (ppy / n) - 1
+    return want
+
+
+def same_rates(frame, closes):
+    got = {(r["security_id"], r["trade_date"]): r["close_annual_simple"] for r in frame.collect()}
+    want = annual_rates(closes)
+    assert set(got) == set(want)
+    for k, rate in want.items():
+        assert (got[k] is None) == (rate is None) and (rate is None or math.isclose(got[k], rate, rel_tol=1e-9, abs_tol=1e-4))
+    return got
+
+
+def test_every_bar_has_a_yearly_rate(spark, sf_dir):
+    closes = {(r["security_id"], r["trade_date"]): r["close"] for r in market.bars(spark, sf_dir).collect()}
+    got = same_rates(prices.annualized_simple_all(spark, sf_dir), closes)
+    late = {(r["security_id"], r["trade_date"]): r["close_annual_simple"] for r in prices.annualized_simple(spark, sf_dir).collect()}
+    assert len(late) < len(got) and all(got[k] == rate for k, rate in late.items())
+
+
+def test_short_series_have_yearly_rates(spark, sf_dir, monkeypatch):
+    rows = [(1, D(2023, 1, 2), 10.0), (1, D(2023, 1, 3), 30.0), (1, D(2023, 1, 4), 12.0), (2, D(2023, 1, 2), 5.0), (3, D(2023, 1, 2), 8.0), (3, D(2023, 3, 2), 9.0)]
+    frame = spark.createDataFrame(rows, "security_id long, trade_date date, close double")
+    monkeypatch.setattr(market, "bars", lambda *_: frame)
+    same_rates(prices.annualized_simple_all(spark, sf_dir), {(k, d): c for k, d, c in rows})

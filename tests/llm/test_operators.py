@@ -219,6 +219,19 @@ def test_toxicity_learns_and_finds_spans(spark):
             assert set(texts[300 + r["doc_id"]][a:b].split()) <= {"vile", "foul"}
 
 
+def test_a_common_toxic_word_may_be_in_a_few_clean_texts():
+    rng = random.Random(13)
+    words = [[rng.choice([f"w{k}" for k in range(80)]) for _ in range(30)] for _ in range(1300)]
+    marks = [int(k < 300) for k in range(1300)]
+    for k in range(310):  # all toxic texts, and 10 of 1000 clean ones
+        words[k][rng.randrange(30)] = "vile"
+    for k in range(300):  # a copied line
+        words[k][:3] = ["w1", "strange", "w2"]
+    model = toxicity.fit_field([" ".join(w) for w in words], marks)
+    vile, strange, plain = toxicity.expected_of(["w3 vile w4", "w1 strange w2", "w3 w5 w4"], toxicity.Emissions(model))
+    assert vile > 0.5 and strange < 0.1 and plain < 0.1
+
+
 def test_toxicity_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")

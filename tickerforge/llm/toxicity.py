@@ -2,7 +2,8 @@
 
 Method. Labels are given to documents, so words are labelled first: in a toxic training document a
 word is toxic if it, or one of its prefixes, is far more frequent (by document, log-likelihood ratio
-above EVIDENCE) among toxic than among clean training documents. A two-state linear-chain CRF with
+above EVIDENCE) among toxic than among clean training documents, and stands between as many different
+words there as would be evidence by themselves. A two-state linear-chain CRF with
 word, prefix and suffix features is fitted to these word labels by gradient ascent on the exact
 likelihood. Forward-backward gives each word's marginal; the expected number of toxic words becomes
 a document's score by a logistic curve fitted on the same documents, and runs of words with a
@@ -165,13 +166,15 @@ def fit_field(texts: list[str], toxic: list[int]) -> Model:
         seen[y].update({t for w in set(ws) for t in traits(w) if t[0] != "s"})
     marked = {t for t, n in seen[1].items() if n >= 5 and _evidence(n, seen[0][t], count[1], count[0]) > EVIDENCE}
     # A rare word of a much copied document always stands between the same two words: no evidence.
+    # So many places rule that out; then all documents count, toxic and clean.
+    enough = next((n for n in range(1, count[1] + 1) if _evidence(n, 0, count[1], count[0]) > EVIDENCE), count[1] + 1)
     around: dict[str, set] = {t: set() for t in marked}
     for ws, y in zip(words, toxic):
         for before, w, after in zip(["", *ws], ws, [*ws[1:], ""]) if y else ():
             for t in traits(w):
-                if t in around and len(around[t]) < 100:
+                if t in around and len(around[t]) < enough:
                     around[t].add((before, after))
-    marked = {t for t, s in around.items() if _evidence(min(len(s), seen[1][t]), seen[0][t], count[1], count[0]) > EVIDENCE}
+    marked = {t for t, s in around.items() if len(s) >= enough}
     known: dict[str, int] = {}
     rows: list[list[int]] = []
     bad: list[bool] = []

@@ -96,6 +96,30 @@ def test_substring_dedup_is_brute_force(docs, batches):
     assert rows_of(substring_dedup.remove_repeats(docs, batches, with_text=False).select("doc_id", "n_words", "n_removed", "kept_sha256")) == sorted(((a, d, c, b) for a, b, c, d in brute.substring_dedup(pairs(docs, "doc_id", "text"))), key=repr)
 
 
+def colliding_windows():
+    """Two windows of the same polynomial hash and a common minimizer: their bytes differ by the multiples of (x**128 - 1)**8."""
+    rng = random.Random(17)
+    differ = [(49, 50), (58, 50), (50, 78), (106, 50), (50, 120), (106, 50), (50, 78), (58, 50), (49, 50)]
+    while True:
+        words = [bytes(rng.choice(b"abcdefgh") for _ in range(255)) for _ in range(13)]
+        pair = []
+        for side in (0, 1):
+            text = bytearray(b" ".join(words))
+            for k, values in enumerate(differ):
+                text[10 + 128 * k] = values[side]
+            pair.append(bytes(text))
+        runs = [textkit.Grams(t.split()).hashes(substring_dedup.RUN) for t in pair]
+        if runs[0].min() == runs[1].min():
+            return pair
+
+
+def test_different_windows_of_one_hash_are_kept(spark):
+    one, other = colliding_windows()
+    assert one != other and textkit.Grams(one.split()).hashes(13) == textkit.Grams(other.split()).hashes(13)
+    frame = spark.createDataFrame([(1, one.decode()), (2, other.decode()), (3, "x " + one.decode())], "doc_id long, text string")
+    assert pairs(substring_dedup.remove_repeats(frame, with_text=False).orderBy("doc_id"), "n_removed") == [(0,), (0,), (13,)]
+
+
 def test_substring_dedup_on_odd_rows(odd, none):
     got = [tuple(r) for r in substring_dedup.remove_repeats(odd, with_text=False).collect()]
     assert sorted(got, key=repr) == brute.substring_dedup(pairs(odd, "doc_id", "text"))

@@ -5,8 +5,8 @@ eight 6-word runs; equal windows have equal minimizers, and neighbouring windows
 so about two postings stand for nine windows. Each batch of documents is appended to the index as
 a run: a file for each hash bucket, sorted by hash and never changed. A batch is merge-joined with
 the runs bucket by bucket, without a shuffle; minimizers met in two documents make candidates.
-Candidates are verified on the texts themselves by the hash of the complete window (96 bits), and
-runs of the same size are compacted into one.
+Candidates are verified on the texts themselves by two independent hashes of the complete window
+(64 and 32 bits), and runs of the same size are compacted into one.
 
 Defined results. A null text has no words. A null doc_id counts as larger than every other, and
 rows of one doc_id never remove words from each other. Fewer than 13 words: nothing is removed.
@@ -33,7 +33,6 @@ WINDOW = 13
 RUN = 6
 #: Runs of one size that are merged into one.
 FAN_IN = 2
-CHECK_SALT = 0x5851F42D4C957F2D
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -126,7 +125,7 @@ def _candidate_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
     def made() -> pa.RecordBatch:
         w, c, p = (np.concatenate(x) for x in zip(*found))
         sizes = [len(x[0]) for x in found]
-        return pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array((c >> np.uint64(32)).astype(np.uint32).view(np.int32)), pa.array(np.repeat(np.array(ids, np.int64), sizes)), pa.array(np.repeat(np.array(marks, np.int32), sizes)), pa.array(p.astype(np.int32))], names=["w", "c", "_id", "_t", "p"])
+        return pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array(c.view(np.int32)), pa.array(np.repeat(np.array(ids, np.int64), sizes)), pa.array(np.repeat(np.array(marks, np.int32), sizes)), pa.array(p.astype(np.int32))], names=["w", "c", "_id", "_t", "p"])
 
     for batch in batches:
         found, ids, marks, held = [], [], [], 0
@@ -140,7 +139,7 @@ def _candidate_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
                 spot = np.minimum(np.searchsorted(wanted, least), len(wanted) - 1)
                 keep = np.flatnonzero(wanted[spot] == least)
                 if len(keep):
-                    found.append((grams.hashes(WINDOW)[keep], grams.hashes(WINDOW, CHECK_SALT)[keep], keep + at))
+                    found.append((grams.hashes(WINDOW)[keep], grams.checks(WINDOW, keep), keep + at))
                     ids.append(i)
                     marks.append(t)
                     held += len(keep)

@@ -1,13 +1,15 @@
 """Toxicity by a linear-chain conditional random field over words.
 
 Method. Labels are given to documents, so words are labelled first: in a toxic training document a
-word is toxic if it, or one of its prefixes, is far more frequent (by document, log-likelihood ratio
-above EVIDENCE) among toxic than among clean training documents, and stands between as many different
-words there as would be evidence by themselves. A two-state linear-chain CRF with
-word, prefix and suffix features is fitted to these word labels by gradient ascent on the exact
-likelihood. Forward-backward gives each word's marginal; the expected number of toxic words becomes
-a document's score by a logistic curve fitted on the same documents, and runs of words with a
-marginal above one half are the offending spans, in code points.
+word is toxic with a probability, the part of its uses (or of its prefix's) in toxic documents that
+clean documents don't lead to expect. It must be more frequent among toxic documents (log-likelihood
+ratio above EVIDENCE) and stand between as many different words there as would be evidence by
+themselves. A two-state linear-chain CRF with word, prefix and suffix features is fitted to these
+word labels by gradient ascent on the exact likelihood; words of clean documents count as clean, so a
+stem that both kinds hold gets a middling marginal. Forward-backward gives each word's marginal; the
+expected number of toxic words and the length they are found in become a document's score by a
+logistic curve, and runs of words with a marginal above one half are the offending spans, in code
+points.
 
 The model is fitted on a bounded sample: at most TOXIC toxic and CLEAN clean labelled documents of
 up to SAMPLE_CHARS code points, chosen by the MD5 of their ids. Every document is scored on its
@@ -35,12 +37,14 @@ from pyspark.sql import functions as F
 from tickerforge.llm.common import id_text, text_bytes, unveiled, veiled
 
 TOXIC, CLEAN, SAMPLE_CHARS = 800, 1600, 20_000
-EVIDENCE = 30.0
-#: How many times as often a toxic trait is in toxic documents.
-RATIO = 40
+EVIDENCE = 15.0
+#: The least part of a toxic trait's uses that clean documents don't lead to expect.
+BEYOND = 0.8
 THRESHOLD = 0.7
 FEATURES = 1 << 17
 ROUNDS = 25
+#: Words of a training sequence; longer texts are several.
+RUN = 256
 #: Words whose marginals are found together.
 TOGETHER = 200_000
 _WORD = re.compile(r"\w+")
@@ -99,13 +103,18 @@ class Model:
     weights: np.ndarray = field(default_factory=lambda: np.zeros(FEATURES, np.float32))
     bias: float = -5.0
     move: np.ndarray = field(default_factory=lambda: np.zeros((2, 2)))
-    slope: float = 0.0
-    level: float = -np.inf
+    curve: np.ndarray | None = None  # of the features of known(), None if there was nothing to learn from
 
-    def score(self, expected: np.ndarray) -> np.ndarray:
-        if not np.isfinite(self.level):
+    def score(self, expected: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Scores of texts with so many expected toxic words among so many words."""
+        if self.curve is None:
             return np.zeros(len(expected))
-        return 1 / (1 + np.exp(-np.clip(self.slope * np.log(expected + 0.05) + self.level, -50, 50)))
+        return 1 / (1 + np.exp(-np.clip(features(expected, sizes) @ self.curve, -50, 50)))
+
+
+def features(expected: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """What a score depends on: the expected toxic words, and the length in which they are found."""
+    return np.stack([np.log(expected + 0.05), np.log(sizes + 20.0), np.ones(len(expected))], axis=1)
 
 
 class Emissions(dict):
@@ -132,9 +141,9 @@ def expected_toxic(p: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def _evidence(toxic: int, clean: int, all_toxic: int, all_clean: int) -> float:
-    """The log-likelihood ratio that documents with a trait are toxic more often than others; 0 below RATIO times as often."""
+    """The log-likelihood ratio that documents with a trait are toxic more often than others; 0 if they are not."""
     n, share = toxic + clean, all_toxic / (all_toxic + all_clean)
-    if clean * all_toxic * RATIO > toxic * all_clean:
+    if toxic <= n * share:
         return 0.0
     g = toxic * np.log(toxic / (n * share))
     if clean:
@@ -143,55 +152,77 @@ def _evidence(toxic: int, clean: int, all_toxic: int, all_clean: int) -> float:
 
 
 def fit_texts(texts: list[str], toxic: list[int]) -> Model:
-    """The model of labelled texts. Every third text of a label is kept for the logistic curve, whose words the field hasn't seen."""
+    """The model of labelled texts.
+
+    The logistic curve is fitted on every third text of a label, by a field that hasn't seen them; the field
+    that is kept has seen all.
+    """
     turn, held = Counter(), []
     for y in toxic:
         turn[y] += 1
         held.append(turn[y] % 3 == 0)
     if not turn[0] or not turn[1]:
         return Model()
-    model = fit_field([t for t, h in zip(texts, held) if not h], [y for y, h in zip(toxic, held) if not h])
+    model = fit_field(texts, toxic)
     if turn[0] < 3 or turn[1] < 3:
-        held = [True] * len(held)
-    fit_curve(model, [t for t, h in zip(texts, held) if h], [y for y, h in zip(toxic, held) if h])
+        fit_curve(model, model, texts, toxic)
+    else:
+        part = fit_field([t for t, h in zip(texts, held) if not h], [y for y, h in zip(toxic, held) if not h])
+        fit_curve(model, part, [t for t, h in zip(texts, held) if h], [y for y, h in zip(toxic, held) if h])
     return model
 
 
-def fit_field(texts: list[str], toxic: list[int]) -> Model:
-    """A model without its logistic curve."""
-    count = Counter(toxic)
-    words = [_WORD.findall(t) for t in texts]
-    seen: tuple[Counter, Counter] = (Counter(), Counter())
-    for ws, y in zip(words, toxic):
-        seen[y].update({t for w in set(ws) for t in traits(w) if t[0] != "s"})
-    marked = {t for t, n in seen[1].items() if n >= 5 and _evidence(n, seen[0][t], count[1], count[0]) > EVIDENCE}
+def toxic_traits(known: dict[str, int], number: np.ndarray, lengths: np.ndarray, toxic: list[int]) -> dict[str, float]:
+    """The traits with evidence, and which part of their uses in toxic texts is beyond what clean texts lead to expect.
+
+    ``number`` holds the words of all texts by their numbers in ``known``. Evidence counts documents, so that
+    one long text can't give it; the part counts uses, so that a stem that clean texts now and then hold as
+    well keeps its weight however few texts are of its kind.
+    """
+    names: dict[str, int] = {}
+    own = [[names.setdefault(t, len(names)) for t in traits(w) if t[0] != "s"] for w in known]
+    width = max(map(len, own))
+    table = np.array([r + [-1] * (width - len(r)) for r in own])
+    y, ends = np.array(toxic), np.cumsum(lengths)
+    seen, used = np.zeros((2, len(names)), np.int64), np.zeros((2, len(names)), np.int64)
+    for k, end, n in zip(toxic, ends, lengths):
+        rows = table[number[end - n : end]].ravel()
+        which, times = np.unique(rows[rows >= 0], return_counts=True)
+        seen[k, which] += 1
+        used[k, which] += times
+    count, label = np.bincount(y, minlength=2), list(names)
+    marked = {int(t) for t in np.flatnonzero(seen[1] >= 5) if _evidence(seen[1, t], seen[0, t], count[1], count[0]) > EVIDENCE}
     # A rare word of a much copied document always stands between the same two words: no evidence.
     # So many places rule that out; then all documents count, toxic and clean.
     enough = next((n for n in range(1, count[1] + 1) if _evidence(n, 0, count[1], count[0]) > EVIDENCE), count[1] + 1)
-    around: dict[str, set] = {t: set() for t in marked}
-    for ws, y in zip(words, toxic):
-        for before, w, after in zip(["", *ws], ws, [*ws[1:], ""]) if y else ():
-            for t in traits(w):
+    around: dict[int, set] = {t: set() for t in marked}
+    told = np.array([any(t in marked for t in r) for r in own])
+    for k, end, n in zip(toxic, ends, lengths):
+        for at in np.flatnonzero(told[number[end - n : end]]) + end - n if k else ():
+            place = (number[at - 1] if at > end - n else -1, number[at + 1] if at + 1 < end else -1)
+            for t in own[number[at]]:
                 if t in around and len(around[t]) < enough:
-                    around[t].add((before, after))
-    marked = {t for t, s in around.items() if len(s) >= enough}
+                    around[t].add(place)
+    uses = [1 + int(lengths[y == k].sum()) for k in (0, 1)]
+    beyond = {t: 1 - (used[0, t] / uses[0]) / (used[1, t] / uses[1]) for t, s in around.items() if len(s) >= enough}
+    return {label[t]: float(b) for t, b in beyond.items() if b >= BEYOND}
+
+
+def fit_field(texts: list[str], toxic: list[int]) -> Model:
+    """A model without its logistic curve."""
+    words = [_WORD.findall(t) for t in texts]
     known: dict[str, int] = {}
-    rows: list[list[int]] = []
-    bad: list[bool] = []
-    for ws in words:
-        for w in ws:
-            if w not in known:
-                known[w] = len(rows)
-                rows.append(places(w))
-                bad.append(any(t in marked for t in traits(w)))
-    if not rows:
+    number = np.fromiter((known.setdefault(w, len(known)) for ws in words for w in ws), np.int64)
+    if not known:
         return Model()
+    lengths = np.array([len(ws) for ws in words])
+    marked = toxic_traits(known, number, lengths, toxic)
+    rows = [places(w) for w in known]
+    bad = np.array([max((marked.get(t, 0.0) for t in traits(w)), default=0.0) for w in known])
     width = max(map(len, rows))
     table = np.array([r + [FEATURES] * (width - len(r)) for r in rows])
-    sizes = np.array([len(ws) for ws in words])
-    number = np.fromiter((known[w] for ws in words for w in ws), np.int64)
-    y = np.array(bad)[number] & np.repeat(np.array(toxic) == 1, sizes)
-    frequency = np.bincount(number, minlength=len(rows))
+    y = np.where(np.repeat(np.array(toxic) == 1, lengths), bad[number], 0.0)
+    sizes = np.array([min(RUN, n - at) for n in lengths for at in range(0, n, RUN)])
 
     # Adam on the exact conditional likelihood, with a small L2 penalty.
     theta = np.zeros(FEATURES + 1 + 1 + 4)
@@ -210,11 +241,10 @@ def fit_field(texts: list[str], toxic: list[int]) -> Model:
         slope[: FEATURES + 1] = np.bincount(table.ravel(), weights=np.repeat(gap, width), minlength=FEATURES + 1)
         slope[FEATURES] = 0
         slope[FEATURES + 1] = gap.sum()
-        pair = np.exp(move)[None] * np.stack([np.ones(len(now)), ahead[now - 1]], 1)[:, :, None] * np.stack([np.ones(len(now)), grow[now] * back[now]], 1)[:, None, :]
-        pair /= pair.sum(axis=(1, 2), keepdims=True)
-        for a in (0, 1):
-            for b in (0, 1):
-                slope[FEATURES + 2 + 2 * a + b] = ((y == a)[now - 1] & (y == b)[now]).sum() - pair[:, a, b].sum()
+        m, before, after = np.exp(move), ahead[now - 1], grow[now] * back[now]
+        pair = np.stack([np.full(len(now), m[0, 0]), m[0, 1] * after, m[1, 0] * before, m[1, 1] * before * after])
+        told = np.stack([(1 - y[now - 1]) * (1 - y[now]), (1 - y[now - 1]) * y[now], y[now - 1] * (1 - y[now]), y[now - 1] * y[now]])
+        slope[FEATURES + 2 :] = told.sum(axis=1) - (pair / pair.sum(axis=0)).sum(axis=1)
         slope -= 0.05 * theta
         first = 0.9 * first + 0.1 * slope
         second = 0.99 * second + 0.01 * slope**2
@@ -223,31 +253,27 @@ def fit_field(texts: list[str], toxic: list[int]) -> Model:
     return Model(theta[:FEATURES].astype(np.float32), float(theta[FEATURES + 1]), theta[FEATURES + 2 :].reshape(2, 2).copy())
 
 
-def expected_of(texts: list[str], emission: Emissions) -> np.ndarray:
-    """The expected number of toxic words of each text."""
+def expected_of(texts: list[str], emission: Emissions) -> tuple[np.ndarray, np.ndarray]:
+    """The expected number of toxic words of each text, and its number of words."""
     words = [_WORD.findall(t) for t in texts]
     sizes = np.array([len(ws) for ws in words])
     values = np.fromiter((emission[w] for ws in words for w in ws), np.float64)
-    return expected_toxic(marginals(values, sizes, emission.model.move), sizes)
+    return expected_toxic(marginals(values, sizes, emission.model.move), sizes), sizes
 
 
-def fit_curve(model: Model, texts: list[str], toxic: list[int]) -> None:
-    """The penalised logistic curve of the label over the logarithm of the expected toxic words."""
-    count = Counter(toxic)
-    x = np.log(expected_of(texts, Emissions(model)) + 0.05)
-    goal, share = np.array(toxic, float), np.array([0.5 / count[t] for t in toxic])
-    a, c = 1.0, 0.0
+def fit_curve(model: Model, field_of: Model, texts: list[str], toxic: list[int]) -> None:
+    """The model's penalised logistic curve, from the texts as another model's field sees them."""
+    x = features(*expected_of(texts, Emissions(field_of)))
+    goal, share = np.array(toxic, float), np.full(len(toxic), 1 / len(toxic))
+    curve, penalty = np.array([1.0, 0.0, 0.0]), np.diag([1e-3, 1e-3, 1e-9])
     for _ in range(200):  # Newton's method
-        q = 1 / (1 + np.exp(-np.clip(a * x + c, -50, 50)))
-        e, v = share * (q - goal), share * q * (1 - q)
-        g = np.array([(e * x).sum() + 1e-3 * a, e.sum()])
-        h = np.array([[(v * x * x).sum() + 1e-3, (v * x).sum()], [(v * x).sum(), v.sum() + 1e-9]])
-        d = np.linalg.solve(h, g)
+        q = 1 / (1 + np.exp(-np.clip(x @ curve, -50, 50)))
+        d = np.linalg.solve((x * (share * q * (1 - q))[:, None]).T @ x + penalty, x.T @ (share * (q - goal)) + penalty @ curve)
         d *= min(1.0, 1.0 / max(1e-12, np.abs(d).max()))
-        a, c = a - d[0], c - d[1]
+        curve = curve - d
         if np.abs(d).max() < 1e-9:
             break
-    model.slope, model.level = float(a), float(c)
+    model.curve = curve
 
 
 def fit(docs: DataFrame, labels: DataFrame, usable: Column) -> Model:
@@ -298,7 +324,7 @@ def _score(sent):
                     sizes.append(len(words))
                     values.append(np.fromiter(map(emission.__getitem__, words), np.float64, len(words)))
                 p = marginals(np.concatenate(values), np.array(sizes), model.move)
-                scores = model.score(expected_toxic(p, np.array(sizes)))
+                scores = model.score(expected_toxic(p, np.array(sizes)), np.array(sizes))
                 hit, start, spans = p > 0.5, 0, []
                 for text, n in zip(group, sizes):
                     own = hit[start : start + n]

@@ -81,6 +81,18 @@ def test_mixing_deviates_by_less_than_a_block():
                 assert abs(sum(s < t for s in slots[c]) - n * t / total) < 1
 
 
+def test_unnamed_sources_are_classes_of_their_own(spark):
+    rows = [(i, "hot" if i % 3 else "src1") for i in range(3000)] + [(i, f"rare{i}") for i in range(3000, 3005)] + [(i, None) for i in range(3005, 3100)] + [(9000 + i, mixing.REST) for i in range(9)]
+    frame = spark.createDataFrame(rows, "doc_id long, source string")
+    assert mixing.parts_of(frame) == {"hot": mixing.OTHER, "src1": 4, mixing.REST: 4}
+    out = mixing.mix_sources(frame).collect()
+    parts, total = mixing.parts_of(frame), sum(mixing.parts_of(frame).values())
+    left = min(max(r["mix_slot"] for r in out if r["mix_class"] == c) for c in parts)
+    for t in range(1, left, 7):  # no class has run out
+        for c, n in parts.items():
+            assert abs(len({r["mix_block"] for r in out if r["mix_class"] == c and r["mix_slot"] < t}) - n * t / total) < 1
+
+
 def test_mixing_keeps_every_row_and_column(odd, none):
     out = mixing.mix_sources(odd, block=2)
     assert out.count() == odd.count() and set(odd.columns) <= set(out.columns)
@@ -152,6 +164,21 @@ def test_packing_is_optimal():
     assert packing.boundaries(lengths, counts, 9) == list(lengths) and packing.boundaries(lengths[:0], counts[:0], 3) == []
 
 
+def test_packing_of_long_lengths_is_optimal():
+    """Against every last cut of every layer, with ties, on lengths up to 20,000."""
+    rng = random.Random(3)
+    for most, n in ((20_000, 300), (40, 30), (9, 9)):
+        for buckets in (1, 2, 5, 8):
+            lengths = sorted(rng.sample(range(most + 1), n))
+            counts = [rng.choice([1, 1, 2, 40]) for _ in lengths]
+            upto = np.concatenate(([0], np.cumsum(counts)))
+            best = [(0, ())] + [None] * n
+            for _ in range(buckets):
+                best = [None] + [min(((best[i][0] + lengths[j - 1] * (upto[j] - upto[i]), i, best[i][1] + (lengths[j - 1],)) for i in range(j) if best[i]), key=lambda x: x[:2], default=None) for j in range(1, n + 1)]
+                best = [b and (b[0], b[2]) for b in best]
+            assert packing.boundaries(lengths, counts, buckets) == list(best[n][1])
+
+
 def test_packing_batches_keep_the_budget(docs, odd, none):
     out = packing.pack(docs, budget=2000)
     batches = pairs(out.groupBy("bucket", "batch").agg(F.count(F.lit(1)), F.max("boundary")), "*")

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,10 +20,12 @@ _own_dir: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or in local mode, where that is unset, one of our own."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not _own_dir:
         _own_dir.append("file://" + tempfile.mkdtemp(prefix="tickerforge-"))
     return _own_dir[0]
@@ -102,40 +105,37 @@ def unveiled(columns: list[str]) -> list[Column]:
 
 
 def in_order_within(df: DataFrame, keys: list[str], order: Column, rank: str) -> DataFrame:
-    """Adds ``rank``: each row's place from 0 within its ``keys``, by ``order`` (a lowercase hex digest).
+    """Adds ``rank``: each row's place from 0 within its ``keys`` (never null), by ``order`` (a lowercase hex digest).
 
-    The leading three digits cut every key into 4096 slices of about the same size. Rows are ranked
-    within a slice and the slices' running counts are added, so that a key holding any share of the
-    rows is still ranked by thousands of tasks.
+    The leading three digits cut every key into 4096 slices of about the same size.
     """
     sliced = df.withColumn("_order", order).withColumn("_slice", F.substring("_order", 1, 3))
-    counts = sliced.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_slice").alias("_of"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    same = F.col("_slice") == F.col("_of")
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    inside = Window.partitionBy(*keys, "_slice").orderBy("_order")
-    ranked = sliced.withColumn("_in", F.row_number().over(inside) - 1).join(starts, same)
-    return ranked.withColumn(rank, F.col("_start") + F.col("_in")).drop("_order", "_slice", "_of", "_start", "_in", *[f"_k_{k}" for k in keys])
+    return _ranked(sliced, keys, ["_order"], rank).drop("_order")
 
 
-def in_slots_within(df: DataFrame, keys: list[str], slot: str, seq: str, width: int, rank: str) -> DataFrame:
+def in_slots_within(df: DataFrame, keys: list[str], slot: str, seq: str, width: int, rank: str, brief: DataFrame) -> DataFrame:
     """Adds ``rank``: each row's place from 0 within its ``keys`` (never null), by (slot, seq).
 
-    A slot holds a bounded number of rows; slices of ``width`` slots are ranked as those of
-    ``in_order_within`` are.
+    A slot holds a bounded number of rows; a slice is ``width`` slots. ``brief`` has the keys and slots of the
+    same rows, and is counted instead of them.
+    """
+    place = F.floor(F.col(slot) / width).cast("long")
+    return _ranked(df.withColumn("_slice", place), keys, [slot, seq], rank, brief.withColumn("_slice", place))
+
+
+def _ranked(sliced: DataFrame, keys: list[str], order: list[str], rank: str, counted: DataFrame | None = None) -> DataFrame:
+    """Rows are ranked within a slice and the slices' running counts are added, so that a key holding any share of
+    the rows is still ranked by thousands of tasks.
+
+    Both sides of the join are dealt by the same keys as the window, so whole rows are shuffled once.
     """
-    sliced = df.withColumn("_slice", F.floor(F.col(slot) / width).cast("long"))
-    counts = sliced.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    own = [*keys, "_slice"]
+    counts = (sliced if counted is None else counted).groupBy(*own).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_slice").alias("_of"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    same = F.col("_slice") == F.col("_of")
-    for k in keys:
-        same = same & (F.col(k) == F.col(f"_k_{k}"))
-    inside = Window.partitionBy(*keys, "_slice").orderBy(slot, seq)
-    ranked = sliced.withColumn("_in", F.row_number().over(inside) - 1).join(starts, same)
-    return ranked.withColumn(rank, F.col("_start") + F.col("_in")).drop("_slice", "_of", "_start", "_in", *[f"_k_{k}" for k in keys])
+    starts = counts.select(*[F.col(k).alias(f"_k_{k}") for k in own], F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    inside = sliced.withColumn("_in", F.row_number().over(Window.partitionBy(*own).orderBy(*order)) - 1)
+    same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_k_{k}") for k in own])
+    return inside.join(starts, same).withColumn(rank, F.col("_start") + F.col("_in")).drop("_slice", "_start", "_in", *[f"_k_{k}" for k in own])
 
 
 class Rows:

@@ -10,7 +10,9 @@ set by the weights and not by the data, is worked out ahead; a block finds its s
 A source that has run out leaves its slots empty, and the others go on in the same proportions, so
 each document is placed once and none is dropped or repeated.
 
-Defined results. Sources without a weight, and null sources, share the class ``*``. Documents of a
+Defined results. A source without a weight of its own gets OTHER parts and is a class of its own if it
+holds a thousandth of the documents or more (so there are a thousand such classes at most); smaller ones
+and null sources share the class ``*``. Documents of a
 class follow each other in the order of the MD5 of their doc_id (a null id counts as the text
 ``null``; rows of equal ids follow each other in any order). An empty table gives an empty result.
 ``mix_sources`` keeps all columns and adds or replaces ``mix_class``, ``mix_seq``, ``mix_block`` and
@@ -22,6 +24,7 @@ later step finds the mix and places the documents in it again, whatever order it
 from __future__ import annotations
 
 from collections.abc import Mapping
+from heapq import heappop, heappush
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,8 +34,12 @@ from tickerforge.llm.common import id_text, in_order_within, partitions, unveile
 REST = "*"
 #: Documents in a block.
 BLOCK = 8
-#: Target parts of each source in the production mix; all other sources together get REST's.
+#: Target parts of each source in the production mix; small ones together get REST's.
 WEIGHTS: dict[str, int] = {"src0": 24, **{f"src{i}": 4 for i in range(1, 20)}, REST: 4}
+#: Parts of a source that has no weight.
+OTHER = 4
+#: A source without a weight is a class of its own from this part of the documents on.
+TAIL = 1000
 #: Under which name the metadata of ``source`` hold a mix.
 MARK = "mix"
 ADDED = ["mix_class", "mix_seq", "mix_block", "mix_slot"]
@@ -44,55 +51,67 @@ def template(parts: Mapping[str, int]) -> dict[str, list[int]]:
     Of equal deadlines the class that is first by name goes first.
     """
     total, slots = sum(parts.values()), {c: [] for c in sorted(parts)}
-    for t in range(total):
-        due = []
-        for c, n in sorted(parts.items()):
-            j = len(slots[c]) + 1
-            if j <= n and (j - 1) * total // n <= t:
-                due.append((-(-j * total // n), c))
-        slots[min(due)[1]].append(t)
+    released: list[list[tuple[int, str]]] = [[] for _ in range(total)]
+    for c, n in parts.items():
+        for j in range(n):
+            released[j * total // n].append((-(-(j + 1) * total // n), c))
+    due: list[tuple[int, str]] = []
+    for t, new in enumerate(released):
+        for block in new:
+            heappush(due, block)
+        slots[heappop(due)[1]].append(t)
     return slots
 
 
-def _placed(docs: DataFrame, columns: list[str], weights: Mapping[str, int], block: int) -> DataFrame:
+def parts_of(docs: DataFrame, weights: Mapping[str, int] = WEIGHTS) -> dict[str, int]:
+    """The classes of the documents and their parts."""
+    # One row a source; at most a thousand and those with a weight are left, beside one for all the rest.
+    counts = docs.groupBy(F.coalesce("source", F.lit(REST)).alias("source")).agg(F.count(F.lit(1)).alias("n"))
+    everything = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
+    kept = counts.crossJoin(F.broadcast(everything)).select(F.when((F.col("source").isin(list(weights)) | (F.col("n") * TAIL >= F.col("total"))) & (F.col("source") != REST), F.col("source")).otherwise(F.lit(REST)).alias("c"))
+    return {r["c"]: weights.get(r["c"], OTHER) for r in kept.distinct().collect()}
+
+
+def _placed(docs: DataFrame, columns: list[str], parts: Mapping[str, int], block: int) -> DataFrame:
     """The columns as c0, c1, ..., with the ADDED ones."""
-    named = [c for c in weights if c != REST]
-    kind = F.when(F.col("source").isin(named), F.col("source")).otherwise(F.lit(REST))
+    kind = F.when(F.col("source").isin([c for c in parts if c != REST]), F.col("source")).otherwise(F.lit(REST))
     classed = docs.select(*veiled(columns), id_text().alias("_id"), kind.alias("mix_class"))
-    present = {r[0] for r in docs.select(kind.alias("c")).distinct().collect()}  # as many as there are weights, at most
-    parts = {c: weights.get(c, 1) for c in present}
     slots, total = template(parts), sum(parts.values())
     ranked = in_order_within(classed, ["mix_class"], F.md5("_id"), "mix_seq").withColumn("mix_block", F.floor(F.col("mix_seq") / block).cast("long"))
-    slot = F.lit(None).cast("long")
-    for c, n in parts.items():
-        here = F.floor(F.col("mix_block") / n).cast("long") * total + F.element_at(F.lit(slots[c]), (F.col("mix_block") % n + 1).cast("int"))
-        slot = F.when(F.col("mix_class") == c, here).otherwise(slot)
-    return ranked.withColumn("mix_slot", slot.cast("long"))
+    if not parts:
+        return ranked.withColumn("mix_slot", F.lit(None).cast("long"))
+    own = F.element_at(F.create_map(*[x for c in sorted(parts) for x in (F.lit(c), F.lit(slots[c]))]), F.col("mix_class"))
+    n = F.size(own)
+    return ranked.withColumn("mix_slot", (F.floor(F.col("mix_block") / n) * total + F.element_at(own, (F.col("mix_block") % n + 1).cast("int"))).cast("long"))
 
 
-def mix_sources(docs: DataFrame, weights: Mapping[str, int] = WEIGHTS, block: int = BLOCK) -> DataFrame:
-    """``docs`` with each document's class, place in it, block and slot."""
+def mix_sources(docs: DataFrame, weights: Mapping[str, int] = WEIGHTS, block: int = BLOCK, parts: Mapping[str, int] | None = None) -> DataFrame:
+    """``docs`` with each document's class, place in it, block and slot; ``parts`` are those of ``parts_of`` if known."""
     columns = [c for c in docs.columns if c not in ADDED]
-    return _placed(docs, columns, weights, block).select(*unveiled(columns), *ADDED)
+    return _placed(docs, columns, parts_of(docs, weights) if parts is None else parts, block).select(*unveiled(columns), *ADDED)
 
 
 def in_mixed_order(docs: DataFrame, weights: Mapping[str, int] = WEIGHTS, block: int = BLOCK) -> DataFrame:
     """``docs`` in the order of the mix: partitions (files, once written) follow each other, and rows within them."""
-    placed = _placed(docs, docs.columns, weights, block)
+    parts = parts_of(docs, weights)
+    placed = _placed(docs, docs.columns, parts, block)
     ordered = placed.repartitionByRange(partitions(docs.sparkSession), "mix_slot", "mix_seq").sortWithinPartitions("mix_slot", "mix_seq").select(*unveiled(docs.columns))
-    return ordered.withMetadata("source", {MARK: {"weights": dict(weights), "block": block}})
+    return ordered.withMetadata("source", {MARK: {"parts": parts, "block": block}})
 
 
 def mix_of(docs: DataFrame) -> tuple[dict[str, int], int] | None:
-    """Weights and block of the mix that ``in_mixed_order`` brought the documents into, if any."""
+    """Classes with their parts, and the block, of the mix that ``in_mixed_order`` brought the documents into, if any."""
     mark = docs.schema["source"].metadata.get(MARK) if "source" in docs.columns else None
-    return (mark["weights"], mark["block"]) if mark else None
+    return (mark["parts"], mark["block"]) if mark else None
 
 
 #: The same mix in DuckDB's SQL; the template is scheduled by a recursive query.
 ORACLE = f"""
-WITH RECURSIVE weight(c, n) AS (VALUES {", ".join(f"('{c}', {n})" for c, n in WEIGHTS.items())}),
-classed AS (
+WITH RECURSIVE named(c, n) AS (VALUES {", ".join(f"('{c}', {n})" for c, n in WEIGHTS.items())}),
+weight AS (
+  SELECT c, n FROM named
+  UNION ALL SELECT source, {OTHER} FROM documents WHERE source NOT IN (SELECT c FROM named) GROUP BY source HAVING count(*) * {TAIL} >= (SELECT count(*) FROM documents)
+), classed AS (
   SELECT doc_id, source, coalesce((SELECT c FROM weight WHERE c = source AND c <> '{REST}'), '{REST}') AS mix_class FROM documents
 ), present AS (
   SELECT c, n, row_number() OVER (ORDER BY c) AS i FROM weight WHERE c IN (SELECT mix_class FROM classed)

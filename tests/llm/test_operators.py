@@ -356,22 +356,76 @@ def test_toxicity_on_odd_rows(spark, odd, none):
 
 # op7
 def test_sharding_round_trip(spark, odd, none, docs):
-    for frame, rows in ((odd, odd), (docs, docs)):
+    for frame in (odd, docs, odd.withColumnsRenamed({"h": "_shard", "_id": "_metadata", "bucket": "file"})):
         store = sharding.shard(frame, common.new_folder(spark, "store"), arrivals=3, target=1 << 20)
-        back = store.read().drop("_shard")
-        assert back.exceptAll(rows).count() == 0 and rows.exceptAll(back).count() == 0
-        assert store.version() >= 3 and store.manifest().agg(F.sum("n_rows")).first()[0] == rows.count()
+        back = store.read()
+        assert back.columns == frame.columns and back.exceptAll(frame).count() == 0 and frame.exceptAll(back).count() == 0
+        listed = {r["shard"]: r["n_rows"] for r in store.manifest().collect()}
+        assert store.version() >= 3 and sum(listed.values()) == frame.count()
+        assert dict(pairs(store.read("in_shard").groupBy("in_shard").count(), "*")) == listed
+    with pytest.raises(ValueError):
+        store.read("_shard")
     assert sharding.shard(none, common.new_folder(spark, "store")).read() is None
 
 
-def test_sharding_refuses_a_second_commit_of_a_version(spark, docs):
+def test_shards_have_the_same_names_in_every_run(spark, docs):
+    names = [{tuple(r) for r in sharding.shard(docs, common.new_folder(spark, "store"), arrivals=3, target=1 << 20).manifest().select("shard", "n_rows").collect()} for _ in range(2)]
+    assert names[0] == names[1]
+
+
+def test_publishing_never_replaces(spark):
+    path = common.new_folder(spark, "files")
+    for name in ("a", "b"):
+        p, fs = common.hadoop_path(spark, f"{path}/{name}")
+        fs.create(p, False).close()
+    assert sharding.publish(spark, f"{path}/a", f"{path}/goal") and not sharding.publish(spark, f"{path}/b", f"{path}/goal")
+
+
+def meanwhile(monkeypatch, act):
+    """``act`` once, after the next writer has read the newest version and before it commits."""
+    publish = sharding.publish
+
+    def late(*args):
+        monkeypatch.setattr(sharding, "publish", publish)
+        act()
+        return publish(*args)
+
+    monkeypatch.setattr(sharding, "publish", late)
+
+
+def test_no_writer_loses_rows(spark, docs, monkeypatch):
     path = common.new_folder(spark, "store")
-    one, other = sharding.ShardStore(spark, path), sharding.ShardStore(spark, path)
-    one.append(docs.limit(3))
-    other.version = lambda: 0  # has not seen it
-    with pytest.raises(RuntimeError):
-        other.append(docs.limit(2))
-    assert one.read().count() == 3
+    one, other = sharding.ShardStore(spark, path, target=64 << 20), sharding.ShardStore(spark, path, target=64 << 20)
+    thirds = [docs.where(F.col("doc_id") % 3 == k) for k in range(3)]
+    one.append(thirds[0])
+    meanwhile(monkeypatch, lambda: other.append(thirds[1]))
+    one.append(thirds[2])
+    assert one.version() == 3 and rows_of(one.read().select("doc_id")) == rows_of(docs.select("doc_id"))
+    for first in (other.compact, lambda: other.append(docs)):  # two compactions of the same runs; a compaction and an append
+        meanwhile(monkeypatch, first)
+        one.compact()
+    assert sorted(pairs(one.read(), "doc_id")) == sorted(pairs(docs.select("doc_id"), "doc_id") * 2 if one.read().count() > docs.count() else pairs(docs, "doc_id"))
+    assert one.manifest().agg(F.sum("n_rows")).first()[0] == one.read().count()
+
+
+def test_a_dropped_run_outlives_the_version_that_dropped_it(spark, docs):
+    store = sharding.ShardStore(spark, common.new_folder(spark, "store"), target=64 << 20)
+    for k in range(2):
+        store.append(docs.where(F.col("doc_id") % 2 == k).repartition(2))
+    reader = store.read()
+    store.compact()
+    assert store.version() == 3 and reader.count() == docs.count()
+    gone = set(store.runs(2)) - set(store.runs(3))
+    store.append(docs.limit(1))
+    p, fs = common.hadoop_path(spark, f"{store.path}/data")
+    assert gone and not gone & {s.getPath().getName() for s in fs.listStatus(p)} and store.read().count() == docs.count() + 1
+
+
+@pytest.mark.parametrize("sizes, merged", [([10, 14, 40], [10, 14]), ([10, 16, 40, 50], [40, 50]), ([10, 30, 90], None), ([10, 11, 12, 500], [10, 11, 12]), ([], None)])
+def test_runs_of_similar_size_are_chosen(spark, monkeypatch, sizes, merged):
+    store = sharding.ShardStore(spark, "", target=1000)
+    monkeypatch.setattr(store, "runs", lambda: {f"r{n}": (1, n) for n in sizes})
+    assert store.similar() == (merged and [f"r{n}" for n in merged])
 
 
 def test_small_runs_are_merged(spark, docs):

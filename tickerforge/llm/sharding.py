@@ -4,20 +4,29 @@ Method. Arrivals are appended as small immutable shard files and never changed.
 similar size (within half of the smallest) are there, they are merged into one run, whose files are
 filled up to the target size by Spark's own packing of small files into read partitions, so a merge
 moves no row between tasks. A run whose files have reached the target is finished and not rewritten.
-Each change writes a manifest (the list of live files with rows and bytes) beside the data and
-renames it into place as the next version. Rename is atomic and never replaces, so a reader sees a
-whole version or none, and of two writers one fails. Files that the newest version has dropped are
-deleted after it is committed.
+Each change writes a manifest (the list of live files with rows and bytes) and commits it by bringing
+one small file, which names the manifest, into place as the next version. That step never replaces:
+of two writers of one version exactly one succeeds. The other reads the newer version and tries again,
+an append with the same files, a compaction only if the runs it has merged are all still live. A
+reader sees a whole version or none. Runs that a version has dropped are deleted once KEEP newer
+versions are there, so a reader of the newest version has that long to finish.
+
+The file is brought into place by a hard link on a local file system and by the rename that refuses to
+replace elsewhere, which HDFS carries out as one step. An object store without such a step needs its
+own committer.
 
 Defined results. Every row of an arrival is in exactly one live shard, with all columns as they
 came; nulls and repeated rows stay. An empty arrival commits a version with no new shard. Reading a
-store without a version gives None.
+store without a version, or whose shards hold no row, gives None. Shards are named by the version that
+brought them and their number in it.
 """
 
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,19 +40,42 @@ FAN_IN = 2
 SIMILAR = 1.5
 #: Arrivals that the production query cuts the table into.
 ARRIVALS = 4
+#: Versions whose files are kept, the newest included.
+KEEP = 2
+
+
+def publish(spark: SparkSession, source: str, goal: str) -> bool:
+    """Brings a file into place as ``goal``; False if there is one already. Never replaces."""
+    jvm = spark._jvm
+    (s, fs), (g, _) = hadoop_path(spark, source), hadoop_path(spark, goal)
+    fs.mkdirs(g.getParent())
+    try:
+        if fs.getScheme() == "file":
+            at = jvm.java.nio.file.Paths.get
+            jvm.java.nio.file.Files.createLink(at(fs.makeQualified(g).toUri()), at(fs.makeQualified(s).toUri()))
+        else:
+            kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+            never = spark.sparkContext._gateway.new_array(kind, 1)
+            never[0] = kind.NONE
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(g.toUri(), spark._jsc.hadoopConfiguration()).rename(s, g, never)
+    except Py4JJavaError as e:
+        if e.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
+            return False
+        raise
+    return True
 
 
 class ShardStore:
     """Immutable shard files in one folder, and the versions of its manifest."""
 
-    COLUMNS = "run string, shard string, n_rows long, n_bytes long"
+    COLUMNS = "run string, file string, shard string, n_rows long, n_bytes long"
 
-    def __init__(self, spark: SparkSession, path: str, target: int = TARGET, fan_in: int = FAN_IN) -> None:
-        self.spark, self.path, self.target, self.fan_in = spark, path, target, fan_in
+    def __init__(self, spark: SparkSession, path: str, target: int = TARGET, fan_in: int = FAN_IN, keep: int = KEEP) -> None:
+        self.spark, self.path, self.target, self.fan_in, self.keep = spark, path, target, fan_in, keep
 
     def version(self) -> int:
         """The newest committed version, 0 if there is none."""
-        p, fs = hadoop_path(self.spark, f"{self.path}/manifests")
+        p, fs = hadoop_path(self.spark, f"{self.path}/versions")
         if not fs.exists(p):
             return 0
         names = [s.getPath().getName() for s in fs.listStatus(p)]
@@ -51,41 +83,79 @@ class ShardStore:
 
     def manifest(self, version: int | None = None) -> DataFrame | None:
         v = self.version() if version is None else version
-        return self.spark.read.schema(self.COLUMNS).parquet(f"{self.path}/manifests/v{v}") if v else None
+        if not v:
+            return None
+        p, fs = hadoop_path(self.spark, f"{self.path}/versions/v{v}")
+        stream = fs.open(p)
+        try:
+            name = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return self.spark.read.schema(self.COLUMNS).parquet(f"{self.path}/manifests/{name}")
 
-    def runs(self) -> dict[str, tuple[int, int]]:
+    def runs(self, version: int | None = None) -> dict[str, tuple[int, int]]:
         """Files and bytes of each live run; runs are few beside files, and compaction keeps them so."""
-        live = self.manifest()
+        live = self.manifest(version)
         return {} if live is None else {r["run"]: (r["n"], r["b"]) for r in live.groupBy("run").agg(F.count(F.lit(1)).alias("n"), F.sum("n_bytes").alias("b")).collect()}
 
-    def read(self) -> DataFrame | None:
-        """All rows of the newest version, with the file of each in ``_shard``."""
-        found = sorted(self.runs())
-        if not self.version() or not found:
+    def read(self, shard_as: str | None = None) -> DataFrame | None:
+        """All rows of the newest version; with the shard of each in the column ``shard_as``, if that is given."""
+        version = self.version()
+        found = sorted(self.runs(version))
+        if not found:
             return None
         rows = self.spark.read.parquet(*[f"{self.path}/data/{r}" for r in found])
-        return rows.withColumn("_shard", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1))
+        if shard_as is None:
+            return rows
+        if shard_as in rows.columns:
+            raise ValueError(f"the rows have a column {shard_as}")
+        names = self.manifest(version).select(F.col("file").alias("_of_manifest"), F.col("shard").alias(shard_as))
+        file = F.element_at(F.split(F.input_file_name(), "/"), -1)
+        return rows.withColumn("_of_rows", file).join(names, F.col("_of_rows") == F.col("_of_manifest")).select(*[F.col(f"`{c}`") for c in rows.columns], shard_as)
 
     def _files(self, run: str) -> DataFrame:
-        meta = self.spark.read.parquet(f"{self.path}/data/{run}").select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("b"))
-        return meta.groupBy("f", "b").agg(F.count(F.lit(1)).alias("n")).select(F.lit(run).alias("run"), F.element_at(F.split("f", "/"), -1).alias("shard"), F.col("n").alias("n_rows"), F.col("b").cast("long").alias("n_bytes"))
-
-    def _commit(self, added: DataFrame | None, dropped: list[str]) -> None:
-        now = self.version()
-        live = self.manifest()
-        if live is not None:
-            kept = live.where(~F.col("run").isin(dropped)) if dropped else live
-            added = kept if added is None else kept.unionByName(added)
-        if added is None:
-            added = self.spark.range(0).selectExpr("'' AS run", "'' AS shard", "0L AS n_rows", "0L AS n_bytes")
-        draft = f"{self.path}/drafts/{uuid.uuid4().hex}"
-        added.coalesce(1).write.parquet(draft)
-        source, fs = hadoop_path(self.spark, draft)
-        goal, _ = hadoop_path(self.spark, f"{self.path}/manifests/v{now + 1}")
-        fs.mkdirs(goal.getParent())
-        if fs.exists(goal) or not fs.rename(source, goal):
-            raise RuntimeError(f"version {now + 1} of {self.path} was committed by another writer")
-        remove(self.spark, *[f"{self.path}/data/{r}" for r in dropped])
+        """The files of a run, without names as shards. (Its rows' own columns are not read.)"""
+        meta = self.spark.read.schema("none_of_theirs int").parquet(f"{self.path}/data/{run}").select(F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_size").alias("b"))
+        return meta.groupBy("file", "b").agg(F.count(F.lit(1)).alias("n")).select(F.lit(run).alias("run"), "file", F.col("n").alias("n_rows"), F.col("b").cast("long").alias("n_bytes"))
+
+    def _commit(self, added: DataFrame | None, dropped: list[str]) -> bool:
+        """The newest version with the change as the next one; False if a run to drop is no longer live."""
+        while True:
+            now = self.version()
+            parts = []
+            if now:
+                live = self.manifest(now)
+                if dropped and not set(dropped) <= set(self.runs(now)):
+                    return False
+                parts.append(live.where(~F.col("run").isin(dropped)) if dropped else live)
+            if added is not None:
+                # part-00012-<uuid>-c000.snappy.parquet: the number and the part of it, without what is random
+                number = F.concat_ws("-", F.regexp_extract("file", r"^part-(\d+)-", 1), F.regexp_extract("file", r"-(c\d+)\.", 1))
+                parts.append(added.withColumn("shard", F.concat(F.lit(f"v{now + 1:06d}-"), number)))
+            if not parts:
+                parts = [self.spark.range(0).selectExpr("'' AS run", "'' AS file", "'' AS shard", "0L AS n_rows", "0L AS n_bytes")]
+            name = uuid.uuid4().hex
+            columns = [c.split()[0] for c in self.COLUMNS.split(", ")]
+            reduce(DataFrame.unionByName, [p.select(*columns) for p in parts]).coalesce(1).write.parquet(f"{self.path}/manifests/{name}")
+            draft, fs = hadoop_path(self.spark, f"{self.path}/drafts/{name}")
+            stream = fs.create(draft, False)
+            try:
+                stream.write(name.encode())
+            finally:
+                stream.close()
+            done = publish(self.spark, f"{self.path}/drafts/{name}", f"{self.path}/versions/v{now + 1}")
+            remove(self.spark, f"{self.path}/drafts/{name}")
+            if done:
+                self._expire(now + 1)
+                return True
+            remove(self.spark, f"{self.path}/manifests/{name}")
+
+    def _expire(self, version: int) -> None:
+        """Deletes what the version that has just fallen out of the kept ones had and none of those has."""
+        old = version - self.keep
+        if old > 0:
+            kept = set().union(*(self.runs(v) for v in range(old + 1, version + 1)))
+            remove(self.spark, *[f"{self.path}/data/{r}" for r in self.runs(old) if r not in kept])
 
     def append(self, rows: DataFrame) -> None:
         """Writes an arrival as a run of small shards and commits it."""
@@ -113,7 +183,8 @@ class ShardStore:
         while old := self.similar():
             run = uuid.uuid4().hex
             self._merge(old, run)
-            self._commit(self._files(run), old)
+            if not self._commit(self._files(run), old):  # another writer has merged some of them
+                remove(self.spark, f"{self.path}/data/{run}")
 
     def _merge(self, old: list[str], run: str) -> None:
         """One run of the rows of others; the scan's partitions, and so the new files, are of the target size."""
@@ -137,3 +208,7 @@ def shard(docs: DataFrame, path: str, arrivals: int = ARRIVALS, target: int = TA
             store.append(docs.where(part == i))
             store.compact()
     return store
+
+
+#: Every document once, whatever shards it went through.
+ORACLE = "SELECT doc_id, source, n_chars, sha256(coalesce(text, '')) AS text_sha256 FROM documents"

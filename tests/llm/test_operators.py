@@ -146,10 +146,34 @@ def test_index_compacts_runs(docs):
     for k in range(4):
         index.append(substring_dedup.keyed(docs.where(F.col("doc_id") % 4 == k)))
         index.compact()
-    assert [runs for *_, runs in index.tables] == [4]
+    assert [batches for *_, batches in index.runs] == [4]
     index.close()
 
 
+def test_batches_of_later_sessions_are_judged_as_one_table(spark, docs):
+    """Five calls, each of which opens the index anew; the third and fifth meet runs that were compacted."""
+    path = common.new_folder(spark, "index")
+    want = {r[0]: r for r in brute.substring_dedup(pairs(docs, "doc_id", "text"))}
+    edges, seen = [-1, 30, 60, 100, 150, 10**9], 0
+    for low, high in zip(edges, edges[1:]):
+        index = substring_dedup.FingerprintIndex(spark, path)
+        batch = docs.where((F.col("doc_id") > low) & (F.col("doc_id") <= high))
+        repeats = substring_dedup.judge(index, batch, docs.where(F.col("doc_id") <= low))
+        index.close()
+        for r in substring_dedup.remove_repeats(batch, with_text=False, repeats=repeats).collect():
+            assert (r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) == want[r["doc_id"]]
+            seen += 1
+    assert seen == docs.count() and [batches for *_, batches in substring_dedup.FingerprintIndex(spark, path).runs] == [4, 1]
+
+
+def test_an_index_has_one_writer(spark, docs):
+    path = common.new_folder(spark, "index")
+    one, other = substring_dedup.FingerprintIndex(spark, path), substring_dedup.FingerprintIndex(spark, path)
+    one.append(substring_dedup.keyed(docs.limit(5)))
+    with pytest.raises(RuntimeError):
+        other.append(substring_dedup.keyed(docs.limit(5)))
+
+
 # op4
 def test_packing_is_optimal():
     from itertools import combinations

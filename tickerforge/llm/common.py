@@ -9,6 +9,7 @@ from contextlib import contextmanager
 from functools import reduce
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -51,6 +52,53 @@ def remove(spark: SparkSession, *paths: str) -> None:
         fs.delete(p, True)
 
 
+def publish(spark: SparkSession, source: str, goal: str) -> bool:
+    """Brings a file into place as ``goal``; False if there is one already. Never replaces."""
+    jvm = spark._jvm
+    (s, fs), (g, _) = hadoop_path(spark, source), hadoop_path(spark, goal)
+    fs.mkdirs(g.getParent())
+    try:
+        if fs.getScheme() == "file":
+            at = jvm.java.nio.file.Paths.get
+            jvm.java.nio.file.Files.createLink(at(fs.makeQualified(g).toUri()), at(fs.makeQualified(s).toUri()))
+        else:
+            kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+            never = spark.sparkContext._gateway.new_array(kind, 1)
+            never[0] = kind.NONE
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(g.toUri(), spark._jsc.hadoopConfiguration()).rename(s, g, never)
+    except Py4JJavaError as e:
+        if e.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
+            return False
+        raise
+    return True
+
+
+def newest_version(spark: SparkSession, folder: str) -> int:
+    """The highest n of the files v1, v2, ... in a folder; 0 if there is none."""
+    p, fs = hadoop_path(spark, folder)
+    names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+    return max([0, *(int(n[1:]) for n in names if n[:1] == "v" and n[1:].isdigit())])
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A new small file."""
+    p, fs = hadoop_path(spark, path)
+    stream = fs.create(p, False)
+    try:
+        stream.write(text.encode())
+    finally:
+        stream.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    p, fs = hadoop_path(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 @contextmanager
 def freeing_shuffles(spark: SparkSession) -> Iterator[None]:
     """Within it, each finished query gives its shuffle files back to the disk at once."""

@@ -26,11 +26,10 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerforge.llm.common import freeing_shuffles, hadoop_path, remove
+from tickerforge.llm.common import freeing_shuffles, newest_version, publish, read_text, remove, write_text
 
 #: Bytes of a finished shard.
 TARGET = 128 << 20
@@ -44,27 +43,6 @@ ARRIVALS = 4
 KEEP = 2
 
 
-def publish(spark: SparkSession, source: str, goal: str) -> bool:
-    """Brings a file into place as ``goal``; False if there is one already. Never replaces."""
-    jvm = spark._jvm
-    (s, fs), (g, _) = hadoop_path(spark, source), hadoop_path(spark, goal)
-    fs.mkdirs(g.getParent())
-    try:
-        if fs.getScheme() == "file":
-            at = jvm.java.nio.file.Paths.get
-            jvm.java.nio.file.Files.createLink(at(fs.makeQualified(g).toUri()), at(fs.makeQualified(s).toUri()))
-        else:
-            kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
-            never = spark.sparkContext._gateway.new_array(kind, 1)
-            never[0] = kind.NONE
-            jvm.org.apache.hadoop.fs.FileContext.getFileContext(g.toUri(), spark._jsc.hadoopConfiguration()).rename(s, g, never)
-    except Py4JJavaError as e:
-        if e.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
-            return False
-        raise
-    return True
-
-
 class ShardStore:
     """Immutable shard files in one folder, and the versions of its manifest."""
 
@@ -75,22 +53,13 @@ class ShardStore:
 
     def version(self) -> int:
         """The newest committed version, 0 if there is none."""
-        p, fs = hadoop_path(self.spark, f"{self.path}/versions")
-        if not fs.exists(p):
-            return 0
-        names = [s.getPath().getName() for s in fs.listStatus(p)]
-        return max([0, *(int(n[1:]) for n in names if n[:1] == "v" and n[1:].isdigit())])
+        return newest_version(self.spark, f"{self.path}/versions")
 
     def manifest(self, version: int | None = None) -> DataFrame | None:
         v = self.version() if version is None else version
         if not v:
             return None
-        p, fs = hadoop_path(self.spark, f"{self.path}/versions/v{v}")
-        stream = fs.open(p)
-        try:
-            name = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
+        name = read_text(self.spark, f"{self.path}/versions/v{v}")
         return self.spark.read.schema(self.COLUMNS).parquet(f"{self.path}/manifests/{name}")
 
     def runs(self, version: int | None = None) -> dict[str, tuple[int, int]]:
@@ -137,12 +106,7 @@ class ShardStore:
             name = uuid.uuid4().hex
             columns = [c.split()[0] for c in self.COLUMNS.split(", ")]
             reduce(DataFrame.unionByName, [p.select(*columns) for p in parts]).coalesce(1).write.parquet(f"{self.path}/manifests/{name}")
-            draft, fs = hadoop_path(self.spark, f"{self.path}/drafts/{name}")
-            stream = fs.create(draft, False)
-            try:
-                stream.write(name.encode())
-            finally:
-                stream.close()
+            write_text(self.spark, f"{self.path}/drafts/{name}", name)
             done = publish(self.spark, f"{self.path}/drafts/{name}", f"{self.path}/versions/v{now + 1}")
             remove(self.spark, f"{self.path}/drafts/{name}")
             if done:

@@ -5,8 +5,11 @@ eight 6-word runs; equal windows have equal minimizers, and neighbouring windows
 so about two postings stand for nine windows. Each batch of documents is appended to the index as
 a run: a file for each hash bucket, sorted by hash and never changed. A batch is merge-joined with
 the runs bucket by bucket, without a shuffle; minimizers met in two documents make candidates.
-Candidates are verified on the texts themselves by two independent hashes of the complete window
-(64 and 32 bits), and runs of the same size are compacted into one.
+Candidates are verified on the texts themselves: two windows are the same if the SHA-256 of their
+words are, all 256 bits. Runs of the same size are compacted into one. The index lives in a folder with
+a versioned manifest: a later session opens it and judges the next batch against all earlier ones
+(``judge``), with the earlier texts at hand for the candidates; ``find_repeats`` runs the batches of
+one table through an index of its own and verifies all of them at the end.
 
 Defined results. A null text has no words. A null doc_id counts as larger than every other, and
 rows of one doc_id never remove words from each other. Fewer than 13 words: nothing is removed.
@@ -18,26 +21,41 @@ has 13 or more.
 from __future__ import annotations
 
 import hashlib
+import json
 import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerforge.llm.common import NO_ID, Stored, freeing_shuffles, new_folder, partitions, remove, text_bytes, veiled
+from tickerforge.llm.common import NO_ID, Stored, freeing_shuffles, new_folder, newest_version, partitions, publish, read_text, remove, text_bytes, veiled, write_text
 from tickerforge.llm.textkit import pieces, sliding_min
 
 WINDOW = 13
 RUN = 6
 #: Runs of one size that are merged into one.
 FAN_IN = 2
+#: Batches that one table is dealt with in.
+BATCHES = 4
+#: The four parts of a window's SHA-256.
+DIGEST = ["d0", "d1", "d2", "d3"]
+
+
+def _id() -> Column:
+    return F.coalesce(F.col("doc_id"), F.lit(NO_ID)).cast("long")
+
+
+def _marked(docs: DataFrame) -> DataFrame:
+    """With what identifies a row here: its doc_id for comparing, and a 32-bit hash of its text besides."""
+    return docs.select(_id().alias("_id"), F.hash(F.coalesce("text", F.lit(""))).alias("_t"), F.col("text").alias("text"))
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """What identifies a row here: its doc_id for comparing, and a 32-bit hash of its text besides."""
-    return docs.select(F.coalesce(F.col("doc_id"), F.lit(NO_ID)).cast("long").alias("_id"), F.hash(F.coalesce("text", F.lit(""))).alias("_t"), text_bytes().alias("_bytes"))
+    """(_id, _t, _bytes) of each row."""
+    return _marked(docs).select("_id", "_t", text_bytes().alias("_bytes"))
 
 
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -61,36 +79,54 @@ def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class FingerprintIndex:
-    """Sorted immutable runs of historical window fingerprints, as files of bucketed tables."""
+    """Sorted immutable runs of historical window fingerprints: bucketed files in a folder, listed in its manifest.
 
-    def __init__(self, spark: SparkSession) -> None:
-        self.spark = spark
-        self.buckets = partitions(spark)
-        self.tables: list[tuple[str, str, int]] = []  # name, folder, runs merged into it
+    It has one writer at a time: of two that add to the same version, the second fails.
+    """
 
-    def _write(self, rows: DataFrame, runs: int) -> None:
-        name, folder = f"fingerprints_{uuid.uuid4().hex}", new_folder(self.spark, "run")
+    def __init__(self, spark: SparkSession, path: str | None = None) -> None:
+        """Opens the index in the folder ``path``, new if there is none; without ``path``, one for this session."""
+        self.spark, self.path = spark, path or new_folder(spark, "fingerprints")
+        self.version = newest_version(spark, f"{self.path}/versions")
+        self.buckets, self.runs = partitions(spark), []  # (table of this session, folder, batches merged into it)
+        if self.version:
+            found = json.loads(read_text(spark, f"{self.path}/versions/v{self.version}"))
+            self.buckets = found["buckets"]
+            for folder, batches in found["runs"]:
+                name = f"fingerprints_{uuid.uuid4().hex}"
+                spark.sql(f"CREATE TABLE {name} (h BIGINT, _id BIGINT) USING parquet CLUSTERED BY (h) SORTED BY (h) INTO {self.buckets} BUCKETS LOCATION '{self.path}/{folder}'")
+                self.runs.append((name, folder, batches))
+
+    def _write(self, rows: DataFrame, batches: int) -> tuple[str, str, int]:
+        name, folder = f"fingerprints_{uuid.uuid4().hex}", f"run-{uuid.uuid4().hex}"
         with freeing_shuffles(self.spark):
-            rows.write.bucketBy(self.buckets, "h").sortBy("h").option("path", folder).saveAsTable(name)
-        self.tables.append((name, folder, runs))
-
-    def _drop(self, tables: list[tuple[str, str, int]]) -> None:
-        for name, folder, _ in tables:
+            rows.repartition(self.buckets, "h").write.bucketBy(self.buckets, "h").sortBy("h").option("path", f"{self.path}/{folder}").saveAsTable(name)
+        return name, folder, batches
+
+    def _commit(self, runs: list[tuple[str, str, int]]) -> None:
+        """These runs as the next version; those left out are deleted then."""
+        draft = f"{self.path}/draft-{uuid.uuid4().hex}"
+        write_text(self.spark, draft, json.dumps({"buckets": self.buckets, "runs": [r[1:] for r in runs]}))
+        done = publish(self.spark, draft, f"{self.path}/versions/v{self.version + 1}")
+        remove(self.spark, draft)
+        if not done:
+            raise RuntimeError(f"another writer has added to {self.path}")
+        gone = [r for r in self.runs if r not in runs]
+        self.version, self.runs = self.version + 1, runs
+        for name, folder, _ in gone:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-            remove(self.spark, folder)
-        self.tables = [t for t in self.tables if t not in tables]
+            remove(self.spark, f"{self.path}/{folder}")
 
     def append(self, docs: DataFrame) -> None:
         """Adds one batch of keyed documents as the newest run."""
-        rows = docs.select("_id", "_bytes").mapInArrow(_postings, "h long, _id long")
-        self._write(rows.repartition(self.buckets, "h"), 1)
+        self._commit([*self.runs, self._write(docs.select("_id", "_bytes").mapInArrow(_postings, "h long, _id long"), 1)])
 
     def shared_by_newest(self) -> DataFrame:
         """Postings (h, _id) of all runs whose h is in the newest run and in two documents or more.
 
         Each older run is joined with the newest on its own, so every join keeps the buckets.
         """
-        newest, *older = [self.spark.table(name) for name, _, _ in reversed(self.tables)]
+        newest, *older = [self.spark.table(name) for name, _, _ in reversed(self.runs)]
         spans = [newest.groupBy("h").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi"))]
         for run in older:
             spans.append(run.join(newest.select(F.col("h").alias("_h")).distinct(), F.col("h") == F.col("_h"), "left_semi").groupBy("h").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi")))
@@ -99,33 +135,29 @@ class FingerprintIndex:
             other = other.select(F.col("h").alias(f"h{i}"), F.col("lo").alias(f"lo{i}"), F.col("hi").alias(f"hi{i}"))
             merged = merged.join(other, F.col("h") == F.col(f"h{i}"), "left").select("h", F.least("lo", f"lo{i}").alias("lo"), F.greatest("hi", f"hi{i}").alias("hi"))
         shared = merged.where("lo < hi").select(F.col("h").alias("_h"))
-        out = None
-        for run in [newest, *older]:
-            part = run.join(shared, F.col("h") == F.col("_h"), "left_semi")
-            out = part if out is None else out.unionByName(part)
-        return out
+        return reduce(DataFrame.unionByName, [run.join(shared, F.col("h") == F.col("_h"), "left_semi") for run in [newest, *older]])
 
     def compact(self) -> None:
         """Size-tiered: while the newest runs are of one size, they become one run of their sum."""
-        while len(self.tables) >= FAN_IN and len({runs for *_, runs in self.tables[-FAN_IN:]}) == 1:
-            old = self.tables[-FAN_IN:]
-            merged = self.spark.table(old[0][0])
-            for name, *_ in old[1:]:
-                merged = merged.unionByName(self.spark.table(name))
-            self._write(merged.repartition(self.buckets, "h"), sum(t[2] for t in old))
-            self._drop(old)
+        while len(self.runs) >= FAN_IN and len({batches for *_, batches in self.runs[-FAN_IN:]}) == 1:
+            old = self.runs[-FAN_IN:]
+            merged = reduce(DataFrame.unionByName, [self.spark.table(name) for name, *_ in old])
+            self._commit([*self.runs[:-FAN_IN], self._write(merged, sum(r[2] for r in old))])
 
     def close(self) -> None:
-        self._drop(list(self.tables))
+        """Forgets the tables of this session; the files stay."""
+        for name, *_ in self.runs:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.runs = []
 
 
 def _candidate_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From (_id, _t, text, minimizers): the hashes and places of the windows known by one of them."""
+    """From (_id, _t, text, minimizers): the digests and places of the windows known by one of them."""
 
     def made() -> pa.RecordBatch:
-        w, c, p = (np.concatenate(x) for x in zip(*found))
+        digests, p = (np.concatenate(x) for x in zip(*found))
         sizes = [len(x[0]) for x in found]
-        return pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array(c.view(np.int32)), pa.array(np.repeat(np.array(ids, np.int64), sizes)), pa.array(np.repeat(np.array(marks, np.int32), sizes)), pa.array(p.astype(np.int32))], names=["w", "c", "_id", "_t", "p"])
+        return pa.RecordBatch.from_arrays([*(pa.array(np.ascontiguousarray(digests[:, k])) for k in range(4)), pa.array(np.repeat(np.array(ids, np.int64), sizes)), pa.array(np.repeat(np.array(marks, np.int32), sizes)), pa.array(p.astype(np.int32))], names=[*DIGEST, "_id", "_t", "p"])
 
     for batch in batches:
         found, ids, marks, held = [], [], [], 0
@@ -139,7 +171,7 @@ def _candidate_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
                 spot = np.minimum(np.searchsorted(wanted, least), len(wanted) - 1)
                 keep = np.flatnonzero(wanted[spot] == least)
                 if len(keep):
-                    found.append((grams.hashes(WINDOW)[keep], grams.checks(WINDOW, keep), keep + at))
+                    found.append((grams.digests(WINDOW, keep), keep + at))
                     ids.append(i)
                     marks.append(t)
                     held += len(keep)
@@ -150,18 +182,41 @@ def _candidate_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
             yield made()
 
 
-def find_repeats(docs: DataFrame, batches: int = 2) -> tuple[DataFrame, list[Stored]]:
-    """Per (_id, _t): ``whole`` if its text has been seen in a smaller doc_id, else the starts of its repeated windows.
+def _copies(docs: DataFrame) -> Stored:
+    """(_id, _t) of the documents whose whole text a smaller doc_id has."""
+    texts = _marked(docs).withColumn("_sha", F.sha2(text_bytes(), 256)).select("_id", "_t", "_sha")
+    firsts = texts.groupBy("_sha").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    return Stored(texts.join(firsts, "_sha").where("_id > _first").select("_id", "_t").distinct(), "copies")
 
-    Documents arrive in ``batches`` of ascending doc_id. Also returns the stored tables to drop after use.
+
+def _repeats(rows: DataFrame, postings: DataFrame, copies: Stored) -> Stored:
+    """Per (_id, _t) of the keyed rows: ``whole`` if it is a copy, else the starts of its repeated windows.
+
+    Copies are settled as a whole; what only they share needs no look at the texts. (An id counts as
+    settled if all its rows are; null ids are one id here.)
     """
-    spark = docs.sparkSession
-    rows = keyed(docs)
-    texts = docs.select(F.coalesce(F.col("doc_id"), F.lit(NO_ID)).cast("long").alias("_id"), F.hash(F.coalesce("text", F.lit(""))).alias("_t"), F.sha2(text_bytes(), 256).alias("_sha"))
-    firsts = texts.groupBy("_sha").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
-    copies = Stored(texts.join(firsts, "_sha").where("_id > _first").select("_id", "_t").distinct(), "copies")
+    marked = rows.select("_id", "_t").distinct().join(copies.df.select("_id", "_t", F.lit(True).alias("_copy")), ["_id", "_t"], "left")
+    settled = marked.groupBy("_id").agg(F.min(F.coalesce("_copy", F.lit(False))).alias("all")).where("all").select("_id")
+    postings = postings.join(settled, "_id", "left_anti")
+    still = postings.groupBy("h").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi")).where("lo < hi").select("h")
+    wanted = postings.join(still, "h", "left_semi").groupBy("_id").agg(F.collect_set("h").alias("hs"))
+    windows = Stored(rows.join(wanted, "_id").select("_id", "_t", "_bytes", "hs").mapInArrow(_candidate_windows, ", ".join(f"{d} long" for d in DIGEST) + ", _id long, _t int, p int"), "windows")
+    # Written first: a join with a plain table lets Spark split a window that very many documents share.
+    earliest = Stored(windows.df.groupBy(*DIGEST).agg(F.min("_id").alias("lo"), F.max("_id").alias("hi")).where("lo < hi").select(*DIGEST, "lo"), "earliest")
+    starts = windows.df.join(earliest.df, DIGEST).where("_id > lo").groupBy("_id", "_t").agg(F.collect_list("p").alias("starts")).join(copies.df, ["_id", "_t"], "left_anti")
+    found = Stored(starts.select("_id", "_t", "starts", F.lit(False).alias("whole")).unionByName(copies.df.select("_id", "_t", F.lit(None).cast("array<int>").alias("starts"), F.lit(True).alias("whole"))), "repeats")
+    for x in (windows, earliest, copies):
+        x.drop()
+    return found
 
-    cuts = docs.select(F.percentile_approx(F.coalesce(F.col("doc_id"), F.lit(NO_ID)).cast("long"), [i / batches for i in range(1, batches)], 10_000)).first()[0] if batches > 1 else []
+
+def find_repeats(docs: DataFrame, batches: int = BATCHES) -> Stored:
+    """Per (_id, _t): ``whole`` if its text has been seen in a smaller doc_id, else the starts of its repeated windows.
+
+    Documents arrive in ``batches`` of ascending doc_id.
+    """
+    spark, rows = docs.sparkSession, keyed(docs)
+    cuts = docs.select(F.percentile_approx(_id(), [i / batches for i in range(1, batches)], 10_000)).first()[0] if batches > 1 else []
     index, found = FingerprintIndex(spark), []
     edges = [None, *sorted(set(cuts or [])), None]
     for low, high in zip(edges, edges[1:]):
@@ -172,28 +227,30 @@ def find_repeats(docs: DataFrame, batches: int = 2) -> tuple[DataFrame, list[Sto
             batch = batch.where(F.col("_id") <= high)
         index.append(batch)
         found.append(Stored(index.shared_by_newest(), "shared"))
-        index.compact()
+        if high is not None:
+            index.compact()
     index.close()
-
-    postings = found[0].df
-    for more in found[1:]:
-        postings = postings.unionByName(more.df)
-    # Copies are settled as a whole; what only they share needs no look at the texts.
-    # (An id counts as settled if all its rows are; null ids are one id here.)
-    marked = texts.select("_id", "_t").distinct().join(copies.df.select("_id", "_t", F.lit(True).alias("_copy")), ["_id", "_t"], "left")
-    settled = marked.groupBy("_id").agg(F.min(F.coalesce("_copy", F.lit(False))).alias("all")).where("all").select("_id")
-    postings = postings.join(settled, "_id", "left_anti")
-    still = postings.groupBy("h").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi")).where("lo < hi").select("h")
-    wanted = postings.join(still, "h", "left_semi").groupBy("_id").agg(F.collect_set("h").alias("hs"))
-    windows = Stored(rows.join(wanted, "_id").select("_id", "_t", "_bytes", "hs").mapInArrow(_candidate_windows, "w long, c int, _id long, _t int, p int"), "windows")
+    remove(spark, index.path)
+    repeats = _repeats(rows, reduce(DataFrame.unionByName, [x.df for x in found]), _copies(docs))
     for x in found:
         x.drop()
-    earliest = windows.df.groupBy("w", "c").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi")).where("lo < hi").select("w", "c", "lo")
-    starts = windows.df.join(earliest, ["w", "c"]).where("_id > lo").groupBy("_id", "_t").agg(F.collect_list("p").alias("starts")).join(copies.df, ["_id", "_t"], "left_anti")
-    repeats = Stored(starts.select("_id", "_t", "starts", F.lit(False).alias("whole")).unionByName(copies.df.select("_id", "_t", F.lit(None).cast("array<int>").alias("starts"), F.lit(True).alias("whole"))), "repeats")
-    windows.drop()
-    copies.drop()
-    return repeats.df, [repeats]
+    return repeats
+
+
+def judge(index: FingerprintIndex, batch: DataFrame, history: DataFrame | None = None) -> Stored:
+    """Adds a batch to the index; its repeats as ``find_repeats`` gives them, against itself and all earlier batches.
+
+    ``history`` are the documents of the earlier batches, of which those with a minimizer of the batch are
+    read. A window counts as repeated if a smaller doc_id has it, so batches should come in the order of
+    their ids: what an earlier batch was told is not changed later.
+    """
+    rows = keyed(batch)
+    index.append(rows)
+    shared = Stored(index.shared_by_newest(), "shared")
+    index.compact()
+    repeats = _repeats(rows if history is None else rows.unionByName(keyed(history)), shared.df, _copies(batch))
+    shared.drop()
+    return repeats
 
 
 def _kept(words: list[bytes], starts: np.ndarray | None, whole: bool) -> list[bytes]:
@@ -229,11 +286,13 @@ def _rewrite(with_text: bool):
     return run
 
 
-def _removed(docs: DataFrame, batches: int, carried: list[str], with_text: bool) -> DataFrame:
-    """The columns carried as c0, c1, ..., with _n_words, _n_removed, _sha, and _null and _text if asked for."""
-    repeats, _ = find_repeats(docs, batches)
-    known = repeats.select(F.col("_id").alias("_rid"), F.col("_t").alias("_rt"), "starts", "whole")
-    plain = docs.select(*veiled(carried), F.coalesce(F.col("doc_id"), F.lit(NO_ID)).cast("long").alias("_id"), F.hash(F.coalesce("text", F.lit(""))).alias("_t"), text_bytes().alias("_bytes"), F.col("text").isNull().alias("_null"))
+def _removed(docs: DataFrame, repeats: Stored, carried: list[str], with_text: bool) -> DataFrame:
+    """The columns carried as c0, c1, ..., with _n_words, _n_removed, _sha, and _null and _text if asked for.
+
+    The repeats are read when the result is, and stay until the session ends.
+    """
+    known = repeats.df.select(F.col("_id").alias("_rid"), F.col("_t").alias("_rt"), "starts", "whole")
+    plain = docs.select(*veiled(carried), _id().alias("_id"), F.hash(F.coalesce("text", F.lit(""))).alias("_t"), text_bytes().alias("_bytes"), F.col("text").isNull().alias("_null"))
     joined = plain.join(known, (F.col("_id") == F.col("_rid")) & (F.col("_t") == F.col("_rt")), "left").drop("_rid", "_rt", "_id", "_t")
     types = dict(docs.dtypes)
     schema = ", ".join([f"c{i} {types[c]}" for i, c in enumerate(carried)] + ["_null boolean", "_n_words long", "_n_removed long", "_sha string"] + (["_kept binary"] if with_text else []))
@@ -241,14 +300,15 @@ def _removed(docs: DataFrame, batches: int, carried: list[str], with_text: bool)
     return out.withColumn("_text", F.when(~F.col("_null"), F.decode("_kept", "UTF-8"))) if with_text else out
 
 
-def remove_repeats(docs: DataFrame, batches: int = 2, with_text: bool = True) -> DataFrame:
+def remove_repeats(docs: DataFrame, batches: int = BATCHES, with_text: bool = True, repeats: Stored | None = None) -> DataFrame:
     """``docs`` with ``text`` less its repeated words (null where it was null and unchanged where nothing goes), ``n_words``, ``n_removed`` and ``kept_sha256``.
 
-    Without ``with_text`` only doc_id and those three columns are returned.
+    Without ``with_text`` only doc_id and those three columns are returned. ``repeats`` are those that
+    ``judge`` found for the documents; without them, the documents are judged by themselves.
     """
     added = ["n_words", "n_removed", "kept_sha256"]
     carried = [c for c in docs.columns if c != "text" and c not in added] if with_text else ["doc_id"]
-    out = _removed(docs, batches, carried, with_text)
+    out = _removed(docs, repeats or find_repeats(docs, batches), carried, with_text)
     found = {c: F.col(f"c{i}") for i, c in enumerate(carried)}
     if with_text:
         found["text"] = F.col("_text")
@@ -256,10 +316,10 @@ def remove_repeats(docs: DataFrame, batches: int = 2, with_text: bool = True) ->
     return out.select(*[found[c].alias(c) for c in order], F.col("_n_words").alias("n_words"), F.col("_n_removed").alias("n_removed"), F.col("_sha").alias("kept_sha256"))
 
 
-def cut_repeats(docs: DataFrame, batches: int = 2) -> DataFrame:
+def cut_repeats(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
     """``docs`` with the repeated words cut from ``text``, and ``n_chars``, if there, following it."""
     carried = [c for c in docs.columns if c != "text"]
-    out = _removed(docs, batches, carried, with_text=True)
+    out = _removed(docs, find_repeats(docs, batches), carried, with_text=True)
     found = {c: F.col(f"c{i}") for i, c in enumerate(carried)} | {"text": F.col("_text")}
     if "n_chars" in found:
         found["n_chars"] = F.when(F.col("_n_removed") > 0, F.length("_text").cast(dict(docs.dtypes)["n_chars"])).otherwise(found["n_chars"])

@@ -9,7 +9,6 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import xxhash
 
 _B = 0x9E3779B97F4A7C15 | 1
 _BINV = pow(_B, -1, 2**64)
@@ -57,19 +56,19 @@ class Grams:
         gaps = np.flatnonzero(np.frombuffer(joined, np.uint8) == 32)
         return joined, np.concatenate(([0], gaps + 1)), np.concatenate((gaps, [len(joined)]))
 
-    def hashes(self, n: int, salt: int = 0) -> np.ndarray:
+    def hashes(self, n: int) -> np.ndarray:
         """The hash of each run of n words; none if there are fewer."""
         count = len(self.starts) - n + 1
         if count <= 0:
             return np.zeros(0, np.uint64)
         s, e = self.starts[:count], self.ends[n - 1 :]
-        raw = (self.prefix[e] - self.prefix[s]) * self.inverse[s]
-        return mix(raw + np.uint64(salt)) if salt else mix(raw)
+        return mix((self.prefix[e] - self.prefix[s]) * self.inverse[s])
 
-    def checks(self, n: int, at: np.ndarray) -> np.ndarray:
-        """32-bit hashes of the runs of n words that start at the places ``at``, by another function than ``hashes``."""
-        view, hashed = memoryview(self.joined), xxhash.xxh3_64_intdigest
-        return np.fromiter((hashed(view[s:e]) & 0xFFFFFFFF for s, e in zip(self.starts[at].tolist(), self.ends[at + n - 1].tolist())), np.uint32, len(at))
+    def digests(self, n: int, at: np.ndarray) -> np.ndarray:
+        """The SHA-256 of the runs of n words that start at the places ``at``, as rows of four integers."""
+        view, digest = memoryview(self.joined), hashlib.sha256
+        joined = b"".join([digest(view[s:e]).digest() for s, e in zip(self.starts[at].tolist(), self.ends[at + n - 1].tolist())])
+        return np.frombuffer(joined, np.int64).reshape(-1, 4)
 
 
 def pieces(words: list[bytes], overlap: int) -> Iterator[tuple[int, Grams]]:

@@ -540,6 +540,40 @@ def test_top_k_on_odd_vectors(spark):
     assert topk.top_k(frame.limit(0)).count() == 0
 
 
+def best_by_all_pairs(ids, vectors, queries, k):
+    out = {}
+    for q in queries:
+        scores = vectors @ vectors[ids == q][0]
+        out[int(q)] = [(int(i), int(x)) for x, i in sorted(((-x, i) for x, i in zip(scores, ids) if i != q))[:k]]
+    return {q: [(i, -x) for i, x in rows] for q, rows in out.items()}
+
+
+@pytest.mark.parametrize("kind", ["even", "skewed", "large", "ties", "sparse"])
+def test_impact_index_is_exact_and_stops(kind):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(4000, 32))
+    if kind == "skewed":
+        x *= np.geomspace(1, 0.01, 32)
+    if kind == "sparse":
+        x *= rng.random(x.shape) < 0.1
+    v = np.floor(x * (10**6 if kind == "large" else 2 if kind == "ties" else 60)).astype(np.int64)
+    ids = rng.permutation(4000)
+    index = topk.ImpactIndex(ids, v)
+    found = {q: list(zip(i.tolist(), s.tolist())) for q, i, s in index.search(ids[:40], v[:40], 20)}
+    assert found == best_by_all_pairs(ids, v, ids[:40], 20)
+    assert index.skipped() >= {"skewed": 0.5, "even": 0.1}.get(kind, 0)
+
+
+def test_top_k_ignores_clashing_columns_and_breaks_ties_by_id(spark):
+    rows = [(i, [1.0, float(i % 3 == 0)], i, i % 2 == 0, "v", i) for i in range(1, 100)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, shard int, asks boolean, v string, rank int")
+    want = []
+    for q in (20, 40, 60, 80):
+        best = sorted((-(64 * 64 * (1 + (q % 3 == 0) * (i % 3 == 0))), i) for i in range(1, 100) if i != q)[:20]
+        want += [(q, k + 1, i, -x) for k, (x, i) in enumerate(best)]
+    assert sorted(pairs(topk.top_k(frame), "query_id", "rank", "vec_id", "score")) == want
+
+
 def test_crc_of_ids(spark):
     got = spark.range(50).withColumnRenamed("id", "doc_id").select("doc_id", toxicity.held_out().alias("h")).collect()
     assert all(r["h"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in got)

@@ -1,13 +1,18 @@
 """Exact top-k by inner product over an impact-ordered index, score at a time.
 
-Method. Components become integers floor(64 x). Rows are dealt to shards of a bounded size; a shard
-holds its postings in segments of one quantised impact (a band of component magnitudes, each a
-masked matrix), from the highest band down. Queries meet the shard in blocks: every segment adds
-its part to the accumulators, and what is left of a row is bounded by the product of the norms.
-After a segment, a row whose upper bound is below the k-th best lower bound of the query is out for
-good. Processing stops once few possible members are left, or with the last segment; the possible
-members are then rescored exactly in integers. Each shard gives a query k rows, of which the best
-k are kept, ties to the smaller vec_id.
+Method. Components become integers floor(64 x). Rows are dealt to shards of a bounded size; a shard has
+for each dimension its postings (a row and its value) in segments of one quantised impact, the highest
+first. A query takes the segments of all dimensions by descending contribution, |q| times the impact,
+in rounds with a falling limit, and adds them to one accumulator a row. After a round no posting that is left
+can contribute more than the limit, which bounds every row from both sides. A row whose upper bound is
+below the k-th best lower bound of the query is out for good. Processing stops once the rows that are still
+possible are so few that scoring them exactly costs less than the postings that are left; they are
+then rescored exactly in integers. Each shard gives a query k rows, of which the best k are kept, ties
+to the smaller vec_id.
+
+Every query meets every shard, as an exact answer demands; a shipped query of W numbers then stands for
+W x SHARD multiplications, so shards are as large as memory allows and no smaller than the cluster's
+parallelism needs.
 
 Defined results. Vectors that are null or hold a null or non-finite component, and rows of null
 vec_id, take no part. A shorter vector is as if filled with zeros. A query is answered once even if
@@ -25,55 +30,88 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickerforge.llm.common import partitions
+
 SCALE = 64
-#: Rows of a shard: what one task holds of the index.
-SHARD = 8192
+#: Rows of a shard at most (what one task holds of the index), and at least where there are several.
+SHARD, LEAST = 65_536, 8_192
 #: Queries that meet a shard together.
 BLOCK = 256
-#: Segments of descending impact.
-SEGMENTS = 4
-#: Possible members per query, in multiples of k, at which rescoring costs less than going on.
-FEW = 4
+#: Levels of quantised impact.
+LEVELS = 255
+#: How the limit falls, and the share of all postings that makes a round.
+FALL, ROUNDS = 0.9, 12
+#: Possible members per query, in multiples of k, at which rescoring begins; and how many postings an exact score is worth in dimensions.
+FEW, WORTH = 2, 4
 
 
 class ImpactIndex:
-    """The segments of one shard: (ids, integer vectors) by descending band of magnitude."""
+    """The postings of one shard by dimension and descending quantised impact."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray) -> None:
         self.ids, self.vectors = ids, vectors
-        size = np.abs(vectors)
-        edges = np.quantile(size, np.linspace(1, 0, SEGMENTS + 1)[1:-1]) if size.size else np.zeros(SEGMENTS - 1)
-        band = (size[None] <= edges[:, None, None]).sum(axis=0) if size.size else np.zeros(size.shape, np.int64)
-        self.segments = [np.where(band == b, vectors, 0) for b in range(SEGMENTS)]
-        self.rest = [np.sqrt((np.where(band > b, vectors, 0).astype(np.float64) ** 2).sum(axis=1)) for b in range(SEGMENTS)]
+        self.step = max(1, -(-int(np.abs(vectors).max(initial=0)) // LEVELS))
+        level = np.abs(vectors) // self.step
+        order = np.argsort(-level, axis=0, kind="stable")
+        self.rows, self.values, self.ends = [], [], []
+        for d in range(vectors.shape[1]):
+            own = order[:, d]
+            own = own[vectors[own, d] != 0]
+            self.rows.append(own.astype(np.int32))
+            sign = np.sign(vectors[own, d])
+            # The middle of a segment's impacts stands for each; for a step of one it is the impact itself.
+            self.values.append(sign * (level[own, d] * self.step + (self.step - 1) / 2))
+            # ends[l]: how many postings have level l or more
+            self.ends.append(len(own) - np.searchsorted(np.sort(level[own, d]), np.arange(LEVELS + 2)))
+        self.ends = np.array(self.ends, np.int64).reshape(-1, LEVELS + 2)
+        self.top = np.abs(vectors).max(axis=0, initial=0).astype(np.float64)
+        self.postings = sum(map(len, self.rows))
+        self.seen = self.asked = 0
+
+    def skipped(self) -> float:
+        """The share of the queries' postings that no accumulator had to take."""
+        return 1 - self.seen / self.asked if self.asked else 0.0
+
+    def _possible(self, own: np.ndarray, query: np.ndarray, k: int) -> np.ndarray:
+        """The rows that can be among the query's best k."""
+        n, size = len(self.ids), np.abs(query).astype(np.float64)
+        used = np.flatnonzero((size > 0) & (self.top > 0))
+        size, top, ends = size[used], self.top[used], self.ends[used]
+        score, met, at = np.zeros(n), np.zeros(n, np.int64), np.zeros(len(used), np.int64)
+        total = left = int(ends[:, 0].sum())
+        self.asked += total
+        # Of an impact its segment's middle is known, and sums beyond 2**53 are rounded.
+        error = size.sum() * (self.step - 1) / 2 + (size * top).sum() * 1e-12
+        limit, possible = (size * top).max(initial=0), ~own
+        while left:
+            # The limit falls until a round has enough postings; segments whose largest contribution reaches it are due.
+            while True:
+                limit *= FALL
+                lowest = np.clip(np.ceil((limit / size - self.step + 1) / self.step), 0, LEVELS + 1).astype(np.int64)
+                due = ends[np.arange(len(used)), lowest]
+                if (due - at).sum() * ROUNDS >= total or (due == ends[:, 0]).all():
+                    break
+            parts = [(d, a, e) for d, a, e in zip(used.tolist(), at.tolist(), due.tolist()) if e > a]
+            rows = np.concatenate([self.rows[d][a:e] for d, a, e in parts])
+            score += np.bincount(rows, np.concatenate([query[d] * self.values[d][a:e] for d, a, e in parts]), n)
+            met += np.bincount(rows, minlength=n)
+            at, left = due, left - len(rows)
+            self.seen += len(rows)
+            # Each posting that is left is below the limit, and in a dimension not begun below its largest as well.
+            rest = limit * ((at > 0).sum() - met) + (size * top)[at == 0].sum() + error if left else np.full(n, error)
+            low = np.where(own, -np.inf, score - rest)
+            kth = np.partition(low, n - k)[n - k] if n > k else -np.inf
+            possible = (score + rest >= kth) & ~own
+            few = int(possible.sum())
+            if few <= FEW * k or few * len(query) * WORTH <= left:
+                break
+        return np.flatnonzero(possible)
 
     def search(self, qids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """Each query's best k (query id, ids, scores) in this shard."""
-        n = len(self.ids)
-        if not n:
-            return
-        top = int(np.abs(self.vectors).max(initial=1)) * int(np.abs(queries).max(initial=1)) * max(1, queries.shape[1])
-        kind = np.float32 if top < 2**23 else np.float64
-        norms = np.sqrt((queries.astype(np.float64) ** 2).sum(axis=1))
-        own = self.ids[None, :] == qids[:, None]
-        scores = np.zeros((len(qids), n), kind)
-        possible = ~own
-        for b, segment in enumerate(self.segments):
-            scores += queries.astype(kind) @ segment.T.astype(kind)
-            last = b == SEGMENTS - 1
-            if b == 0 and not last:
-                continue
-            # The slack covers rounding of the norms, and of sums beyond 2**53.
-            slack = norms[:, None] * self.rest[b][None, :] * (1 + 1e-6) + 0.5 + top * 1e-12
-            slack = slack.astype(kind)
-            low = np.where(own, -np.inf, scores - slack)
-            kth = np.partition(low, n - k, axis=1)[:, n - k] if n > k else np.full(len(qids), -np.inf)
-            possible = (scores + slack >= kth[:, None]) & ~own
-            if possible.sum() <= FEW * k * len(qids):
-                break
-        for i, qid in enumerate(qids):
-            rows = np.flatnonzero(possible[i])
-            exact = self.vectors[rows] @ queries[i]
+        for qid, query in zip(qids, queries) if len(self.ids) else ():
+            rows = self._possible(self.ids == qid, query, k)
+            exact = self.vectors[rows] @ query
             best = np.lexsort((self.ids[rows], -exact))[:k]
             yield int(qid), self.ids[rows[best]], exact[best]
 
@@ -122,7 +160,7 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row whose vec_id is divisible by ``every``, its k best others."""
     sound = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v")).where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & F.forall("v", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))), F.lit(False))))
     n, width = sound.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("v")), F.lit(0))).first()
-    shards = max(1, -(-n // SHARD))
+    shards = max(1, -(-n // SHARD), min(partitions(vectors.sparkSession), -(-n // LEAST)))
     rows = sound.select(F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int").alias("shard"), F.lit(False).alias("asks"), "vec_id", "v")
     queries = sound.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
     asked = queries.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(True).alias("asks"), "vec_id", "v")

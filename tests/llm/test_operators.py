@@ -469,6 +469,44 @@ def test_language_held_out_accuracy(spark):
     assert all(0 <= r["score"] <= 1 for r in out)
 
 
+def test_language_of_very_many(spark):
+    """Eighty languages, each of its own letters: none is left out."""
+    rng, rows = random.Random(2), []
+    for k in range(80):
+        letters = [chr(0x4E00 + 20 * k + j) for j in range(20)]
+        rows += [(8 * k + i, " ".join("".join(rng.choice(letters) for _ in range(4)) for _ in range(12)), f"l{k}") for i in range(8)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = language_id.identify(frame, language_id.fit(frame, F.col("doc_id") % 8 != 0)).join(frame, "doc_id").where("doc_id % 8 = 0").collect()
+    assert sum(r["lang"] == r["lang_pred"] for r in out) >= 0.95 * 80
+
+
+def test_language_scores_are_those_of_plain_kernel_ridge(docs):
+    """Nyström map, ridge and kernel worked out from sets of n-grams, one pair of texts at a time."""
+    texts = [(t, lang) for t, lang in pairs(docs, "text", "lang") if t and lang][:60]
+    rows = np.stack([language_id.presence(t) for t, _ in texts])
+    model = language_id.fit_rows(rows[:40], [lang for _, lang in texts[:40]])
+    sets = [set(np.flatnonzero(r)) for r in rows]
+    kernel = lambda a, b: len(a & b) / np.sqrt(len(a) * len(b))
+    names = [lang for _, lang in texts[:40]]
+    marks = [i for k in model.languages for i in [j for j, n in enumerate(names) if n == k][: language_id.LANDMARKS]]
+    among = np.array([[kernel(sets[i], sets[j]) for j in marks] for i in marks])
+    to_marks = np.array([[kernel(s, sets[j]) for j in marks] for s in sets])
+    values, vectors = np.linalg.eigh(among)
+    keep = values > values.max() * 1e-6
+    phi = to_marks @ vectors[:, keep] / np.sqrt(values[keep])
+    share = np.array([1 / names.count(n) for n in names])
+    for k, lang in enumerate(model.languages):
+        goal = np.array([1.0 if n == lang else -1.0 for n in names])
+        beta = np.linalg.solve(phi[:40].T @ (phi[:40] * share[:, None]) + language_id.RIDGE * np.eye(phi.shape[1]), phi[:40].T @ (goal * share))
+        assert np.allclose(phi[40:] @ beta, (rows[40:] @ model.weights[:, k]) / np.sqrt(rows[40:].sum(axis=1)), atol=2e-3)
+    best, _ = model.predict(rows[40:])
+    grams = lambda t: {t[i : i + n] for n in (1, 2, 3) for i in range(len(t) - n + 1)}
+    for (t, _), r in zip(texts[:10], rows):
+        plain = grams(language_id._BLANK.sub(" ", t.lower()))
+        assert 0.97 * len(plain) <= r.sum() <= len(plain)  # few n-grams share a place
+    assert len(best) == len(texts) - 40
+
+
 def test_language_on_odd_rows(odd, none, docs):
     model = language_id.fit(docs, F.lit(True))
     found = {r["doc_id"]: r["lang_pred"] for r in language_id.identify(odd, model).collect()}

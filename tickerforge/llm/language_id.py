@@ -8,8 +8,9 @@ normalised presence vectors, landmarks and regression fold into one matrix, by w
 presence rows are multiplied.
 
 The classifier is fitted on a bounded sample: about PER_LANGUAGE documents of each language, chosen
-by the MD5 of their ids, of at most MOST_LANGUAGES languages. Only their packed presence bits (4 KB
-each) come to the driver. Every document is scored on its whole text.
+by the MD5 of their ids; with more than IN_ALL / PER_LANGUAGE languages fewer of each, but no language
+is left out. Only their packed presence bits (4 KB each) come to the driver. Every document is scored
+on its whole text.
 
 Defined results. ``und`` with score 0 if a text is null or has no letter, or if nothing could be
 learned. The score is the softmax of the regressions for the language predicted. A null doc_id
@@ -33,9 +34,10 @@ from tickerforge.llm.common import id_text, text_bytes
 PLACES_BITS = 15
 PLACES = 1 << PLACES_BITS
 SPECTRUM = 3
-PER_LANGUAGE = 250
-MOST_LANGUAGES = 64
-LANDMARKS = 160
+#: Documents learned from: about so many of a language, and fewer, but FEWEST, where languages are very many.
+PER_LANGUAGE, FEWEST, IN_ALL = 250, 20, 16_000
+#: Landmarks likewise.
+LANDMARKS, FEWEST_LANDMARKS, LANDMARKS_IN_ALL = 40, 4, 2_000
 RIDGE = 1e-3
 SHARPNESS = 8.0
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
@@ -79,7 +81,7 @@ def fit_rows(rows: np.ndarray, labels: list[str]) -> Model | None:
         return None
     x = rows.astype(np.float32) / np.sqrt(np.maximum(rows.sum(axis=1, keepdims=True), 1)).astype(np.float32)
     number = np.array([languages.index(s) for s in labels])
-    each = max(1, LANDMARKS // len(languages))
+    each = max(FEWEST_LANDMARKS, min(LANDMARKS, LANDMARKS_IN_ALL // len(languages)))
     marks = np.concatenate([np.flatnonzero(number == k)[:each] for k in range(len(languages))])
     land = x[marks]
     values, vectors = np.linalg.eigh((land @ land.T).astype(np.float64))
@@ -101,14 +103,13 @@ def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, usable: Column) -> Model | None:
     """Learns from a bounded sample of the ``usable`` documents with text and language."""
     given = docs.where(usable & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = given.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
+    counts = given.groupBy("lang").count().collect()  # one row a language
     if not counts:
         return None
-    share = F.lit(0.0)
-    for r in counts:
-        share = F.when(F.col("lang") == r["lang"], F.lit(PER_LANGUAGE / r["count"])).otherwise(share)
+    each = max(FEWEST, min(PER_LANGUAGE, IN_ALL // len(counts)))
+    share = F.element_at(F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], each / r["count"])]), F.col("lang"))
     draw = F.conv(F.substring(F.md5(id_text()), 1, 8), 16, 10).cast("double") / 2.0**32
-    drawn = given.where(draw < share).limit(2 * PER_LANGUAGE * len(counts))
+    drawn = given.where(draw < share).limit(2 * each * len(counts))
     rows = drawn.select("lang", text_bytes().alias("t")).mapInArrow(_bits, "lang string, bits binary").collect()
     rows = sorted(rows, key=lambda r: (r["lang"], bytes(r["bits"])))
     if not rows:
@@ -135,7 +136,7 @@ def _predict(model):
 
 
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:
-    """(doc_id, lang_pred, score) of every document. The model sent along has PLACES x MOST_LANGUAGES numbers at most."""
+    """(doc_id, lang_pred, score) of every document. The model sent along has PLACES numbers a language."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     return docs.select("doc_id", text_bytes().alias("t")).mapInArrow(_predict(sent), f"doc_id {dict(docs.dtypes)['doc_id']}, lang_pred string, score double")
 

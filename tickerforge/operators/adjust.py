@@ -28,15 +28,24 @@ def event_factors(actions: DataFrame, bars: DataFrame) -> DataFrame:
     splits = actions.where("action_type = 'split'").select(
         "security_id", "ex_date", "action_type", (F.col("split_denominator") / F.col("split_numerator")).alias("price_factor"),
         (F.col("split_numerator") / F.col("split_denominator")).alias("volume_factor"), F.lit(None).cast("string").alias("skipped"),
+        F.lit(None).cast(dict(bars.dtypes)["close"]).alias("prior_close"), F.lit(None).cast(dict(actions.dtypes)["dividend_amount"]).alias("dividend_amount"),
     )
     p, d = F.col("prior_close"), F.col("dividend_amount")
     dividends = dividend_reference(actions, bars).where(d > 0).select(
         "security_id", "ex_date", "action_type", F.when((p > 0) & (d < p), (p - d) / p).alias("price_factor"), F.lit(1.0).alias("volume_factor"),
         F.when(p.isNull() | (p <= 0), F.lit("dividend_no_prior_close")).when(d >= p, F.lit("dividend_exceeds_price")).alias("skipped"),
+        "prior_close", "dividend_amount",
     )
     return splits.unionByName(dividends)
 
 
+def skipped_flags(actions: DataFrame, bars: DataFrame) -> DataFrame:
+    """Flags of the actions that give no factor: a dividend without a close before it, or one that is no less than that."""
+    missing = F.col("skipped") == "dividend_no_prior_close"
+    skipped = event_factors(actions, bars).where("skipped IS NOT NULL")
+    return skipped.select(F.col("skipped").alias("check_name"), F.when(missing, "info").otherwise("warn").alias("severity"), "security_id", F.col("ex_date").alias("record_date"), F.to_json(F.struct("prior_close", "dividend_amount")).alias("detail"))
+
+
 def adjustment_factors(actions: DataFrame, bars: DataFrame) -> DataFrame:
     """Cumulative factors (security_id, effective_date, price_factor, volume_factor) in double: for each ex-date the product of its own and all later actions."""
     applied = event_factors(actions, bars).where("skipped IS NULL")

@@ -24,9 +24,18 @@ def upsert(stored: DataFrame, news: DataFrame, keys: list[str], ordinal: str | N
     return stored.join(fresh.select(*keys), keys, "left_anti").select(*stored.columns).unionByName(fresh)
 
 
-def replace_groups(stored: DataFrame, news: DataFrame, key: str) -> DataFrame:
-    """The stored rows of other keys, and the news."""
-    return stored.join(news.select(key).distinct(), key, "left_anti").select(*stored.columns).unionByName(news.select(*stored.columns))
+def replace_groups(stored: DataFrame, news: DataFrame, key: str, affected: DataFrame | None = None) -> DataFrame:
+    """The stored rows of other keys, and the news.
+
+    The rows of all ``affected`` keys go, also of those that have no news (without it: the keys of the news).
+    """
+    gone = (news if affected is None else affected.select(key).unionByName(news.select(key))).select(key).distinct()
+    return stored.join(gone, key, "left_anti").select(*stored.columns).unionByName(news.select(*stored.columns))
+
+
+def upsert_profile(stored: DataFrame, news: DataFrame, ordinal: str | None = None) -> DataFrame:
+    """Company profiles by security: a new description replaces the stored one, a null one too."""
+    return upsert(stored, news, ["security_id"], ordinal)
 
 
 #: Fields that keep their stored value where the news have none.

@@ -54,6 +54,13 @@ def good_and_bad(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
     return checked.where("reason IS NULL").drop("reason"), flags
 
 
+def good_and_bad_actions(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Valid actions, and flags of the others, named by their reason."""
+    bad = checked.where("reason IS NOT NULL")
+    flags = bad.select(F.col("reason").alias("check_name"), F.lit("warn").alias("severity"), "security_id", F.col("ex_date").alias("record_date"), F.to_json(F.struct("action_type", "split_numerator", "split_denominator", "dividend_amount")).alias("detail"))
+    return checked.where("reason IS NULL").drop("reason"), flags
+
+
 def checked_actions(splits: DataFrame | None, dividends: DataFrame | None) -> DataFrame:
     """Corporate actions from both feeds with ``reason``; splits need both parts above zero, dividends an amount of zero or more."""
     parts = []

@@ -20,25 +20,13 @@ def rounded(frame: DataFrame, places: int = PLACES, **own: int) -> DataFrame:
     return frame.select(*[F.round(c, own.get(c, places)).alias(c) if t == "double" else F.col(c) for c, t in frame.dtypes])
 
 
-#: Keeps products of prices and powers of two off exact halves, which engines round differently.
-NUDGE = 2.3e-8
-
-
-def nudged(frame: DataFrame, places: int = PLACES) -> DataFrame:
-    return frame.select(*[F.round(F.col(c) + NUDGE, places).alias(c) if t == "double" else F.col(c) for c, t in frame.dtypes])
-
-
-def sql_nudged(columns: str, places: int = PLACES) -> str:
-    return ", ".join(f"round({c} + {NUDGE}::DOUBLE, {places}) + 0.0 AS {c}" for c in columns.split())
-
-
 def sql_rounded(columns: str, places: int = PLACES) -> str:
     return ", ".join(f"{sql_round(c, places)} AS {c}" for c in columns.split())
 
 
 def sql_round(x: str, places: int = PLACES) -> str:
     """Spark rounds a double by its shortest decimal form, so the SQL does too."""
-    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 14)), {places}) AS DOUBLE)"
+    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 18)), {places}) AS DOUBLE)"
 
 
 #: Cumulative factors as common table expressions after bars and actions.
@@ -72,10 +60,10 @@ def price_history_raw(spark, sf_dir):
     return market.bars(spark, sf_dir).where((F.col("security_id") == 7) & F.col("trade_date").between("1997-01-01", "1998-12-31"))
 
 
-@query(f"WITH {FACTORS} SELECT security_id, trade_date, {sql_nudged(ADJUSTED_COLUMNS)} FROM adjusted", "bars actions")
+@query(f"WITH {FACTORS} SELECT security_id, trade_date, {sql_rounded(ADJUSTED_COLUMNS)} FROM adjusted", "bars actions")
 def price_history_adjusted(spark, sf_dir):
     """All bars adjusted for splits and dividends."""
-    return nudged(adjusted(spark, sf_dir))
+    return rounded(adjusted(spark, sf_dir))
 
 
 @query(f"WITH {FACTORS} SELECT security_id, effective_date, {sql_rounded('price_factor volume_factor')} FROM factors", "bars actions")
@@ -120,9 +108,9 @@ def _resample_sql(frequency: str, of: str) -> str:
 def _add_resample(frequency: str) -> None:
     name = f"resample_{frequency.replace('-', '_')}"
 
-    @query(f"WITH {FACTORS}, r AS ({_resample_sql(frequency, 'adjusted')}) SELECT security_id, label AS trade_date, {sql_nudged('open high low close volume')} FROM r", "bars actions", name)
+    @query(f"WITH {FACTORS}, r AS ({_resample_sql(frequency, 'adjusted')}) SELECT security_id, label AS trade_date, {sql_rounded('open high low close volume')} FROM r", "bars actions", name)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return nudged(resample.resample(adjusted(spark, sf_dir), frequency))
+        return rounded(resample.resample(adjusted(spark, sf_dir), frequency))
 
 
 for _f in _LABELS:
@@ -198,7 +186,7 @@ def dividend_adjusted_return(spark, sf_dir):
 
 
 @query(
-    f"""WITH {RETURNS} SELECT coalesce(a.trade_date, b.trade_date) AS trade_date, coalesce(a.security_id, b.security_id) AS security_id, round(a.r - b.r, 6) AS r
+    f"""WITH {RETURNS.replace("returns AS (", "returns AS MATERIALIZED (", 1)} SELECT coalesce(a.trade_date, b.trade_date) AS trade_date, coalesce(a.security_id, b.security_id) AS security_id, round(a.r - b.r, 6) AS r
     FROM (SELECT * FROM returns WHERE trade_date < DATE '2000-01-01') a FULL JOIN (SELECT security_id - 1 AS security_id, trade_date, r FROM returns WHERE security_id > 1) b ON a.security_id = b.security_id AND a.trade_date = b.trade_date""",
     "bars",
 )
@@ -218,24 +206,19 @@ def periods_per_year(spark, sf_dir):
     return returns.periods_per_year(market.bars(spark, sf_dir))
 
 
-# A few first returns to the power of the periods in a year can be of any size: a year's worth is shown.
-@query(f"WITH {CUMULATIVE}, {PPY} SELECT c.security_id, c.trade_date, round(pow(1 + cr, ppy::DOUBLE / n) - 1, 4) + 0.0 AS close_annual_simple FROM (SELECT *, count(cr) OVER so_far AS n FROM cumulative {_W}) c JOIN ppy USING (security_id) WHERE n >= 52", "bars")
-def annualized_simple(spark, sf_dir):
-    return _annual_simple(spark, sf_dir).where("n >= 52").drop("n")
+# A few first returns to the power of the periods in a year can be of any size: seven digits are shown.
+_ANNUAL = f"WITH {CUMULATIVE}, {PPY} SELECT c.security_id, c.trade_date, CAST(printf('%.6e', pow(1 + cr, ppy::DOUBLE / n) - 1) AS DOUBLE) + 0.0 AS close_annual_simple FROM (SELECT *, count(cr) OVER so_far AS n FROM cumulative {_W}) c LEFT JOIN ppy USING (security_id)"
 
 
-# Engines differ in the last digits of such powers, so there is no SQL for all of them; tests compare with plain Python.
-@query()
-def annualized_simple_all(spark, sf_dir):
+@query(_ANNUAL, "bars")
+def annualized_simple(spark, sf_dir):
     """The yearly rate of every bar, from a security's first; null without a return so far."""
-    return _annual_simple(spark, sf_dir).drop("n")
+    rows = _cumulative(spark, sf_dir).withColumn("n", F.count("cr").over(returns.so_far())).join(returns.periods_per_year(market.bars(spark, sf_dir)), "security_id", "left")
+    rate = returns.annualized(F.col("cr"), F.col("ppy"), "simple")
+    return rows.select("security_id", "trade_date", (F.when(rate.isNotNull(), F.format_string("%.6e", rate)).cast("double") + 0.0).alias("close_annual_simple"))
 
 
-def _annual_simple(spark, sf_dir) -> DataFrame:
-    """Every bar's yearly rate, and the number n of returns up to it."""
-    rows = _cumulative(spark, sf_dir).withColumn("n", F.count("cr").over(returns.so_far())).join(returns.periods_per_year(market.bars(spark, sf_dir)), "security_id", "left")
-    rate = rows.withColumn("close_annual_simple", returns.annualized(F.col("cr"), F.col("ppy"), "simple"))
-    return rounded(rate.select("security_id", "trade_date", "close_annual_simple", "n"), 4)
+query(_ANNUAL, "bars", "annualized_simple_all")(annualized_simple)
 
 
 @query(f"WITH {CUMULATIVE}, {PPY} SELECT c.security_id, c.trade_date, round(cl * ppy / n, 4) + 0.0 AS close_annual_log FROM (SELECT *, count(cl) OVER so_far AS n FROM cumulative {_W}) c JOIN ppy USING (security_id)", "bars")
@@ -250,9 +233,10 @@ def sma(spark, sf_dir):
 
 
 def _ewm_sql(x: str, alpha: str, warm: int, of: str, name: str) -> str:
-    """An exponential mean over column ``x`` of ``of`` (with row number n) as a common table expression."""
-    return f"""{name} AS (SELECT a.security_id, a.trade_date, a.n, CASE WHEN a.n >= {warm} THEN sum(b.{x} * pow(1 - {alpha}, a.n - b.n) * CASE WHEN b.n = 1 THEN 1 ELSE {alpha} END) END AS y
-    FROM {of} a JOIN {of} b ON b.security_id = a.security_id AND b.n <= a.n GROUP BY 1, 2, 3)"""
+    """An exponential mean over column ``x`` of ``of`` (with row number n), step by step, as common table expressions."""
+    return f"""{name}_in AS MATERIALIZED (SELECT security_id, list({x} ORDER BY n) AS v, list(trade_date ORDER BY n) AS d FROM {of} GROUP BY 1),
+    {name}_step(security_id, n, y) AS (SELECT security_id, 1::BIGINT, v[1] FROM {name}_in UNION ALL SELECT p.security_id, p.n + 1, p.y + {alpha} * (i.v[p.n + 1] - p.y) FROM {name}_step p JOIN {name}_in i ON i.security_id = p.security_id WHERE p.n < len(i.v)),
+    {name} AS (SELECT p.security_id, i.d[p.n] AS trade_date, p.n, CASE WHEN p.n >= {warm} THEN p.y END AS y FROM {name}_step p JOIN {name}_in i ON i.security_id = p.security_id)"""
 
 
 _NUMBERED = "numbered AS (SELECT security_id, trade_date, close, row_number() OVER (PARTITION BY security_id ORDER BY trade_date) AS n FROM bars)"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tickerforge.operators import dq, merge, probe, state, trading_calendar, validate
+from tickerforge.operators import adjust, dq, merge, probe, state, trading_calendar, validate
 from tickerforge.plans.prices import sql_round
 from tickerforge.plans.register import query
 from tickerforge.sources import market, vendor
@@ -206,13 +206,45 @@ def load_windows(spark, sf_dir):
     return state.windows(market.bars(spark, sf_dir).groupBy("security_id").agg(F.max("trade_date").alias("watermark")))
 
 
-@query("SELECT security_id, ex_date, action_type, split_numerator FROM actions WHERE security_id % 3 <> 0 UNION ALL SELECT security_id, ex_date, action_type, 9.0 FROM actions WHERE security_id % 3 = 0 AND action_type = 'split'", "actions")
+@query("SELECT security_id, ex_date, action_type, split_numerator FROM actions WHERE security_id % 3 <> 0 UNION ALL SELECT security_id, ex_date, action_type, 9.0 FROM actions WHERE security_id % 6 = 0 AND action_type = 'split'", "actions")
 def replace_groups(spark, sf_dir):
-    """Rows of some securities replaced as a whole."""
+    """Rows of some securities replaced as a whole; those for which there is nothing new lose theirs."""
     stored = market.actions(spark, sf_dir).select("security_id", "ex_date", "action_type", "split_numerator")
-    return merge.replace_groups(stored, stored.where("security_id % 3 = 0 AND action_type = 'split'").withColumn("split_numerator", F.lit(9.0)), "security_id")
+    judged = stored.where("security_id % 3 = 0").select("security_id")
+    return merge.replace_groups(stored, stored.where("security_id % 6 = 0 AND action_type = 'split'").withColumn("split_numerator", F.lit(9.0)), "security_id", judged)
 
 
+@query("SELECT security_id, action_type, ex_date, 1.0 AS split_denominator, CASE WHEN action_type = 'split' THEN 3.0 END AS split_numerator, CASE WHEN action_type = 'dividend' THEN dividend_amount * 2 END AS dividend_amount FROM actions WHERE security_id % 2 = 0 UNION ALL SELECT security_id, action_type, ex_date, split_denominator, split_numerator, dividend_amount FROM actions WHERE security_id % 2 <> 0 UNION ALL SELECT security_id + 1000000, action_type, ex_date, 1.0, CASE WHEN action_type = 'split' THEN 3.0 END, CASE WHEN action_type = 'dividend' THEN dividend_amount * 2 END FROM actions WHERE security_id % 2 = 0", "actions")
+def upsert_actions(spark, sf_dir):
+    """Stored actions after a load that corrects some and adds others, by (security, type, ex-date)."""
+    stored = market.actions(spark, sf_dir).select("security_id", "action_type", "ex_date", "split_denominator", "split_numerator", "dividend_amount")
+    right = stored.where("security_id % 2 = 0").select("security_id", "action_type", "ex_date", F.lit(1.0).alias("split_denominator"), F.when(F.col("action_type") == "split", 3.0).alias("split_numerator"), F.when(F.col("action_type") == "dividend", F.col("dividend_amount") * 2).alias("dividend_amount"), F.lit(2).alias("load"))
+    wrong = right.withColumns({"split_denominator": F.lit(7.0), "load": F.lit(1)})
+    return merge.upsert(stored, right.unionByName(wrong).unionByName(right.withColumn("security_id", F.col("security_id") + 1000000)), ["security_id", "action_type", "ex_date"], "load")
+
+
+@query(
+    """WITH checked AS (SELECT security_id, action_type, ex_date, dividend_amount * 30000 AS amount, CASE WHEN action_type = 'split' AND security_id % 4 = 0 THEN 'split_invalid' WHEN action_type = 'dividend' AND security_id % 4 = 1 THEN 'dividend_invalid' END AS reason FROM actions),
+    prior AS (SELECT c.security_id, c.ex_date, c.amount, arg_max(b.close, b.trade_date) AS p FROM checked c LEFT JOIN bars b ON b.security_id = c.security_id AND b.trade_date < c.ex_date WHERE c.reason IS NULL AND c.action_type = 'dividend' GROUP BY 1, 2, 3),
+    flags AS (SELECT reason AS check_name, 'warn' AS severity FROM checked WHERE reason IS NOT NULL UNION ALL SELECT CASE WHEN p IS NULL THEN 'dividend_no_prior_close' ELSE 'dividend_exceeds_price' END, CASE WHEN p IS NULL THEN 'info' ELSE 'warn' END FROM prior WHERE p IS NULL OR amount >= p)
+    SELECT check_name, severity, count(*) AS n FROM flags GROUP BY 1, 2""",
+    "bars actions",
+)
+def action_flags(spark, sf_dir):
+    """Actions that are not stored, and stored ones that give no factor, by the flag that tells."""
+    a, bad = market.actions(spark, sf_dir), F.col("security_id") % 4
+    splits = a.where("action_type = 'split'").select("security_id", F.col("ex_date").cast("string").alias("date"), F.lit("3").alias("splitTo"), F.when(bad == 0, "0").otherwise("1").alias("splitFrom"))
+    paid = a.where("action_type = 'dividend'").select("security_id", F.col("ex_date").cast("string").alias("date"), F.when(bad == 1, F.lit(-1.0)).otherwise(F.col("dividend_amount") * 30000).alias("dividend"))
+    good, flags = validate.good_and_bad_actions(validate.checked_actions(splits, paid))
+    return dq.open_flags(flags.unionByName(adjust.skipped_flags(good, market.bars(spark, sf_dir))))
+
+
+@query("SELECT l_orderkey AS orderkey, l_linenumber AS linenumber, l_partkey AS partkey, l_suppkey AS suppkey, l_quantity AS open, l_extendedprice AS close, l_discount AS adjclose, l_tax AS adj FROM lineitem")
+def plain_names(spark, sf_dir):
+    """A feed's columns in lower case, without the prefix of adjusted ones where the plain name is free."""
+    feed = market.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("OrderKey"), F.col("l_linenumber").alias("lineNumber"), F.col("l_partkey").alias("adjPartKey"), F.col("l_suppkey").alias("SuppKey"), F.col("l_quantity").alias("adjOpen"), F.col("l_extendedprice").alias("Close"), F.col("l_discount").alias("adjClose"), F.col("l_tax").alias("Adj"))
+    return vendor.plain_names(feed)
+
 @query("SELECT security_id, action_type, ex_date, CASE WHEN action_type = 'split' THEN 3.0 END AS split_numerator, CASE WHEN action_type = 'dividend' THEN dividend_amount END AS dividend_amount, CASE WHEN action_type = 'split' AND security_id % 4 = 0 THEN 'split_invalid' WHEN action_type = 'dividend' AND security_id % 4 = 1 THEN 'dividend_invalid' END AS reason FROM (SELECT security_id, action_type, ex_date, CASE WHEN security_id % 4 = 1 THEN -dividend_amount ELSE dividend_amount END AS dividend_amount FROM actions)", "actions")
 def checked_actions(spark, sf_dir):
     """Splits and dividends in the vendor's spelling, with what is wrong with them."""

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tickerforge.functions import scalars
 from tickerforge.operators import delisting, merge, rates, screen, stats, validate
-from tickerforge.plans.prices import NUDGE, nudged, rounded
+from tickerforge.plans.prices import rounded, sql_round
 from tickerforge.plans.register import query
 from tickerforge.sources import market
 
@@ -101,16 +101,15 @@ _MASTER = ["security_id", "source", "primary_symbol", "exchange_code", "company_
 @query(
     """WITH stored AS (SELECT security_id, symbol, exchange_code, company_name, market_cap_usd, beta, is_actively_trading, delisted_date FROM securities WHERE security_id % 4 <> 0)
     SELECT security_id, symbol AS primary_symbol, exchange_code, CASE WHEN delisted_date IS NULL THEN 'new ' || company_name ELSE company_name END AS company_name, market_cap_usd, CASE WHEN delisted_date IS NULL THEN coalesce(0.5, beta) ELSE beta END AS beta, is_actively_trading, delisted_date FROM stored
-    UNION ALL SELECT NULL, symbol, exchange_code, 'new ' || company_name, NULL, 0.5, TRUE, NULL FROM securities WHERE security_id % 4 = 0 OR delisted_date IS NOT NULL""",
+    UNION ALL SELECT (SELECT max(security_id) FROM stored) + row_number() OVER (ORDER BY sha256('vendor|' || symbol || '|' || exchange_code)[:3], symbol, exchange_code), symbol, exchange_code, 'new ' || company_name, NULL, 0.5, TRUE, NULL FROM securities WHERE security_id % 4 = 0 OR delisted_date IS NOT NULL""",
     "securities",
 )
 def upsert_securities(spark, sf_dir):
-    """The master after a load: listed ones updated, delisted ones left, the rest minted (their ids, set by hash order, are shown as null)."""
+    """The master after a load: listed ones updated, delisted ones left, the rest minted."""
     s = market.securities(spark, sf_dir).select("security_id", F.lit("vendor").alias("source"), F.col("symbol").alias("primary_symbol"), "exchange_code", "company_name", "market_cap_usd", "beta", "is_actively_trading", "delisted_date")
     stored = s.where("security_id % 4 <> 0").select(*_MASTER)
     news = s.select("source", "primary_symbol", "exchange_code", F.concat(F.lit("new "), "company_name").alias("company_name"), F.lit(None).cast("double").alias("market_cap_usd"), F.lit(0.5).alias("beta"), F.lit(True).alias("is_actively_trading"), F.lit(None).cast("date").alias("delisted_date"))
-    top = stored.agg(F.max("security_id").alias("top"))
-    return merge.upsert_securities(stored, news).crossJoin(F.broadcast(top)).withColumn("security_id", F.when(F.col("security_id") <= F.col("top"), F.col("security_id"))).drop("top", "source")
+    return merge.upsert_securities(stored, news).drop("source")
 
 
 @query(f"""WITH {_XREF}, gone AS (SELECT security_id, DATE '2002-06-30' AS d FROM securities WHERE security_id % 5 = 1)
@@ -126,6 +125,23 @@ def mark_delisted(spark, sf_dir):
     return after.select("security_id", "is_actively_trading", "delisted_date").join(still, "security_id", "left").select("security_id", "is_actively_trading", "delisted_date", F.coalesce("n", F.lit(0)).alias("open_periods"))
 
 
+@query("SELECT security_id, 'new ' || symbol AS description FROM securities WHERE security_id % 3 = 0 UNION ALL SELECT security_id, 'about ' || symbol FROM securities WHERE security_id % 2 = 0 AND security_id % 3 <> 0", "securities")
+def upsert_profile(spark, sf_dir):
+    """Stored descriptions after a load; of two news for a security the later counts."""
+    s = market.securities(spark, sf_dir)
+    stored = s.where("security_id % 2 = 0").select("security_id", F.concat(F.lit("about "), "symbol").alias("description"))
+    late = s.where("security_id % 3 = 0").select("security_id", F.concat(F.lit("new "), "symbol").alias("description"), F.lit(2).alias("ordinal"))
+    return merge.upsert_profile(stored, late.unionByName(late.withColumns({"description": F.lit("old"), "ordinal": F.lit(1)})), "ordinal")
+
+
+@query("SELECT security_id, CASE WHEN security_id % 3 = 0 THEN 1000.0 + security_id WHEN security_id % 3 = 1 THEN NULL ELSE market_cap_usd END AS market_cap_usd, CASE WHEN security_id % 3 = 0 THEN NULL WHEN security_id % 3 = 1 THEN 1.5 ELSE beta END AS beta FROM securities", "securities")
+def enriched_securities(spark, sf_dir):
+    """Market value and beta of the profiles that have either; others change nothing."""
+    s, k = market.securities(spark, sf_dir).select("security_id", "market_cap_usd", "beta"), F.col("security_id")
+    profiles = s.select("security_id", F.when(k % 3 == 0, 1000.0 + k).alias("market_cap_usd"), F.when(k % 3 == 1, F.lit(1.5)).alias("beta"))
+    return merge.enriched(s, profiles)
+
+
 @query("SELECT n_nationkey, n_name, n_name || '' AS name FROM nation WHERE n_nationkey < 10 UNION ALL SELECT n_nationkey, n_name, 'new' FROM nation WHERE n_nationkey >= 10")
 def insert_missing(spark, sf_dir):
     """Known keys keep their row."""
@@ -136,12 +152,12 @@ def insert_missing(spark, sf_dir):
 def _summary_of(c: str) -> str:
     x = f"CAST({c} AS DOUBLE)"
     parts = {"min": f"min({x})", "p25": f"quantile_cont({x}, 0.25)", "median": f"quantile_cont({x}, 0.5)", "mean": f"avg({x})", "p75": f"quantile_cont({x}, 0.75)", "max": f"max({x})"}
-    return f"SELECT '{c}' AS field, count(*) AS n, min(trade_date) AS min_date, max(trade_date) AS max_date, " + ", ".join(f"round({e} + {NUDGE}::DOUBLE, 4) AS {n}" for n, e in parts.items()) + " FROM bars"
+    return f"SELECT '{c}' AS field, count(*) AS n, min(trade_date) AS min_date, max(trade_date) AS max_date, " + ", ".join(f"{sql_round(e, 4)} AS {n}" for n, e in parts.items()) + " FROM bars"
 
 
 @query(" UNION ALL ".join(map(_summary_of, ("open", "high", "low", "close", "volume"))), "bars")
 def summary_stats(spark, sf_dir):
-    return nudged(stats.summary(market.bars(spark, sf_dir).drop("security_id"), "trade_date"), 4)
+    return rounded(stats.summary(market.bars(spark, sf_dir).drop("security_id"), "trade_date"), 4)
 
 
 @query("SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 THEN 'AMEX' WHEN p_partkey % 5 = 1 THEN 'NYSE' WHEN p_partkey % 5 = 2 THEN 'NASDAQ DUBAI' WHEN p_partkey % 5 = 3 THEN 'BATS' END AS exchange_code, p_partkey % 5 IN (0, 1, 3) AS is_us FROM part")
@@ -212,14 +228,14 @@ _GRID = f"grid AS (SELECT curve_date, 6 * k AS months, rate FROM (SELECT curve_d
       UNION ALL SELECT curve_date, k + 1, 0.0, list_append(rates, v), v FROM (
         SELECT z.curve_date, z.k, z.rates, CASE WHEN g.months <= 12 THEN g.rate ELSE 200 * (pow((1 - g.rate / 200 * list_sum(list_transform(range(1, z.k + 1), lambda i: 1 / pow(1 + z.rates[i] / 200, i)))) / (1 + g.rate / 200), -1.0 / (z.k + 1)) - 1) END AS v
         FROM z JOIN grid g ON g.curve_date = z.curve_date AND g.months = 6 * (z.k + 1)))
-    SELECT curve_date, CAST(6 * k AS DOUBLE) AS months, round(zero, 6) AS rate FROM z WHERE k > 0""",
+    SELECT curve_date, CAST(6 * k AS DOUBLE) AS months, round(zero, 4) AS rate FROM z WHERE k > 0""",
     "curve",
 )
 def curve_bootstrap(spark, sf_dir):
     """Zero rates of rising curves on a six-month grid up to ten years."""
     base = market.curve(spark, sf_dir).groupBy("curve_date").agg(F.avg("rate").alias("base"))
     grid = base.select("curve_date", "base", F.explode(F.sequence(F.lit(1), F.lit(20))).alias("k")).select("curve_date", (F.col("k") * 6).cast("double").alias("months"), (F.col("base") / 2 + F.col("k") * 0.05).alias("rate"))
-    return rounded(rates.bootstrap(grid))
+    return rounded(rates.bootstrap(grid), 4)
 
 
 @query("SELECT symbol, CASE WHEN market_cap_usd < 0 THEN NULL ELSE market_cap_usd END AS market_cap_usd, CASE WHEN security_id % 4 = 1 THEN NULL ELSE beta END AS beta FROM securities", "securities")

@@ -130,6 +130,14 @@ def flatten_frame(raw: DataFrame, schema: str, column: str = "payload") -> DataF
     return raw.select(*rest, F.explode(rows).alias("_r")).select(*rest, "_r.*")
 
 
+def plain_names(feed: DataFrame) -> DataFrame:
+    """Columns in lower case, and ``adjclose`` as ``close`` unless there is one; of names that fall together all but the first are left out."""
+    names = [c.lower() for c in feed.columns]
+    short = [c.removeprefix("adj").strip() for c in names]
+    found = [s if s and s not in names else c for c, s in zip(names, short)]
+    return feed.select(*[F.col(f"`{c}`").alias(n) for i, (c, n) in enumerate(zip(feed.columns, found)) if n not in found[:i]])
+
+
 def names_of(payload: list, field: str) -> list[str]:
     """Names from a list of texts or of records with the field; blanks are left out."""
     found = (x.get(field) if isinstance(x, dict) else x for x in payload)
@@ -141,17 +149,36 @@ def landed(answers: DataFrame) -> DataFrame:
     return answers.withColumn("payload_hash", F.sha2("payload", 256)).withColumn("n_bytes", F.octet_length("payload").cast("long"))
 
 
+_BAR = "symbol string, date string, open double, high double, low double, close double, volume double, vwap double"
+_PARTS = "adjOpen double, adjHigh double, adjLow double, adjClose double, unadjustedVolume double"
+# The vendor's fields of each endpoint.
+ENDPOINTS = {
+    "stock_list": "symbol string, companyName string, name string, exchangeShortName string, exchange string, type string, price double",
+    "etf_list": "symbol string, name string, exchangeShortName string, exchange string, price double",
+    "company_screener": "symbol string, companyName string, marketCap double, sector string, industry string, beta double, price double, lastAnnualDividend double, volume double, exchange string, exchangeShortName string, country string, isEtf boolean, isFund boolean, isActivelyTrading boolean",
+    "delisted_companies": "symbol string, companyName string, exchange string, ipoDate string, delistedDate string",
+    "profile": "symbol string, companyName string, marketCap double, mktCap double, beta double, sector string, industry string, description string, cik string, isin string, cusip string, ipoDate string, exchange string, exchangeShortName string",
+    "eod_raw": f"{_BAR}, {_PARTS}",
+    "eod_split_adjusted": f"{_BAR}, {_PARTS}",
+    "splits": "symbol string, date string, numerator double, denominator double, splitTo double, splitFrom double",
+    "dividends": "symbol string, date string, recordDate string, paymentDate string, declarationDate string, dividend double, adjDividend double",
+    "sectors": "sector string",
+    "industries": "industry string",
+    "treasury_rates": "date string, month1 double, month2 double, month3 double, month6 double, year1 double, year2 double, year3 double, year5 double, year7 double, year10 double, year20 double, year30 double",
+    "actively_trading": "symbol string, name string",
+}
+
+
 class FileSource:
-    """The vendor's datasets as files in a folder, one per endpoint, read by name."""
+    """The vendor's datasets as files of answers in a folder, one per endpoint, read by name with the endpoint's schema.
 
-    # The endpoints that there are.
-    ENDPOINTS = ("stock_list", "etf_list", "company_screener", "delisted_companies", "profile", "eod_raw", "eod_split_adjusted", "splits", "dividends", "sectors", "industries", "treasury_rates", "actively_trading")
+    A field that the file lacks, or whose value is of another type, is null.
+    """
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark, self.folder = spark, folder
 
     def read(self, endpoint: str, schema: str | None = None) -> DataFrame:
-        if endpoint not in self.ENDPOINTS:
+        if endpoint not in ENDPOINTS:
             raise SourceError(f"no endpoint {endpoint!r}")
-        reader = self.spark.read.option("multiLine", True)
-        return (reader.schema(schema) if schema else reader).json(f"{self.folder}/{endpoint}.json")
+        return self.spark.read.option("multiLine", True).schema(schema or ENDPOINTS[endpoint]).json(f"{self.folder}/{endpoint}.json")

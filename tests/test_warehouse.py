@@ -2,6 +2,7 @@ import datetime as dt
 import json
 from decimal import Decimal
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -272,3 +273,31 @@ def test_nightly_update_and_reset(spark):
     assert daily.reset(out, "prices", dry_run=False)[0]["daily_price"].count() == 0
     with pytest.raises(ValueError):
         daily.reset(out, "nothing")
+
+
+def test_quantiles_are_exact(spark):
+    from tickerforge.operators import stats
+
+    rng = np.random.default_rng(4)
+    fields = {
+        "normal": rng.normal(size=999), "ties": rng.integers(0, 5, 400).astype(float), "wide": np.exp(rng.normal(size=501) * 50) * rng.choice([-1, 1], 501), "one": np.array([3.5]), "two": np.array([-1.0, 2.0]),
+        "close": 1e6 + rng.random(300) * 1e-6, "edge": np.array([-np.inf, -1.0, 0.0, 0.0, 1e-310, 1.0, np.inf, np.inf]),
+    }
+    frame = spark.createDataFrame([(f, float(v)) for f, vs in fields.items() for v in vs], "field string, x double")
+    ps = (0.0, 0.25, 0.5, 0.9, 1.0)
+    got = {(r["field"], r["p"]): r["value"] for r in stats.quantiles(frame, ps).collect()}
+    assert len(got) == len(fields) * len(ps)
+    for f, vs in fields.items():
+        for p in ps:
+            v, at = np.sort(vs), p * (len(vs) - 1)
+            a, b = v[int(np.floor(at))], v[int(np.ceil(at))]
+            assert got[f, p] == pytest.approx(a if a == b else a + (b - a) * (at - np.floor(at)), rel=1e-12)
+
+
+def test_summary_of_nulls_and_nothing(spark):
+    from tickerforge.operators import stats
+
+    frame = spark.createDataFrame([(D(2023, 1, 1), 1.0, None), (D(2023, 1, 2), float("nan"), None)], "date date, a double, b double")
+    rows = {r["field"]: r for r in stats.summary(frame).collect()}
+    assert (rows["a"]["n"], rows["a"]["median"], rows["a"]["max"]) == (2, 1.0, 1.0) and rows["b"]["p25"] is None
+    assert stats.summary(frame.limit(0)).count() == 0

@@ -76,21 +76,23 @@ def interpolate(curve: DataFrame, interval: str = "semi-annual") -> DataFrame:
     own points, null. A date with fewer than two points is left out.
     """
     rows = with_months(curve)
-    grid = [r["months"] for r in target_tenors(curve, interval).orderBy("months").collect()]  # one point per tenor
+    # One row of as many numbers as there are tenors; it goes along with the few points of each date.
+    tenors = target_tenors(curve, interval).agg(F.sort_array(F.collect_set("months")).alias("_grid"))
+    existing = rows.agg(F.collect_set("months").alias("_existing"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         own = pdf.dropna(subset=["rate"]).sort_values("months")
         if len(own) < 2:
             return pd.DataFrame(columns=["curve_date", "months", "rate"])
-        x, y, at = own["months"].to_numpy(float), own["rate"].to_numpy(float), np.array(grid)
+        x, y, at = own["months"].to_numpy(float), own["rate"].to_numpy(float), np.array(pdf["_grid"].iloc[0])
         values = np.where((at >= x[0]) & (at <= x[-1]), spline(x, y, at), np.nan)
-        there = np.isin(at, np.array(existing))
+        there = np.isin(at, np.array(pdf["_existing"].iloc[0]))
         given = dict(zip(x, y))
         values = [given.get(m) if e else (None if np.isnan(v) else v) for m, v, e in zip(at, values, there)]
         return pd.DataFrame({"curve_date": pdf["curve_date"].iloc[0], "months": at, "rate": pd.Series(values, dtype=object)})
 
-    existing = [r["months"] for r in rows.select("months").distinct().collect()]
-    return rows.select("curve_date", "months", "rate").groupBy("curve_date").applyInPandas(run, "curve_date date, months double, rate double")
+    known = rows.select("curve_date", "months", "rate").crossJoin(F.broadcast(tenors)).crossJoin(F.broadcast(existing))
+    return known.groupBy("curve_date").applyInPandas(run, "curve_date date, months double, rate double")
 
 
 def zero_at(months: float, known: list[tuple[float, float]]) -> float | None:

@@ -2,12 +2,51 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from tickerforge.operators.returns import numeric_columns
 
 
+#: Buckets of a doubling of the values, and parts that one such bucket is cut into.
+FINE, PARTS = 1024, 1 << 20
+
+
+def quantiles(values: DataFrame, ps: tuple[float, ...]) -> DataFrame:
+    """(field, p, value): exact interpolated quantiles of each field of (field, x), in rounds of counting.
+
+    The first round counts buckets by magnitude (a thousandth of a doubling each), the second cuts the buckets
+    that hold a wanted rank into a million parts, the third counts the single values of a part, of which
+    there are a few million at most, as doubles of one magnitude are evenly spaced. Counts are combined before
+    they are shuffled, so no task holds the values of a field, however many; only the wanted buckets, two a
+    quantile, are broadcast.
+    """
+    x = F.col("x")
+    size = F.floor(F.log2(F.abs(x)) * FINE)
+    b1 = F.when(x == 0, 0).when(F.abs(x) == float("inf"), F.signum(x) * 9e6).otherwise(F.signum(x) * (3e6 + size)).cast("long")
+    rows = values.withColumn("b1", b1)
+
+    def located(counts: DataFrame, within: list[str], order: str, wanted: DataFrame, keep: list[str]) -> DataFrame:
+        """The bucket of each wanted rank, and the rank within it."""
+        upto = counts.withColumn("_upto", F.sum("n").over(Window.partitionBy(*within).orderBy(order)))
+        hit = upto.join(F.broadcast(wanted), within).where("rank < _upto AND rank >= _upto - n")
+        return hit.select(*within, order, "p", "side", "share", (F.col("rank") - F.col("_upto") + F.col("n")).alias("rank"), *keep)
+
+    first = rows.groupBy("field", "b1").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+    at = F.col("p") * (F.col("total") - 1)
+    sides = F.array(F.struct(F.lit("lo").alias("side"), F.floor(at).alias("rank")), F.struct(F.lit("hi").alias("side"), F.ceil(at).alias("rank")))
+    wanted = first.groupBy("field").agg(F.sum("n").alias("total")).select("field", "total", F.explode(F.lit(list(ps))).alias("p")).select("field", "p", (at - F.floor(at)).alias("share"), F.inline(sides))
+    one = located(first, ["field"], "b1", wanted, ["lo", "hi"])
+
+    part = F.when(F.col("hi") > F.col("lo"), F.floor((x - F.col("lo")) / (F.col("hi") - F.col("lo")) * PARTS)).otherwise(0).cast("long")
+    inner = rows.join(F.broadcast(one.select("field", "b1", "lo", "hi").distinct()), ["field", "b1"]).withColumn("b2", part)
+    two = located(inner.groupBy("field", "b1", "b2").agg(F.count(F.lit(1)).alias("n")), ["field", "b1"], "b2", one.drop("lo", "hi"), [])
+    last = inner.join(F.broadcast(two.select("field", "b1", "b2").distinct()), ["field", "b1", "b2"]).groupBy("field", "b1", "b2", "x").agg(F.count(F.lit(1)).alias("n"))
+    three = located(last, ["field", "b1", "b2"], "x", two, [])
+    low, high = F.max(F.when(F.col("side") == "lo", x)), F.max(F.when(F.col("side") == "hi", x))
+    return three.groupBy("field", "p", "share").agg(low.alias("_a"), high.alias("_b")).select("field", "p", F.when(F.col("_a") == F.col("_b"), F.col("_a")).otherwise(F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("share")).alias("value"))
+
+
 def summary(frame: DataFrame, date: str = "date") -> DataFrame:
     """One row per numeric column: count of rows, first and last date, least, quartiles, mean and largest.
 
@@ -18,10 +57,14 @@ def summary(frame: DataFrame, date: str = "date") -> DataFrame:
         return frame.sparkSession.createDataFrame([], "field string, n long, min_date date, max_date date, min double, p25 double, median double, mean double, p75 double, max double")
     clean = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in columns}
     dates = [F.min(date).alias("_a"), F.max(date).alias("_b")] if date in frame.columns else [F.lit(None).cast("date").alias("_a"), F.lit(None).cast("date").alias("_b")]
-    per = [F.struct(F.lit(c).alias("field"), F.min(x).alias("min"), F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"), F.avg(x).alias("mean"), F.max(x).alias("max")) for c, x in clean.items()]
+    per = [F.struct(F.lit(c).alias("field"), F.min(x).alias("min"), F.avg(x).alias("mean"), F.max(x).alias("max")) for c, x in clean.items()]
     one = frame.agg(F.count(F.lit(1)).alias("n"), *dates, F.array(*per).alias("_s")).where("n > 0")
-    s = one.select("n", "_a", "_b", F.explode("_s").alias("s"))
-    return s.select("s.field", "n", F.col("_a").alias("min_date"), F.col("_b").alias("max_date"), "s.min", F.get("s.q", F.lit(0)).alias("p25"), F.get("s.q", F.lit(1)).alias("median"), "s.mean", F.get("s.q", F.lit(2)).alias("p75"), "s.max")
+    s = one.select("n", "_a", "_b", F.explode("_s").alias("s")).select("n", "_a", "_b", "s.*")
+    values = frame.select(F.explode(F.array(*[F.struct(F.lit(c).alias("field"), x.alias("x")) for c, x in clean.items()])).alias("_v")).select("_v.*").where("x IS NOT NULL")
+    q = quantiles(values, (0.25, 0.5, 0.75))
+    wide = q.groupBy(F.col("field").alias("_f")).agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(n) for p, n in ((0.25, "p25"), (0.5, "median"), (0.75, "p75"))])
+    found = s.join(F.broadcast(wide), F.col("field") == F.col("_f"), "left")  # a row for each column
+    return found.select("field", "n", F.col("_a").alias("min_date"), F.col("_b").alias("max_date"), "min", "p25", "median", "mean", "p75", "max")
 
 
 def report(rows: list[Row], precision: int = 4) -> str:

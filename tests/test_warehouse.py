@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tickerforge import schemas
 from tickerforge.functions import scalars
 from tickerforge.functions.periods import date_range, parse_bounds
 from tickerforge.operators import dq, merge, probe, screen, state, trading_calendar, validate
@@ -133,6 +134,18 @@ def test_upserts_are_idempotent(spark):
     once = merge.upsert(stored, news, ["k", "d"])
     assert sorted(map(tuple, once.collect())) == sorted(map(tuple, merge.upsert(once, news, ["k", "d"]).collect()))
     assert sorted(map(tuple, merge.replace_groups(stored, news, "k").collect())) == sorted(map(tuple, news.collect()))
+    assert [r["k"] for r in merge.replace_groups(stored.unionByName(news.withColumn("k", F.col("k") + 10)), news.limit(0), "k", stored).orderBy("k").collect()] == [11, 12]
+
+
+def test_endpoints_are_read_by_their_schema(spark, tmp_path):
+    (tmp_path / "splits.json").write_text('[{"symbol": "A", "date": "2023-01-02", "numerator": 2, "denominator": 1, "label": "x"}]')
+    (tmp_path / "sectors.json").write_text("[]")
+    source = vendor.FileSource(spark, str(tmp_path))
+    row = source.read("splits").first()
+    assert (row["numerator"], row["splitTo"]) == (2.0, None) and "label" not in row
+    assert source.read("sectors").columns == ["sector"] and source.read("sectors").count() == 0
+    with pytest.raises(vendor.SourceError):
+        source.read("nothing")
 
 
 def test_calendar(spark):
@@ -226,10 +239,38 @@ def test_stream_loads_merges_and_moves_the_marks(spark, tmp_path):
 
     w = loader.Warehouse(spark, str(tmp_path / "store"))
     arrive("a.json", [bar("2023-06-01", 10.0), bar("2023-06-02", 10.0, high=5.0), bar("2023-06-05", 11.0)])
-    assert w.read("marks", loader.MARKS).first()["watermark"] == D(2023, 6, 1)
+    assert w.read_newest("marks", loader.MARKS).first()["watermark"] == D(2023, 6, 1)
+    runs = lambda: [r["status"] for r in w.read_added("runs", schemas.INGESTION_RUN).orderBy("run_id").collect()]
+    assert runs() == ["partial"]
     arrive("b.json", [bar("2023-06-01", 12.0), bar("2023-06-02", 10.0), bar("2023-06-05", 11.0)])
-    assert sorted((r["trade_date"], r["close"]) for r in w.read("bars", loader.CLEAN).collect()) == [(D(2023, 6, 1), 12.0), (D(2023, 6, 2), 10.0), (D(2023, 6, 5), 11.0)]
-    assert w.read("marks", loader.MARKS).first()["watermark"] == D(2023, 6, 5) and w.read("flags", loader.FLAGS).count() == 1
+    assert sorted((r["trade_date"], r["close"]) for r in w.read_years("bars", loader.CLEAN).collect()) == [(D(2023, 6, 1), 12.0), (D(2023, 6, 2), 10.0), (D(2023, 6, 5), 11.0)]
+    assert w.read_newest("marks", loader.MARKS).first()["watermark"] == D(2023, 6, 5) and w.read_added("flags", loader.FLAGS).count() == 1
+    assert runs() == ["partial", "success"]
+
+    # Other years stay as they are; of two writes in one file the higher ordinal counts, wherever it stands.
+    arrive("c.json", [bar("2024-01-02", 21.0) | {"ordinal": 2}, bar("2024-01-02", 20.0) | {"ordinal": 1}])
+    arrive("d.json", [bar("2024-01-03", 22.0)])
+    arrive("e.json", [bar("2024-01-03", 23.0)])
+    assert sorted((r["trade_date"], r["close"]) for r in w.read_years("bars", loader.CLEAN, years=[2024]).collect()) == [(D(2024, 1, 2), 21.0), (D(2024, 1, 3), 23.0)]
+    assert w._years("bars") == {"year=2023": [1, 2], "year=2024": [4, 5]} and w.read_years("bars", loader.CLEAN).count() == 5
+    assert len(w._versions("marks")) == loader.KEEP
+
+    # A batch that is run again starts from the state before it.
+    loader.load_batch(w)(spark.createDataFrame([(1, "2024-01-03", 24.0, 24.0, 24.0, 24.0, 1.0, None, 1)], loader.BAR), 4)
+    assert sorted(r["close"] for r in w.read_years("bars", loader.CLEAN, years=[2024]).collect()) == [21.0, 24.0]
+
+    # A batch that fails leaves its record.
+    with pytest.raises(Exception):
+        loader.load_batch(w)(spark.createDataFrame([(1,)], "security_id long"), 9)
+    assert runs()[-1] == "failed"
+
+
+def test_stream_is_refused_after_a_changeover(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    w = loader.Warehouse(spark, str(tmp_path / "store"))
+    w.write_newest("marks", spark.createDataFrame([("vendor", state.OLD_ENDPOINT, 1, D(2023, 1, 1))], loader.MARKS), 0)
+    with pytest.raises(RuntimeError):
+        loader.stream_bars(spark, str(tmp_path / "in"), w, str(tmp_path / "check"))
 
 
 def test_cli(spark, tmp_path, monkeypatch):
@@ -269,6 +310,21 @@ def test_nightly_update_and_reset(spark):
     assert out["daily_price"].count() == 2 and out["adjustment_factor"].first()["price_factor"] == Decimal("0.5")
     assert out["watermark"].first()["watermark"] == D(2023, 6, 2) and out["security_latest"].first()["last_close"] == 50.0
     assert [r["check_name"] for r in out["dq_flag"].collect()] == ["price_cross_field_violation"]
+
+    # Bad actions and actions without a factor are flagged, runs recorded, loads that can't be right refused.
+    tables["ingestion_run"] = spark.createDataFrame([], schemas.INGESTION_RUN)
+    bad = splits.unionByName(spark.createDataFrame([(1, "2023-06-03", 0.0, 1.0)], splits.schema))
+    paid = spark.createDataFrame([(1, "2023-06-01", 1.0), (1, "2023-06-05", 500.0), (1, "soon", 1.0)], dividends.schema)
+    night = daily.update(tables, bars, bad, paid, delisted, 2023, "v")
+    assert sorted((r["check_name"], r["severity"]) for r in night["dq_flag"].collect()) == [("dividend_exceeds_price", "warn"), ("dividend_invalid", "warn"), ("dividend_no_prior_close", "info"), ("price_cross_field_violation", "warn"), ("split_invalid", "warn")]
+    assert [(r["status"], r["rows_inserted"], r["rows_quarantined"]) for r in night["ingestion_run"].collect()] == [("partial", 1, 3)]
+    unknown = spark.createDataFrame([("ZZZ",)], "symbol string")
+    for args in ({"symbols": unknown}, {"symbols": unknown.limit(0)}):
+        with pytest.raises(RuntimeError):
+            daily.update(tables, bars, splits, dividends, delisted, 2023, "v", **args)
+    with pytest.raises(RuntimeError):
+        daily.update(tables, bars.limit(0), splits, dividends, delisted, 2023, "v", start=D(2023, 6, 1))
+
     assert daily.reset(out, "prices")[1] == ("daily_price", "watermark") and out["daily_price"].count() == 2
     assert daily.reset(out, "prices", dry_run=False)[0]["daily_price"].count() == 0
     with pytest.raises(ValueError):

@@ -30,7 +30,7 @@ from tickerforge.llm.common import Stored, freeing_shuffles, hadoop_path, text_b
 
 #: Both libraries agree on the classes of these characters; a text with any other is rare here.
 _RARE = re.compile("[^\t\n\r\x20-\x7e\xa1-\xac\xae-ſ–—‘’“”…€]")
-#: Longer runs without a space are left to the reference library.
+#: Tokens up to which a text is not over the limit.
 LIMIT = 512
 
 
@@ -104,4 +104,6 @@ def count_tokens(docs: DataFrame, cache_path: str, tokenizer: str = "byte_bpe_50
     # One document of each missing digest; both keys, so that a text of many copies meets no single task.
     chosen = rows.join(missing, F.col("doc_id").eqNullSafe(F.col("one")) & (F.col("digest") == F.col("d")), "left_semi")
     cache.append(chosen.select("digest", "t").mapInArrow(_encode(tokenizer), "digest binary, n_tokens long"), version)
-    return narrow.join(cache.read(version), "digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    # The counts of these texts, written first: a join with a plain table lets Spark split a digest that very many rows have.
+    counts = Stored(narrow.select("digest").distinct().join(cache.read(version), "digest"), "counts").df
+    return narrow.join(counts, "digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

@@ -612,6 +612,42 @@ def test_top_k_ignores_clashing_columns_and_breaks_ties_by_id(spark):
     assert sorted(pairs(topk.top_k(frame), "query_id", "rank", "vec_id", "score")) == want
 
 
+# texts beyond the pieces that operators work in
+@pytest.fixture(scope="module")
+def long_docs(spark):
+    """Two texts of over a piece of words and of code points, with a common passage across the border of the first piece, and one in another piece."""
+    rng = random.Random(21)
+    words = [[rng.choice(["of", "the", "and", *(f"word{k}" for k in range(400))]) for _ in range(textkit.PIECE + 3000)] for _ in range(2)]
+    for at in (textkit.PIECE - 10, textkit.PIECE + 2000):
+        words[1][at : at + 40] = words[0][textkit.PIECE - 20 : textkit.PIECE + 20]
+    rows = [(1, " ".join(words[0]), "en"), (2, " ".join(words[1]), "en"), (3, " ".join(words[0][textkit.PIECE - 40 : textkit.PIECE + 60]), "en")]
+    assert len(rows[0][1]) > language_id.PIECE
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string")
+
+
+def test_long_texts_of_substring_dedup(long_docs):
+    assert sorted(tuple(r) for r in substring_dedup.remove_repeats(long_docs, with_text=False).collect()) == brute.substring_dedup(pairs(long_docs, "doc_id", "text"))
+
+
+def test_long_texts_of_fingerprints(long_docs):
+    rows = dict(pairs(long_docs, "doc_id", "text"))
+    for r in minhash.fingerprint_documents(long_docs).collect():
+        text = minhash.edited(rows[r["doc_id"]], rows[r["doc_id"] - 1 or 3])
+        assert r["edited_sha256"] == hashlib.sha256(text.encode()).hexdigest() and abs(r["near_edited"] - brute.likeness(rows[r["doc_id"]], text)) < 0.15
+    for r in simhash.near_duplicates(long_docs).collect():
+        assert r["fp"] % 2**64 == brute.fingerprint(rows[r["doc_id"]])
+
+
+def test_long_texts_of_classifiers(spark, long_docs, docs, sf_dir, monkeypatch):
+    rows = dict(pairs(long_docs, "doc_id", "text"))
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), F.lit(True))
+    for r in toxicity.score(long_docs, model).collect():
+        assert r["score"] == pytest.approx(model.score(*toxicity.expected_of([rows[r["doc_id"]]], toxicity.Emissions(model)))[0])
+    whole = [language_id.presence(rows[i]) for i in (1, 2)]
+    monkeypatch.setattr(language_id, "PIECE", 1 << 24)
+    assert all((w == language_id.presence(rows[i])).all() for w, i in zip(whole, (1, 2)))
+
+
 def test_crc_of_ids(spark):
     got = spark.range(50).withColumnRenamed("id", "doc_id").select("doc_id", toxicity.held_out().alias("h")).collect()
     assert all(r["h"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in got)

@@ -24,6 +24,7 @@ import hashlib
 import json
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 import numpy as np
@@ -40,6 +41,8 @@ RUN = 6
 FAN_IN = 2
 #: Batches that one table is dealt with in.
 BATCHES = 4
+#: Parts that candidate windows are compared in, one after the other, which bounds the disk they take in shuffles.
+ROUNDS = 2
 #: The four parts of a window's SHA-256.
 DIGEST = ["d0", "d1", "d2", "d3"]
 
@@ -78,6 +81,18 @@ def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(ids))], names=["h", "_id"])
 
 
+@contextmanager
+def in_file_order(spark: SparkSession) -> Iterator[None]:
+    """Within it, Spark relies on the order of a run's files (one a bucket, sorted) instead of sorting them again."""
+    key = "spark.sql.legacy.bucketedTableScan.outputOrdering"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 class FingerprintIndex:
     """Sorted immutable runs of historical window fingerprints: bucketed files in a folder, listed in its manifest.
 
@@ -121,21 +136,24 @@ class FingerprintIndex:
         """Adds one batch of keyed documents as the newest run."""
         self._commit([*self.runs, self._write(docs.select("_id", "_bytes").mapInArrow(_postings, "h long, _id long"), 1)])
 
-    def shared_by_newest(self) -> DataFrame:
-        """Postings (h, _id) of all runs whose h is in the newest run and in two documents or more.
+    def shared_by_newest(self) -> Stored:
+        """(h): the hashes of the newest run that two documents of all runs have, or more.
 
-        Each older run is joined with the newest on its own, so every join keeps the buckets.
+        Each older run is merge-joined with the newest on its own, so every join keeps the buckets and their order.
         """
         newest, *older = [self.spark.table(name) for name, _, _ in reversed(self.runs)]
-        spans = [newest.groupBy("h").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi"))]
+        merged = newest.groupBy("h").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi"))
         for run in older:
-            spans.append(run.join(newest.select(F.col("h").alias("_h")).distinct(), F.col("h") == F.col("_h"), "left_semi").groupBy("h").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi")))
-        merged = spans[0]
-        for i, other in enumerate(spans[1:]):
-            other = other.select(F.col("h").alias(f"h{i}"), F.col("lo").alias(f"lo{i}"), F.col("hi").alias(f"hi{i}"))
-            merged = merged.join(other, F.col("h") == F.col(f"h{i}"), "left").select("h", F.least("lo", f"lo{i}").alias("lo"), F.greatest("hi", f"hi{i}").alias("hi"))
-        shared = merged.where("lo < hi").select(F.col("h").alias("_h"))
-        return reduce(DataFrame.unionByName, [run.join(shared, F.col("h") == F.col("_h"), "left_semi") for run in [newest, *older]])
+            met = run.join(newest.select(F.col("h").alias("_h")), F.col("h") == F.col("_h"), "left_semi").groupBy(F.col("h").alias("_h")).agg(F.min("_id").alias("_lo"), F.max("_id").alias("_hi"))
+            merged = merged.join(met, F.col("h") == F.col("_h"), "left").select("h", F.least("lo", "_lo").alias("lo"), F.greatest("hi", "_hi").alias("hi"))
+        with in_file_order(self.spark):
+            return Stored(merged.where("lo < hi").select("h"), "shared")
+
+    def postings(self, shared: DataFrame) -> Stored:
+        """(h, _id) of all runs, of the hashes given."""
+        wanted = shared.select(F.col("h").alias("_h")).distinct()
+        with in_file_order(self.spark):
+            return Stored(reduce(DataFrame.unionByName, [self.spark.table(name).join(wanted, F.col("h") == F.col("_h"), "left_semi") for name, *_ in self.runs]), "postings")
 
     def compact(self) -> None:
         """Size-tiered: while the newest runs are of one size, they become one run of their sum."""
@@ -185,8 +203,10 @@ def _candidate_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
 def _copies(docs: DataFrame) -> Stored:
     """(_id, _t) of the documents whose whole text a smaller doc_id has."""
     texts = _marked(docs).withColumn("_sha", F.sha2(text_bytes(), 256)).select("_id", "_t", "_sha")
-    firsts = texts.groupBy("_sha").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
-    return Stored(texts.join(firsts, "_sha").where("_id > _first").select("_id", "_t").distinct(), "copies")
+    firsts = Stored(texts.groupBy("_sha").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n"), "firsts")
+    copies = Stored(texts.join(firsts.df, "_sha").where("_id > _first").select("_id", "_t").distinct(), "copies")
+    firsts.drop()
+    return copies
 
 
 def _repeats(rows: DataFrame, postings: DataFrame, copies: Stored) -> Stored:
@@ -201,11 +221,17 @@ def _repeats(rows: DataFrame, postings: DataFrame, copies: Stored) -> Stored:
     still = postings.groupBy("h").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi")).where("lo < hi").select("h")
     wanted = postings.join(still, "h", "left_semi").groupBy("_id").agg(F.collect_set("h").alias("hs"))
     windows = Stored(rows.join(wanted, "_id").select("_id", "_t", "_bytes", "hs").mapInArrow(_candidate_windows, ", ".join(f"{d} long" for d in DIGEST) + ", _id long, _t int, p int"), "windows")
-    # Written first: a join with a plain table lets Spark split a window that very many documents share.
-    earliest = Stored(windows.df.groupBy(*DIGEST).agg(F.min("_id").alias("lo"), F.max("_id").alias("hi")).where("lo < hi").select(*DIGEST, "lo"), "earliest")
-    starts = windows.df.join(earliest.df, DIGEST).where("_id > lo").groupBy("_id", "_t").agg(F.collect_list("p").alias("starts")).join(copies.df, ["_id", "_t"], "left_anti")
+    shares = []
+    for k in range(ROUNDS):
+        some = windows.df.where(F.pmod("d0", F.lit(ROUNDS)) == k)
+        # Written first: a join with a plain table lets Spark split a window that very many documents share.
+        earliest = Stored(some.groupBy(*DIGEST).agg(F.min("_id").alias("lo"), F.max("_id").alias("hi")).where("lo < hi").select(*DIGEST, "lo"), "earliest")
+        shares.append(Stored(some.join(earliest.df, DIGEST).where("_id > lo").groupBy("_id", "_t").agg(F.collect_list("p").alias("starts")), "starts"))
+        earliest.drop()
+    windows.drop()
+    starts = reduce(DataFrame.unionByName, [x.df for x in shares]).groupBy("_id", "_t").agg(F.flatten(F.collect_list("starts")).alias("starts")).join(copies.df, ["_id", "_t"], "left_anti")
     found = Stored(starts.select("_id", "_t", "starts", F.lit(False).alias("whole")).unionByName(copies.df.select("_id", "_t", F.lit(None).cast("array<int>").alias("starts"), F.lit(True).alias("whole"))), "repeats")
-    for x in (windows, earliest, copies):
+    for x in (*shares, copies):
         x.drop()
     return found
 
@@ -226,14 +252,14 @@ def find_repeats(docs: DataFrame, batches: int = BATCHES) -> Stored:
         if high is not None:
             batch = batch.where(F.col("_id") <= high)
         index.append(batch)
-        found.append(Stored(index.shared_by_newest(), "shared"))
+        found.append(index.shared_by_newest())
         if high is not None:
             index.compact()
+    postings = index.postings(reduce(DataFrame.unionByName, [x.df for x in found]))
     index.close()
-    remove(spark, index.path)
-    repeats = _repeats(rows, reduce(DataFrame.unionByName, [x.df for x in found]), _copies(docs))
-    for x in found:
-        x.drop()
+    remove(spark, index.path, *[x.path for x in found])
+    repeats = _repeats(rows, postings.df, _copies(docs))
+    postings.drop()
     return repeats
 
 
@@ -246,10 +272,12 @@ def judge(index: FingerprintIndex, batch: DataFrame, history: DataFrame | None =
     """
     rows = keyed(batch)
     index.append(rows)
-    shared = Stored(index.shared_by_newest(), "shared")
+    shared = index.shared_by_newest()
+    postings = index.postings(shared.df)
     index.compact()
-    repeats = _repeats(rows if history is None else rows.unionByName(keyed(history)), shared.df, _copies(batch))
     shared.drop()
+    repeats = _repeats(rows if history is None else rows.unionByName(keyed(history)), postings.df, _copies(batch))
+    postings.drop()
     return repeats
 
 

@@ -1,14 +1,15 @@
 """Exact top-k by inner product over an impact-ordered index, score at a time.
 
-Method. Components become integers floor(64 x). Rows are dealt to shards of a bounded size; a shard has
-for each dimension its postings (a row and its value) in segments of one quantised impact, the highest
-first. A query takes the segments of all dimensions by descending contribution, |q| times the impact,
-in rounds with a falling limit, and adds them to one accumulator a row. After a round no posting that is left
-can contribute more than the limit, which bounds every row from both sides. A row whose upper bound is
-below the k-th best lower bound of the query is out for good. Processing stops once the rows that are still
-possible are so few that scoring them exactly costs less than the postings that are left; they are
-then rescored exactly in integers. Each shard gives a query k rows, of which the best k are kept, ties
-to the smaller vec_id.
+Method. Components become integers floor(64 x). Rows are dealt to shards of a bounded size. In a shard,
+every non-zero component is a posting of its dimension with a quantised impact, the level of its
+magnitude; postings are laid out in segments of descending levels. A segment that few rows are in is kept
+as lists by dimension, one that most rows are in (of dense vectors each is) as a packed matrix. Queries meet
+the shard in blocks, with one accumulator a query and row. After a segment, what is left of a row is
+bounded by the sum of |query| times |impact| over its postings still to come, and the k-th best exact
+score of the rows that lead is a lower bound of the query's. A row that can't reach it is out for good.
+A query stops once the rows still possible are so few that scoring them exactly costs less than going on;
+they are then rescored exactly in integers. Each shard gives a query k rows, of which the best k are
+kept, ties to the smaller vec_id.
 
 Every query meets every shard, as an exact answer demands; a shipped query of W numbers then stands for
 W x SHARD multiplications, so shards are as large as memory allows and no smaller than the cluster's
@@ -34,86 +35,87 @@ from tickerforge.llm.common import partitions
 
 SCALE = 64
 #: Rows of a shard at most (what one task holds of the index), and at least where there are several.
-SHARD, LEAST = 65_536, 8_192
+SHARD, LEAST = 65_536, 16_384
 #: Queries that meet a shard together.
-BLOCK = 256
-#: Levels of quantised impact.
-LEVELS = 255
-#: How the limit falls, and the share of all postings that makes a round.
-FALL, ROUNDS = 0.9, 12
-#: Possible members per query, in multiples of k, at which rescoring begins; and how many postings an exact score is worth in dimensions.
-FEW, WORTH = 2, 4
+BLOCK = 128
+#: Levels of quantised impact, and the shares of the postings in the segments, the highest levels first.
+LEVELS, SEGMENTS = 255, (0.4, 0.3, 0.3)
+#: Rescoring begins once the possible members are a few k, or one in FEWER of the rows.
+FEW, FEWER = 2, 16
+#: Rows that lead after a segment and are scored exactly for a bound, in multiples of k.
+AHEAD = 3
+#: A segment with fewer than one in so many of all components is kept as lists.
+SPARSE = 16
 
 
 class ImpactIndex:
-    """The postings of one shard by dimension and descending quantised impact."""
+    """The postings of one shard in segments of descending quantised impact."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray) -> None:
         self.ids, self.vectors = ids, vectors
-        self.step = max(1, -(-int(np.abs(vectors).max(initial=0)) // LEVELS))
-        level = np.abs(vectors) // self.step
-        order = np.argsort(-level, axis=0, kind="stable")
-        self.rows, self.values, self.ends = [], [], []
-        for d in range(vectors.shape[1]):
-            own = order[:, d]
-            own = own[vectors[own, d] != 0]
-            self.rows.append(own.astype(np.int32))
-            sign = np.sign(vectors[own, d])
-            # The middle of a segment's impacts stands for each; for a step of one it is the impact itself.
-            self.values.append(sign * (level[own, d] * self.step + (self.step - 1) / 2))
-            # ends[l]: how many postings have level l or more
-            self.ends.append(len(own) - np.searchsorted(np.sort(level[own, d]), np.arange(LEVELS + 2)))
-        self.ends = np.array(self.ends, np.int64).reshape(-1, LEVELS + 2)
-        self.top = np.abs(vectors).max(axis=0, initial=0).astype(np.float64)
-        self.postings = sum(map(len, self.rows))
+        size = np.abs(vectors)
+        self.top = int(size.max(initial=0))
+        step = max(1, -(-self.top // LEVELS))
+        level = np.where(size > 0, size // step, -1)
+        count = np.bincount(level[level >= 0].ravel(), minlength=LEVELS + 1)
+        above = np.cumsum(count[::-1])[::-1]  # postings of a level or a higher one
+        self.postings = int(above[0]) if vectors.size else 0
+        shares = np.cumsum(SEGMENTS)[:-1] * self.postings
+        edges = [int(np.flatnonzero(above >= s)[-1]) for s in shares] if self.postings else [0] * len(shares)
+        edges = [LEVELS + 1, *edges, 0]
+        self.segments = []  # (postings, lists or None, matrix or None, what is left after it)
+        for high, low in zip(edges, edges[1:]):
+            inside, left = (level < high) & (level >= low), (level < low) & (level >= 0)
+            n = int(inside.sum())
+            if n:
+                lists = [(rows := np.flatnonzero(inside[:, d]), vectors[rows, d]) for d in range(vectors.shape[1])] if n * SPARSE < vectors.size else None
+                self.segments.append((n, lists, None if lists else np.where(inside, vectors, 0), np.where(left, size, 0) if left.any() else None))
         self.seen = self.asked = 0
 
     def skipped(self) -> float:
         """The share of the queries' postings that no accumulator had to take."""
         return 1 - self.seen / self.asked if self.asked else 0.0
 
-    def _possible(self, own: np.ndarray, query: np.ndarray, k: int) -> np.ndarray:
-        """The rows that can be among the query's best k."""
-        n, size = len(self.ids), np.abs(query).astype(np.float64)
-        used = np.flatnonzero((size > 0) & (self.top > 0))
-        size, top, ends = size[used], self.top[used], self.ends[used]
-        score, met, at = np.zeros(n), np.zeros(n, np.int64), np.zeros(len(used), np.int64)
-        total = left = int(ends[:, 0].sum())
-        self.asked += total
-        # Of an impact its segment's middle is known, and sums beyond 2**53 are rounded.
-        error = size.sum() * (self.step - 1) / 2 + (size * top).sum() * 1e-12
-        limit, possible = (size * top).max(initial=0), ~own
-        while left:
-            # The limit falls until a round has enough postings; segments whose largest contribution reaches it are due.
-            while True:
-                limit *= FALL
-                lowest = np.clip(np.ceil((limit / size - self.step + 1) / self.step), 0, LEVELS + 1).astype(np.int64)
-                due = ends[np.arange(len(used)), lowest]
-                if (due - at).sum() * ROUNDS >= total or (due == ends[:, 0]).all():
-                    break
-            parts = [(d, a, e) for d, a, e in zip(used.tolist(), at.tolist(), due.tolist()) if e > a]
-            rows = np.concatenate([self.rows[d][a:e] for d, a, e in parts])
-            score += np.bincount(rows, np.concatenate([query[d] * self.values[d][a:e] for d, a, e in parts]), n)
-            met += np.bincount(rows, minlength=n)
-            at, left = due, left - len(rows)
-            self.seen += len(rows)
-            # Each posting that is left is below the limit, and in a dimension not begun below its largest as well.
-            rest = limit * ((at > 0).sum() - met) + (size * top)[at == 0].sum() + error if left else np.full(n, error)
-            low = np.where(own, -np.inf, score - rest)
-            kth = np.partition(low, n - k)[n - k] if n > k else -np.inf
-            possible = (score + rest >= kth) & ~own
-            few = int(possible.sum())
-            if few <= FEW * k or few * len(query) * WORTH <= left:
-                break
-        return np.flatnonzero(possible)
-
     def search(self, qids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """Each query's best k (query id, ids, scores) in this shard."""
-        for qid, query in zip(qids, queries) if len(self.ids) else ():
-            rows = self._possible(self.ids == qid, query, k)
-            exact = self.vectors[rows] @ query
-            best = np.lexsort((self.ids[rows], -exact))[:k]
-            yield int(qid), self.ids[rows[best]], exact[best]
+        n = len(self.ids)
+        if not n:
+            return
+        top = self.top * int(np.abs(queries).max(initial=1)) * max(1, queries.shape[1])
+        kind = np.float32 if top < 2**23 else np.float64  # exact in whole numbers up to there and 2**53
+        self.asked += self.postings * len(qids)
+        scores, alive, kth, near = np.zeros((len(qids), n), kind), np.arange(len(qids)), np.full(len(qids), -np.inf), AHEAD * k
+        if not self.segments:  # all scores are zero
+            for i in alive:
+                yield self._best(qids[i], queries[i], np.flatnonzero(self.ids != qids[i]), k)
+            return
+        for postings, lists, matrix, left in self.segments:
+            asks = queries[alive].astype(kind)
+            self.seen += postings * len(alive)
+            if lists is None:
+                scores[alive] += asks @ matrix.T.astype(kind)
+            else:
+                for d, (rows, values) in enumerate(lists):
+                    scores[np.ix_(alive, rows)] += np.outer(asks[:, d], values.astype(kind))
+            now = scores[alive]
+            reach = now + (np.abs(asks) @ left.T.astype(kind) if left is not None else 0) + kind(top * 1e-12)
+            ahead = np.argpartition(now, n - near, axis=1)[:, n - near :] if n > near else np.tile(np.arange(n), (len(alive), 1))
+            exact = np.einsum("ijk,ik->ij", self.vectors[ahead], queries[alive]).astype(np.float64)
+            exact[self.ids[ahead] == qids[alive][:, None]] = -np.inf
+            if exact.shape[1] >= k:
+                kth[alive] = np.maximum(kth[alive], np.partition(exact, exact.shape[1] - k, axis=1)[:, exact.shape[1] - k])
+            possible = (reach >= kth[alive][:, None]) & (self.ids[None, :] != qids[alive][:, None])
+            done = (possible.sum(axis=1) <= max(FEW * k, n // FEWER)) if left is not None else np.ones(len(alive), bool)
+            for i in np.flatnonzero(done):
+                yield self._best(qids[alive[i]], queries[alive[i]], np.flatnonzero(possible[i]), k)
+            alive = alive[~done]
+            if not len(alive):
+                return
+
+    def _best(self, qid: int, query: np.ndarray, rows: np.ndarray, k: int) -> tuple[int, np.ndarray, np.ndarray]:
+        exact = self.vectors[rows] @ query
+        best = np.lexsort((self.ids[rows], -exact))[:k]
+        return int(qid), self.ids[rows[best]], exact[best]
 
 
 def _integers(column: pa.Array, width: int) -> np.ndarray:

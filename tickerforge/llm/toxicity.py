@@ -180,9 +180,10 @@ def toxic_traits(known: dict[str, int], number: np.ndarray, lengths: np.ndarray,
     well keeps its weight however few texts are of its kind.
     """
     names: dict[str, int] = {}
-    own = [[names.setdefault(t, len(names)) for t in traits(w) if t[0] != "s"] for w in known]
-    width = max(map(len, own))
-    table = np.array([r + [-1] * (width - len(r)) for r in own])
+    table = np.full((len(known), 4), -1, np.int32)
+    for row, w in zip(table, known):
+        own = [names.setdefault(t, len(names)) for t in traits(w) if t[0] != "s"]
+        row[: len(own)] = own
     y, ends = np.array(toxic), np.cumsum(lengths)
     seen, used = np.zeros((2, len(names)), np.int64), np.zeros((2, len(names)), np.int64)
     for k, end, n in zip(toxic, ends, lengths):
@@ -196,11 +197,11 @@ def toxic_traits(known: dict[str, int], number: np.ndarray, lengths: np.ndarray,
     # So many places rule that out; then all documents count, toxic and clean.
     enough = next((n for n in range(1, count[1] + 1) if _evidence(n, 0, count[1], count[0]) > EVIDENCE), count[1] + 1)
     around: dict[int, set] = {t: set() for t in marked}
-    told = np.array([any(t in marked for t in r) for r in own])
+    told = np.isin(table, list(marked)).any(axis=1)
     for k, end, n in zip(toxic, ends, lengths):
         for at in np.flatnonzero(told[number[end - n : end]]) + end - n if k else ():
             place = (number[at - 1] if at > end - n else -1, number[at + 1] if at + 1 < end else -1)
-            for t in own[number[at]]:
+            for t in table[number[at]].tolist():
                 if t in around and len(around[t]) < enough:
                     around[t].add(place)
     uses = [1 + int(lengths[y == k].sum()) for k in (0, 1)]
@@ -210,19 +211,22 @@ def toxic_traits(known: dict[str, int], number: np.ndarray, lengths: np.ndarray,
 
 def fit_field(texts: list[str], toxic: list[int]) -> Model:
     """A model without its logistic curve."""
-    words = [_WORD.findall(t) for t in texts]
     known: dict[str, int] = {}
-    number = np.fromiter((known.setdefault(w, len(known)) for ws in words for w in ws), np.int64)
+    numbers = [np.array([known.setdefault(w, len(known)) for w in _WORD.findall(t)], np.int32) for t in texts]
     if not known:
         return Model()
-    lengths = np.array([len(ws) for ws in words])
+    number, lengths = np.concatenate(numbers), np.array([len(n) for n in numbers])
+    del numbers
     marked = toxic_traits(known, number, lengths, toxic)
-    rows = [places(w) for w in known]
     bad = np.array([max((marked.get(t, 0.0) for t in traits(w)), default=0.0) for w in known])
-    width = max(map(len, rows))
-    table = np.array([r + [FEATURES] * (width - len(r)) for r in rows])
+    table = np.full((len(known), 5), FEATURES, np.int32)
+    for row, w in zip(table, known):
+        own = places(w)
+        row[: len(own)] = own
     y = np.where(np.repeat(np.array(toxic) == 1, lengths), bad[number], 0.0)
     sizes = np.array([min(RUN, n - at) for n in lengths for at in range(0, n, RUN)])
+    words, width = len(known), table.shape[1]
+    del known
 
     # Adam on the exact conditional likelihood, with a small L2 penalty.
     theta = np.zeros(FEATURES + 1 + 1 + 4)
@@ -235,16 +239,19 @@ def fit_field(texts: list[str], toxic: list[int]) -> Model:
         w, bias, move = theta[: FEATURES + 1], theta[FEATURES + 1], theta[FEATURES + 2 :].reshape(2, 2)
         by_word = bias + w[table].sum(axis=1)
         ahead, back, grow = passes(by_word[number], sizes, move)
-        p = ahead * back / (1 + ahead * back)
-        gap = np.bincount(number, weights=y - p, minlength=len(rows))
+        odds = ahead * back
+        gap = np.bincount(number, weights=y - odds / (1 + odds), minlength=words)
         slope = np.zeros_like(theta)
         slope[: FEATURES + 1] = np.bincount(table.ravel(), weights=np.repeat(gap, width), minlength=FEATURES + 1)
         slope[FEATURES] = 0
         slope[FEATURES + 1] = gap.sum()
-        m, before, after = np.exp(move), ahead[now - 1], grow[now] * back[now]
-        pair = np.stack([np.full(len(now), m[0, 0]), m[0, 1] * after, m[1, 0] * before, m[1, 1] * before * after])
-        told = np.stack([(1 - y[now - 1]) * (1 - y[now]), (1 - y[now - 1]) * y[now], y[now - 1] * (1 - y[now]), y[now - 1] * y[now]])
-        slope[FEATURES + 2 :] = told.sum(axis=1) - (pair / pair.sum(axis=0)).sum(axis=1)
+        m = np.exp(move)
+        for at in range(0, len(now), TOGETHER):
+            k = now[at : at + TOGETHER]
+            before, after, one, two = ahead[k - 1], grow[k] * back[k], y[k - 1], y[k]
+            pair = np.stack([np.full(len(k), m[0, 0]), m[0, 1] * after, m[1, 0] * before, m[1, 1] * before * after])
+            told = np.array([(1 - one) @ (1 - two), (1 - one) @ two, one @ (1 - two), one @ two])
+            slope[FEATURES + 2 :] += told - (pair / pair.sum(axis=0)).sum(axis=1)
         slope -= 0.05 * theta
         first = 0.9 * first + 0.1 * slope
         second = 0.99 * second + 0.01 * slope**2

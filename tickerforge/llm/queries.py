@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerforge.llm import language_id, minhash, mixing, packing, sharding, simhash, substring_dedup, token_counts, topk, toxicity
+from tickerforge.llm import language_id, minhash, mixing, packing, sharding, simhash, spelling, substring_dedup, token_counts, topk, toxicity
 from tickerforge.llm.common import new_folder, read_documents
 
 
@@ -65,6 +65,11 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents with its near words' number, its form and its root."""
+    return spelling.variants(read_documents(spark, sf_dir))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline over the documents."""
     import corpus_pipeline
@@ -72,7 +77,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash, op2_mixing, op3_substring_dedup, op4_packing, op5_token_counts, op6_toxicity, op7_sharding, op8_language_id, op9_simhash, op10_topk, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_minhash, op2_mixing, op3_substring_dedup, op4_packing, op5_token_counts, op6_toxicity, op7_sharding, op8_language_id, op9_simhash, op10_topk, op11_spelling, pipeline)}
 
 ORACLES = {
     "op2_mixing": mixing.ORACLE,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerforge.llm import language_id, minhash, mixing, packing, sharding, simhash, spelling, substring_dedup, token_counts, topk, toxicity
+from tickerforge.llm import language_id, lexical, minhash, mixing, packing, sharding, simhash, spelling, substring_dedup, token_counts, topk, toxicity
 from tickerforge.llm.common import new_folder, read_documents
 
 
@@ -70,6 +70,11 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(read_documents(spark, sf_dir))
 
 
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of each benchmark item."""
+    return lexical.ranked(read_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline over the documents."""
     import corpus_pipeline
@@ -77,7 +82,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash, op2_mixing, op3_substring_dedup, op4_packing, op5_token_counts, op6_toxicity, op7_sharding, op8_language_id, op9_simhash, op10_topk, op11_spelling, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_minhash, op2_mixing, op3_substring_dedup, op4_packing, op5_token_counts, op6_toxicity, op7_sharding, op8_language_id, op9_simhash, op10_topk, op11_spelling, op12_lexical, pipeline)}
 
 ORACLES = {
     "op2_mixing": mixing.ORACLE,
@@ -85,4 +90,5 @@ ORACLES = {
     "op4_packing": packing.ORACLE,
     "op7_sharding": sharding.ORACLE,
     "op10_topk": topk.ORACLE,
+    "op12_lexical": lexical.ORACLE,
 }

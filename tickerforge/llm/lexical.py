@@ -43,23 +43,23 @@ PIECE = 1 << 23
 _TERM = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256))
 
 
-def terms_of(text: bytes) -> Iterator[list[bytes]]:
-    """The terms of a UTF-8 text, in lists of bounded size."""
+def terms_of(text: bytes, table: bytes = _TERM) -> Iterator[list[bytes]]:
+    """The terms of a UTF-8 text, in lists of bounded size; ``table`` has what every byte becomes, a space between terms."""
     at = 0
     while at < len(text):
         end = at + PIECE
         if end < len(text):
-            piece = text[at:end].translate(_TERM)
+            piece = text[at:end].translate(table)
             cut = piece.rfind(b" ")
             if cut < 0:  # a term longer than a piece
-                rest = text[end:].translate(_TERM)
+                rest = text[end:].translate(table)
                 cut = rest.find(b" ")
                 end = len(text) if cut < 0 else end + cut
-                piece = text[at:end].translate(_TERM)
+                piece = text[at:end].translate(table)
             else:
                 piece, end = piece[:cut], at + cut + 1
         else:
-            piece = text[at:].translate(_TERM)
+            piece = text[at:].translate(table)
         yield piece.split()
         at = end
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerforge.llm import language_id, lexical, minhash, mixing, packing, sharding, simhash, spelling, substring_dedup, token_counts, topk, toxicity
+from tickerforge.llm import language_id, language_model, lexical, minhash, mixing, packing, sharding, simhash, spelling, substring_dedup, token_counts, topk, toxicity
 from tickerforge.llm.common import new_folder, read_documents
 
 
@@ -75,6 +75,11 @@ def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.ranked(read_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op13_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log-likelihood, learned without the held-out fifth of the documents."""
+    return language_model.score(read_documents(spark, sf_dir), ~language_model.held_out())
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline over the documents."""
     import corpus_pipeline
@@ -82,7 +87,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash, op2_mixing, op3_substring_dedup, op4_packing, op5_token_counts, op6_toxicity, op7_sharding, op8_language_id, op9_simhash, op10_topk, op11_spelling, op12_lexical, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_minhash, op2_mixing, op3_substring_dedup, op4_packing, op5_token_counts, op6_toxicity, op7_sharding, op8_language_id, op9_simhash, op10_topk, op11_spelling, op12_lexical, op13_language_model, pipeline)}
 
 ORACLES = {
     "op2_mixing": mixing.ORACLE,

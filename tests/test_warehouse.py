@@ -227,52 +227,6 @@ def test_settings(tmp_path):
         settings.choose_source("other", None)
 
 
-def test_stream_loads_merges_and_moves_the_marks(spark, tmp_path):
-    (tmp_path / "in").mkdir()
-
-    def arrive(name, bars):
-        (tmp_path / "in" / name).write_text("\n".join(json.dumps(b) for b in bars))
-        loader.stream_bars(spark, str(tmp_path / "in"), w, str(tmp_path / "check")).awaitTermination()
-
-    def bar(day, close, high=None):
-        return {"security_id": 1, "date": day, "open": close, "high": high or close, "low": close, "close": close, "volume": 10}
-
-    w = loader.Warehouse(spark, str(tmp_path / "store"))
-    arrive("a.json", [bar("2023-06-01", 10.0), bar("2023-06-02", 10.0, high=5.0), bar("2023-06-05", 11.0)])
-    assert w.read_newest("marks", loader.MARKS).first()["watermark"] == D(2023, 6, 1)
-    runs = lambda: [r["status"] for r in w.read_added("runs", schemas.INGESTION_RUN).orderBy("run_id").collect()]
-    assert runs() == ["partial"]
-    arrive("b.json", [bar("2023-06-01", 12.0), bar("2023-06-02", 10.0), bar("2023-06-05", 11.0)])
-    assert sorted((r["trade_date"], r["close"]) for r in w.read_years("bars", loader.CLEAN).collect()) == [(D(2023, 6, 1), 12.0), (D(2023, 6, 2), 10.0), (D(2023, 6, 5), 11.0)]
-    assert w.read_newest("marks", loader.MARKS).first()["watermark"] == D(2023, 6, 5) and w.read_added("flags", loader.FLAGS).count() == 1
-    assert runs() == ["partial", "success"]
-
-    # Other years stay as they are; of two writes in one file the higher ordinal counts, wherever it stands.
-    arrive("c.json", [bar("2024-01-02", 21.0) | {"ordinal": 2}, bar("2024-01-02", 20.0) | {"ordinal": 1}])
-    arrive("d.json", [bar("2024-01-03", 22.0)])
-    arrive("e.json", [bar("2024-01-03", 23.0)])
-    assert sorted((r["trade_date"], r["close"]) for r in w.read_years("bars", loader.CLEAN, years=[2024]).collect()) == [(D(2024, 1, 2), 21.0), (D(2024, 1, 3), 23.0)]
-    assert w._years("bars") == {"year=2023": [1, 2], "year=2024": [4, 5]} and w.read_years("bars", loader.CLEAN).count() == 5
-    assert len(w._versions("marks")) == loader.KEEP
-
-    # A batch that is run again starts from the state before it.
-    loader.load_batch(w)(spark.createDataFrame([(1, "2024-01-03", 24.0, 24.0, 24.0, 24.0, 1.0, None, 1)], loader.BAR), 4)
-    assert sorted(r["close"] for r in w.read_years("bars", loader.CLEAN, years=[2024]).collect()) == [21.0, 24.0]
-
-    # A batch that fails leaves its record.
-    with pytest.raises(Exception):
-        loader.load_batch(w)(spark.createDataFrame([(1,)], "security_id long"), 9)
-    assert runs()[-1] == "failed"
-
-
-def test_stream_is_refused_after_a_changeover(spark, tmp_path):
-    (tmp_path / "in").mkdir()
-    w = loader.Warehouse(spark, str(tmp_path / "store"))
-    w.write_newest("marks", spark.createDataFrame([("vendor", state.OLD_ENDPOINT, 1, D(2023, 1, 1))], loader.MARKS), 0)
-    with pytest.raises(RuntimeError):
-        loader.stream_bars(spark, str(tmp_path / "in"), w, str(tmp_path / "check"))
-
-
 def test_cli(spark, tmp_path, monkeypatch):
     from tickerforge import cli
 

@@ -19,7 +19,18 @@ def advance(clean: DataFrame, quarantined: DataFrame, history: DataFrame, holds:
     ``quarantined`` are this run's (security_id, trade_date); ``history`` all flags so far, this
     run's included. A date flagged ``holds`` times lets the mark pass.
     """
-    seen = history.groupBy("security_id", "trade_date").agg(F.count(F.lit(1)).alias("_n"))
+    return advance_counted(clean, quarantined, history.groupBy("security_id", "trade_date").agg(F.count(F.lit(1)).alias("n")), holds)
+
+
+def counted_holds(stored: DataFrame, quarantined: DataFrame) -> DataFrame:
+    """How often each (security_id, trade_date) has been flagged: ``stored`` (with n) and this run's flags."""
+    news = quarantined.where("trade_date IS NOT NULL").select("security_id", "trade_date", F.lit(1).cast("long").alias("n"))
+    return stored.select("security_id", "trade_date", "n").unionByName(news).groupBy("security_id", "trade_date").agg(F.sum("n").alias("n"))
+
+
+def advance_counted(clean: DataFrame, quarantined: DataFrame, counts: DataFrame, holds: int = HOLDS) -> DataFrame:
+    """As ``advance``, from the counts (security_id, trade_date, n) of the flags so far, which need hold no more than this run's dates."""
+    seen = counts.select("security_id", "trade_date", F.col("n").alias("_n"))
     holding = quarantined.where("trade_date IS NOT NULL").select("security_id", "trade_date").distinct().join(seen, ["security_id", "trade_date"], "left").where(F.coalesce("_n", F.lit(0)) < holds)
     cut = holding.groupBy("security_id").agg(F.min("trade_date").alias("_cut"))
     rows = clean.select("security_id", "trade_date").join(cut, "security_id", "left")

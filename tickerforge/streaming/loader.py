@@ -1,8 +1,12 @@
 """The incremental loader as a stream: new bar files are validated, merged, flagged, and move the watermarks.
 
-Bars are kept by year, and a batch rewrites only the years that it touches; flags and run records are added
-to; the marks, one row a security, are written anew. A batch that is run again starts from the state
-before it and replaces what it wrote.
+A batch changes bars, flags, counts of held dates, marks and run records in one commit of the warehouse, with the
+stream's id and the batch's number: a batch that comes again after its commit is passed over, one that died before
+it has left nothing. Versions are the warehouse's own, so a new checkpoint or a second feed goes on from what is
+there. Two feeds that commit at once: the later one starts its merge over on the newer version.
+
+Bars are kept by year, held dates too, marks by slices of the securities: a batch reads and rewrites only those that it
+touches, whatever else is stored. Flags and run records are added to.
 """
 
 from __future__ import annotations
@@ -10,117 +14,89 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickerforge import schemas
 from tickerforge.operators import merge, state, validate
+from tickerforge.sources.warehouse import Change, Conflict, Warehouse, feed_of
 
 BAR = "security_id long, date string, open double, high double, low double, close double, volume double, vwap double, ordinal long"
 CLEAN = "security_id long, trade_date date, open double, high double, low double, close double, volume long, vwap double"
 FLAGS = "check_name string, severity string, security_id long, record_date date, detail string"
 MARKS = "source string, endpoint string, security_id long, watermark date"
-#: Versions of a year, or of the marks, that are kept: the newest, and the one that a repeated batch starts from.
-KEEP = 2
-
-
-class Warehouse:
-    """Tables in one folder, each as the versions that its batches wrote; a version is complete once its marker is there."""
-
-    def __init__(self, spark: SparkSession, path: str) -> None:
-        self.spark, self.path = spark, path
-        self._path = spark._jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def _names(self, folder: str) -> list[str]:
-        p = self._path(f"{self.path}/{folder}")
-        return [s.getPath().getName() for s in self._fs.listStatus(p)] if self._fs.exists(p) else []
-
-    def _versions(self, table: str, upto: int | None = None) -> list[int]:
-        found = [int(n[1:]) for n in self._names(table) if n.startswith("v") and self._fs.exists(self._path(f"{self.path}/{table}/{n}/_SUCCESS"))]
-        return sorted(v for v in found if upto is None or v <= upto)
-
-    def _load(self, schema: str, folders: list[str]) -> DataFrame:
-        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{f}" for f in folders]) if folders else self.spark.createDataFrame([], schema)
+HELD = "security_id long, trade_date date, n long"
+VALUES = ["open", "high", "low", "close", "volume", "vwap"]
+#: Slices of the securities that marks are kept in.
+SLICES = 64
+#: How often a batch starts over because another writer has committed.
+TRIES = 20
 
-    def _remove(self, folder: str) -> None:
-        self._fs.delete(self._path(f"{self.path}/{folder}"), True)
 
-    def _years(self, table: str, upto: int | None = None) -> dict[str, list[int]]:
-        """The versions of each year, oldest first."""
-        found: dict[str, list[int]] = {}
-        for v in self._versions(table, upto):
-            for n in self._names(f"{table}/v{v}"):
-                if n.startswith("year="):
-                    found.setdefault(n, []).append(v)
-        return found
+def slice_of(security: str = "security_id") -> Column:
+    return F.pmod(F.xxhash64(security), F.lit(SLICES))
 
-    def read_years(self, table: str, schema: str, upto: int | None = None, years: list[int] | None = None) -> DataFrame:
-        """The newest version of each year (up to a version; of some years only)."""
-        wanted = None if years is None else {f"year={y}" for y in years}
-        return self._load(schema, [f"{table}/v{v[-1]}/{y}" for y, v in self._years(table, upto).items() if wanted is None or y in wanted])
 
-    def write_years(self, table: str, frame: DataFrame, day: str, batch: int) -> None:
-        """These years as of a batch; versions of them that no repeated batch needs any more are deleted."""
-        frame.withColumn("year", F.year(day)).write.mode("overwrite").partitionBy("year").parquet(f"{self.path}/{table}/v{batch + 1}")
-        for y, versions in self._years(table).items():
-            for v in versions[:-KEEP]:
-                self._remove(f"{table}/v{v}/{y}")
+def _parts(frame: DataFrame, part: Column) -> list[str]:
+    """The parts that rows of a batch are in: years or slices, so few."""
+    return [r["p"] for r in frame.select(part.cast("string").alias("p")).where("p IS NOT NULL").distinct().collect()]
 
-    def read_added(self, table: str, schema: str, upto: int | None = None) -> DataFrame:
-        """The rows of all versions (up to one)."""
-        return self._load(schema, [f"{table}/v{v}" for v in self._versions(table, upto)])
 
-    def read_newest(self, table: str, schema: str, upto: int | None = None) -> DataFrame:
-        return self._load(schema, [f"{table}/v{v}" for v in self._versions(table, upto)[-1:]])
-
-    def write(self, table: str, frame: DataFrame, batch: int) -> None:
-        """A batch's version; a batch that is run again replaces its own."""
-        frame.write.mode("overwrite").parquet(f"{self.path}/{table}/v{batch + 1}")
-
-    def write_newest(self, table: str, frame: DataFrame, batch: int) -> None:
-        self.write(table, frame, batch)
-        for v in self._versions(table)[:-KEEP]:
-            self._remove(f"{table}/v{v}")
-
-
-def load_batch(warehouse: Warehouse, source: str = "vendor", endpoint: str = state.NEW_ENDPOINT) -> Callable[[DataFrame, int], None]:
-    """What a batch of bars does: validation, last-write-wins merge, flags, then the marks, which count this batch's flags, and the run's record.
+def merge_batch(change: Change, checked: DataFrame, source: str, endpoint: str) -> tuple[int, int]:
+    """Puts a batch of checked bars into the change; returns the numbers of good and of quarantined rows.
 
     The last write to a bar is that of the newest file, by its name if two are as new, and in it of the
     highest ``ordinal``; rows that are equal even in that are told apart by their values.
     """
-    spark, values = warehouse.spark, ["open", "high", "low", "close", "volume", "vwap"]
-
-    def work(batch: DataFrame, number: int) -> tuple[int, int]:
-        for c, kind in (("ordinal", "long"), ("arrived", "timestamp"), ("file", "string")):
-            batch = batch if c in batch.columns else batch.withColumn(c, F.lit(None).cast(kind))
-        checked = validate.checked_bars(batch).persist()
-        try:
-            good, flags = validate.good_and_bad(checked)
-            fresh = good.select("security_id", "trade_date", *values, F.struct("arrived", "file", "ordinal", *values).alias("_o"))
-            years = [r["y"] for r in good.select(F.year("trade_date").alias("y")).distinct().collect()]
-            stored = warehouse.read_years("bars", CLEAN, number, years)
-            warehouse.write_years("bars", merge.upsert(stored, fresh, ["security_id", "trade_date"], "_o"), "trade_date", number)
-            warehouse.write("flags", flags, number)
-            history = warehouse.read_added("flags", FLAGS, number + 1).where("check_name LIKE 'price\\\\_%'").select("security_id", F.col("record_date").alias("trade_date"))
-            bad = flags.select("security_id", F.col("record_date").alias("trade_date"))
-            marks = state.advance(good, bad, history).select(F.lit(source).alias("source"), F.lit(endpoint).alias("endpoint"), "security_id", "watermark")
-            warehouse.write_newest("marks", state.merged_watermarks(warehouse.read_newest("marks", MARKS, number), marks), number)
-            n = checked.agg(F.count_if(F.col("reason").isNull()).alias("good"), F.count_if(F.col("reason").isNotNull()).alias("bad")).first()
-            return n["good"], n["bad"]
-        finally:
-            checked.unpersist()
+    base, year = change.base, F.year("trade_date")
+    good, flags = validate.good_and_bad(checked)
+    fresh = good.select("security_id", "trade_date", *VALUES, F.struct("arrived", "file", "ordinal", *VALUES).alias("_o"))
+    change.replace("bars", merge.upsert(base.read("bars", CLEAN, _parts(good, year)), fresh, ["security_id", "trade_date"], "_o"), year)
+    change.add("flags", flags)
+    bad = flags.select("security_id", F.col("record_date").alias("trade_date"))
+    held = state.counted_holds(base.read("holds", HELD, _parts(bad, year)), bad)
+    change.replace("holds", held, year)
+    marks = state.advance_counted(good, bad, held).select(F.lit(source).alias("source"), F.lit(endpoint).alias("endpoint"), "security_id", "watermark")
+    change.replace("marks", state.merged_watermarks(base.read("marks", MARKS, _parts(good, slice_of())), marks), slice_of())
+    n = checked.agg(F.count_if(F.col("reason").isNull()).alias("good"), F.count_if(F.col("reason").isNotNull()).alias("bad")).first()
+    return n["good"], n["bad"]
+
+
+def load_batch(warehouse: Warehouse, source: str = "vendor", endpoint: str = state.NEW_ENDPOINT, feed: Callable[[], str] = lambda: "direct") -> Callable[[DataFrame, int], None]:
+    """What a batch of a feed does: validation, last-write-wins merge, flags, held dates, marks and the run's record, in one commit."""
+    spark = warehouse.spark
+
+    def committed(name: str, number: int, put: Callable[[Change], None], once: bool) -> None:
+        for _ in range(TRIES):
+            change = warehouse.change()
+            if once and change.base.feeds.get(name, -1) >= number:
+                return
+            try:
+                put(change)
+                change.commit(*((name, number) if once else ()))
+                return
+            except Conflict:
+                continue
+            except Exception:
+                change.abandon()
+                raise
+        raise Conflict(f"{TRIES} other writers came first")
 
     def run(batch: DataFrame, number: int) -> None:
-        started = spark.createDataFrame([(f"{endpoint}-{number}", source, endpoint, "started", datetime.now(), None, None, None, None)], schemas.INGESTION_RUN)
+        name, began = feed(), datetime.now()
+        started = spark.createDataFrame([(f"{endpoint}-{name}-{number}", source, endpoint, "started", began, None, None, None, None)], schemas.INGESTION_RUN)
         try:
-            inserted, quarantined = work(batch, number)
+            for c, kind in (("ordinal", "long"), ("arrived", "timestamp"), ("file", "string")):
+                batch = batch if c in batch.columns else batch.withColumn(c, F.lit(None).cast(kind))
+            checked = validate.checked_bars(batch).persist()
+            try:
+                committed(name, number, lambda change: change.add("runs", state.finished_run(started, *merge_batch(change, checked, source, endpoint))), once=True)
+            finally:
+                checked.unpersist()
         except Exception as e:
-            warehouse.write("runs", state.finished_run(started, 0, 0, str(e)[:1000]), number)
+            committed(name, number, lambda change: change.add("runs", state.finished_run(started, 0, 0, str(e)[:1000])), once=False)
             raise
-        warehouse.write("runs", state.finished_run(started, inserted, quarantined), number)
 
     return run
 
@@ -130,6 +106,7 @@ def stream_bars(spark: SparkSession, folder: str, warehouse: Warehouse, checkpoi
 
     Refused without a ``start`` where only marks of the old endpoint exist.
     """
-    state.guard_changeover(warehouse.read_newest("marks", MARKS), start)
+    state.guard_changeover(warehouse.snapshot().read("marks", MARKS), start)
     bars = spark.readStream.schema(BAR).json(folder).select("*", F.col("_metadata.file_modification_time").alias("arrived"), F.col("_metadata.file_name").alias("file"))
-    return bars.writeStream.foreachBatch(load_batch(warehouse)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    work = load_batch(warehouse, feed=lambda: feed_of(spark, checkpoint))
+    return bars.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

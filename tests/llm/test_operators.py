@@ -651,3 +651,45 @@ def test_long_texts_of_classifiers(spark, long_docs, docs, sf_dir, monkeypatch):
 def test_crc_of_ids(spark):
     got = spark.range(50).withColumnRenamed("id", "doc_id").select("doc_id", toxicity.held_out().alias("h")).collect()
     assert all(r["h"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in got)
+
+
+def texts_of_one_hash(spark, make):
+    """Two different texts of the function's two kinds whose 32-bit hash is the same."""
+    rows = spark.range(150_000).select(*[F.concat(*[F.lit(x) if isinstance(x, str) else F.col("id").cast("string") for x in parts]).alias(n) for n, parts in make.items()])
+    one, two = (rows.select(n, F.hash(n).alias("h")) for n in make)
+    return tuple(one.join(two, "h").orderBy("h").select(*make).first())
+
+
+@pytest.mark.parametrize("same", [5, None])
+def test_rows_of_one_id_and_one_text_hash_are_told_apart(spark, same):
+    passage = " ".join(f"p{k}" for k in range(13))
+    clean = " ".join(f"c{k}" for k in range(13))
+    held, free = texts_of_one_hash(spark, {"held": [f"{passage} tail", None], "free": [f"{clean} ", None]})
+    frame = spark.createDataFrame([(1, passage), (same, held), (same, free), (same, free)], "doc_id long, text string")
+    got = sorted(tuple(r) for r in substring_dedup.remove_repeats(frame, with_text=False).select("n_words", "n_removed").collect())
+    assert got == [(13, 0), (14, 0), (14, 0), (14, 13)]
+    assert sorted(map(repr, (tuple(r) for r in substring_dedup.remove_repeats(frame, with_text=False).collect()))) == sorted(map(repr, brute.substring_dedup(pairs(frame, "doc_id", "text"))))
+
+
+def test_an_index_with_batches_asks_for_their_documents(spark, docs):
+    path = common.new_folder(spark, "index")
+    batch = docs.where("doc_id < 5")
+    substring_dedup.judge(substring_dedup.FingerprintIndex(spark, path), batch)
+    index = substring_dedup.FingerprintIndex(spark, path)
+    with pytest.raises(ValueError):
+        substring_dedup.judge(index, batch)
+    assert index.version == substring_dedup.FingerprintIndex(spark, path).version  # nothing was added
+
+
+def test_dropped_runs_stay_for_a_version(spark, docs):
+    path = common.new_folder(spark, "index")
+    index = substring_dedup.FingerprintIndex(spark, path)
+    for k in range(2):
+        index.append(substring_dedup.keyed(docs.where(F.col("doc_id") == k)))
+    reader = substring_dedup.FingerprintIndex(spark, path)
+    index.compact()
+    assert sum(spark.table(name).count() for name, *_ in reader.runs) == spark.table(index.runs[0][0]).count()
+    folders = [r[1] for r in reader.runs]
+    index.append(substring_dedup.keyed(docs.where("doc_id = 2")))
+    kept = {p.name for p in __import__("pathlib").Path(path.removeprefix("file://")).iterdir()}
+    assert not kept & set(folders) and {r[1] for r in index.runs} <= kept

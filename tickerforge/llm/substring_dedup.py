@@ -6,10 +6,14 @@ so about two postings stand for nine windows. Each batch of documents is appende
 a run: a file for each hash bucket, sorted by hash and never changed. A batch is merge-joined with
 the runs bucket by bucket, without a shuffle; minimizers met in two documents make candidates.
 Candidates are verified on the texts themselves: two windows are the same if the SHA-256 of their
-words are, all 256 bits. Runs of the same size are compacted into one. The index lives in a folder with
-a versioned manifest: a later session opens it and judges the next batch against all earlier ones
-(``judge``), with the earlier texts at hand for the candidates; ``find_repeats`` runs the batches of
-one table through an index of its own and verifies all of them at the end.
+words are, in their first 128 bits, of which no two inputs with equal values are known. Runs of the same
+size are compacted into one. The index lives in a folder with a versioned manifest: a later session opens it and
+judges the next batch against all earlier ones (``judge``), with the earlier texts at hand: of these only the
+documents that share a minimizer are hashed, shuffled and compared. Without them it refuses. ``find_repeats``
+runs the batches of one table through an index of its own and verifies all of them at the end.
+
+A row is known by its doc_id and the SHA-256 of its text. Postings carry the doc_id and 32 bits of a hash of
+the text (``_s``), which only narrows down what is read: rows that share both are compared as themselves.
 
 Defined results. A null text has no words. A null doc_id counts as larger than every other, and
 rows of one doc_id never remove words from each other. Fewer than 13 words: nothing is removed.
@@ -43,8 +47,10 @@ FAN_IN = 2
 BATCHES = 4
 #: Parts that candidate windows are compared in, one after the other, which bounds the disk they take in shuffles.
 ROUNDS = 2
-#: The four parts of a window's SHA-256.
-DIGEST = ["d0", "d1", "d2", "d3"]
+#: The parts of a window's digest.
+DIGEST = ["d0", "d1"]
+#: What a posting knows of its row.
+OWNER = ["_id", "_s"]
 
 
 def _id() -> Column:
@@ -52,19 +58,30 @@ def _id() -> Column:
 
 
 def _marked(docs: DataFrame) -> DataFrame:
-    """With what identifies a row here: its doc_id for comparing, and a 32-bit hash of its text besides."""
-    return docs.select(_id().alias("_id"), F.hash(F.coalesce("text", F.lit(""))).alias("_t"), F.col("text").alias("text"))
+    """With what postings know of a row: its doc_id for comparing, and a 32-bit hash of its text."""
+    return docs.select(_id().alias("_id"), F.hash(F.coalesce("text", F.lit(""))).alias("_s"), F.col("text").alias("text"))
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """(_id, _t, _bytes) of each row."""
-    return _marked(docs).select("_id", "_t", text_bytes().alias("_bytes"))
+    """(_id, _s, _bytes) of each row."""
+    return _marked(docs).select(*OWNER, text_bytes().alias("_bytes"))
+
+
+def _sha(text: str = "_bytes") -> Column:
+    return F.unhex(F.sha2(text, 256))
 
 
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From (_id, _s, text): (h, _id, _s) of each place where the minimizer changes."""
+
+    def made() -> pa.RecordBatch:
+        sizes = [len(h) for h in hashes]
+        owners = [np.repeat(np.array([o[k] for o in owned], t), sizes) for k, t in ((0, np.int64), (1, np.int32))]
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(hashes).view(np.int64)), *map(pa.array, owners)], names=["h", *OWNER])
+
     for batch in batches:
-        hashes, ids, held = [], [], 0
-        for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        hashes, owned, held = [], [], 0
+        for *owner, text in zip(*(batch.column(k).to_pylist() for k in range(3))):
             words = text.split()
             if len(words) < WINDOW:
                 continue
@@ -72,13 +89,13 @@ def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 least = sliding_min(grams.hashes(RUN), WINDOW - RUN + 1)
                 least = least[np.concatenate(([True], least[1:] != least[:-1]))]
                 hashes.append(least)
-                ids.append(np.full(len(least), i, np.int64))
+                owned.append(owner)
                 held += len(least)
             if held > 200_000:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(ids))], names=["h", "_id"])
-                hashes, ids, held = [], [], 0
+                yield made()
+                hashes, owned, held = [], [], 0
         if held:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(ids))], names=["h", "_id"])
+            yield made()
 
 
 @contextmanager
@@ -96,20 +113,21 @@ def in_file_order(spark: SparkSession) -> Iterator[None]:
 class FingerprintIndex:
     """Sorted immutable runs of historical window fingerprints: bucketed files in a folder, listed in its manifest.
 
-    It has one writer at a time: of two that add to the same version, the second fails.
+    It has one writer at a time: of two that add to the same version, the second fails and leaves nothing. Runs that
+    a version of a named index has dropped stay until the version after it, for readers of the one before.
     """
 
     def __init__(self, spark: SparkSession, path: str | None = None) -> None:
         """Opens the index in the folder ``path``, new if there is none; without ``path``, one for this session."""
-        self.spark, self.path = spark, path or new_folder(spark, "fingerprints")
+        self.spark, self.path, self.own = spark, path or new_folder(spark, "fingerprints"), path is None
         self.version = newest_version(spark, f"{self.path}/versions")
-        self.buckets, self.runs = partitions(spark), []  # (table of this session, folder, batches merged into it)
+        self.buckets, self.runs, self.gone = partitions(spark), [], []  # runs: (table of this session, folder, batches merged into it)
         if self.version:
             found = json.loads(read_text(spark, f"{self.path}/versions/v{self.version}"))
-            self.buckets = found["buckets"]
+            self.buckets, self.gone = found["buckets"], found["gone"]
             for folder, batches in found["runs"]:
                 name = f"fingerprints_{uuid.uuid4().hex}"
-                spark.sql(f"CREATE TABLE {name} (h BIGINT, _id BIGINT) USING parquet CLUSTERED BY (h) SORTED BY (h) INTO {self.buckets} BUCKETS LOCATION '{self.path}/{folder}'")
+                spark.sql(f"CREATE TABLE {name} (h BIGINT, _id BIGINT, _s INT) USING parquet CLUSTERED BY (h) SORTED BY (h) INTO {self.buckets} BUCKETS LOCATION '{self.path}/{folder}'")
                 self.runs.append((name, folder, batches))
 
     def _write(self, rows: DataFrame, batches: int) -> tuple[str, str, int]:
@@ -119,22 +137,26 @@ class FingerprintIndex:
         return name, folder, batches
 
     def _commit(self, runs: list[tuple[str, str, int]]) -> None:
-        """These runs as the next version; those left out are deleted then."""
+        """These runs as the next version; what the version before has dropped is deleted then."""
+        out = [r for r in self.runs if r not in runs]
         draft = f"{self.path}/draft-{uuid.uuid4().hex}"
-        write_text(self.spark, draft, json.dumps({"buckets": self.buckets, "runs": [r[1:] for r in runs]}))
+        write_text(self.spark, draft, json.dumps({"buckets": self.buckets, "runs": [r[1:] for r in runs], "gone": [] if self.own else [r[1] for r in out]}))
         done = publish(self.spark, draft, f"{self.path}/versions/v{self.version + 1}")
         remove(self.spark, draft)
         if not done:
+            for name, folder, _ in (r for r in runs if r not in self.runs):
+                self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+                remove(self.spark, f"{self.path}/{folder}")
             raise RuntimeError(f"another writer has added to {self.path}")
-        gone = [r for r in self.runs if r not in runs]
+        old, self.gone = self.gone, [] if self.own else [r[1] for r in out]
         self.version, self.runs = self.version + 1, runs
-        for name, folder, _ in gone:
+        for name, *_ in out:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-            remove(self.spark, f"{self.path}/{folder}")
+        remove(self.spark, *[f"{self.path}/{folder}" for folder in (*old, *([r[1] for r in out] if self.own else []))])
 
     def append(self, docs: DataFrame) -> None:
         """Adds one batch of keyed documents as the newest run."""
-        self._commit([*self.runs, self._write(docs.select("_id", "_bytes").mapInArrow(_postings, "h long, _id long"), 1)])
+        self._commit([*self.runs, self._write(docs.select(*OWNER, "_bytes").mapInArrow(_postings, "h long, _id long, _s int"), 1)])
 
     def shared_by_newest(self) -> Stored:
         """(h): the hashes of the newest run that two documents of all runs have, or more.
@@ -150,7 +172,7 @@ class FingerprintIndex:
             return Stored(merged.where("lo < hi").select("h"), "shared")
 
     def postings(self, shared: DataFrame) -> Stored:
-        """(h, _id) of all runs, of the hashes given."""
+        """(h, _id, _s) of all runs, of the hashes given."""
         wanted = shared.select(F.col("h").alias("_h")).distinct()
         with in_file_order(self.spark):
             return Stored(reduce(DataFrame.unionByName, [self.spark.table(name).join(wanted, F.col("h") == F.col("_h"), "left_semi") for name, *_ in self.runs]), "postings")
@@ -170,17 +192,28 @@ class FingerprintIndex:
 
 
 def _candidate_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From (_id, _t, text, minimizers): the digests and places of the windows known by one of them."""
+    """From (_id, text, its SHA-256, minimizers): the digests and places ``p`` of the windows known by one of them.
+
+    Each row has a number ``n``, and one row more, of place -1, with its SHA-256.
+    """
+    from pyspark import TaskContext
+
+    number = (TaskContext.get().partitionId() << 33) - 1
 
     def made() -> pa.RecordBatch:
-        digests, p = (np.concatenate(x) for x in zip(*found))
-        sizes = [len(x[0]) for x in found]
-        return pa.RecordBatch.from_arrays([*(pa.array(np.ascontiguousarray(digests[:, k])) for k in range(4)), pa.array(np.repeat(np.array(ids, np.int64), sizes)), pa.array(np.repeat(np.array(marks, np.int32), sizes)), pa.array(p.astype(np.int32))], names=[*DIGEST, "_id", "_t", "p"])
+        digests = np.concatenate([x[1] for x in found])
+        sizes = [len(x[1]) for x in found]
+        owners = [np.repeat(np.array([x[0][k] for x in found], np.int64), sizes) for k in (0, 1)]
+        places = np.concatenate([x[2] for x in found]).astype(np.int32)
+        texts = pa.array([None] * len(places), pa.binary())
+        return pa.RecordBatch.from_arrays([*(pa.array(np.ascontiguousarray(digests[:, k])) for k in range(len(DIGEST))), *map(pa.array, owners), pa.array(places), texts], names=[*DIGEST, "_id", "n", "p", "_sha"])
 
     for batch in batches:
-        found, ids, marks, held = [], [], [], 0
+        found, heads, held = [], [], 0
         shared = batch.column(3)
-        for k, (i, t, text) in enumerate(zip(*(batch.column(j).to_pylist() for j in range(3)))):
+        for k, (i, text, sha) in enumerate(zip(*(batch.column(j).to_pylist() for j in range(3)))):
+            number += 1
+            heads.append((i, number, sha))
             wanted = np.sort(shared[k].values.to_numpy(zero_copy_only=False).view(np.uint64))
             for at, grams in pieces(text.split(), WINDOW - 1):
                 least = sliding_min(grams.hashes(RUN), WINDOW - RUN + 1)
@@ -189,55 +222,62 @@ def _candidate_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
                 spot = np.minimum(np.searchsorted(wanted, least), len(wanted) - 1)
                 keep = np.flatnonzero(wanted[spot] == least)
                 if len(keep):
-                    found.append((grams.digests(WINDOW, keep), keep + at))
-                    ids.append(i)
-                    marks.append(t)
+                    found.append(((i, number), grams.digests(WINDOW, keep), keep + at))
                     held += len(keep)
             if held > 100_000:
                 yield made()
-                found, ids, marks, held = [], [], [], 0
+                found, held = [], 0
         if held:
             yield made()
+        if heads:
+            zero = pa.array(np.zeros(len(heads), np.int64))
+            yield pa.RecordBatch.from_arrays([*[zero] * len(DIGEST), pa.array([h[0] for h in heads], pa.int64()), pa.array([h[1] for h in heads], pa.int64()), pa.array([-1] * len(heads), pa.int32()), pa.array([h[2] for h in heads], pa.binary())], names=[*DIGEST, "_id", "n", "p", "_sha"])
 
 
 def _copies(docs: DataFrame) -> Stored:
-    """(_id, _t) of the documents whose whole text a smaller doc_id has."""
-    texts = _marked(docs).withColumn("_sha", F.sha2(text_bytes(), 256)).select("_id", "_t", "_sha")
+    """(_id, _s, _sha) of the documents whose whole text a smaller doc_id has."""
+    texts = keyed(docs).select(*OWNER, _sha().alias("_sha"))
     firsts = Stored(texts.groupBy("_sha").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n"), "firsts")
-    copies = Stored(texts.join(firsts.df, "_sha").where("_id > _first").select("_id", "_t").distinct(), "copies")
+    copies = Stored(texts.join(firsts.df, "_sha").where("_id > _first").select(*OWNER, "_sha").distinct(), "copies")
     firsts.drop()
     return copies
 
 
-def _repeats(rows: DataFrame, postings: DataFrame, copies: Stored) -> Stored:
-    """Per (_id, _t) of the keyed rows: ``whole`` if it is a copy, else the starts of its repeated windows.
+def _repeats(rows: DataFrame, history: DataFrame | None, postings: DataFrame, copies: Stored) -> Stored:
+    """Per (_id, _sha) of the keyed rows and those of the history: ``whole`` if it is a copy, else the starts of its repeated windows.
 
-    Copies are settled as a whole; what only they share needs no look at the texts. (An id counts as
-    settled if all its rows are; null ids are one id here.)
+    Copies are settled as a whole; what only they share needs no look at the texts. Of all texts, those are
+    read on that share a minimizer.
     """
-    marked = rows.select("_id", "_t").distinct().join(copies.df.select("_id", "_t", F.lit(True).alias("_copy")), ["_id", "_t"], "left")
-    settled = marked.groupBy("_id").agg(F.min(F.coalesce("_copy", F.lit(False))).alias("all")).where("all").select("_id")
-    postings = postings.join(settled, "_id", "left_anti")
+    shas = rows.select(*OWNER, _sha().alias("_sha"))
+    settled = shas.join(copies.df.select("_id", "_sha", F.lit(True).alias("_copy")), ["_id", "_sha"], "left").groupBy(*OWNER).agg(F.min(F.coalesce("_copy", F.lit(False))).alias("all")).where("all").select(*OWNER)
+    postings = postings.join(settled, OWNER, "left_anti")
     still = postings.groupBy("h").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi")).where("lo < hi").select("h")
-    wanted = postings.join(still, "h", "left_semi").groupBy("_id").agg(F.collect_set("h").alias("hs"))
-    windows = Stored(rows.join(wanted, "_id").select("_id", "_t", "_bytes", "hs").mapInArrow(_candidate_windows, ", ".join(f"{d} long" for d in DIGEST) + ", _id long, _t int, p int"), "windows")
+    wanted = Stored(postings.join(still, "h", "left_semi").groupBy(*OWNER).agg(F.collect_set("h").alias("hs")), "wanted")
+    texts = rows
+    if history is not None:
+        texts = rows.unionByName(history.join(wanted.df.select(*OWNER), OWNER, "left_semi"))
+    cut = texts.join(wanted.df, OWNER).select("_id", "_bytes", _sha().alias("_sha"), "hs")
+    windows = Stored(cut.mapInArrow(_candidate_windows, ", ".join(f"{d} long" for d in DIGEST) + ", _id long, n long, p int, _sha binary"), "windows")
+    wanted.drop()
     shares = []
     for k in range(ROUNDS):
-        some = windows.df.where(F.pmod("d0", F.lit(ROUNDS)) == k)
+        some = windows.df.where((F.col("p") >= 0) & (F.pmod("d0", F.lit(ROUNDS)) == k)).drop("_sha")
         # Written first: a join with a plain table lets Spark split a window that very many documents share.
         earliest = Stored(some.groupBy(*DIGEST).agg(F.min("_id").alias("lo"), F.max("_id").alias("hi")).where("lo < hi").select(*DIGEST, "lo"), "earliest")
-        shares.append(Stored(some.join(earliest.df, DIGEST).where("_id > lo").groupBy("_id", "_t").agg(F.collect_list("p").alias("starts")), "starts"))
+        shares.append(Stored(some.join(earliest.df, DIGEST).where("_id > lo").groupBy("n").agg(F.collect_list("p").alias("starts")), "starts"))
         earliest.drop()
-    windows.drop()
-    starts = reduce(DataFrame.unionByName, [x.df for x in shares]).groupBy("_id", "_t").agg(F.flatten(F.collect_list("starts")).alias("starts")).join(copies.df, ["_id", "_t"], "left_anti")
-    found = Stored(starts.select("_id", "_t", "starts", F.lit(False).alias("whole")).unionByName(copies.df.select("_id", "_t", F.lit(None).cast("array<int>").alias("starts"), F.lit(True).alias("whole"))), "repeats")
-    for x in (*shares, copies):
+    starts = reduce(DataFrame.unionByName, [x.df for x in shares]).groupBy("n").agg(F.flatten(F.collect_list("starts")).alias("starts"))
+    # Rows of one id and text have the same windows; one of them is enough.
+    named = windows.df.where("p < 0").groupBy("_id", "_sha").agg(F.min("n").alias("n")).join(starts, "n").join(copies.df, ["_id", "_sha"], "left_anti")
+    found = Stored(named.select("_id", "_sha", "starts", F.lit(False).alias("whole")).unionByName(copies.df.select("_id", "_sha", F.lit(None).cast("array<int>").alias("starts"), F.lit(True).alias("whole")).distinct()), "repeats")
+    for x in (windows, *shares, copies):
         x.drop()
     return found
 
 
 def find_repeats(docs: DataFrame, batches: int = BATCHES) -> Stored:
-    """Per (_id, _t): ``whole`` if its text has been seen in a smaller doc_id, else the starts of its repeated windows.
+    """Per (_id, _sha): ``whole`` if its text has been seen in a smaller doc_id, else the starts of its repeated windows.
 
     Documents arrive in ``batches`` of ascending doc_id.
     """
@@ -258,7 +298,7 @@ def find_repeats(docs: DataFrame, batches: int = BATCHES) -> Stored:
     postings = index.postings(reduce(DataFrame.unionByName, [x.df for x in found]))
     index.close()
     remove(spark, index.path, *[x.path for x in found])
-    repeats = _repeats(rows, postings.df, _copies(docs))
+    repeats = _repeats(rows, None, postings.df, _copies(docs))
     postings.drop()
     return repeats
 
@@ -266,17 +306,20 @@ def find_repeats(docs: DataFrame, batches: int = BATCHES) -> Stored:
 def judge(index: FingerprintIndex, batch: DataFrame, history: DataFrame | None = None) -> Stored:
     """Adds a batch to the index; its repeats as ``find_repeats`` gives them, against itself and all earlier batches.
 
-    ``history`` are the documents of the earlier batches, of which those with a minimizer of the batch are
-    read. A window counts as repeated if a smaller doc_id has it, so batches should come in the order of
+    ``history`` are the documents of the earlier batches, without which an index that has some can't judge. Those that
+    share no minimizer with the batch are left out where they are scanned, by a join whose other side Spark
+    broadcasts while it is small. A window counts as repeated if a smaller doc_id has it, so batches should come in the order of
     their ids: what an earlier batch was told is not changed later.
     """
+    if index.runs and history is None:
+        raise ValueError(f"{index.path} holds earlier batches; give their documents as history")
     rows = keyed(batch)
     index.append(rows)
     shared = index.shared_by_newest()
     postings = index.postings(shared.df)
     index.compact()
     shared.drop()
-    repeats = _repeats(rows if history is None else rows.unionByName(keyed(history)), postings.df, _copies(batch))
+    repeats = _repeats(rows, None if history is None else keyed(history), postings.df, _copies(batch))
     postings.drop()
     return repeats
 
@@ -319,9 +362,9 @@ def _removed(docs: DataFrame, repeats: Stored, carried: list[str], with_text: bo
 
     The repeats are read when the result is, and stay until the session ends.
     """
-    known = repeats.df.select(F.col("_id").alias("_rid"), F.col("_t").alias("_rt"), "starts", "whole")
-    plain = docs.select(*veiled(carried), _id().alias("_id"), F.hash(F.coalesce("text", F.lit(""))).alias("_t"), text_bytes().alias("_bytes"), F.col("text").isNull().alias("_null"))
-    joined = plain.join(known, (F.col("_id") == F.col("_rid")) & (F.col("_t") == F.col("_rt")), "left").drop("_rid", "_rt", "_id", "_t")
+    known = repeats.df.select(F.col("_id").alias("_rid"), F.col("_sha").alias("_rs"), "starts", "whole")
+    plain = docs.select(*veiled(carried), _id().alias("_id"), text_bytes().alias("_bytes"), F.col("text").isNull().alias("_null")).withColumn("_sha", _sha())
+    joined = plain.join(known, (F.col("_id") == F.col("_rid")) & (F.col("_sha") == F.col("_rs")), "left").drop("_rid", "_rs", "_id", "_sha")
     types = dict(docs.dtypes)
     schema = ", ".join([f"c{i} {types[c]}" for i, c in enumerate(carried)] + ["_null boolean", "_n_words long", "_n_removed long", "_sha string"] + (["_kept binary"] if with_text else []))
     out = joined.mapInArrow(_rewrite(with_text), schema)

@@ -65,10 +65,10 @@ class Grams:
         return mix((self.prefix[e] - self.prefix[s]) * self.inverse[s])
 
     def digests(self, n: int, at: np.ndarray) -> np.ndarray:
-        """The SHA-256 of the runs of n words that start at the places ``at``, as rows of four integers."""
+        """The first 128 bits of the SHA-256 of the runs of n words that start at the places ``at``, as rows of two integers."""
         view, digest = memoryview(self.joined), hashlib.sha256
-        joined = b"".join([digest(view[s:e]).digest() for s, e in zip(self.starts[at].tolist(), self.ends[at + n - 1].tolist())])
-        return np.frombuffer(joined, np.int64).reshape(-1, 4)
+        joined = b"".join([digest(view[s:e]).digest()[:16] for s, e in zip(self.starts[at].tolist(), self.ends[at + n - 1].tolist())])
+        return np.frombuffer(joined, np.int64).reshape(-1, 2)
 
 
 def pieces(words: list[bytes], overlap: int) -> Iterator[tuple[int, Grams]]:

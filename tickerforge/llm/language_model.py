@@ -41,10 +41,10 @@ from tickerforge.llm.lexical import terms_of
 #: Symbols for the end and the most frequent words, runs they are cut into, and endings of rarer words.
 WORDS, RUNS, ENDINGS = 2_000, 24, 48
 #: Words whose counts every task knows, and their bytes at most: a bound of what is sent to tasks.
-LISTED, BYTES = 32_000, 64
+LISTED, BYTES = 60_000, 64
 ROUNDS, GONE, ENOUGH = 4, 16, 4_000_000
 #: Symbols that are learned from, or scored, together.
-LEARNED, SCORED = 500_000, 2_000_000
+LEARNED, SCORED = 500_000, 6_000_000
 #: Distinct words that a task holds before it hands their counts on.
 HELD = 500_000
 #: Every byte as itself, A-Z as a-z, white space as a space.
@@ -139,7 +139,8 @@ def _encode(k: Counts):
     names = [c.split()[0] for c in _ENCODED.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get, rare_symbol = k.places.get, k.rare_symbol
+        get, ending, other = k.places.get, k.endings.get, k.words + len(k.endings)
+        symbol_of = np.append(k.symbols, 0).astype(np.uint16)
         for batch in batches:
             out: list[list] = [[] for _ in names[2:]]
             for raw in batch.column(2):
@@ -150,11 +151,10 @@ def _encode(k: Counts):
                     at = np.fromiter(map(get, words, repeat(-1)), np.int64, len(words))
                     lost = np.flatnonzero(at < 0)
                     here = at[at >= 0]
-                    symbols = np.empty(len(words), np.uint16)
-                    symbols[at >= 0] = k.symbols[here]
+                    symbols = symbol_of[at]
                     missed = [words[i] for i in lost.tolist()]
                     others.update(missed)
-                    own = np.fromiter(map(rare_symbol, missed), np.int64, len(missed))
+                    own = np.array([ending(w[-2:], other - k.words) for w in missed], np.int64) + k.words
                     symbols[lost] = own
                     n += len(words)
                     known += len(here)

@@ -50,12 +50,17 @@ def run_states(p: dict[str, np.ndarray], inputs: np.ndarray, fresh: np.ndarray,
     """The states after each step of the inputs (steps, lanes); where ``fresh``, a text begins from the zero state."""
     n = HIDDEN
     drive, out = p["x"][inputs], np.empty((*inputs.shape, n), np.float32)
+    u, bn, half, begun = p["u"], p["bn"], np.float32(0.5), fresh.any(axis=1).tolist()
     for t in range(len(inputs)):
-        if fresh[t].any():
+        if begun[t]:
             h = np.where(fresh[t][:, None], np.float32(0), h)
-        a = h @ p["u"]
-        gate = np.tanh(np.float32(0.5) * (drive[t, :, : 2 * n] + a[:, : 2 * n])) * np.float32(0.5) + np.float32(0.5)
-        z, r, inner = gate[:, :n], gate[:, n:], a[:, 2 * n :] + p["bn"]
+        a = h @ u
+        gate = a[:, : 2 * n] + drive[t, :, : 2 * n]
+        gate *= half
+        np.tanh(gate, out=gate)
+        gate *= half
+        gate += half
+        z, r, inner = gate[:, :n], gate[:, n:], a[:, 2 * n :] + bn
         new = np.tanh(drive[t, :, 2 * n :] + r * inner)
         if keep is not None:
             keep.append((h, z, r, inner, new))
@@ -76,33 +81,45 @@ def _by_class(v: Vocabulary, targets: np.ndarray):
             yield low, high, order[a:b]
 
 
+def _logits(states: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """The logits less a constant, so that no exponential overflows and each row has one that doesn't vanish.
+
+    States are within -1 and 1, so weights bound the logits; where that bound is too wide, a row's own maximum is taken.
+    """
+    reach = np.abs(weights).sum(axis=0)
+    high = (bias + reach).max()
+    logits = states @ weights
+    logits += bias - high
+    if high - (bias - reach).max() > 60:
+        logits -= logits.max(axis=1, keepdims=True)
+    return logits
+
+
 def log_likelihoods(v: Vocabulary, p: dict[str, np.ndarray], states: np.ndarray, targets: np.ndarray, grads: dict | None = None) -> np.ndarray:
     """The natural logarithm of each target's probability in its state; ``grads`` gains the gradients of their negative sum."""
     rows, classes = np.arange(len(targets)), v.class_of[targets]
-    logits = states @ p["wc"] + p["bc"]
-    logits -= logits.max(axis=1, keepdims=True)
-    own = logits[rows, classes]
-    np.exp(logits, out=logits)
-    total = logits.sum(axis=1)
-    out = own - np.log(total)
+    shares = _logits(states, p["wc"], p["bc"])
+    out = shares[rows, classes]
+    np.exp(shares, out=shares)
+    total = shares @ np.ones(v.classes, shares.dtype)
+    out -= np.log(total)
     if grads is not None:
-        logits /= total[:, None]
-        logits[rows, classes] -= 1
-        grads["wc"], grads["bc"], grads["state"] = states.T @ logits, logits.sum(axis=0), logits @ p["wc"].T
+        shares /= total[:, None]
+        shares[rows, classes] -= 1
+        grads["wc"], grads["bc"], grads["state"] = states.T @ shares, shares.sum(axis=0), shares @ p["wc"].T
         grads["wo"] = []
     for low, high, at in _by_class(v, targets):
-        inside = states[at] @ p["wo"][low:high].T + p["bo"][low:high]
-        inside -= inside.max(axis=1, keepdims=True)
-        place = targets[at] - low
-        own = inside[np.arange(len(at)), place]
-        np.exp(inside, out=inside)
-        total = inside.sum(axis=1)
-        out[at] += own - np.log(total)
+        own, spots = states[at], (np.arange(len(at)), targets[at] - low)
+        shares = _logits(own, p["wo"][low:high].T, p["bo"][low:high])
+        found = shares[spots]
+        np.exp(shares, out=shares)
+        total = shares @ np.ones(high - low, shares.dtype)
+        out[at] += found - np.log(total)
         if grads is not None:
-            inside /= total[:, None]
-            inside[np.arange(len(at)), place] -= 1
-            grads["wo"].append((low, high, inside.T @ states[at], inside.sum(axis=0)))
-            grads["state"][at] += inside @ p["wo"][low:high]
+            shares /= total[:, None]
+            shares[spots] -= 1
+            grads["wo"].append((low, high, shares.T @ own, shares.sum(axis=0)))
+            grads["state"][at] += shares @ p["wo"][low:high]
     return out
 
 
@@ -188,8 +205,8 @@ def score_texts(v: Vocabulary, p: dict[str, np.ndarray], texts: list[np.ndarray]
         filled[k] += sizes[i]
     order = np.argsort(-filled, kind="stable")
     lanes, filled = [lanes[k] for k in order], filled[order]
-    streams = [np.concatenate([texts[i] for i in lane]).astype(np.int64) if lane else np.zeros(0, np.int64) for lane in lanes]
-    owners = [np.repeat(np.array(lane, np.int64), sizes[lane]) if lane else np.zeros(0, np.int64) for lane in lanes]
+    streams = [np.concatenate([texts[i] for i in lane]) if lane else np.zeros(0, np.uint16) for lane in lanes]
+    owners = [np.repeat(np.array(lane, np.int32), sizes[lane]) if lane else np.zeros(0, np.int32) for lane in lanes]
     out, h = np.zeros(len(texts)), np.zeros((len(lanes), HIDDEN), np.float32)
     last = np.full(len(lanes), -1, np.int64)
     for a in range(0, int(filled[0]) if len(filled) else 0, STEPS):

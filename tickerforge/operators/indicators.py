@@ -1,14 +1,12 @@
-"""Technical indicators. Moving averages are windows; exponential ones recur and run on a series at a time."""
+"""Technical indicators. Moving averages are windows; exponential ones recur and run on a block of a series at a time."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickerforge.operators.blocks import BLOCK, WIDTH, exponential_means, previous
+
 
 def _positive(**windows: int) -> None:
     for name, n in windows.items():
@@ -23,58 +21,43 @@ def sma(column: str, n: int = 20, key: str = "security_id", order: str = "trade_
     return F.when(F.count(column).over(w) == n, F.avg(column).over(w)).alias(f"{column}_sma_{n}")
 
 
-def _each_series(frame: DataFrame, columns: list[str], suffixes: list[str], kernel: Callable[[pd.Series], list[pd.Series]], key: str, order: str) -> DataFrame:
+def _known(frame: DataFrame, columns: list[str]) -> None:
     missing = [c for c in columns if c not in frame.columns]
     if missing or not columns:
         raise ValueError(f"no such columns: {', '.join(missing)}" if missing else "no columns given")
-    made = [f"{c}_{s}" for c in columns for s in suffixes]
-    types = dict(frame.dtypes)
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable")
-        out = pdf[[key, order]].copy()
-        for c in columns:
-            for s, values in zip(suffixes, kernel(pdf[c].astype("float64"))):
-                out[f"{c}_{s}"] = values.astype(object).where(values.notna(), None)
-        return out
-
-    rows = frame.select(key, order, *columns)
-    return rows.groupBy(key).applyInPandas(run, ", ".join([f"{key} {types[key]}", f"{order} {types[order]}", *[f"{m} double" for m in made]]))
-
-
-def _smooth(x: pd.Series, alpha: float, warm: int, adjust: bool = False) -> pd.Series:
-    """Exponential weights that keep decaying over nulls; null until ``warm`` values have been seen."""
-    return x.ewm(alpha=alpha, adjust=adjust, min_periods=warm, ignore_na=False).mean()
 
 
-def ema(frame: DataFrame, columns: list[str], n: int = 20, adjust: bool = False, key: str = "security_id", order: str = "trade_date") -> DataFrame:
+def ema(frame: DataFrame, columns: list[str], n: int = 20, adjust: bool = False, key: str = "security_id", order: str = "trade_date", width: int = WIDTH) -> DataFrame:
     """(key, order, {c}_ema_{n}) with weight 2/(n+1) on the newest value."""
     _positive(window=n)
-    return _each_series(frame, columns, [f"ema_{n}"], lambda x: [_smooth(x, 2 / (n + 1), n, adjust)], key, order)
+    _known(frame, columns)
+    made = {f"{c}_ema_{n}": (c, 2 / (n + 1), n) for c in columns}
+    return exponential_means(frame.select(key, order, *columns), made, adjust, (), key, order, width).drop(BLOCK)
 
 
-def _rsi(x: pd.Series, n: int) -> pd.Series:
-    step = x.diff()
-    gain, loss = _smooth(step.clip(lower=0), 1 / n, n), _smooth((-step).clip(lower=0), 1 / n, n)
-    index = 100 - 100 / (1 + gain / loss.replace(0, np.nan))
-    return index.mask((loss == 0) & (gain > 0), 100.0)
-
-
-def rsi(frame: DataFrame, columns: list[str], n: int = 14, key: str = "security_id", order: str = "trade_date") -> DataFrame:
+def rsi(frame: DataFrame, columns: list[str], n: int = 14, key: str = "security_id", order: str = "trade_date", width: int = WIDTH) -> DataFrame:
     """(key, order, {c}_rsi_{n}) by Wilder: 100 without losses, null without any move."""
     _positive(window=n)
-    return _each_series(frame, columns, [f"rsi_{n}"], lambda x: [_rsi(x, n)], key, order)
+    _known(frame, columns)
+    values = frame.select(key, order, *[F.nullif(F.col(c).cast("double"), F.lit(float("nan"))).alias(c) for c in columns])
+    steps = previous(values, columns, key, order, width)
+    moves = steps.select(key, order, BLOCK, *[F.when((F.col(c) - F.col(f"{c}_before")).isNotNull(), F.greatest(sign * (F.col(c) - F.col(f"{c}_before")), F.lit(0.0))).alias(f"{c}_{side}") for c in columns for side, sign in (("gain", 1), ("loss", -1))])
+    means = exponential_means(moves, {f"{c}_{side}": (f"{c}_{side}", 1 / n, n) for c in columns for side in ("gain", "loss")}, False, (), key, order, width)
+
+    def index(c: str) -> Column:
+        gain, loss = F.col(f"{c}_gain"), F.col(f"{c}_loss")
+        return F.when((loss == 0) & (gain > 0), F.lit(100.0)).when(loss != 0, 100 - 100 / (1 + gain / loss)).alias(f"{c}_rsi_{n}")
 
+    return means.select(key, order, *[index(c) for c in columns])
 
-def macd(frame: DataFrame, columns: list[str], fast: int = 12, slow: int = 26, signal: int = 9, key: str = "security_id", order: str = "trade_date") -> DataFrame:
+
+def macd(frame: DataFrame, columns: list[str], fast: int = 12, slow: int = 26, signal: int = 9, key: str = "security_id", order: str = "trade_date", width: int = WIDTH) -> DataFrame:
     """(key, order, {c}_macd, {c}_macd_signal, {c}_macd_hist)."""
     _positive(fast=fast, slow=slow, signal=signal)
     if fast >= slow:
         raise ValueError("fast must be below slow")
-
-    def kernel(x: pd.Series) -> list[pd.Series]:
-        line = _smooth(x, 2 / (fast + 1), fast) - _smooth(x, 2 / (slow + 1), slow)
-        mean = _smooth(line, 2 / (signal + 1), signal)
-        return [line, mean, line - mean]
-
-    return _each_series(frame, columns, ["macd", "macd_signal", "macd_hist"], kernel, key, order)
+    _known(frame, columns)
+    both = exponential_means(frame.select(key, order, *columns), {f"{c}_{name}": (c, 2 / (n + 1), n) for c in columns for name, n in (("fast", fast), ("slow", slow))}, False, (), key, order, width)
+    lines = both.select(key, order, BLOCK, *[(F.col(f"{c}_fast") - F.col(f"{c}_slow")).alias(f"{c}_macd") for c in columns])
+    means = exponential_means(lines, {f"{c}_macd_signal": (f"{c}_macd", 2 / (signal + 1), signal) for c in columns}, False, tuple(f"{c}_macd" for c in columns), key, order, width)
+    return means.select(key, order, *[x for c in columns for x in (f"{c}_macd", f"{c}_macd_signal", (F.col(f"{c}_macd") - F.col(f"{c}_macd_signal")).alias(f"{c}_macd_hist"))])

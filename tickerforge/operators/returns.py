@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from tickerforge.operators.blocks import WIDTH, previous, running
+
 
 def series(key: str = "security_id", order: str = "trade_date") -> WindowSpec:
     return Window.partitionBy(key).orderBy(order)
@@ -52,6 +54,25 @@ def cumulative_log(r: Column, w: WindowSpec | None = None) -> Column:
     return F.when(r.isNotNull(), F.sum(r).over(w or so_far()))
 
 
+def cumulative(frame: DataFrame, columns: list[str], kind: str = "simple", key: str = "security_id", order: str = "trade_date", width: int = WIDTH) -> DataFrame:
+    """The frame with {c}_{kind}_ret and its growth so far, {c}_{kind}_ret_cum, scanned in blocks of a series.
+
+    Of the same values as ``cumulative_simple`` and ``cumulative_log`` over whole series.
+    """
+    if kind not in ("simple", "log"):
+        raise ValueError(f"a return is simple or log, not {kind!r}")
+    rows, names = previous(frame, columns, key, order, width), {c: f"{c}_{kind}_ret" for c in columns}
+
+    def of(c: str) -> Column:
+        ratio = F.try_divide(F.col(c), F.col(f"{c}_before"))
+        return ratio - 1 if kind == "simple" else F.when(ratio > 0, F.ln(ratio))
+
+    rows = rows.withColumns({n: of(c) for c, n in names.items()}).drop(*[f"{c}_before" for c in columns])
+    grown = rows.withColumns({f"_g_{n}": 1 + F.col(n) if kind == "simple" else F.col(n) for n in names.values()})
+    done = running(grown, {f"{n}_cum": (f"_g_{n}", "product" if kind == "simple" else "sum") for n in names.values()}, key, order, width)
+    return done.withColumns({f"{n}_cum": F.when(F.col(n).isNotNull(), F.col(f"{n}_cum") - (1 if kind == "simple" else 0)) for n in names.values()}).select(*frame.columns, *[x for n in names.values() for x in (n, f"{n}_cum")])
+
+
 def annualized(cumulative: Column, periods_per_year: Column | int, kind: str, w: WindowSpec | None = None) -> Column:
     """The yearly rate that a cumulative return stands for, over the observations so far."""
     n = F.count(cumulative).over(w or so_far())

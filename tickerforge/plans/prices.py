@@ -160,8 +160,10 @@ def return_diff(spark, sf_dir):
 
 
 def _cumulative(spark, sf_dir) -> DataFrame:
-    rows = market.bars(spark, sf_dir).withColumns({"r": returns.simple("close"), "l": returns.log("close")})
-    return rows.withColumns({"cr": returns.cumulative_simple(F.col("r")), "cl": returns.cumulative_log(F.col("l"))})
+    rows = market.bars(spark, sf_dir)
+    for kind in ("simple", "log"):
+        rows = returns.cumulative(rows, ["close"], kind)
+    return rows.withColumnsRenamed({"close_simple_ret": "r", "close_log_ret": "l", "close_simple_ret_cum": "cr", "close_log_ret_cum": "cl"})
 
 
 @query(f"WITH {CUMULATIVE} SELECT security_id, trade_date, round(cr, 6) AS close_cum_simple FROM cumulative", "bars")
@@ -185,9 +187,10 @@ def dividend_adjusted_return(spark, sf_dir):
     return rounded(rows.select("security_id", "trade_date", returns.dividend_adjusted(F.col("close"), F.col("dividend")).alias("total_return")))
 
 
+# Both sides end to end: a date that one of them lacks has no difference.
 @query(
-    f"""WITH {RETURNS.replace("returns AS (", "returns AS MATERIALIZED (", 1)} SELECT coalesce(a.trade_date, b.trade_date) AS trade_date, coalesce(a.security_id, b.security_id) AS security_id, round(a.r - b.r, 6) AS r
-    FROM (SELECT * FROM returns WHERE trade_date < DATE '2000-01-01') a FULL JOIN (SELECT security_id - 1 AS security_id, trade_date, r FROM returns WHERE security_id > 1) b ON a.security_id = b.security_id AND a.trade_date = b.trade_date""",
+    f"""WITH {RETURNS}, sides AS (SELECT security_id, trade_date, r AS a, CAST(NULL AS DOUBLE) AS b FROM returns WHERE trade_date < DATE '2000-01-01' UNION ALL SELECT security_id - 1, trade_date, NULL, r FROM returns WHERE security_id > 1)
+    SELECT trade_date, security_id, round(max(a) - max(b), 6) AS r FROM sides GROUP BY trade_date, security_id""",
     "bars",
 )
 def excess_return(spark, sf_dir):

@@ -84,9 +84,11 @@ def test_mixing_deviates_by_less_than_a_block():
 def test_unnamed_sources_are_classes_of_their_own(spark):
     rows = [(i, "hot" if i % 3 else "src1") for i in range(3000)] + [(i, f"rare{i}") for i in range(3000, 3005)] + [(i, None) for i in range(3005, 3100)] + [(9000 + i, mixing.REST) for i in range(9)]
     frame = spark.createDataFrame(rows, "doc_id long, source string")
-    assert mixing.parts_of(frame) == {"hot": mixing.OTHER, "src1": 4, mixing.REST: 4}
+    assert mixing.parts_of(frame) == {"hot": mixing.OTHER, "src1": 4, mixing.REST: 4} | {f"rare{i}": mixing.OTHER for i in range(3000, 3005)}
     out = mixing.mix_sources(frame).collect()
     parts, total = mixing.parts_of(frame), sum(mixing.parts_of(frame).values())
+    assert all(r["mix_slot"] < 2 * total / mixing.OTHER for r in out if r["mix_class"].startswith("rare"))  # the first block is due by then
+    parts = {c: n for c, n in parts.items() if not c.startswith("rare")}
     left = min(max(r["mix_slot"] for r in out if r["mix_class"] == c) for c in parts)
     for t in range(1, left, 7):  # no class has run out
         for c, n in parts.items():

@@ -10,9 +10,9 @@ set by the weights and not by the data, is worked out ahead; a block finds its s
 A source that has run out leaves its slots empty, and the others go on in the same proportions, so
 each document is placed once and none is dropped or repeated.
 
-Defined results. A source without a weight of its own gets OTHER parts and is a class of its own if it
-holds a thousandth of the documents or more (so there are a thousand such classes at most); smaller ones
-and null sources share the class ``*``. Documents of a
+Defined results. Every source is a class of its own, however few documents it has; one without a weight gets
+OTHER parts. Null sources, and a source of that name, are the class ``*``. The driver holds the list of sources and
+a template of their parts, which grow with the number of sources and not with that of documents. Documents of a
 class follow each other in the order of the MD5 of their doc_id (a null id counts as the text
 ``null``; rows of equal ids follow each other in any order). An empty table gives an empty result.
 ``mix_sources`` keeps all columns and adds or replaces ``mix_class``, ``mix_seq``, ``mix_block`` and
@@ -34,12 +34,10 @@ from tickerforge.llm.common import id_text, in_order_within, partitions, unveile
 REST = "*"
 #: Documents in a block.
 BLOCK = 8
-#: Target parts of each source in the production mix; small ones together get REST's.
+#: Target parts of each source in the production mix, and of documents without one.
 WEIGHTS: dict[str, int] = {"src0": 24, **{f"src{i}": 4 for i in range(1, 20)}, REST: 4}
 #: Parts of a source that has no weight.
 OTHER = 4
-#: A source without a weight is a class of its own from this part of the documents on.
-TAIL = 1000
 #: Under which name the metadata of ``source`` hold a mix.
 MARK = "mix"
 ADDED = ["mix_class", "mix_seq", "mix_block", "mix_slot"]
@@ -65,11 +63,8 @@ def template(parts: Mapping[str, int]) -> dict[str, list[int]]:
 
 def parts_of(docs: DataFrame, weights: Mapping[str, int] = WEIGHTS) -> dict[str, int]:
     """The classes of the documents and their parts."""
-    # One row a source; at most a thousand and those with a weight are left, beside one for all the rest.
-    counts = docs.groupBy(F.coalesce("source", F.lit(REST)).alias("source")).agg(F.count(F.lit(1)).alias("n"))
-    everything = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
-    kept = counts.crossJoin(F.broadcast(everything)).select(F.when((F.col("source").isin(list(weights)) | (F.col("n") * TAIL >= F.col("total"))) & (F.col("source") != REST), F.col("source")).otherwise(F.lit(REST)).alias("c"))
-    return {r["c"]: weights.get(r["c"], OTHER) for r in kept.distinct().collect()}
+    found = docs.select(F.coalesce("source", F.lit(REST)).alias("c")).distinct()
+    return {r["c"]: weights.get(r["c"], OTHER) for r in found.collect()}  # a row a source
 
 
 def _placed(docs: DataFrame, columns: list[str], parts: Mapping[str, int], block: int) -> DataFrame:
@@ -110,7 +105,7 @@ ORACLE = f"""
 WITH RECURSIVE named(c, n) AS (VALUES {", ".join(f"('{c}', {n})" for c, n in WEIGHTS.items())}),
 weight AS (
   SELECT c, n FROM named
-  UNION ALL SELECT source, {OTHER} FROM documents WHERE source NOT IN (SELECT c FROM named) GROUP BY source HAVING count(*) * {TAIL} >= (SELECT count(*) FROM documents)
+  UNION ALL SELECT source, {OTHER} FROM documents WHERE source NOT IN (SELECT c FROM named) GROUP BY source
 ), classed AS (
   SELECT doc_id, source, coalesce((SELECT c FROM weight WHERE c = source AND c <> '{REST}'), '{REST}') AS mix_class FROM documents
 ), present AS (

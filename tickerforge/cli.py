@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickerforge.functions.periods import DAYS, date_range, parse_bounds, parse_day
-from tickerforge.operators import adjust, dq, indicators, rates, resample, returns, screen, stats
-from tickerforge.sources import files, vendor
+from tickerforge.operators import adjust, dq, indicators, rates, resample, returns, screen, stats, validate
+from tickerforge.sources import feed, files, vendor
 from tickerforge.sources.settings import Settings
 
 #: Field choices of price requests; one at most.
@@ -65,6 +65,8 @@ def parser() -> argparse.ArgumentParser:
     rc.add_argument("--kind", choices=list(RETURNS), default="simple")
     rc.add_argument("--lookback", type=int, default=1)
     rc.add_argument("--cumulative", action="store_true")
+    rc.add_argument("--annualized", action="store_true", help="yearly rates of the growth so far")
+    rc.add_argument("--periods", type=int, help="periods in a year; by default from the dates")
     rc.add_argument("--append", action="store_true")
     ti = command("ti", "technical indicators of a price file")
     ti.add_argument("indicator", choices=("sma", "ema", "rsi", "macd"))
@@ -84,6 +86,8 @@ def _table(spark: SparkSession, settings: Settings, name: str) -> DataFrame:
 
 def price_history(spark: SparkSession, settings: Settings, a: argparse.Namespace) -> DataFrame:
     start, end = date_range(a.start, a.end, a.limit, a.frequency)
+    if settings.source == "live":
+        return _live_history(spark, settings, a, start, end)
     securities, xref = _table(spark, settings, "securities"), _table(spark, settings, "symbol_xref")
     found = screen.resolve(spark.createDataFrame([(a.symbol,)], "symbol string"), xref, securities, "vendor").first()
     if found is None or found["security_id"] is None:
@@ -92,6 +96,23 @@ def price_history(spark: SparkSession, settings: Settings, a: argparse.Namespace
     bars = files.price_history(spark, f"{settings.warehouse}/daily_price", key, start, end)
     if a.adj:
         bars = adjust.adjusted_bars(bars, _table(spark, settings, "adjustment_factor").where(F.col("security_id") == key))
+    return _shown(bars, settings, a)
+
+
+def _live_history(spark: SparkSession, settings: Settings, a: argparse.Namespace, start: date | None, end: date | None) -> DataFrame:
+    """Bars from the vendor: raw ones as they traded, or with --adj its split-adjusted ones."""
+    folder = {"answers": settings.vendor_folder, "transport": settings.vendor_transport, "calls": settings.rate_per_minute}
+    asked = feed.bars(spark, [a.symbol.strip().upper()], "eod_split_adjusted" if a.adj else "eod_raw", start=start, end=end, **folder)
+    typed = validate.checked_bars(asked.withColumn("security_id", F.lit(0).cast("long"))).where("trade_date IS NOT NULL")
+    bars = typed.select("security_id", "trade_date", "open", "high", "low", "close", "volume", "vwap")
+    if start:
+        bars = bars.where(F.col("trade_date") >= F.lit(start))
+    if end:
+        bars = bars.where(F.col("trade_date") <= F.lit(end))
+    return _shown(bars, settings, a)
+
+
+def _shown(bars: DataFrame, settings: Settings, a: argparse.Namespace) -> DataFrame:
     if a.frequency != "day":
         bars = resample.resample(bars, a.frequency, keep_empty=settings.source == "db")
     chosen = next((f for n, f in FIELD_SETS.items() if getattr(a, n)), FIELD_SETS["ohlc"] + ["volume"])
@@ -142,9 +163,14 @@ def file_returns(spark: SparkSession, settings: Settings, a: argparse.Namespace)
     w, so_far = returns.series("series", "date"), returns.so_far("series", "date")
     columns = returns.numeric_columns(frame, ("series",))
     out = frame.select("date", "series", *columns, *[kind(c, a.lookback, w).alias(returns.named(c, suffix, a.lookback)) for c in columns])
-    if a.cumulative and a.kind != "diff":
+    if (a.cumulative or a.annualized) and a.kind != "diff":
         fold = returns.cumulative_simple if a.kind == "simple" else returns.cumulative_log
         out = out.withColumns({returns.named(c, f"cum_{a.kind}", a.lookback): fold(F.col(returns.named(c, suffix, a.lookback)), so_far) for c in columns})
+        if a.annualized:
+            per_year = out.join(returns.periods_per_year(frame, "series", "date"), "series", "left")
+            out = per_year.withColumns({returns.named(c, f"ann_{a.kind}", a.lookback): returns.annualized(F.col(returns.named(c, f"cum_{a.kind}", a.lookback)), F.col("ppy") if a.periods is None else a.periods, a.kind, so_far) for c in columns}).drop("ppy")
+            if not a.cumulative:
+                out = out.drop(*[returns.named(c, f"cum_{a.kind}", a.lookback) for c in columns])
     return (out if a.append else out.drop(*columns)).drop("series").orderBy("date")
 
 

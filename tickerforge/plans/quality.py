@@ -191,6 +191,24 @@ def landed_payloads(spark, sf_dir):
     return vendor.landed(market.table(spark, sf_dir, "pages").select("page_id", F.col("html").alias("payload"))).drop("payload")
 
 
+# The canonical text, written out: keys in order, one space after colons and commas.
+@query(
+    """SELECT doc_id, sha256('{"a": ' || CAST(doc_id AS VARCHAR) || ', "list": [' || CAST(n_chars AS VARCHAR) || ', null, {"x": true, "y": "' || source || '"}], "z": "' || coalesce(lang, '') || '"}') AS payload_hash FROM documents"""
+)
+def canonical_payloads(spark, sf_dir):
+    """Answers about each document in four spellings of one JSON, which all have one hash."""
+    docs = market.table(spark, sf_dir, "documents").select("doc_id", F.col("doc_id").cast("string").alias("i"), F.col("n_chars").cast("string").alias("n"), "source", F.coalesce("lang", F.lit("")).alias("lang"))
+    inner = ['{"y":"', "source", '","x":true}'], ['{ "x" : true , "y" : "', "source", '" }']
+    spelt = []
+    for k, (i, o, c, s) in enumerate([(inner[0], ":", ",", ""), (inner[1], " : ", " ,\n", " "), (inner[0], ":\t", ", ", ""), (inner[1], ": ", ", ", "")]):
+        parts = [['"a"', o, F.col("i")], ['"list"', o, "[", F.col("n"), c, "null", c, i[0], F.col(i[1]), i[2], "]"], ['"z"', o, '"', F.col("lang"), '"']]
+        order = [parts[(k + j) % 3] for j in range(3)]
+        flat = [s, "{", *order[0], c, *order[1], c, *order[2], "}", s]
+        spelt.append(F.concat(*[x if not isinstance(x, str) else F.lit(x) for x in flat]))
+    rows = docs.select("doc_id", F.explode(F.array(*spelt)).alias("payload"))
+    return vendor.landed(rows).select("doc_id", "payload_hash").distinct()
+
+
 @query("SELECT source, endpoint, security_id, max(watermark) AS watermark FROM (SELECT 'v' AS source, 'e' || security_id % 2 AS endpoint, security_id, min(trade_date) AS watermark FROM bars GROUP BY 3 UNION ALL SELECT 'v', 'e' || security_id % 3, security_id, max(trade_date) FROM bars WHERE security_id % 5 <> 0 GROUP BY 3) GROUP BY 1, 2, 3", "bars")
 def watermark_merge(spark, sf_dir):
     """Stored marks and new ones, of which the later counts."""

@@ -23,6 +23,7 @@ def choose_source(asked: str | None, warehouse: str | None) -> str:
 class Settings:
     warehouse: str | None = None
     vendor_folder: str | None = None
+    vendor_transport: str | None = None
     rate_per_minute: int = 280
     overlap_days: int = 5
     outlier_threshold: float = 0.5

@@ -13,8 +13,10 @@ from collections import deque
 from collections.abc import Callable, Iterator
 from datetime import date, timedelta
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tickerforge.functions.scalars import SECRETS
 from tickerforge.operators.merge import last_write
@@ -144,9 +146,22 @@ def names_of(payload: list, field: str) -> list[str]:
     return [x.strip() for x in found if isinstance(x, str) and x.strip()]
 
 
+@F.pandas_udf(StringType())
+def canonical_json(payload: pd.Series) -> pd.Series:
+    """JSON with its keys sorted at every level and no white space of its own; what isn't JSON stays as it is, null is null."""
+
+    def one(text: str | None) -> str | None:
+        try:
+            return None if text is None else json.dumps(json.loads(text), sort_keys=True)
+        except ValueError:
+            return text
+
+    return payload.map(one, na_action="ignore")
+
+
 def landed(answers: DataFrame) -> DataFrame:
-    """Raw answers with the hash of their text and its size; answers should be in canonical JSON (sorted keys)."""
-    return answers.withColumn("payload_hash", F.sha2("payload", 256)).withColumn("n_bytes", F.octet_length("payload").cast("long"))
+    """Raw answers with the hash of their canonical JSON, by which an answer is known that comes again with other key order or spacing, and their size."""
+    return answers.withColumn("payload_hash", F.sha2(canonical_json("payload"), 256)).withColumn("n_bytes", F.octet_length("payload").cast("long"))
 
 
 _BAR = "symbol string, date string, open double, high double, low double, close double, volume double, vwap double"

@@ -33,15 +33,28 @@ def calendar(spark):
     return trading_calendar.trading_calendar(spark, FIRST, LAST)
 
 
-@query(f"WITH {CALENDAR} SELECT exchange_code, trade_date, TRUE AS is_open FROM open_days, (SELECT unnest(['NASDAQ', 'NYSE', 'AMEX']) AS exchange_code)", name="trading_calendar")
+_VENUES = "(SELECT unnest(['NASDAQ', 'NYSE', 'AMEX']) AS exchange_code)"
+_DAILY = "daily AS (SELECT trade_date, count(*) AS n FROM bars GROUP BY 1), span AS (SELECT min(year(trade_date)) AS a, max(year(trade_date)) AS b FROM bars)"
+
+
+def _with_bars(spark, sf_dir, days):
+    """Days of a calendar with the number of bars of each."""
+    daily = market.bars(spark, sf_dir).groupBy("trade_date").agg(F.count(F.lit(1)).alias("n"))
+    return days.join(daily, "trade_date", "left").select("exchange_code", "trade_date", "is_open", F.coalesce("n", F.lit(0)).cast("long").alias("n_bars"))
+
+
+@query(f"WITH {CALENDAR}, {_DAILY} SELECT exchange_code, trade_date, TRUE AS is_open, coalesce(n, 0) AS n_bars FROM open_days JOIN span ON year(trade_date) BETWEEN a AND b CROSS JOIN {_VENUES} LEFT JOIN daily USING (trade_date)", "bars", name="trading_calendar")
 def _calendar(spark, sf_dir):
-    return calendar(spark)
+    """Open days in the years that there are bars of, with the bars of each."""
+    span = market.bars(spark, sf_dir).agg(F.min(F.year("trade_date")), F.max(F.year("trade_date"))).first()
+    return _with_bars(spark, sf_dir, trading_calendar.trading_calendar(spark, max(FIRST, span[0]), min(LAST, span[1])))
 
 
-@query(f"WITH {CALENDAR} SELECT exchange_code, trade_date, TRUE AS is_open FROM open_days, (SELECT unnest(['NASDAQ', 'NYSE', 'AMEX']) AS exchange_code)")
+@query(f"WITH {CALENDAR}, {_DAILY} SELECT exchange_code, trade_date, TRUE AS is_open, coalesce(n, 0) AS n_bars FROM open_days JOIN span ON year(trade_date) <= b + 3 CROSS JOIN {_VENUES} LEFT JOIN daily USING (trade_date)", "bars")
 def calendar_horizon(spark, sf_dir):
-    """A calendar of fewer years, extended."""
-    return trading_calendar.extend(trading_calendar.trading_calendar(spark, FIRST, LAST - 3), LAST)
+    """A calendar up to the bars' last year, extended by three years, with the bars of each day."""
+    last = market.bars(spark, sf_dir).agg(F.max(F.year("trade_date"))).first()[0]
+    return _with_bars(spark, sf_dir, trading_calendar.extend(trading_calendar.trading_calendar(spark, FIRST, last), min(LAST, last + 3)))
 
 
 GAPS = "gaps AS (SELECT s.security_id, o.trade_date FROM (SELECT security_id, min(trade_date) AS a, max(trade_date) AS b FROM bars GROUP BY 1) s JOIN open_days o ON o.trade_date BETWEEN s.a AND s.b ANTI JOIN bars x ON x.security_id = s.security_id AND x.trade_date = o.trade_date)"
@@ -171,9 +184,11 @@ def bars_per_month(spark, sf_dir):
     return state.bars_per_month(market.bars(spark, sf_dir))
 
 
-@query("SELECT CAST(a AS DATE) AS window_start, CAST(least(a + INTERVAL 1824 DAY, DATE '2024-06-30') AS DATE) AS window_end FROM (SELECT unnest(generate_series(DATE '1990-01-01', DATE '2024-06-30', INTERVAL 1825 DAY)) AS a)")
+@query("SELECT security_id, CAST(d AS DATE) AS window_start, CAST(least(d + INTERVAL 399 DAY, b) AS DATE) AS window_end FROM (SELECT security_id, b, unnest(generate_series(a, b, INTERVAL 400 DAY)) AS d FROM (SELECT security_id, min(trade_date) AS a, max(trade_date) AS b FROM bars GROUP BY 1))", "bars")
 def request_windows(spark, sf_dir):
-    return vendor.windows_frame(spark, "1990-01-01", "2024-06-30", 1825)
+    """Each security's history in slices of 400 days, as it would be asked for again."""
+    spans = market.bars(spark, sf_dir).groupBy("security_id").agg(F.min("trade_date").alias("a"), F.max("trade_date").alias("b"))
+    return vendor.windows_of(spans, "a", "b", 400)
 
 
 @query("SELECT security_id, trade_date, close FROM bars", "bars")

@@ -105,11 +105,18 @@ def date_windows(start: date, end: date, days: int = WINDOW_DAYS) -> list[tuple[
     return out
 
 
+def windows_of(spans: DataFrame, start: str, end: str, days: int = WINDOW_DAYS) -> DataFrame:
+    """The slices (window_start, window_end) of each row's dates, beside its other columns; none where the end is before the start."""
+    a, b = F.col(start), F.col(end)
+    steps = F.when(b >= a, F.sequence(F.lit(0), F.floor(F.datediff(b, a) / days).cast("int")))
+    rest = [c for c in spans.columns if c not in (start, end)]
+    each = spans.select(*rest, F.explode(F.transform(steps, lambda k: F.struct(F.date_add(a, k * days).alias("window_start"), F.least(F.date_add(a, k * days + (days - 1)), b).alias("window_end")))).alias("_w"))
+    return each.select(*rest, "_w.*")
+
+
 def windows_frame(spark: SparkSession, start: str, end: str, days: int = WINDOW_DAYS) -> DataFrame:
-    """The same slices as rows (window_start, window_end)."""
-    a, b = F.lit(start).cast("date"), F.lit(end).cast("date")
-    starts = spark.range(1).select(F.explode(F.filter(F.transform(F.sequence(F.lit(0), F.floor(F.datediff(b, a) / days).cast("int")), lambda k: F.date_add(a, k * days)), lambda d: d <= b)).alias("window_start"))
-    return starts.select("window_start", F.least(F.date_add("window_start", days - 1), b).alias("window_end"))
+    """The same slices of two dates as rows."""
+    return windows_of(spark.range(1).select(F.lit(start).cast("date").alias("a"), F.lit(end).cast("date").alias("b")), "a", "b", days)
 
 
 def stitched(slices: DataFrame, keys: list[str], ordinal: str) -> DataFrame:

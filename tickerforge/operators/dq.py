@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -10,16 +12,51 @@ def _flags(rows: DataFrame, check: str, severity: str, record_date: str, detail:
     return rows.select(F.lit(check).alias("check_name"), F.lit(severity).alias("severity"), "security_id", F.col(record_date).alias("record_date"), F.to_json(F.struct(*detail)).alias("detail"))
 
 
-def gaps(bars: DataFrame, calendar: DataFrame, exchange: str = "NASDAQ") -> DataFrame:
-    """(security_id, trade_date) of the exchange's open days between a security's first and last bar that have no bar.
+#: Days in a word of a bitmap.
+BITS = 64
+
+
+def present(days: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, word, days): the dates there are, as a bitmap of 64 days a row, about six rows a year."""
+    day = "datediff(trade_date, DATE '1970-01-01')"
+    rows = days.where("trade_date IS NOT NULL").select(*keys, F.expr(f"floor({day} / {BITS})").cast("long").alias("word"), F.expr(f"shiftleft(1L, pmod({day}, {BITS}))").alias("days"))
+    return rows.groupBy(*keys, "word").agg(F.bit_or("days").alias("days"))
+
+
+def merged_presence(stored: DataFrame, news: DataFrame) -> DataFrame:
+    """The bitmaps of securities after a load; ``news`` are the bitmaps of the loaded bars alone."""
+    return stored.unionByName(news).groupBy("security_id", "word").agg(F.bit_or("days").alias("days"))
+
 
-    The open days of one exchange, a few hundred a year, become one array from which each
-    security takes its own span.
+def _filled(x: Column, shift: Callable[[Column, int], Column]) -> Column:
+    """With all bits beside those set, in the direction of the shift."""
+    for k in (1, 2, 4, 8, 16, 32):
+        x = x.bitwiseOR(shift(x, k))
+    return x
+
+
+def gaps_of(presence: DataFrame, calendar: DataFrame, exchange: str = "NASDAQ") -> DataFrame:
+    """(security_id, trade_date) of the exchange's open days between the first and the last day of a security's bitmap that are not in it.
+
+    Words of 64 days are compared, so a security costs six rows a year and one more for each day that is missing.
+    The calendar's words go along as one map, six entries a year.
     """
-    days = calendar.where((F.col("exchange_code") == exchange) & F.col("is_open")).agg(F.sort_array(F.collect_set("trade_date")).alias("_days"))
-    spans = bars.groupBy("security_id").agg(F.min("trade_date").alias("_a"), F.max("trade_date").alias("_b"))
-    due = spans.crossJoin(F.broadcast(days)).select("security_id", F.explode(F.filter("_days", lambda d: (d >= F.col("_a")) & (d <= F.col("_b")))).alias("trade_date"))
-    return due.join(bars.select("security_id", "trade_date"), ["security_id", "trade_date"], "left_anti")
+    open_days = present(calendar.where((F.col("exchange_code") == exchange) & F.col("is_open")), []).agg(F.map_from_entries(F.collect_list(F.struct("word", "days"))).alias("_open"))
+    spans = presence.groupBy("security_id").agg(F.min("word").alias("_a"), F.max("word").alias("_b"), F.min_by("days", "word").alias("_first"), F.max_by("days", "word").alias("_last"))
+    words = spans.crossJoin(F.broadcast(open_days)).select("*", F.explode(F.sequence("_a", "_b")).alias("_w"))
+    every, first, last = F.lit(-1).cast("long"), F.col("_first"), F.col("_last")
+    since = F.when(F.col("_w") == F.col("_a"), _filled(first, F.shiftleft)).otherwise(every)
+    until = F.when(F.col("_w") == F.col("_b"), _filled(last, F.shiftrightunsigned)).otherwise(every)
+    due = words.select(F.col("security_id").alias("_s"), "_w", F.coalesce(F.element_at("_open", F.col("_w")), F.lit(0).cast("long")).bitwiseAND(since).bitwiseAND(until).alias("_due")).where("_due <> 0")
+    met = due.join(presence, F.col("_s").eqNullSafe(F.col("security_id")) & (F.col("_w") == F.col("word")), "left")
+    missing = met.select(F.col("_s").alias("security_id"), "_w", F.col("_due").bitwiseAND(F.bitwise_not(F.coalesce("days", F.lit(0).cast("long")))).alias("_m")).where("_m <> 0")
+    bits = F.filter(F.sequence(F.lit(0), F.lit(BITS - 1)), lambda k: F.call_function("bit_get", F.col("_m"), k) == 1)
+    return missing.select("security_id", "_w", F.explode(bits).alias("_k")).select("security_id", F.date_add(F.lit("1970-01-01").cast("date"), (F.col("_w") * BITS + F.col("_k")).cast("int")).alias("trade_date"))
+
+
+def gaps(bars: DataFrame, calendar: DataFrame, exchange: str = "NASDAQ") -> DataFrame:
+    """(security_id, trade_date) of the exchange's open days between a security's first and last bar that have no bar."""
+    return gaps_of(present(bars, ["security_id"]), calendar, exchange)
 
 
 def outliers(bars: DataFrame, actions: DataFrame, threshold: float = 0.5) -> DataFrame:

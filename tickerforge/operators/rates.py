@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import lru_cache
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -69,30 +72,40 @@ def spline(x: np.ndarray, y: np.ndarray, at: np.ndarray) -> np.ndarray:
     return (m[k] * right**3 + m[k + 1] * left**3) / (6 * h[k]) + (y[k] / h[k] - m[k] * h[k] / 6) * right + (y[k + 1] / h[k] - m[k + 1] * h[k] / 6) * left
 
 
+@lru_cache(maxsize=1024)
+def spline_weights(x: tuple[float, ...], at: tuple[float, ...]) -> np.ndarray:
+    """What each point's value weighs at each of ``at``: a spline is linear in the values, so one matrix serves all curves with these points. Null outside the points."""
+    inside = np.array([x[0] <= t <= x[-1] for t in at])
+    columns = [spline(np.array(x), e, np.array(at)) for e in np.eye(len(x))]
+    return np.where(inside[:, None], np.stack(columns, axis=1), np.nan)
+
+
 def interpolate(curve: DataFrame, interval: str = "semi-annual") -> DataFrame:
     """(curve_date, months, rate) at all tenors of the curves and the grid between.
 
     A tenor that exists keeps its value, null too; between, the date's spline; outside the date's
-    own points, null. A date with fewer than two points is left out.
+    own points, null. A date with fewer than two points is left out. Dates of a batch that have the same tenors are
+    one matrix product.
     """
     rows = with_months(curve)
     # One row of as many numbers as there are tenors; it goes along with the few points of each date.
     tenors = target_tenors(curve, interval).agg(F.sort_array(F.collect_set("months")).alias("_grid"))
     existing = rows.agg(F.collect_set("months").alias("_existing"))
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        own = pdf.dropna(subset=["rate"]).sort_values("months")
-        if len(own) < 2:
-            return pd.DataFrame(columns=["curve_date", "months", "rate"])
-        x, y, at = own["months"].to_numpy(float), own["rate"].to_numpy(float), np.array(pdf["_grid"].iloc[0])
-        values = np.where((at >= x[0]) & (at <= x[-1]), spline(x, y, at), np.nan)
-        there = np.isin(at, np.array(pdf["_existing"].iloc[0]))
-        given = dict(zip(x, y))
-        values = [given.get(m) if e else (None if np.isnan(v) else v) for m, v, e in zip(at, values, there)]
-        return pd.DataFrame({"curve_date": pdf["curve_date"].iloc[0], "months": at, "rate": pd.Series(values, dtype=object)})
-
-    known = rows.select("curve_date", "months", "rate").crossJoin(F.broadcast(tenors)).crossJoin(F.broadcast(existing))
-    return known.groupBy("curve_date").applyInPandas(run, "curve_date date, months double, rate double")
+    point = F.struct("months", F.col("rate").cast("double").alias("rate"))
+    dates = rows.groupBy("curve_date").agg(F.array_sort(F.collect_list(F.when(F.col("rate").isNotNull() & ~F.isnan("rate"), point))).alias("_p")).where(F.size("_p") > 1)
+    known = dates.select("curve_date", F.transform("_p", lambda p: p["months"]).alias("x"), F.transform("_p", lambda p: p["rate"]).alias("y")).crossJoin(F.broadcast(tenors)).crossJoin(F.broadcast(existing))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for x, group in pdf.groupby(pdf["x"].map(tuple)):
+                grid = tuple(group["_grid"].iloc[0])
+                values = np.stack(group["y"].to_list()) @ spline_weights(x, grid).T
+                for k in np.flatnonzero(np.isin(grid, group["_existing"].iloc[0])):
+                    values[:, k] = np.stack(group["y"].to_list())[:, x.index(grid[k])] if grid[k] in x else np.nan
+                flat = pd.Series(values.ravel())
+                yield pd.DataFrame({"curve_date": np.repeat(group["curve_date"].to_numpy(), len(grid)), "months": np.tile(grid, len(group)), "rate": flat.astype(object).where(flat.notna(), None)})
+
+    return known.mapInPandas(run, "curve_date date, months double, rate double")
 
 
 def zero_at(months: float, known: list[tuple[float, float]]) -> float | None:

@@ -207,13 +207,61 @@ def curve_single_date(spark, sf_dir):
     return rounded(rates.single_date(rates.latest(rates.with_months(market.curve(spark, sf_dir)))))
 
 
-@query()
+# The spline's second derivatives m solve a system of three diagonals once the conditions at the ends are put into its
+# first and last row; swept forward (c, e) and back, a row a knot. All of it is by date.
+SPLINE = f"""
+points AS (SELECT curve_date, {_MONTHS} AS x, rate AS y FROM curve WHERE {_MONTHS} IS NOT NULL),
+knots AS (SELECT *, row_number() OVER w AS i, count(*) OVER (PARTITION BY curve_date) AS n, lead(x) OVER w - x AS h, (lead(y) OVER w - y) / (lead(x) OVER w - x) AS d FROM points WHERE y IS NOT NULL WINDOW w AS (PARTITION BY curve_date ORDER BY x)),
+sides AS (SELECT *, lag(h) OVER w AS g, lead(h) OVER w AS k, lag(h, 2) OVER w AS f, lag(d) OVER w AS b FROM knots WINDOW w AS (PARTITION BY curve_date ORDER BY i)),
+system AS (
+  SELECT curve_date, i, n, CASE WHEN i = 2 THEN 0 WHEN i = n - 1 THEN g - h * h / g ELSE g END AS low,
+    2 * (g + h) + CASE WHEN i = 2 THEN g * (g + h) / h ELSE 0 END + CASE WHEN i = n - 1 THEN h * (g + h) / g ELSE 0 END AS mid,
+    CASE WHEN i = n - 1 THEN 0 WHEN i = 2 THEN h - g * g / h ELSE h END AS up, 6 * (d - b) AS rhs
+  FROM sides WHERE n > 3 AND i > 1 AND i < n
+), swept(curve_date, i, n, c, e) AS (
+  SELECT curve_date, i, n, up / mid, rhs / mid FROM system WHERE i = 2
+  UNION ALL SELECT s.curve_date, s.i, s.n, s.up / (s.mid - s.low * p.c), (s.rhs - s.low * p.e) / (s.mid - s.low * p.c) FROM swept p JOIN system s ON s.curve_date = p.curve_date AND s.i = p.i + 1
+), solved(curve_date, i, m) AS (
+  SELECT curve_date, i, e FROM swept WHERE i = n - 1
+  UNION ALL SELECT s.curve_date, s.i, s.e - s.c * p.m FROM solved p JOIN swept s ON s.curve_date = p.curve_date AND s.i = p.i - 1
+), bent AS (
+  SELECT k.curve_date, k.i, k.n, k.x, k.y, k.h, k.d, CASE WHEN k.n < 4 THEN 0 ELSE coalesce(s.m, CASE WHEN k.i = 1 THEN ((k.h + r.h) * a.m - k.h * c.m) / r.h ELSE ((l.h + q.h) * z.m - l.h * v.m) / q.h END) END AS m
+  FROM knots k LEFT JOIN solved s ON s.curve_date = k.curve_date AND s.i = k.i
+    LEFT JOIN knots r ON r.curve_date = k.curve_date AND r.i = 2 LEFT JOIN solved a ON a.curve_date = k.curve_date AND a.i = 2 LEFT JOIN solved c ON c.curve_date = k.curve_date AND c.i = 3
+    LEFT JOIN knots l ON l.curve_date = k.curve_date AND l.i = k.n - 1 LEFT JOIN knots q ON q.curve_date = k.curve_date AND q.i = k.n - 2
+    LEFT JOIN solved z ON z.curve_date = k.curve_date AND z.i = k.n - 1 LEFT JOIN solved v ON v.curve_date = k.curve_date AND v.i = k.n - 2
+), spans AS (SELECT *, lead(m) OVER w AS m1, lead(x) OVER w AS x1, lead(y) OVER w AS y1, lead(d) OVER w AS d1, lead(h) OVER w AS h1, lag(d) OVER w AS d0, lag(x) OVER w AS x0, lag(y) OVER w AS y0 FROM bent WINDOW w AS (PARTITION BY curve_date ORDER BY i)),
+have AS (SELECT DISTINCT round(x, 6) AS months FROM points),
+targets AS (SELECT months, TRUE AS given FROM have UNION ALL SELECT DISTINCT months, FALSE FROM (SELECT round(a + 6 * unnest(range(0, CAST(floor((b - a) / 6) AS BIGINT) + 1)), 6) AS months FROM (SELECT min(months) AS a, max(months) AS b FROM have)) WHERE months NOT IN (SELECT months FROM have)),
+spline AS (
+  SELECT d.curve_date, t.months, CASE WHEN t.given THEN k.y
+    WHEN s.n = 3 AND s.i = 1 THEN s.y + s.d * (t.months - s.x) + (s.d1 - s.d) / (s.h + s.h1) * (t.months - s.x) * (t.months - s.x1)
+    WHEN s.n = 3 THEN s.y0 + s.d0 * (t.months - s.x0) + (s.d - s.d0) / (s.x1 - s.x0) * (t.months - s.x0) * (t.months - s.x)
+    ELSE (s.m * pow(s.x1 - t.months, 3) + s.m1 * pow(t.months - s.x, 3)) / (6 * s.h) + (s.y / s.h - s.m * s.h / 6) * (s.x1 - t.months) + (s.y1 / s.h - s.m1 * s.h / 6) * (t.months - s.x) END AS rate
+  FROM (SELECT DISTINCT curve_date FROM knots WHERE n > 1) d CROSS JOIN targets t LEFT JOIN knots k ON k.curve_date = d.curve_date AND round(k.x, 6) = t.months
+    LEFT JOIN spans s ON NOT t.given AND s.curve_date = d.curve_date AND s.x <= t.months AND t.months < s.x1
+)"""
+
+
+@query(f"WITH {SPLINE} SELECT curve_date, months, {sql_round('rate')} AS rate FROM spline", "curve")
 def curve_spline(spark, sf_dir):
-    """Curves on a semi-annual grid; beyond SQL, tested against polynomials."""
+    """Curves on a semi-annual grid."""
     return rounded(rates.interpolate(market.curve(spark, sf_dir), "semi-annual"))
 
 
-@query()
+# Zero rates one tenor after the other; ms and zs are the tenors done so far, between which coupons are discounted on straight lines.
+@query(
+    f"""WITH {SPLINE}, tenors AS (SELECT *, row_number() OVER (PARTITION BY curve_date ORDER BY months) AS n FROM spline), z(curve_date, n, ms, zs, months, zero) AS (
+      SELECT curve_date, 0::BIGINT, []::DOUBLE[], []::DOUBLE[], NULL::DOUBLE, NULL::DOUBLE FROM (SELECT DISTINCT curve_date FROM tenors)
+      UNION ALL
+      SELECT curve_date, n, CASE WHEN v IS NULL THEN ms ELSE list_append(ms, months) END, CASE WHEN v IS NULL THEN zs ELSE list_append(zs, v) END, months, v FROM (
+        SELECT curve_date, n, months, ms, zs, CASE WHEN rate IS NULL OR months <= 12 OR paid >= 1 THEN rate ELSE 200 * (pow((1 - paid) / (1 + rate / 200), -6 / months) - 1) END AS v FROM (
+          SELECT curve_date, n, months, rate, ms, zs, rate / 200 * coalesce(list_sum(list_transform(range(1, CAST(ceil(months / 6 - 1e-9) AS BIGINT)), lambda k:
+            1 / pow(1 + (CASE WHEN ats[k] = 0 THEN zs[1] WHEN ats[k] = len(ms) THEN zs[ats[k]] ELSE zs[ats[k]] + (zs[ats[k] + 1] - zs[ats[k]]) * (6 * k - ms[ats[k]]) / (ms[ats[k] + 1] - ms[ats[k]]) END) / 200, k))), 0) AS paid
+          FROM (SELECT p.curve_date, t.n, t.months, t.rate, p.ms, p.zs, list_transform(range(1, CAST(ceil(t.months / 6 - 1e-9) AS BIGINT)), lambda k: len(list_filter(p.ms, lambda m: m <= 6 * k))) AS ats FROM z p JOIN tenors t ON t.curve_date = p.curve_date AND t.n = p.n + 1))))
+    SELECT curve_date, {{TENOR}} AS tenor, months, {sql_round('zero')} AS rate FROM z WHERE n > 0""".replace("{TENOR}", "CASE WHEN months < 12 THEN 'month' || CAST(CAST(months AS BIGINT) AS VARCHAR) ELSE 'year' || regexp_replace(regexp_replace(printf('%.3f', round(months / 12, 3)), '0+$', ''), '[.]$', '') END"),
+    "curve",
+)
 def curve_zero(spark, sf_dir):
     """Zero curves: spline, then bootstrap."""
     return rounded(rates.yield_curve(market.curve(spark, sf_dir), zero=True))

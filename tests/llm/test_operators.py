@@ -22,7 +22,7 @@ def test_query_matches_sql(spark, sf_dir, name):
     same_as_sql(spark, sf_dir, queries.QUERIES[name], queries.ORACLES[name])
 
 
-@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.ORACLES) - {"pipeline"}))
+@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.ORACLES) - {"pipeline", "op11_spelling"}))  # the latter has a row a word
 def test_query_returns_every_document(spark, sf_dir, docs, name):
     assert queries.QUERIES[name](spark, sf_dir).count() == docs.count()
 

@@ -13,6 +13,11 @@ from tickerforge.operators.asof import asof_next, asof_prev
 PRICES = ["open", "high", "low", "close"]
 
 
+def securities_with_actions(actions: DataFrame) -> DataFrame:
+    """(security_id) of all securities that have an action, once each: those whose factors are to be made."""
+    return actions.where("security_id IS NOT NULL").select("security_id").distinct()
+
+
 def dividend_reference(actions: DataFrame, bars: DataFrame) -> DataFrame:
     """Dividends with ``prior_close``, the raw close of the last bar before the ex-date."""
     dividends = actions.where("action_type = 'dividend'")

@@ -6,7 +6,8 @@ it has left nothing. Versions are the warehouse's own, so a new checkpoint or a
 there. Two feeds that commit at once: the later one starts its merge over on the newer version.
 
 Bars are kept by year, held dates too, marks by slices of the securities: a batch reads and rewrites only those that it
-touches, whatever else is stored. Flags and run records are added to.
+touches, whatever else is stored. Flags and run records are added to. The latest bar of each security and the totals by
+month move by what the batch changed.
 """
 
 from __future__ import annotations
@@ -19,8 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickerforge import schemas
-from tickerforge.operators import merge, state, validate
-from tickerforge.sources.warehouse import Change, Conflict, Warehouse, feed_of
+from tickerforge.operators import merge, snapshot, state, validate
+from tickerforge.sources.warehouse import Change, Conflict, Snapshot, Warehouse, feed_of
 
 BAR = "security_id long, date string, open double, high double, low double, close double, volume double, vwap double, ordinal long"
 CLEAN = "security_id long, trade_date date, open double, high double, low double, close double, volume long, vwap double"
@@ -43,6 +44,13 @@ def _parts(frame: DataFrame, part: Column) -> list[str]:
     return [r["p"] for r in frame.select(part.cast("string").alias("p")).where("p IS NOT NULL").distinct().collect()]
 
 
+def _totals(base: Snapshot, slices: list[str], years: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Latest bars and months as kept; a warehouse that has bars and doesn't keep them yet counts its bars once."""
+    if "bars" in base.tables and not {"latest", "months"} <= set(base.tables):
+        return snapshot.whole(base.read("bars", CLEAN))
+    return base.read("latest", snapshot.LATEST, slices), base.read("months", snapshot.MONTHS, years)
+
+
 def merge_batch(change: Change, checked: DataFrame, source: str, endpoint: str) -> tuple[int, int]:
     """Puts a batch of checked bars into the change; returns the numbers of good and of quarantined rows.
 
@@ -52,13 +60,19 @@ def merge_batch(change: Change, checked: DataFrame, source: str, endpoint: str)
     base, year = change.base, F.year("trade_date")
     good, flags = validate.good_and_bad(checked)
     fresh = good.select("security_id", "trade_date", *VALUES, F.struct("arrived", "file", "ordinal", *VALUES).alias("_o"))
-    change.replace("bars", merge.upsert(base.read("bars", CLEAN, _parts(good, year)), fresh, ["security_id", "trade_date"], "_o"), year)
+    fresh = merge.last_write(fresh, ["security_id", "trade_date"], "_o").drop("_o")
+    years, slices = _parts(good, year), _parts(good, slice_of())
+    stored = base.read("bars", CLEAN, years)
+    change.replace("bars", merge.upsert(stored, fresh, ["security_id", "trade_date"]), year)
+    changed, (latest, months) = snapshot.changes(stored, fresh), _totals(base, slices, years)
+    change.replace("latest", snapshot.merged_latest(latest, snapshot.latest_of(changed)), slice_of())
+    change.replace("months", snapshot.merged_months(months, snapshot.months_of(changed)), F.year("month"))
     change.add("flags", flags)
     bad = flags.select("security_id", F.col("record_date").alias("trade_date"))
     held = state.counted_holds(base.read("holds", HELD, _parts(bad, year)), bad)
     change.replace("holds", held, year)
     marks = state.advance_counted(good, bad, held).select(F.lit(source).alias("source"), F.lit(endpoint).alias("endpoint"), "security_id", "watermark")
-    change.replace("marks", state.merged_watermarks(base.read("marks", MARKS, _parts(good, slice_of())), marks), slice_of())
+    change.replace("marks", state.merged_watermarks(base.read("marks", MARKS, slices), marks), slice_of())
     n = checked.agg(F.count_if(F.col("reason").isNull()).alias("good"), F.count_if(F.col("reason").isNotNull()).alias("bad")).first()
     return n["good"], n["bad"]
 

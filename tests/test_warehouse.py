@@ -311,3 +311,20 @@ def test_summary_of_nulls_and_nothing(spark):
     rows = {r["field"]: r for r in stats.summary(frame).collect()}
     assert (rows["a"]["n"], rows["a"]["median"], rows["a"]["max"]) == (2, 1.0, 1.0) and rows["b"]["p25"] is None
     assert stats.summary(frame.limit(0)).count() == 0
+
+
+def test_quantiles_of_many_rows_take_two_scans(spark, monkeypatch):
+    """Brackets narrower than the data; and brackets that miss their ranks, which the counts find out."""
+    from tickerforge.operators import stats
+
+    rng = np.random.default_rng(8)
+    v = np.concatenate([rng.lognormal(size=12_000), np.full(5_000, 1.25)])
+    frame = spark.createDataFrame([("a", float(x)) for x in v], "field string, x double").cache()
+    want = {p: float(np.quantile(v, p)) for p in (0.001, 0.25, 0.5, 0.75, 0.999)}
+    for misses in (False, True):
+        if misses:  # the first brackets lie beside their ranks
+            calls, plain = [], stats._within
+            monkeypatch.setattr(stats, "_within", lambda values, brackets: plain(values, brackets if calls else brackets.withColumns({"lo": F.lit(-2.0), "hi": F.lit(calls.append(1) or -1.0)})))
+        got = {r["p"]: r["value"] for r in stats.quantiles(frame, tuple(want)).collect()}
+        assert got == pytest.approx(want, rel=1e-12)
+    assert calls == [1]

@@ -2,49 +2,60 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from tickerforge.operators.returns import numeric_columns
 
 
-#: Buckets of a doubling of the values, and parts that one such bucket is cut into.
-FINE, PARTS = 1024, 1 << 20
+#: Size of a sketch, how far from a wanted rank (as a share of the rows) a bracket reaches, twice the sketch's error, and parts that what lies between is cut into.
+SKETCH, TRUST, PARTS = 4096, 0.0025, 4096
 
 
 def quantiles(values: DataFrame, ps: tuple[float, ...]) -> DataFrame:
-    """(field, p, value): exact interpolated quantiles of each field of (field, x), in rounds of counting.
+    """(field, p, value): exact interpolated quantiles of each field of (field, x), in two scans of the values.
 
-    The first round counts buckets by magnitude (a thousandth of a doubling each), the second cuts the buckets
-    that hold a wanted rank into a million parts, the third counts the single values of a part, of which
-    there are a few million at most, as doubles of one magnitude are evenly spaced. Counts are combined before
-    they are shuffled, so no task holds the values of a field, however many; only the wanted buckets, two a
-    quantile, are broadcast.
+    The first makes a mergeable sketch of each field, which gives a bracket of values around each wanted rank; the
+    brackets, a row for each field and p, are all that comes to the driver. The second counts what is below a bracket
+    and the single values in it, half a hundredth of the rows. The counts prove that the bracket holds its ranks;
+    should one not, its quantile is counted over the whole range in place of it. No task holds a field or a bracket:
+    brackets are cut into parts, and only those that hold a wanted rank are put in order.
     """
-    x = F.col("x")
-    size = F.floor(F.log2(F.abs(x)) * FINE)
-    b1 = F.when(x == 0, 0).when(F.abs(x) == float("inf"), F.signum(x) * 9e6).otherwise(F.signum(x) * (3e6 + size)).cast("long")
-    rows = values.withColumn("b1", b1)
-
-    def located(counts: DataFrame, within: list[str], order: str, wanted: DataFrame, keep: list[str]) -> DataFrame:
-        """The bucket of each wanted rank, and the rank within it."""
-        upto = counts.withColumn("_upto", F.sum("n").over(Window.partitionBy(*within).orderBy(order)))
-        hit = upto.join(F.broadcast(wanted), within).where("rank < _upto AND rank >= _upto - n")
-        return hit.select(*within, order, "p", "side", "share", (F.col("rank") - F.col("_upto") + F.col("n")).alias("rank"), *keep)
-
-    first = rows.groupBy("field", "b1").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+    sketched = values.groupBy("field").agg(F.kll_sketch_agg_double("x", F.lit(SKETCH)).alias("_k"), F.count("x").alias("total"), F.min("x").alias("least"), F.max("x").alias("most"))
+    few = F.col("total") * TRUST < 4  # the whole range, where ranks are farther apart than that
+
+    def bracket(p: float) -> Column:
+        low = F.col("least") if p <= TRUST else F.when(few, F.col("least")).otherwise(F.kll_sketch_get_quantile_double("_k", F.lit(p - TRUST)))
+        high = F.col("most") if p >= 1 - TRUST else F.when(few, F.col("most")).otherwise(F.kll_sketch_get_quantile_double("_k", F.lit(p + TRUST)))
+        return F.struct(F.lit(p).alias("p"), F.col("total"), low.alias("lo"), high.alias("hi"), F.col("least"), F.col("most"))
+
+    known = sketched.select("field", F.inline(F.array(*[bracket(float(p)) for p in ps]))).collect()
+    near = values.sparkSession.createDataFrame(known, "field string, p double, total long, lo double, hi double, least double, most double")
+    found = _within(values, near.drop("least", "most"))
+    rest = near.join(F.broadcast(found.select("field", "p")), ["field", "p"], "left_anti")
+    return found.unionByName(_within(values, rest.select("field", "p", "total", F.col("least").alias("lo"), F.col("most").alias("hi"))))
+
+
+def _within(values: DataFrame, brackets: DataFrame) -> DataFrame:
+    """The quantiles (field, p, value) whose ranks lie in their brackets (field, p, total, lo, hi)."""
+    x, wide, keys = F.col("x"), F.col("hi") - F.col("lo"), ["field", "p", "total"]
+    part = F.when(x < F.col("lo"), -1).when((wide > 0) & (wide < float("inf")), F.least(F.floor((x - F.col("lo")) / wide * PARTS), F.lit(PARTS))).otherwise(0).cast("int")
+    met = values.join(F.broadcast(brackets), "field").where(x <= F.col("hi")).withColumn("part", part)
+    counts = met.groupBy(*keys, "part", F.when(F.col("part") >= 0, x).alias("x")).agg(F.count(F.lit(1)).alias("n"))
+
+    def ranked(frame: DataFrame, within: list[str], order: str) -> DataFrame:
+        return frame.withColumn("_upto", F.sum("n").over(Window.partitionBy(*within).orderBy(order)))
+
     at = F.col("p") * (F.col("total") - 1)
     sides = F.array(F.struct(F.lit("lo").alias("side"), F.floor(at).alias("rank")), F.struct(F.lit("hi").alias("side"), F.ceil(at).alias("rank")))
-    wanted = first.groupBy("field").agg(F.sum("n").alias("total")).select("field", "total", F.explode(F.lit(list(ps))).alias("p")).select("field", "p", (at - F.floor(at)).alias("share"), F.inline(sides))
-    one = located(first, ["field"], "b1", wanted, ["lo", "hi"])
-
-    part = F.when(F.col("hi") > F.col("lo"), F.floor((x - F.col("lo")) / (F.col("hi") - F.col("lo")) * PARTS)).otherwise(0).cast("long")
-    inner = rows.join(F.broadcast(one.select("field", "b1", "lo", "hi").distinct()), ["field", "b1"]).withColumn("b2", part)
-    two = located(inner.groupBy("field", "b1", "b2").agg(F.count(F.lit(1)).alias("n")), ["field", "b1"], "b2", one.drop("lo", "hi"), [])
-    last = inner.join(F.broadcast(two.select("field", "b1", "b2").distinct()), ["field", "b1", "b2"]).groupBy("field", "b1", "b2", "x").agg(F.count(F.lit(1)).alias("n"))
-    three = located(last, ["field", "b1", "b2"], "x", two, [])
-    low, high = F.max(F.when(F.col("side") == "lo", x)), F.max(F.when(F.col("side") == "hi", x))
-    return three.groupBy("field", "p", "share").agg(low.alias("_a"), high.alias("_b")).select("field", "p", F.when(F.col("_a") == F.col("_b"), F.col("_a")).otherwise(F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("share")).alias("value"))
+    hit = (F.col("rank") < F.col("_upto")) & (F.col("rank") >= F.col("_upto") - F.col("n"))
+    parts = ranked(counts.groupBy(*keys, "part").agg(F.sum("n").alias("n")), keys, "part").select("*", F.inline(sides)).where(hit & (F.col("part") >= 0))
+    wanted = parts.select(*keys, "part", "side", (F.col("rank") - F.col("_upto") + F.col("n")).alias("rank"))
+    inside = counts.join(F.broadcast(wanted.select(*keys, "part").distinct()), [*keys, "part"])
+    single = ranked(inside, [*keys, "part"], "x").join(F.broadcast(wanted), [*keys, "part"]).where(hit)
+    one = single.groupBy("field", "p", (at - F.floor(at)).alias("_share")).agg(F.max(F.when(F.col("side") == "lo", x)).alias("_a"), F.max(F.when(F.col("side") == "hi", x)).alias("_b"))
+    a, b = F.col("_a"), F.col("_b")
+    return one.where(a.isNotNull() & b.isNotNull()).select("field", "p", F.when(a == b, a).otherwise(a + (b - a) * F.col("_share")).alias("value"))
 
 
 def summary(frame: DataFrame, date: str = "date") -> DataFrame:

@@ -580,6 +580,29 @@ def test_top_k_on_odd_vectors(spark):
     assert topk.top_k(frame.limit(0)).count() == 0
 
 
+def test_top_k_of_huge_components_and_by_several_tasks(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.normal(size=3)]) for i in range(1, 700)]
+    rows[39] = (40, [3.0, 1e300, -1e308])  # asks, and is one of the rows
+    rows[6], rows[7], rows[8] = (7, [1e300, 0.0, 0.0]), (8, [-2e6, 1.0, 0.0]), (9, [3e7, 5.5, 1e12])
+    last = 2**63 - 1024
+    whole = {i: [max(-last, min(last, int(np.floor(min(max(64 * x, -1e300), 1e300))))) for x in v] for i, v in rows}
+    want = []
+    for q in range(20, 700, 20):
+        scores = {i: max(-topk.SCORE, min(topk.SCORE, sum(a * b for a, b in zip(whole[q], v)))) for i, v in whole.items() if i != q}
+        want += [(q, k + 1, i, s) for k, (i, s) in enumerate(sorted(scores.items(), key=lambda x: (-x[1], x[0]))[:20])]
+    found = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    assert sorted(pairs(found, "query_id", "rank", "vec_id", "score")) == want and len(want) == 34 * 20
+
+
+def test_a_shard_of_wide_vectors_stays_within_its_bytes():
+    """What an index of 768 components a row holds, at the number of rows that its shards get."""
+    rows = topk.BYTES // (topk.EACH * 768)
+    index = topk.ImpactIndex(np.arange(rows), np.random.default_rng(1).integers(-100, 100, (rows, 768)))
+    held = index.vectors.nbytes + sum(m.nbytes for _, _, *both in index.segments for m in both if m is not None)
+    assert held <= topk.BYTES and rows > 10_000
+
+
 def best_by_all_pairs(ids, vectors, queries, k):
     out = {}
     for q in queries:

@@ -18,7 +18,9 @@ parallelism needs.
 Defined results. Vectors that are null or hold a null or non-finite component, and rows of null
 vec_id, take no part. A shorter vector is as if filled with zeros. A query is answered once even if
 its row is repeated (the least vector counts then), and no row of its own vec_id is a candidate;
-other repeated rows count each. Fewer candidates than k: all. Other columns are ignored. An empty
+other repeated rows count each. Components so large that sums of them would not be exact in doubles are kept out of
+the index: their rows and queries are scored in whole numbers of any size, and a component or a score beyond
+64 bits counts as the last that they hold. Fewer candidates than k: all. Other columns are ignored. An empty
 table gives an empty result.
 """
 
@@ -34,8 +36,12 @@ from pyspark.sql import functions as F
 from tickerforge.llm.common import partitions
 
 SCALE = 64
-#: Rows of a shard at most (what one task holds of the index), and at least where there are several.
-SHARD, LEAST = 65_536, 16_384
+#: Rows and bytes of a shard's index at most (what one task holds), and rows at least where there are several.
+SHARD, BYTES, LEAST = 65_536, 256 << 20, 256
+#: Bytes a component takes in the index: itself, in its segment's matrix and in what is left after it, of three segments.
+EACH = 24
+#: The last whole numbers of 64 bits, as a component (a double) and as a score.
+COMPONENT, SCORE = 2.0**63 - 1024, 2**63 - 1
 #: Queries that meet a shard together.
 BLOCK = 128
 #: Levels of quantised impact, and the shares of the postings in the segments, the highest levels first.
@@ -52,11 +58,15 @@ class ImpactIndex:
     """The postings of one shard in segments of descending quantised impact."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray) -> None:
-        self.ids, self.vectors = ids, vectors
+        self.limit = exact_up_to(vectors.shape[1])
+        large = np.abs(vectors).max(axis=1, initial=0) > self.limit
+        self.large, self.large_ids = vectors[large], ids[large]
+        self.ids, self.vectors = ids[~large], vectors[~large].astype(np.float32)  # whole numbers that it holds exactly
+        vectors = self.vectors
         size = np.abs(vectors)
         self.top = int(size.max(initial=0))
         step = max(1, -(-self.top // LEVELS))
-        level = np.where(size > 0, size // step, -1)
+        level = np.where(size > 0, size // step, -1).astype(np.int16)
         count = np.bincount(level[level >= 0].ravel(), minlength=LEVELS + 1)
         above = np.cumsum(count[::-1])[::-1]  # postings of a level or a higher one
         self.postings = int(above[0]) if vectors.size else 0
@@ -68,8 +78,8 @@ class ImpactIndex:
             inside, left = (level < high) & (level >= low), (level < low) & (level >= 0)
             n = int(inside.sum())
             if n:
-                lists = [(rows := np.flatnonzero(inside[:, d]), vectors[rows, d]) for d in range(vectors.shape[1])] if n * SPARSE < vectors.size else None
-                self.segments.append((n, lists, None if lists else np.where(inside, vectors, 0), np.where(left, size, 0) if left.any() else None))
+                lists = [(rows := np.flatnonzero(inside[:, d]).astype(np.int32), vectors[rows, d]) for d in range(vectors.shape[1])] if n * SPARSE < vectors.size else None
+                self.segments.append((n, lists, None if lists else np.where(inside, vectors, np.float32(0)), np.where(left, size, np.float32(0)) if left.any() else None))
         self.seen = self.asked = 0
 
     def skipped(self) -> float:
@@ -77,9 +87,13 @@ class ImpactIndex:
         return 1 - self.seen / self.asked if self.asked else 0.0
 
     def search(self, qids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """Each query's best k (query id, ids, scores) in this shard."""
+        """Each query's best k (query id, ids, scores) in this shard; those of the large rows come apart."""
+        large = np.abs(queries).max(axis=1, initial=0) > self.limit
+        for i in range(len(qids)) if len(self.large_ids) or large.any() else ():
+            yield from self._apart(qids[i], queries[i], k, bool(large[i]))
+        qids, queries = qids[~large], queries[~large]
         n = len(self.ids)
-        if not n:
+        if not n or not len(qids):
             return
         top = self.top * int(np.abs(queries).max(initial=1)) * max(1, queries.shape[1])
         kind = np.float32 if top < 2**23 else np.float64  # exact in whole numbers up to there and 2**53
@@ -93,14 +107,14 @@ class ImpactIndex:
             asks = queries[alive].astype(kind)
             self.seen += postings * len(alive)
             if lists is None:
-                scores[alive] += asks @ matrix.T.astype(kind)
+                scores[alive] += asks @ matrix.T.astype(kind, copy=False)
             else:
                 for d, (rows, values) in enumerate(lists):
-                    scores[np.ix_(alive, rows)] += np.outer(asks[:, d], values.astype(kind))
+                    scores[np.ix_(alive, rows)] += np.outer(asks[:, d], values.astype(kind, copy=False))
             now = scores[alive]
-            reach = now + (np.abs(asks) @ left.T.astype(kind) if left is not None else 0) + kind(top * 1e-12)
+            reach = now + (np.abs(asks) @ left.T.astype(kind, copy=False) if left is not None else 0) + kind(top * 1e-12)
             ahead = np.argpartition(now, n - near, axis=1)[:, n - near :] if n > near else np.tile(np.arange(n), (len(alive), 1))
-            exact = np.einsum("ijk,ik->ij", self.vectors[ahead], queries[alive]).astype(np.float64)
+            exact = np.einsum("ijk,ik->ij", self.vectors[ahead].astype(kind, copy=False), asks).astype(np.float64)
             exact[self.ids[ahead] == qids[alive][:, None]] = -np.inf
             if exact.shape[1] >= k:
                 kth[alive] = np.maximum(kth[alive], np.partition(exact, exact.shape[1] - k, axis=1)[:, exact.shape[1] - k])
@@ -113,13 +127,32 @@ class ImpactIndex:
                 return
 
     def _best(self, qid: int, query: np.ndarray, rows: np.ndarray, k: int) -> tuple[int, np.ndarray, np.ndarray]:
-        exact = self.vectors[rows] @ query
+        kind = np.float32 if self.top * int(np.abs(query).max(initial=1)) * max(1, len(query)) < 2**23 else np.float64
+        exact = (self.vectors[rows].astype(kind, copy=False) @ query.astype(kind)).astype(np.int64)
         best = np.lexsort((self.ids[rows], -exact))[:k]
         return int(qid), self.ids[rows[best]], exact[best]
 
 
+    def _apart(self, qid: int, query: np.ndarray, k: int, whole: bool) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """The best k of the large rows, or of all rows for a large query, in whole numbers of any size."""
+        ids = np.concatenate((self.large_ids, self.ids)) if whole else self.large_ids
+        rows = np.concatenate((self.large, self.vectors.astype(np.int64))) if whole else self.large
+        rows, ids = rows[ids != qid], ids[ids != qid]
+        if len(ids):
+            exact = np.array([min(SCORE, max(-SCORE, int(s))) for s in rows.astype(object) @ query.astype(object)], np.int64)
+            best = np.lexsort((ids, -exact))[:k]
+            yield int(qid), ids[best], exact[best]
+
+
+def exact_up_to(width: int) -> int:
+    """The largest components whose inner products, and all sums on the way, are exact in doubles and which single floats hold."""
+    return int(min(2**24, (2**53 // max(1, width)) ** 0.5))
+
+
 def _integers(column: pa.Array, width: int) -> np.ndarray:
-    flat = np.floor(SCALE * column.values.to_numpy(zero_copy_only=False)[column.offsets[0].as_py() : column.offsets[-1].as_py()].astype(np.float64)).astype(np.int64)
+    with np.errstate(over="ignore"):
+        scaled = SCALE * column.values.to_numpy(zero_copy_only=False)[column.offsets[0].as_py() : column.offsets[-1].as_py()].astype(np.float64)
+    flat = np.clip(np.floor(scaled), -COMPONENT, COMPONENT).astype(np.int64)
     sizes = np.diff(column.offsets.to_numpy())
     out = np.zeros((len(column), width), np.int64)
     row = np.repeat(np.arange(len(column)), sizes)
@@ -162,7 +195,8 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row whose vec_id is divisible by ``every``, its k best others."""
     sound = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v")).where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & F.forall("v", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))), F.lit(False))))
     n, width = sound.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("v")), F.lit(0))).first()
-    shards = max(1, -(-n // SHARD), min(partitions(vectors.sparkSession), -(-n // LEAST)))
+    most = max(1, min(SHARD, BYTES // (EACH * max(1, width))))
+    shards = max(1, -(-n // most), min(partitions(vectors.sparkSession), -(-n // LEAST)))
     rows = sound.select(F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int").alias("shard"), F.lit(False).alias("asks"), "vec_id", "v")
     queries = sound.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
     asked = queries.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(True).alias("asks"), "vec_id", "v")

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from tickerforge.operators import adjust, dq, merge, probe, state, trading_calendar, validate
 from tickerforge.plans.prices import sql_round
 from tickerforge.plans.register import query
-from tickerforge.sources import market, vendor
+from tickerforge.sources import layout, market, vendor
 
 FIRST, LAST = 1995, 2001
 
@@ -73,6 +75,22 @@ def dq_outliers(spark, sf_dir):
     return dq.outliers(market.bars(spark, sf_dir), market.actions(spark, sf_dir)).withColumn("change", F.round("change", 6))
 
 
+def _laid_out(spark, sf_dir):
+    return layout.laid_out_once(market.bars(spark, sf_dir), f"bars of {sf_dir}"), layout.laid_out_once(market.actions(spark, sf_dir), f"actions of {sf_dir}", "ex_date")
+
+
+@query(f"WITH {OUTLIERS} SELECT security_id, trade_date, close, previous, {sql_round('change')} AS change FROM outliers", "bars actions")
+def outliers_laid_out(spark, sf_dir):
+    """Outliers of bars and actions that lie in years and buckets by security."""
+    return dq.outliers(*_laid_out(spark, sf_dir)).withColumn("change", F.round("change", 6))
+
+
+@query("SELECT * FROM bars WHERE trade_date BETWEEN DATE '1996-03-01' AND DATE '1997-02-28'", "bars")
+def bars_of_days(spark, sf_dir):
+    """Bars of a span of days, read from the years that it is in."""
+    return layout.between(_laid_out(spark, sf_dir)[0], date(1996, 3, 1), date(1997, 2, 28)).drop(layout.YEAR)
+
+
 @query(f"WITH {STALE} SELECT * FROM stale", "bars securities")
 def dq_freshness(spark, sf_dir):
     return dq.stale(market.bars(spark, sf_dir), market.securities(spark, sf_dir))

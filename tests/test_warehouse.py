@@ -328,3 +328,25 @@ def test_quantiles_of_many_rows_take_two_scans(spark, monkeypatch):
         got = {r["p"]: r["value"] for r in stats.quantiles(frame, tuple(want)).collect()}
         assert got == pytest.approx(want, rel=1e-12)
     assert calls == [1]
+
+
+@pytest.mark.parametrize("kind", ["double", "long", "string"])
+def test_numbers_are_checked_as_their_text_is(spark, kind):
+    """Fields that are numbers already aren't written and read as text, and give what their text gives."""
+    rows = [(k, D(2023, 6, 1 + k), *[None if k == 3 else 40 + k] * 4, v) for k, v in enumerate((7, -3, None, 5, 0))] + [(9, None, 1, 1, 1, 1, 1)]
+    typed = spark.createDataFrame(rows, "security_id long, date date, open int, adjOpen int, high int, close int, volume int").withColumn("low", F.col("high"))
+    typed = typed.select("security_id", "date", *[F.col(c).cast(kind).alias(c) for c in ("open", "adjOpen", "high", "low", "close", "volume")])
+    if kind == "double":
+        odd = [(10, D(2023, 6, 1), 0.0, 0.1, 0.3, 0.05, 0.2, float("nan")), (11, D(2023, 6, 1), 1 / 3, None, float("inf"), 1e-300, 1.0, 9.9e18), (12, D(2023, 6, 1), float("nan"), 2.0, 3.0, 1.0, 2.0, -0.5)]
+        typed = typed.unionByName(spark.createDataFrame(odd, typed.schema))
+    as_text = typed.select("security_id", *[F.col(c).cast("string").alias(c) for c in typed.columns if c != "security_id"])
+    found = validate.checked_bars(typed)
+    given = ("date", "adjOpen")
+    assert sorted(map(repr, found.drop(*given).collect())) == sorted(map(repr, validate.checked_bars(as_text).drop(*given).collect()))
+    assert kind == "string" or "as string)" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_years_days_are_those_of_their_text(spark):
+    days = spark.sql("SELECT DATE'0001-02-03' AS date UNION ALL SELECT DATE'9999-12-31' UNION ALL SELECT DATE'9999-12-31' + 1 UNION ALL SELECT DATE'0000-01-01' - 1")
+    typed, text = (x.select(validate.day_field(x, "date").cast("string").alias("d")) for x in (days, days.select(F.col("date").cast("string"))))
+    assert sorted(map(repr, typed.collect())) == sorted(map(repr, text.collect())) and typed.where("d IS NULL").count() == 2

@@ -22,17 +22,44 @@ def _first(columns: list[Column]) -> Column:
     return F.coalesce(*columns) if columns else F.lit(None).cast("string")
 
 
+#: Types whose values are the numbers that their text would be read as.
+_EXACT = ("double", "bigint", "int", "smallint", "tinyint")
+
+
+def _numbers(frame: DataFrame, names: tuple[str, ...]) -> list[Column] | None:
+    """The fields that the payload has, if all of them are numbers already: writing and reading them as text takes far longer than the rules do."""
+    types = dict(frame.dtypes)
+    found = [n for n in names if n in types]
+    return [F.col(n).cast("double") for n in found] if all(types[n] in _EXACT for n in found) else None
+
+
+def first_number(frame: DataFrame, names: tuple[str, ...]) -> Column:
+    """The number in the first field that holds anything; null if that isn't one."""
+    numbers = _numbers(frame, names)
+    if numbers is None:
+        return to_double(_first(_given(frame, names)))
+    return F.coalesce(*numbers) if numbers else F.lit(None).cast("double")
+
+
 def price_field(frame: DataFrame, field: str) -> Column:
     """The first spelling that holds a price above zero, else the first that holds anything."""
-    found = _given(frame, PRICE_FIELDS[field])
-    return F.coalesce(*[F.when(to_double(c) > 0, to_double(c)) for c in found], to_double(_first(found))) if found else F.lit(None).cast("double")
+    names = PRICE_FIELDS[field]
+    found = _numbers(frame, names)
+    found = [to_double(c) for c in _given(frame, names)] if found is None else found
+    return F.coalesce(*[F.when(c > 0, c) for c in found], first_number(frame, names)) if len(found) > 1 else first_number(frame, names)
+
+
+def day_field(frame: DataFrame, name: str) -> Column:
+    """A field's date by its text; a date is one already, of the years that the text can give."""
+    c = F.col(name)
+    return F.when(c.between(F.lit("0000-01-01").cast("date"), F.lit("9999-12-31").cast("date")), c) if dict(frame.dtypes)[name] == "date" else parse_date(c.cast("string"))
 
 
 def checked_bars(bars: DataFrame, date: str = "date") -> DataFrame:
     """All rows with ``trade_date``, typed OHLCV and vwap, and ``reason``: the first rule that a row breaks, or null."""
     keep = [c for c in bars.columns if c not in ("open", "high", "low", "close", "volume", "vwap", "trade_date", "reason")]
-    volume = F.coalesce(_first(_given(bars, VOLUME_FIELDS)), F.lit("0"))
-    typed = bars.select(*keep, parse_date(F.col(date).cast("string")).alias("trade_date"), *[price_field(bars, f).alias(f) for f in PRICE_FIELDS], to_double(volume).alias("_v"), (to_double("vwap") if "vwap" in bars.columns else F.lit(None).cast("double")).alias("vwap"))
+    volume = F.coalesce(*numbers, F.lit(0.0)) if (numbers := _numbers(bars, VOLUME_FIELDS)) is not None else to_double(F.coalesce(_first(_given(bars, VOLUME_FIELDS)), F.lit("0")))
+    typed = bars.select(*keep, day_field(bars, date).alias("trade_date"), *[price_field(bars, f).alias(f) for f in PRICE_FIELDS], volume.alias("_v"), first_number(bars, ("vwap",)).alias("vwap"))
     o, h, l, c, v = (F.col(x) for x in ("open", "high", "low", "close", "_v"))
     finite = F.abs(v) < 9.2e18
     whole = F.when(finite, F.when(v < 0, F.ceil(v)).otherwise(F.floor(v))).cast("long")

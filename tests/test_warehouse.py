@@ -350,3 +350,14 @@ def test_a_years_days_are_those_of_their_text(spark):
     days = spark.sql("SELECT DATE'0001-02-03' AS date UNION ALL SELECT DATE'9999-12-31' UNION ALL SELECT DATE'9999-12-31' + 1 UNION ALL SELECT DATE'0000-01-01' - 1")
     typed, text = (x.select(validate.day_field(x, "date").cast("string").alias("d")) for x in (days, days.select(F.col("date").cast("string"))))
     assert sorted(map(repr, typed.collect())) == sorted(map(repr, text.collect())) and typed.where("d IS NULL").count() == 2
+
+
+def test_marks_of_checked_rows_are_those_of_their_flags(spark):
+    """One scan gives what clean rows and flags apart give, bad dates flagged few and many times and missing keys and dates among them."""
+    rows = [(s, d and D(2023, 6, d), None if good else "x") for s, d, good, n in ((1, 1, 1, 2), (1, 2, 0, 4), (1, 5, 1, 1), (2, 1, 1, 1), (2, 2, 0, 5), (2, 5, 1, 1), (2, 5, 0, 6), (3, 3, 1, 1), (3, 3, 0, 1), (4, None, 0, 1), (4, 7, 1, 1), (None, 2, 0, 1), (None, 4, 1, 1), (5, 1, 0, 1)) for _ in range(n)]
+    checked = spark.createDataFrame(rows, "security_id long, trade_date date, reason string")
+    good, bad = checked.where("reason IS NULL"), checked.where("reason IS NOT NULL").select("security_id", "trade_date")
+    want = {(1, D(2023, 6, 1)), (2, D(2023, 6, 5)), (4, D(2023, 6, 7)), (None, D(2023, 6, 4))}
+    found = state.advance_checked(checked)
+    assert {tuple(r) for r in found.collect()} == {tuple(r) for r in state.advance(good, bad, bad).collect()} == want
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: A date that was quarantined so often no longer holds the mark back.
@@ -37,6 +37,14 @@ def advance_counted(clean: DataFrame, quarantined: DataFrame, counts: DataFrame,
     return rows.where("_cut IS NULL OR trade_date < _cut").groupBy("security_id").agg(F.max("trade_date").alias("watermark"))
 
 
+def advance_checked(checked: DataFrame, holds: int = HOLDS) -> DataFrame:
+    """As ``advance`` for a load whose own flags are all there are: good and bad rows (those with a ``reason``) in one scan, brought down to days before they meet."""
+    days = checked.groupBy("security_id", "trade_date").agg(F.bool_or(F.col("reason").isNull()).alias("_clean"), F.count("reason").alias("_n"))
+    holding = F.col("security_id").isNotNull() & (F.col("_n") > 0) & (F.col("_n") < holds)
+    cut = days.withColumn("_cut", F.min(F.when(holding, F.col("trade_date"))).over(Window.partitionBy("security_id")))
+    return cut.where("_clean AND (_cut IS NULL OR trade_date < _cut)").groupBy("security_id").agg(F.max("trade_date").alias("watermark"))
+
+
 def merged_watermarks(stored: DataFrame, news: DataFrame) -> DataFrame:
     """Watermarks (source, endpoint, security_id, watermark) that never go back."""
     keys = ["source", "endpoint", "security_id"]

@@ -128,9 +128,7 @@ def quarantine_counts(spark, sf_dir):
 )
 def watermark_advance(spark, sf_dir):
     """Marks after a load from 1998 on, held back by quarantined dates."""
-    good, flags = validate.good_and_bad(validate.checked_bars(market.dirty_bars(spark, sf_dir).where("date >= '1998-01-01'")))
-    bad = flags.select("security_id", F.col("record_date").alias("trade_date"))
-    return state.advance(good, bad, bad)
+    return state.advance_checked(validate.checked_bars(market.dirty_bars(spark, sf_dir).where("date >= '1998-01-01'")))
 
 
 @query("SELECT security_id, trade_date, CASE WHEN trade_date >= DATE '2000-01-01' THEN close * 2 ELSE close END AS close, volume FROM bars UNION ALL SELECT security_id + 1000000, trade_date, close * 2, volume FROM bars WHERE trade_date >= DATE '2001-01-01'", "bars")

@@ -361,3 +361,10 @@ def test_marks_of_checked_rows_are_those_of_their_flags(spark):
     found = state.advance_checked(checked)
     assert {tuple(r) for r in found.collect()} == {tuple(r) for r in state.advance(good, bad, bad).collect()} == want
     assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_totals_read_no_numbers_from_text(spark, sf_dir):
+    from tickerforge.plans import quality
+
+    for made in (quality.status_counts, quality.quarantine_counts):
+        assert "double as string" not in made(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()

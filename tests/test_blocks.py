@@ -99,3 +99,16 @@ def test_a_hot_series_is_split(spark, long_series):
     spread = long_series.where("security_id = 1").withColumn("b", blocks.block_of(long_series, "trade_date", 40)).groupBy("b").agg(F.count(F.lit(1)).alias("n"))
     assert spread.count() >= 50 and spread.agg(F.max("n")).first()[0] <= 40
     assert indicators.ema(long_series.limit(0), ["close"]).count() == 0
+
+
+@pytest.mark.parametrize("adjust", [False, True])
+@pytest.mark.parametrize("width, rows", [(40, 7), (100_000, 7), (7, 10_000), (100, 3)])
+def test_blocks_go_on_from_batch_to_batch(spark, long_series, adjust, width, rows):
+    """Batches end within blocks, within runs of nulls and at their edges; several means of one column have states of their own."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    try:
+        made = {"a": ("close", 0.2, 3), "b": ("close", 0.5, 1), "c": ("other", 1 / 14, 14)}
+        found = blocks.exponential_means(long_series.withColumn("other", -F.col("close")), made, adjust, ("close",), width=width)
+        same(found, lambda g: {"a": ewm(g["close"], 0.2, 3, adjust), "b": ewm(g["close"], 0.5, 1, adjust), "c": ewm(-g["close"], 1 / 14, 14, adjust), "close": g["close"]})
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")

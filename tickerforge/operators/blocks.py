@@ -10,12 +10,14 @@ Rows of one series and time follow each other in any order. Null and NaN values
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 #: Days in a block: some 2,500 trading days.
 WIDTH = 3650
@@ -66,30 +68,193 @@ def running(frame: DataFrame, made: Mapping[str, tuple[str, str]], key: str = "s
     return scanned.withColumns({n: joined(n, kind) for n, (_, kind) in made.items()}).drop(*[f"_c_{n}" for n in made])
 
 
-#: What a block's scan tells of each row: weight of the value at the block's first observation, what the block adds,
-#: its weight, and observations so far in the block (0 before the first).
-_ROW = ("m", "n", "d", "seen")
-#: And of the block, on its last row: rows before the first observation, its value, and rows after the last one.
-_END = ("lead", "first", "trail")
+#: What a block's scan tells of the block: the weight that its first observation has in its last mean and what the others add
+#: to it (over ``d``, their weight, if adjusted), observations, rows before the first one, its value, and rows after the last one.
+_TOLD = ("m", "n", "d", "seen", "lead", "first", "trail")
+#: What a block starts from: the mean before it, its weight at the row before, and observations so far.
+_ENTERS = ("state", "weight", "had")
 
 
-def _block_scan(x: np.ndarray, alpha: float, adjust: bool) -> dict[str, np.ndarray | float]:
-    seen = ~np.isnan(x)
-    out: dict = {k: np.zeros(len(x)) for k in ("m", "n", "d")} | {"seen": np.cumsum(seen).astype(float), "lead": float(len(x)), "first": np.nan, "trail": 0.0}
-    if not seen.any():
-        return out
-    f = int(seen.argmax())
-    rest, there = x[f:].copy(), seen[f:]
-    mean = lambda values: pd.Series(values).ewm(alpha=alpha, adjust=False, ignore_na=False).mean().to_numpy()
-    rest[0] = 0.0
+def _same(a: object, b: object) -> bool:
+    return a == b or (a != a and b != b)
+
+
+def _codes(column: pa.Array) -> np.ndarray:
+    return column.dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+
+
+def _parts(batch: pa.RecordBatch, by: list[str]) -> np.ndarray:
+    """Where the runs of equal values of ``by`` start in a sorted batch."""
+    changed = np.zeros(batch.num_rows, bool)
+    changed[:1] = True
+    for c in by:
+        code = _codes(batch.column(c))
+        changed[1:] |= code[1:] != code[:-1]
+    return np.flatnonzero(changed)
+
+
+def _values(batch: pa.RecordBatch, name: str) -> np.ndarray:
+    return pc.fill_null(batch.column(name), float("nan")).to_numpy(zero_copy_only=False)
+
+
+def _means(x: np.ndarray, starts: np.ndarray, alpha: float, adjust: bool, state: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Exponential means of many runs at once: at each observation the mean, its weight and that of the run's mean before, and the observations' places and runs.
+
+    A run starts at each of ``starts``, from a mean (NaN: none) and its weight at the row before. Each observation is
+    a linear map of the mean before it; maps are composed over distances that double.
+    """
+    seen, lengths = ~np.isnan(x), np.diff(np.append(starts, len(x)))
+    at = np.flatnonzero(seen)
+    run = np.repeat(np.arange(len(starts)), lengths)[at]
+    first = np.ones(len(at), bool)
+    first[1:] = run[1:] != run[:-1]
+    gap = np.diff(at, prepend=0).astype(float)
+    gap[first] = (at - starts[run] + 1)[first]
+    entering = first & ~np.isnan(state[run])
+    old = (1 - alpha) ** gap
+    old[first] = np.where(entering, weight[run] * old, 0.0)[first]
+    new = 1.0 if adjust else alpha
+    value = x[at]
     if adjust:
-        out["m"][f:] = (1 - alpha) ** np.arange(len(rest))
-        out["n"][f:] = mean(np.where(there, rest, 0.0)) / alpha
-        out["d"][f:] = mean(np.where(np.arange(len(rest)) > 0, there, False).astype(float)) / alpha
+        a, n, d = np.where(first, 0.0, old), value + np.where(entering, old * np.where(entering, state[run], 0.0), 0.0), np.where(first, 1.0 + old, 1.0)
     else:
-        out["n"][f:] = mean(rest)
-        out["m"][f:] = mean(np.where(np.arange(len(rest)) == 0, 1.0, np.where(there, 0.0, np.nan)))
-    return out | {"lead": float(f), "first": float(x[f]), "trail": float(there[::-1].argmax())}
+        a, n, d = np.where(first, 0.0, old / (old + new)), np.where(first & ~entering, value, (old * np.where(entering, state[run], 0.0) + new * value) / (old + new)), np.ones(len(at))
+    own = np.where(entering, (1 - alpha) ** gap if adjust else old / (old + new), np.where(first, 1.0, a))
+    reach, longest = 1, int(np.bincount(run).max()) if len(run) else 0
+    while reach < longest:
+        n[reach:] += a[reach:] * n[:-reach]
+        if adjust:
+            d[reach:] += a[reach:] * d[:-reach]
+        a[reach:] = a[reach:] * a[:-reach]
+        reach *= 2
+    return (n / d if adjust else n), d, own, at, run
+
+
+def _summaries(key: str, specs: list[tuple[str, float]], adjust: bool, schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """One row a block from rows that are sorted by series, block and time; a block may go on from batch to batch."""
+
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple | None = None
+
+        def made(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*[(k, b, *[v for t in each for v in t]) for k, b, each in rows]), schema)], schema=schema)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            starts = _parts(batch, [key, BLOCK])
+            ends = np.append(starts[1:], batch.num_rows)
+            names = list(zip(*[batch.column(c).take(pa.array(starts)).to_pylist() for c in (key, BLOCK)]))
+            on = held is not None and _same(held[0], names[0][0]) and held[1] == names[0][1]
+            columns = []
+            for i, (c, alpha) in enumerate(specs):
+                x = _values(batch, c)
+                m0, n0, d0, seen0, lead0, first0, trail0 = held[2][i] if on else (1.0, 0.0, 0.0, 0.0, 0.0, np.nan, 0.0)
+                goes_on = on and seen0 > 0
+                seen = np.add.reduceat((~np.isnan(x)).astype(float), starts)
+                at = np.flatnonzero(~np.isnan(x))
+                run = np.searchsorted(starts, at, "right") - 1
+                lead, first, trail = (ends - starts).astype(float), np.full(len(starts), np.nan), (ends - starts).astype(float)
+                trail[run] = (ends[run] - 1 - at).astype(float)  # of several writes to a run the last counts
+                lead[run[::-1]], first[run[::-1]] = (at - starts[run]).astype(float)[::-1], x[at][::-1]
+                opening = at[np.append(True, run[1:] != run[:-1])] if len(at) else at
+                rest, state, weight = x.copy(), np.full(len(starts), np.nan), np.zeros(len(starts))
+                rest[opening[1:] if goes_on and seen[0] > 0 else opening] = 0.0
+                if goes_on:
+                    total = m0 + d0 if adjust else 1.0
+                    state[0], weight[0] = n0 / total, total * (1 - alpha) ** trail0
+                mean, d, own, _, _ = _means(rest, starts, alpha, adjust, state, weight)
+                m, n, all_d = np.ones(len(starts)), np.zeros(len(starts)), np.zeros(len(starts))
+                if len(at):
+                    some = np.flatnonzero(seen > 0)
+                    last = np.append(np.flatnonzero(run[1:] != run[:-1]), len(run) - 1)
+                    m[some] = np.multiply.reduceat(own, np.searchsorted(run, some))
+                    n[some] = mean[last] * d[last]
+                    if goes_on and seen[0] > 0:
+                        m[0] *= m0 if not adjust else m0 * (1 - alpha) ** trail0
+                    all_d[some] = d[last] - m[some] if adjust else 0.0
+                if on:
+                    if goes_on:
+                        if not seen[0]:
+                            m[0], n[0], all_d[0], trail[0] = m0, n0, d0, trail0 + trail[0]
+                        first[0], lead[0] = first0, lead0
+                    else:
+                        lead[0] += lead0
+                    seen[0] += seen0
+                columns.append(list(zip(m.tolist(), n.tolist(), all_d.tolist(), seen.tolist(), lead.tolist(), first.tolist(), trail.tolist())))
+            rows = [(k, b, each) for (k, b), each in zip(names, zip(*columns))]
+            if held is not None and not on:
+                rows = [held, *rows]
+            held = rows[-1]
+            if len(rows) > 1:
+                yield made(rows[:-1])
+        if held is not None:
+            yield made([held])
+
+    return told
+
+
+def _carries(key: str, specs: list[tuple[str, float]], adjust: bool, schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """What enters each block, from the blocks' summaries sorted by series and block."""
+
+    def carried_on(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        start = [(np.nan, 0.0, 0.0)] * len(specs)
+        before, now = None, start
+        for batch in batches:
+            out: list[list] = [[] for _ in schema]
+            for k, b, *told in zip(*[c.to_pylist() for c in batch.columns]):
+                now = now if before is not None and _same(before[0], k) else start
+                before, following = (k,), []
+                for c, v in zip(out, (k, b, *[v for each in now for v in each])):
+                    c.append(v)
+                for i, (_, alpha) in enumerate(specs):
+                    (state, weight, had), (m, n, d, seen, lead, first, trail) = now[i], told[i * len(_TOLD) : (i + 1) * len(_TOLD)]
+                    if not seen:
+                        following.append((state, weight * (1 - alpha) ** lead, had))
+                        continue
+                    old, new, value, entered = weight * (1 - alpha) ** (lead + 1), 1.0 if adjust else alpha, first, 1.0
+                    if not np.isnan(state):
+                        value, entered = (old * state + new * first) / (old + new), old + new if adjust else 1.0
+                    total = m * entered + d if adjust else 1.0
+                    following.append(((m * entered * value + n) / total, total * (1 - alpha) ** trail, had + seen))
+                now = following
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema)], schema=schema)
+
+    return carried_on
+
+
+def _rows(key: str, kept: list[str], specs: list[tuple[str, float, int]], adjust: bool, schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The means of rows that are sorted by series, block and time and know what enters their block."""
+
+    def means(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            starts = _parts(batch, [key, BLOCK])
+            name = tuple(batch.column(c)[0].as_py() for c in (key, BLOCK))
+            on = held is not None and _same(held[0][0], name[0]) and held[0][1] == name[1]
+            found, left = [], []
+            run_of = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, batch.num_rows)))
+            for i, (c, alpha, warm) in enumerate(specs):
+                x = _values(batch, c)
+                state, weight, had = (_values(batch, f"_{k}{i}")[starts] for k in _ENTERS)
+                weight, had = np.nan_to_num(weight), np.nan_to_num(had)
+                if on:
+                    state[0], weight[0], had[0] = held[1][i]
+                mean, d, _, at, run = _means(x, starts, alpha, adjust, state, weight)
+                seen = ~np.isnan(x)
+                count = np.cumsum(seen)
+                in_run = count - (count[starts] - seen[starts])[run_of]
+                out = np.where(in_run > 0, mean[np.maximum(count - 1, 0)] if len(mean) else np.nan, state[run_of])
+                found.append(np.where(had[run_of] + in_run >= warm, out, np.nan))
+                s, n = len(starts) - 1, int(in_run[-1])
+                rows = batch.num_rows - starts[s]
+                left.append((mean[-1], (d[-1] if adjust else 1.0) * (1 - alpha) ** (batch.num_rows - 1 - at[-1]), had[s] + n) if n else (state[s], weight[s] * (1 - alpha) ** rows, had[s]))
+            held = (tuple(batch.column(c)[batch.num_rows - 1].as_py() for c in (key, BLOCK)), left)
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *[pa.array(f, from_pandas=True) for f in found]], schema=pa.schema([*[batch.schema.field(c) for c in kept], *list(schema)]))
+
+    return means
 
 
 def exponential_means(frame: DataFrame, made: Mapping[str, tuple[str, float, int]], adjust: bool = False, keep: tuple[str, ...] = (), key: str = "security_id", order: str = "trade_date", width: int = WIDTH) -> DataFrame:
@@ -97,62 +262,27 @@ def exponential_means(frame: DataFrame, made: Mapping[str, tuple[str, float, int
 
     ``made`` has column, weight of the newest value, and observations until which the mean is null. Weights
     keep decaying over nulls, where the mean stays what it was.
+
+    Rows are dealt by series and block once and sorted; the blocks' summaries and, with what enters the blocks beside
+    them, the rows' means are made from them a batch of many series at a time.
     """
-    specs, types = list(made.items()), dict(frame.dtypes)
-    rows = in_blocks(frame, order, width)
-    columns = list(dict.fromkeys(c for c, *_ in made.values()))
+    specs = [(f"_x_{c}", alpha, warm) for c, alpha, warm in made.values()]
+    alphas, columns = [(c, alpha) for c, alpha, _ in specs], list(dict.fromkeys(c for c, *_ in made.values()))
     kept = [key, order, BLOCK, *keep]
-    values = rows.select(*kept, *[F.nullif(F.col(c).cast("double"), F.lit(float("nan"))).alias(f"_x_{c}") for c in columns])
-
-    def scan(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable").reset_index(drop=True)
-        out = {c: pdf[c] for c in kept}
-        for i, (_, (c, alpha, _)) in enumerate(specs):
-            found = _block_scan(pdf[f"_x_{c}"].to_numpy(float, na_value=np.nan), alpha, adjust)
-            out |= {f"_{k}{i}": found[k] for k in (*_ROW, *_END)}
-        last = np.zeros(len(pdf), bool)
-        last[-1:] = True
-        return pd.DataFrame(out | {"_end": last})
-
-    told = [f"_{k}{i}" for i in range(len(specs)) for k in (*_ROW, *_END)]
-    kinds = types | {BLOCK: "bigint"}
-    scanned = values.groupBy(key, BLOCK).applyInPandas(scan, ", ".join([*[f"`{c}` {kinds[c]}" for c in kept], *[f"{t} double" for t in told], "_end boolean"]))
-
-    carries = ("before", "had", "value", "weight")
-
-    def carry(pdf: pd.DataFrame) -> pd.DataFrame:
-        """One series' blocks, a row each: what enters each block, and value and weight at its first observation."""
-        pdf = pdf.sort_values(BLOCK)
-        out = {c: pdf[c] for c in (key, BLOCK)}
-        for i, (_, (_, alpha, _)) in enumerate(specs):
-            state, weight, had, rows_out = np.nan, 0.0, 0.0, []
-            m, n, d, seen, lead, first, trail = (pdf[f"_{k}{i}"].to_numpy() for k in (*_ROW, *_END))
-            for b in range(len(pdf)):
-                old, new, value = weight * (1 - alpha) ** (lead[b] + 1), 1.0 if adjust else alpha, first[b]
-                if not np.isnan(first[b]) and not np.isnan(state):
-                    value = (old * state + new * first[b]) / (old + new)
-                entered = (old + new if not np.isnan(state) else 1.0) if adjust else 1.0
-                rows_out.append((state, had, value, entered))
-                if np.isnan(first[b]):
-                    weight *= (1 - alpha) ** lead[b]
-                elif adjust:
-                    total = m[b] * entered + d[b]
-                    state, weight = (m[b] * entered * value + n[b]) / total, total
-                else:
-                    state, weight = m[b] * value + n[b], (1 - alpha) ** trail[b]
-                had += seen[b]
-            out |= {f"_{k}{i}": [r[j] for r in rows_out] for j, k in enumerate(carries)}
-        return pd.DataFrame(out)
-
-    entering = [f"_{k}{i}" for i in range(len(specs)) for k in carries]
-    ends = scanned.where("_end").select(key, BLOCK, *told)
-    enters = ends.groupBy(key).applyInPandas(carry, ", ".join([f"`{key}` {types[key]}", f"{BLOCK} bigint", *[f"{e} double" for e in entering]]))
-    whole = carried(scanned.drop("_end"), enters, key)
-
-    def mean(i: int, warm: int) -> Column:
-        m, n, d, seen, before, had, value, weight = (F.col(f"_{k}{i}") for k in (*_ROW, *carries))
-        inside = (m * weight * value + n) / (m * weight + d) if adjust else m * value + n
-        found = F.when(seen == 0, before).otherwise(inside)
-        return F.when(had + seen >= warm, F.nullif(found, F.lit(float("nan"))))
-
-    return whole.select(*kept, *[mean(i, warm).alias(name) for i, (name, (_, _, warm)) in enumerate(specs)])
+    values = in_blocks(frame, order, width).select(*kept, *[F.nullif(F.col(c).cast("double"), F.lit(float("nan"))).alias(f"_x_{c}") for c in columns])
+    kinds, each = dict(values.dtypes), F.struct(key, BLOCK)
+    dealt = values.repartition(each)
+
+    def fields(names: Iterable[str]) -> tuple[str, pa.Schema]:
+        typed = [f"_{n}{i}" for i in range(len(specs)) for n in names]
+        spark_type = values.schema[key].dataType
+        return ", ".join([f"`{key}` {kinds[key]}", f"{BLOCK} bigint", *[f"{n} double" for n in typed]]), pa.schema([pa.field(key, to_arrow_type(spark_type)), pa.field(BLOCK, pa.int64()), *[pa.field(n, pa.float64()) for n in typed]])
+
+    told, told_arrow = fields(_TOLD)
+    enters, enters_arrow = fields(_ENTERS)
+    ends = dealt.sortWithinPartitions(key, BLOCK, order).mapInArrow(_summaries(key, alphas, adjust, told_arrow), told)
+    carry = ends.where(F.col(BLOCK).isNotNull()).repartition(key).sortWithinPartitions(key, BLOCK).mapInArrow(_carries(key, alphas, adjust, enters_arrow), enters)
+    named = carry.select(F.struct(key, BLOCK).alias("_each"), *[n for n in enters_arrow.names[2:]])
+    whole = dealt.join(named, each == F.col("_each"), "left").drop("_each").sortWithinPartitions(key, BLOCK, order)
+    shown = ", ".join([*[f"`{c}` {kinds[c]}" for c in kept], *[f"`{n}` double" for n in made]])
+    return whole.mapInArrow(_rows(key, kept, specs, adjust, pa.schema([pa.field(n, pa.float64()) for n in made])), shown)

@@ -112,3 +112,14 @@ def test_blocks_go_on_from_batch_to_batch(spark, long_series, adjust, width, row
         same(found, lambda g: {"a": ewm(g["close"], 0.2, 3, adjust), "b": ewm(g["close"], 0.5, 1, adjust), "c": ewm(-g["close"], 1 / 14, 14, adjust), "close": g["close"]})
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_series_are_scanned_many_at_a_time_and_dealt_once(spark, long_series):
+    """No call a series, and a mean of means reads what the first one made once: its rows are dealt once for both of their scans."""
+    found = indicators.macd(long_series, ["close"], width=40)
+    found.write.format("noop").mode("overwrite").save()
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapGroupsInPandas" not in plan and "MapInArrow" in plan
+    found.collect()
+    final = found._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in final.split("== Initial Plan ==")[0]

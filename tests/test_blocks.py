@@ -123,3 +123,9 @@ def test_series_are_scanned_many_at_a_time_and_dealt_once(spark, long_series):
     found.collect()
     final = found._jdf.queryExecution().executedPlan().toString()
     assert "ReusedExchange" in final.split("== Initial Plan ==")[0]
+
+
+def test_an_ema_makes_no_call_a_series(spark, sf_dir):
+    from tickerforge.plans import prices
+
+    assert "FlatMapGroupsInPandas" not in prices.ema(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()

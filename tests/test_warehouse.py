@@ -367,4 +367,4 @@ def test_totals_read_no_numbers_from_text(spark, sf_dir):
     from tickerforge.plans import quality
 
     for made in (quality.status_counts, quality.quarantine_counts):
-        assert "double as string" not in made(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+        assert "as string)" not in made(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()

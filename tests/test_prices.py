@@ -193,3 +193,22 @@ def test_short_series_have_yearly_rates(spark, sf_dir, monkeypatch):
     frame = spark.createDataFrame(rows, "security_id long, trade_date date, close double")
     monkeypatch.setattr(market, "bars", lambda *_: frame)
     same_rates(prices.annualized_simple_all(spark, sf_dir), {(k, d): c for k, d, c in rows})
+
+
+def test_yearly_rates_deal_bars_by_blocks_once(spark, sf_dir):
+    """No window over whole series, and one kind of return alone is made."""
+    import re
+
+    plan = prices.annualized_log(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.search(r"windowspecdefinition\(security_id#\d+L?, trade_date", plan) and "simple_ret" not in plan
+
+
+@pytest.mark.parametrize("width", [3650, 20])
+def test_returns_are_counted_with_their_growth(spark, width):
+    rows = spark.createDataFrame([(s, dt.date(2024, 1, 1) + dt.timedelta(k), None if k % 7 == 3 else 10.0 + k) for s in (1, None) for k in range(90)], "security_id int, trade_date date, close double")
+    got = sorted(((r["security_id"] or 0, r["trade_date"], r["close_log_ret"], r["close_log_ret_n"]) for r in returns.cumulative(rows, ["close"], "log", width=width, counted=True).collect()), key=lambda r: r[:2])
+    n, before = 0, None
+    for s, _, r, found in got:
+        n = (n if s == before else 0) + (r is not None)
+        before = s
+        assert found == n

@@ -22,6 +22,8 @@ from pyspark.sql.pandas.types import to_arrow_type
 #: Days in a block: some 2,500 trading days.
 WIDTH = 3650
 BLOCK = "_block"
+#: Series and block in one value, never null: windows and joins by it take the rows as they were dealt once.
+EACH = "_each"
 
 
 def block_of(frame: DataFrame, order: str, width: int) -> Column:
@@ -35,18 +37,26 @@ def in_blocks(frame: DataFrame, order: str, width: int) -> DataFrame:
     return frame if BLOCK in frame.columns else frame.withColumn(BLOCK, block_of(frame, order, width))
 
 
+def with_each(frame: DataFrame, key: str, order: str, width: int) -> DataFrame:
+    rows = in_blocks(frame, order, width)
+    return rows if EACH in rows.columns else rows.withColumn(EACH, F.struct(key, BLOCK))
+
+
 def carried(rows: DataFrame, carry: DataFrame, key: str) -> DataFrame:
     """Rows with the columns of their block's carry."""
+    if EACH in rows.columns:
+        named = carry.where(F.col(BLOCK).isNotNull()).withColumn("_e", F.struct(key, BLOCK)).drop(key, BLOCK)
+        return rows.join(named, F.col(EACH) == F.col("_e"), "left").drop("_e")
     named = carry.withColumnsRenamed({key: "_k", BLOCK: "_b"})
     return rows.join(named, F.col(key).eqNullSafe(F.col("_k")) & (F.col(BLOCK) == F.col("_b")), "left").drop("_k", "_b")
 
 
 def previous(frame: DataFrame, columns: list[str], key: str = "security_id", order: str = "trade_date", width: int = WIDTH) -> DataFrame:
     """The frame in blocks with ``{c}_before``: the value of the row before, null at a series' start."""
-    rows = in_blocks(frame, order, width)
+    rows = with_each(frame, key, order, width)
     last = rows.groupBy(key, BLOCK).agg(F.max_by(F.struct(*columns), order).alias("_last"))
     carry = last.select(key, BLOCK, F.lag("_last").over(Window.partitionBy(key).orderBy(BLOCK)).alias("_last"))
-    inside = Window.partitionBy(key, BLOCK).orderBy(order)
+    inside = Window.partitionBy(EACH).orderBy(order)
     first = F.row_number().over(inside) == 1
     lagged = rows.withColumns({"_first": first} | {f"{c}_before": F.lag(c).over(inside) for c in columns})
     return carried(lagged, carry, key).withColumns({f"{c}_before": F.when(F.col("_first"), F.col("_last")[c]).otherwise(F.col(f"{c}_before")) for c in columns}).drop("_first", "_last")
@@ -54,11 +64,11 @@ def previous(frame: DataFrame, columns: list[str], key: str = "security_id", ord
 
 def running(frame: DataFrame, made: Mapping[str, tuple[str, str]], key: str = "security_id", order: str = "trade_date", width: int = WIDTH) -> DataFrame:
     """The frame in blocks with a column for each name in ``made``: the "sum", "product" or "count" of a column so far; null values are passed over."""
-    rows, kinds = in_blocks(frame, order, width), {"sum": F.sum, "product": F.product, "count": F.count}
+    rows, kinds = with_each(frame, key, order, width), {"sum": F.sum, "product": F.product, "count": F.count}
     totals = rows.groupBy(key, BLOCK).agg(*[kinds[kind](c).alias(f"_t_{n}") for n, (c, kind) in made.items()])
     before = Window.partitionBy(key).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select(key, BLOCK, *[kinds["sum" if kind == "count" else kind](f"_t_{n}").over(before).alias(f"_c_{n}") for n, (_, kind) in made.items()])
-    so_far = Window.partitionBy(key, BLOCK).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    so_far = Window.partitionBy(EACH).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     scanned = carried(rows.withColumns({n: kinds[kind](c).over(so_far) for n, (c, kind) in made.items()}), carry, key)
 
     def joined(name: str, kind: str) -> Column:

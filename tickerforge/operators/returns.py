@@ -54,10 +54,11 @@ def cumulative_log(r: Column, w: WindowSpec | None = None) -> Column:
     return F.when(r.isNotNull(), F.sum(r).over(w or so_far()))
 
 
-def cumulative(frame: DataFrame, columns: list[str], kind: str = "simple", key: str = "security_id", order: str = "trade_date", width: int = WIDTH) -> DataFrame:
+def cumulative(frame: DataFrame, columns: list[str], kind: str = "simple", key: str = "security_id", order: str = "trade_date", width: int = WIDTH, counted: bool = False) -> DataFrame:
     """The frame with {c}_{kind}_ret and its growth so far, {c}_{kind}_ret_cum, scanned in blocks of a series.
 
-    Of the same values as ``cumulative_simple`` and ``cumulative_log`` over whole series.
+    Of the same values as ``cumulative_simple`` and ``cumulative_log`` over whole series. If ``counted``, also
+    {c}_{kind}_ret_n, the returns so far.
     """
     if kind not in ("simple", "log"):
         raise ValueError(f"a return is simple or log, not {kind!r}")
@@ -69,13 +70,14 @@ def cumulative(frame: DataFrame, columns: list[str], kind: str = "simple", key:
 
     rows = rows.withColumns({n: of(c) for c, n in names.items()}).drop(*[f"{c}_before" for c in columns])
     grown = rows.withColumns({f"_g_{n}": 1 + F.col(n) if kind == "simple" else F.col(n) for n in names.values()})
-    done = running(grown, {f"{n}_cum": (f"_g_{n}", "product" if kind == "simple" else "sum") for n in names.values()}, key, order, width)
-    return done.withColumns({f"{n}_cum": F.when(F.col(n).isNotNull(), F.col(f"{n}_cum") - (1 if kind == "simple" else 0)) for n in names.values()}).select(*frame.columns, *[x for n in names.values() for x in (n, f"{n}_cum")])
+    counts = {f"{n}_n": (f"_g_{n}", "count") for n in names.values()} if counted else {}
+    done = running(grown, {f"{n}_cum": (f"_g_{n}", "product" if kind == "simple" else "sum") for n in names.values()} | counts, key, order, width)
+    return done.withColumns({f"{n}_cum": F.when(F.col(n).isNotNull(), F.col(f"{n}_cum") - (1 if kind == "simple" else 0)) for n in names.values()}).select(*frame.columns, *[x for n in names.values() for x in (n, f"{n}_cum", *([f"{n}_n"] if counted else []))])
 
 
-def annualized(cumulative: Column, periods_per_year: Column | int, kind: str, w: WindowSpec | None = None) -> Column:
-    """The yearly rate that a cumulative return stands for, over the observations so far."""
-    n = F.count(cumulative).over(w or so_far())
+def annualized(cumulative: Column, periods_per_year: Column | int, kind: str, w: WindowSpec | None = None, n: Column | None = None) -> Column:
+    """The yearly rate that a cumulative return stands for, over the observations so far (``n``, if they are counted already)."""
+    n = F.count(cumulative).over(w or so_far()) if n is None else n
     per_year = F.lit(periods_per_year) if isinstance(periods_per_year, int) else periods_per_year
     if kind == "simple":
         return F.when(cumulative > -1, F.pow(1 + cumulative, per_year / n) - 1)
@@ -98,9 +100,9 @@ def periods_per_year(frame: DataFrame, key: str = "security_id", order: str = "t
     """(key, ppy) from the mean whole-day gap between observations.
 
     The cut-offs are the users' known ones: a gap of 7 days counts as 12 a year, 30 as 4, 91 as 2.
+    Gaps add up to the span from first to last, so that no series has to be put in order.
     """
-    gaps = frame.withColumn("_gap", F.datediff(F.col(order), F.lag(order).over(series(key, order))))
-    days = gaps.groupBy(key).agg(F.floor(F.avg("_gap")).alias("_d")).where("_d IS NOT NULL")
+    days = frame.groupBy(key).agg(F.floor(F.datediff(F.max(order), F.min(order)) / F.nullif(F.count(order) - 1, F.lit(0))).alias("_d")).where("_d IS NOT NULL")
     steps = F.when(F.col("_d") <= 1, 252).when(F.col("_d") <= 5, 52).when(F.col("_d") <= 20, 12).when(F.col("_d") <= 70, 4).when(F.col("_d") <= 150, 2).otherwise(1)
     return days.select(key, steps.alias("ppy"))
 

@@ -159,21 +159,20 @@ def return_diff(spark, sf_dir):
     return market.bars(spark, sf_dir).select("security_id", "trade_date", returns.difference("close", 2).alias(returns.named("close", "diff", 2)))
 
 
-def _cumulative(spark, sf_dir) -> DataFrame:
-    rows = market.bars(spark, sf_dir)
-    for kind in ("simple", "log"):
-        rows = returns.cumulative(rows, ["close"], kind)
-    return rows.withColumnsRenamed({"close_simple_ret": "r", "close_log_ret": "l", "close_simple_ret_cum": "cr", "close_log_ret_cum": "cl"})
+def _cumulative(spark, sf_dir, kind: str) -> DataFrame:
+    """(security_id, trade_date, c, n): cumulative returns of one kind and how many there are so far."""
+    rows = returns.cumulative(market.bars(spark, sf_dir).select("security_id", "trade_date", "close"), ["close"], kind, counted=True)
+    return rows.select("security_id", "trade_date", F.col(f"close_{kind}_ret_cum").alias("c"), F.col(f"close_{kind}_ret_n").alias("n"))
 
 
 @query(f"WITH {CUMULATIVE} SELECT security_id, trade_date, round(cr, 6) AS close_cum_simple FROM cumulative", "bars")
 def cumulative_simple(spark, sf_dir):
-    return rounded(_cumulative(spark, sf_dir).select("security_id", "trade_date", F.col("cr").alias("close_cum_simple")))
+    return rounded(_cumulative(spark, sf_dir, "simple").select("security_id", "trade_date", F.col("c").alias("close_cum_simple")))
 
 
 @query(f"WITH {CUMULATIVE} SELECT security_id, trade_date, round(cl, 6) AS close_cum_log FROM cumulative", "bars")
 def cumulative_log(spark, sf_dir):
-    return rounded(_cumulative(spark, sf_dir).select("security_id", "trade_date", F.col("cl").alias("close_cum_log")))
+    return rounded(_cumulative(spark, sf_dir, "log").select("security_id", "trade_date", F.col("c").alias("close_cum_log")))
 
 
 @query(
@@ -228,14 +227,14 @@ def annualized_simple_all(spark, sf_dir):
 
 
 def _annual_simple(spark, sf_dir) -> DataFrame:
-    rows = _cumulative(spark, sf_dir).withColumn("n", F.count("cr").over(returns.so_far())).join(returns.periods_per_year(market.bars(spark, sf_dir)), "security_id", "left")
-    return rows.select("security_id", "trade_date", returns.annualized(F.col("cr"), F.col("ppy"), "simple").alias("rate"))
+    rows = _cumulative(spark, sf_dir, "simple").join(returns.periods_per_year(market.bars(spark, sf_dir)), "security_id", "left")
+    return rows.select("security_id", "trade_date", returns.annualized(F.col("c"), F.col("ppy"), "simple", n=F.col("n")).alias("rate"))
 
 
 @query(f"WITH {CUMULATIVE}, {PPY} SELECT c.security_id, c.trade_date, round(cl * ppy / n, 4) + 0.0 AS close_annual_log FROM (SELECT *, count(cl) OVER so_far AS n FROM cumulative {_W}) c JOIN ppy USING (security_id)", "bars")
 def annualized_log(spark, sf_dir):
-    rows = _cumulative(spark, sf_dir).join(returns.periods_per_year(market.bars(spark, sf_dir)), "security_id")
-    return rounded(rows.select("security_id", "trade_date", returns.annualized(F.col("cl"), F.col("ppy"), "log").alias("close_annual_log")), 4)
+    rows = _cumulative(spark, sf_dir, "log").join(returns.periods_per_year(market.bars(spark, sf_dir)), "security_id")
+    return rounded(rows.select("security_id", "trade_date", returns.annualized(F.col("c"), F.col("ppy"), "log", n=F.col("n")).alias("close_annual_log")), 4)
 
 
 @query("SELECT security_id, trade_date, round(CASE WHEN count(close) OVER w = 20 THEN avg(close) OVER w END, 6) AS close_sma_20 FROM bars WINDOW w AS (PARTITION BY security_id ORDER BY trade_date ROWS 19 PRECEDING)", "bars")

@@ -212,3 +212,18 @@ def test_returns_are_counted_with_their_growth(spark, width):
         n = (n if s == before else 0) + (r is not None)
         before = s
         assert found == n
+
+
+def test_exact_factors_go_on_from_batch_to_batch(spark):
+    """One scan of sorted actions, no call a security; batches end within securities and days."""
+    rows = [(s, D(2024, 1, 1 + k // 2), "split", 2.0 + k % 2, 1.0, None) for s in (1, 2, None) for k in range(5)]
+    found = adjust.adjustment_factors_exact(spark.createDataFrame(rows, ACTION), bars(spark, [50.0]))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 2)
+    try:
+        got = {(r["security_id"], r["effective_date"].day): (r["price_factor"], r["volume_factor"]) for r in found.collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = {1: 72, 2: 12, 3: 2}
+    unit = Decimal("1e-10")
+    assert got == {(s, d): ((Decimal(1) / v).quantize(unit), Decimal(v).quantize(unit)) for s in (1, 2, None) for d, v in want.items()}
+    assert "FlatMapGroupsInPandas" not in found._jdf.queryExecution().optimizedPlan().toString()

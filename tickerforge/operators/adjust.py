@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from decimal import ROUND_HALF_EVEN, Decimal
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -59,16 +60,35 @@ def adjustment_factors(actions: DataFrame, bars: DataFrame) -> DataFrame:
     return daily.select("security_id", "effective_date", F.product("p").over(later).alias("price_factor"), F.product("v").over(later).alias("volume_factor"))
 
 
-def _exact(events: pd.DataFrame) -> pd.DataFrame:
-    unit, price, volume, rows = Decimal("1e-10"), Decimal(1), Decimal(1), []
-    for ex_date, day in sorted(events.groupby("ex_date"), key=lambda g: g[0], reverse=True):
-        for e in day.itertuples():
-            if e.action_type == "split":
-                price, volume = price * e.split_denominator / e.split_numerator, volume * e.split_numerator / e.split_denominator
+_FACTORS = pa.schema([("security_id", pa.int64()), ("effective_date", pa.date32()), ("price_factor", pa.decimal128(20, 10)), ("volume_factor", pa.decimal128(20, 10))])
+
+
+def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The factors of actions that are sorted by security and from the last ex-date to the first; securities go on from batch to batch."""
+    unit, price, volume, at = Decimal("1e-10"), Decimal(1), Decimal(1), None
+
+    def done() -> tuple:
+        return (*at, price.quantize(unit, ROUND_HALF_EVEN), volume.quantize(unit, ROUND_HALF_EVEN))
+
+    def made(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _FACTORS)], schema=_FACTORS)
+
+    for batch in batches:
+        rows = []
+        for security, ex_date, kind, numerator, denominator, amount, prior in zip(*[c.to_pylist() for c in batch.columns]):
+            if at is not None and at != (security, ex_date):
+                rows.append(done())
+            if at is None or at[0] != security:
+                price, volume = Decimal(1), Decimal(1)
+            at = (security, ex_date)
+            if kind == "split":
+                price, volume = price * denominator / numerator, volume * numerator / denominator
             else:
-                price = price * (e.prior_close - e.dividend_amount) / e.prior_close
-        rows.append((events["security_id"].iloc[0], ex_date, price.quantize(unit, ROUND_HALF_EVEN), volume.quantize(unit, ROUND_HALF_EVEN)))
-    return pd.DataFrame(rows, columns=["security_id", "effective_date", "price_factor", "volume_factor"])
+                price = price * (prior - amount) / prior
+        if rows:
+            yield made(rows)
+    if at is not None:
+        yield made([done()])
 
 
 def adjustment_factors_exact(actions: DataFrame, bars: DataFrame) -> DataFrame:
@@ -78,10 +98,11 @@ def adjustment_factors_exact(actions: DataFrame, bars: DataFrame) -> DataFrame:
     multiplied in Python's decimals.
     """
     d, p = F.col("dividend_amount"), F.col("prior_close")
-    columns = ["security_id", "ex_date", "action_type", F.col("split_numerator").cast("decimal(20,10)"), F.col("split_denominator").cast("decimal(20,10)"), d.cast("decimal(20,10)")]
+    columns = [F.col("security_id").cast("long").alias("security_id"), "ex_date", "action_type", F.col("split_numerator").cast("decimal(20,10)"), F.col("split_denominator").cast("decimal(20,10)"), d.cast("decimal(20,10)")]
     splits = actions.where("action_type = 'split' AND split_numerator > 0 AND split_denominator > 0").select(*columns, F.lit(None).cast("decimal(20,6)").alias("prior_close"))
     dividends = dividend_reference(actions, bars).where((d > 0) & (p > 0) & (d < p)).select(*columns, p.cast("decimal(20,6)").alias("prior_close"))
-    return splits.unionByName(dividends).groupBy("security_id").applyInPandas(_exact, "security_id long, effective_date date, price_factor decimal(20,10), volume_factor decimal(20,10)")
+    dealt = splits.unionByName(dividends).where("ex_date IS NOT NULL").repartition("security_id").sortWithinPartitions("security_id", F.desc("ex_date"))
+    return dealt.mapInArrow(_exact, "security_id long, effective_date date, price_factor decimal(20,10), volume_factor decimal(20,10)")
 
 
 def with_factors(bars: DataFrame, factors: DataFrame) -> DataFrame:

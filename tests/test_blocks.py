@@ -129,3 +129,22 @@ def test_an_ema_makes_no_call_a_series(spark, sf_dir):
     from tickerforge.plans import prices
 
     assert "FlatMapGroupsInPandas" not in prices.ema(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("width, rows", [(40, 7), (7, 10_000), (100, 3), (100_000, 50)])
+def test_a_mean_of_means_goes_through_the_rows_as_they_were_dealt(spark, long_series, width, rows):
+    """No row that holds a mean is dealt again: below the last scan there are closes and summaries of blocks alone."""
+
+    def want(g):
+        line = ewm(g["close"], 2 / 13, 12) - ewm(g["close"], 2 / 27, 26)
+        mean = ewm(line, 2 / 10, 9)
+        return {"close_macd": line, "close_macd_signal": mean, "close_macd_hist": line - mean}
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    try:
+        found = indicators.macd(long_series, ["close"], width=width)
+        same(found, want)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    dealt = found._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression", 1)[1]
+    assert "fast" not in dealt and "macd" not in dealt

@@ -233,8 +233,8 @@ def _carries(key: str, specs: list[tuple[str, float]], adjust: bool, schema: pa.
     return carried_on
 
 
-def _rows(key: str, kept: list[str], specs: list[tuple[str, float, int]], adjust: bool, schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The means of rows that are sorted by series, block and time and know what enters their block."""
+def _rows(key: str, kept: list[str], specs: list[tuple[str, float, int]], adjust: bool, schema: pa.Schema, at0: int = 0) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The means of rows that are sorted by series, block and time and know what enters their block (in columns numbered from ``at0``)."""
 
     def means(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple | None = None
@@ -248,7 +248,7 @@ def _rows(key: str, kept: list[str], specs: list[tuple[str, float, int]], adjust
             run_of = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, batch.num_rows)))
             for i, (c, alpha, warm) in enumerate(specs):
                 x = _values(batch, c)
-                state, weight, had = (_values(batch, f"_{k}{i}")[starts] for k in _ENTERS)
+                state, weight, had = (_values(batch, f"_{k}{at0 + i}")[starts] for k in _ENTERS)
                 weight, had = np.nan_to_num(weight), np.nan_to_num(had)
                 if on:
                     state[0], weight[0], had[0] = held[1][i]
@@ -267,32 +267,69 @@ def _rows(key: str, kept: list[str], specs: list[tuple[str, float, int]], adjust
     return means
 
 
-def exponential_means(frame: DataFrame, made: Mapping[str, tuple[str, float, int]], adjust: bool = False, keep: tuple[str, ...] = (), key: str = "security_id", order: str = "trade_date", width: int = WIDTH) -> DataFrame:
-    """(key, order, kept columns, one column for each name in ``made``) in blocks.
+def _differences(pairs: list[tuple[str, str]], kept: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Batches with what each pair of columns differs by beside the kept columns, named ``_x_{one}-{other}``."""
 
-    ``made`` has column, weight of the newest value, and observations until which the mean is null. Weights
-    keep decaying over nulls, where the mean stays what it was.
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [pa.array(_values(batch, a) - _values(batch, b), from_pandas=True) for a, b in pairs]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *found], [*kept, *[f"_x_{a}-{b}" for a, b in pairs]])
+
+    return made
+
+
+def exponential_means(
+    frame: DataFrame, made: Mapping[str, tuple[str, float, int]], adjust: bool = False, keep: tuple[str, ...] = (), key: str = "security_id", order: str = "trade_date", width: int = WIDTH, of: Mapping[str, tuple[tuple[str, str], float, int]] | None = None
+) -> DataFrame:
+    """(key, order, kept columns, one column for each name in ``made`` and ``of``) in blocks.
+
+    ``made`` has column, weight of the newest value, and observations until which the mean is null; ``of`` has the same
+    with two names of ``made`` as column, for means of what these differ by. Weights keep decaying over nulls, where the
+    mean stays what it was.
 
     Rows are dealt by series and block once and sorted; the blocks' summaries and, with what enters the blocks beside
-    them, the rows' means are made from them a batch of many series at a time.
+    them, the rows' means are made from them a batch of many series at a time. Means of means take one more scan of the
+    same rows, which goes through the means to the summaries of their differences and gives a row a block.
     """
-    specs = [(f"_x_{c}", alpha, warm) for c, alpha, warm in made.values()]
-    alphas, columns = [(c, alpha) for c, alpha, _ in specs], list(dict.fromkeys(c for c, *_ in made.values()))
-    kept = [key, order, BLOCK, *keep]
+    specs, of = [(f"_x_{c}", alpha, warm) for c, alpha, warm in made.values()], of or {}
+    second, pairs = [(f"_x_{a}-{b}", alpha, warm) for (a, b), alpha, warm in of.values()], list(dict.fromkeys(p for p, *_ in of.values()))
+    columns, kept = list(dict.fromkeys(c for c, *_ in made.values())), [key, order, BLOCK, *keep]
     values = in_blocks(frame, order, width).select(*kept, *[F.nullif(F.col(c).cast("double"), F.lit(float("nan"))).alias(f"_x_{c}") for c in columns])
     kinds, each = dict(values.dtypes), F.struct(key, BLOCK)
     dealt = values.repartition(each)
 
-    def fields(names: Iterable[str]) -> tuple[str, pa.Schema]:
-        typed = [f"_{n}{i}" for i in range(len(specs)) for n in names]
+    def fields(names: Iterable[str], numbers: range) -> tuple[str, pa.Schema]:
+        typed = [f"_{n}{i}" for i in numbers for n in names]
         spark_type = values.schema[key].dataType
         return ", ".join([f"`{key}` {kinds[key]}", f"{BLOCK} bigint", *[f"{n} double" for n in typed]]), pa.schema([pa.field(key, to_arrow_type(spark_type)), pa.field(BLOCK, pa.int64()), *[pa.field(n, pa.float64()) for n in typed]])
 
-    told, told_arrow = fields(_TOLD)
-    enters, enters_arrow = fields(_ENTERS)
-    ends = dealt.sortWithinPartitions(key, BLOCK, order).mapInArrow(_summaries(key, alphas, adjust, told_arrow), told)
-    carry = ends.where(F.col(BLOCK).isNotNull()).repartition(key).sortWithinPartitions(key, BLOCK).mapInArrow(_carries(key, alphas, adjust, enters_arrow), enters)
-    named = carry.select(F.struct(key, BLOCK).alias("_each"), *[n for n in enters_arrow.names[2:]])
-    whole = dealt.join(named, each == F.col("_each"), "left").drop("_each").sortWithinPartitions(key, BLOCK, order)
-    shown = ", ".join([*[f"`{c}` {kinds[c]}" for c in kept], *[f"`{n}` double" for n in made]])
-    return whole.mapInArrow(_rows(key, kept, specs, adjust, pa.schema([pa.field(n, pa.float64()) for n in made])), shown)
+    def doubles(names: Iterable[str]) -> pa.Schema:
+        return pa.schema([pa.field(n, pa.float64()) for n in names])
+
+    def entering(rows: DataFrame, scan: Callable[[list[tuple[str, float]], pa.Schema], Callable], of_these: list[tuple[str, float, int]], numbers: range) -> DataFrame:
+        alphas = [(c, alpha) for c, alpha, _ in of_these]
+        (told, told_arrow), (enters, enters_arrow) = fields(_TOLD, numbers), fields(_ENTERS, numbers)
+        ends = rows.sortWithinPartitions(key, BLOCK, order).mapInArrow(scan(alphas, told_arrow), told)
+        carry = ends.where(F.col(BLOCK).isNotNull()).repartition(key).sortWithinPartitions(key, BLOCK).mapInArrow(_carries(key, alphas, adjust, enters_arrow), enters)
+        return carry.select(F.struct(key, BLOCK).alias("_each"), *enters_arrow.names[2:])
+
+    def beside(carry: DataFrame) -> DataFrame:
+        return dealt.join(carry, each == F.col("_each"), "left").drop("_each")
+
+    carry = entering(dealt, lambda alphas, told: _summaries(key, alphas, adjust, told), specs, range(len(specs)))
+    if not of:
+        scan = _rows(key, kept, specs, adjust, doubles(made))
+    else:
+        first, further = _rows(key, [key, BLOCK], specs, adjust, doubles(made)), range(len(specs), len(specs) + len(second))
+        lines = _differences(pairs, [key, BLOCK])
+
+        def through(alphas: list[tuple[str, float]], told: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+            summaries = _summaries(key, alphas, adjust, told)
+            return lambda batches: summaries(lines(first(batches)))
+
+        carry = carry.join(entering(beside(carry), through, second, further), "_each", "left")
+        enters2 = [f"_{n}{i}" for i in further for n in _ENTERS]
+        means, differ, last = _rows(key, [*kept, *enters2], specs, adjust, doubles(made)), _differences(pairs, [*kept, *made, *enters2]), _rows(key, [*kept, *made], second, adjust, doubles(of), len(specs))
+        scan = lambda batches: last(differ(means(batches)))
+    shown = ", ".join([*[f"`{c}` {kinds[c]}" for c in kept], *[f"`{n}` double" for n in [*made, *of]]])
+    return beside(carry).sortWithinPartitions(key, BLOCK, order).mapInArrow(scan, shown)

@@ -57,7 +57,7 @@ def macd(frame: DataFrame, columns: list[str], fast: int = 12, slow: int = 26, s
     if fast >= slow:
         raise ValueError("fast must be below slow")
     _known(frame, columns)
-    both = exponential_means(frame.select(key, order, *columns), {f"{c}_{name}": (c, 2 / (n + 1), n) for c in columns for name, n in (("fast", fast), ("slow", slow))}, False, (), key, order, width)
-    lines = both.select(key, order, BLOCK, *[(F.col(f"{c}_fast") - F.col(f"{c}_slow")).alias(f"{c}_macd") for c in columns])
-    means = exponential_means(lines, {f"{c}_macd_signal": (f"{c}_macd", 2 / (signal + 1), signal) for c in columns}, False, tuple(f"{c}_macd" for c in columns), key, order, width)
+    made = {f"{c}_{name}": (c, 2 / (n + 1), n) for c in columns for name, n in (("fast", fast), ("slow", slow))}
+    signals = {f"{c}_macd_signal": ((f"{c}_fast", f"{c}_slow"), 2 / (signal + 1), signal) for c in columns}
+    means = exponential_means(frame.select(key, order, *columns), made, False, (), key, order, width, signals).withColumns({f"{c}_macd": F.col(f"{c}_fast") - F.col(f"{c}_slow") for c in columns})
     return means.select(key, order, *[x for c in columns for x in (f"{c}_macd", f"{c}_macd_signal", (F.col(f"{c}_macd") - F.col(f"{c}_macd_signal")).alias(f"{c}_macd_hist"))])

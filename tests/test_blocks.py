@@ -148,3 +148,10 @@ def test_a_mean_of_means_goes_through_the_rows_as_they_were_dealt(spark, long_se
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     dealt = found._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression", 1)[1]
     assert "fast" not in dealt and "macd" not in dealt
+
+
+def test_rows_are_not_sorted_to_meet_what_enters_their_block(spark, long_series):
+    """The carries, a row a block, are looked up by hash: rows are sorted for the scans alone."""
+    for found, joins in ((indicators.ema(long_series, ["close"], width=40), 1), (indicators.macd(long_series, ["close"], width=40), 2)):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ShuffledHashJoin [struct(") == joins and "SortMergeJoin [struct(" not in plan

@@ -309,12 +309,12 @@ def exponential_means(
     def entering(rows: DataFrame, scan: Callable[[list[tuple[str, float]], pa.Schema], Callable], of_these: list[tuple[str, float, int]], numbers: range) -> DataFrame:
         alphas = [(c, alpha) for c, alpha, _ in of_these]
         (told, told_arrow), (enters, enters_arrow) = fields(_TOLD, numbers), fields(_ENTERS, numbers)
-        ends = rows.sortWithinPartitions(key, BLOCK, order).mapInArrow(scan(alphas, told_arrow), told)
+        ends = rows.sortWithinPartitions(key, BLOCK, order).drop(*[c for c in (order, *keep) if c != key]).mapInArrow(scan(alphas, told_arrow), told)
         carry = ends.where(F.col(BLOCK).isNotNull()).repartition(key).sortWithinPartitions(key, BLOCK).mapInArrow(_carries(key, alphas, adjust, enters_arrow), enters)
         return carry.select(F.struct(key, BLOCK).alias("_each"), *enters_arrow.names[2:])
 
     def beside(carry: DataFrame) -> DataFrame:
-        return dealt.join(carry, each == F.col("_each"), "left").drop("_each")
+        return dealt.join(carry.hint("shuffle_hash"), each == F.col("_each"), "left").drop("_each")  # a row a block: no reason to sort the rows for it
 
     carry = entering(dealt, lambda alphas, told: _summaries(key, alphas, adjust, told), specs, range(len(specs)))
     if not of:
